@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that a Python worker hashes at once; bounds its memory.
@@ -52,7 +53,7 @@ def discard(df: DataFrame) -> None:
 def text_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds at most `limit` bytes of text, or one row."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         begin = total = 0
         for i, size in enumerate(sizes):
             if total and total + size > limit:
