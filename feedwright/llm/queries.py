@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedwright.llm.bpe import round_trip
 from feedwright.llm.common import table
 from feedwright.llm.exact_dedup import exact_dedup
+from feedwright.llm.substring_dedup import substring_dedup
 from feedwright.llm.topk_search import quantised, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return top_k(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10)
@@ -36,6 +41,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_topk": op8_exact_topk,
     "op10_bpe": op10_bpe,
 }
