@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedwright.llm.bpe import round_trip
 from feedwright.llm.common import table
 from feedwright.llm.exact_dedup import exact_dedup
+from feedwright.llm.jaccard_join import jaccard_join
 from feedwright.llm.substring_dedup import substring_dedup
 from feedwright.llm.topk_search import quantised, top_k
 
@@ -35,6 +36,10 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -43,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_topk": op8_exact_topk,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_bpe": op10_bpe,
 }
 
