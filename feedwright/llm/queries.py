@@ -11,8 +11,10 @@ from feedwright.llm.bpe import round_trip
 from feedwright.llm.common import table
 from feedwright.llm.exact_dedup import exact_dedup
 from feedwright.llm.jaccard_join import jaccard_join
+from feedwright.llm.line_dedup import line_dedup
 from feedwright.llm.substring_dedup import substring_dedup
 from feedwright.llm.topk_search import quantised, top_k
+from feedwright.llm.url_filter import Rule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +25,29 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: The rules of the URL filter query (fixed values).
+URL_RULES = (
+    Rule.parse("block", "com/en/"),
+    Rule.parse("allow", "example.com/en/7"),
+    Rule.parse("allow", "net/de/"),
+    Rule.parse("block", "example.net/de/8"),
+    Rule.parse("block", "org/es/"),
+)
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -46,6 +67,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_url_filter": op2_url_filter,
+    "op3_line_dedup": op3_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_topk": op8_exact_topk,
     "op9_jaccard_join": op9_jaccard_join,
@@ -58,6 +81,16 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op2_url_filter": """
+        WITH rules(verdict, host, path) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'),
+          ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+        u AS (SELECT page_id,
+            translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+        SELECT page_id, u.host, u.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+               coalesce(arg_max(r.verdict, length(r.host || r.path)), 'allow') AS verdict
+        FROM u LEFT JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+        GROUP BY page_id, u.host, u.path""",
     "op8_exact_topk": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
