@@ -11,9 +11,12 @@ from feedwright.llm.bpe import round_trip
 from feedwright.llm.common import table
 from feedwright.llm.exact_dedup import exact_dedup
 from feedwright.llm.jaccard_join import jaccard_join
+from feedwright.llm.labelled import fold
 from feedwright.llm.line_dedup import line_dedup
+from feedwright.llm.quality import score_quality
 from feedwright.llm.substring_dedup import substring_dedup
 from feedwright.llm.topk_search import quantised, top_k
+from feedwright.llm.toxicity import score_toxicity
 from feedwright.llm.url_filter import Rule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +51,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -69,6 +82,8 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_topk": op8_exact_topk,
     "op9_jaccard_join": op9_jaccard_join,

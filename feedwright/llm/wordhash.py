@@ -49,13 +49,14 @@ def flat_utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first) of the maximal runs of non-separator bytes.
 
-    Words never cross documents; ``first[d] : first[d+1]`` are the words of
+    separators: for each byte whether it is one, by default space and the
+    controls 9 to 13.  Words never cross documents; ``first[d] : first[d+1]`` are the words of
     document d.
     """
-    inside = ~_SEPARATOR[data]
+    inside = ~separators[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[:-1] = inside
     edge[1:-1] &= ~inside[:-1]
