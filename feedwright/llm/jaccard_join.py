@@ -32,9 +32,9 @@ TREES = 20
 #: The estimated share of true pairs that must be found before shortening ends.
 RECALL = 0.995
 #: Chance of finding a pair at the threshold at the first and the last depth.
-FIRST_CHANCE, LAST_CHANCE = 0.97, 0.9995
+FIRST_CHANCE, LAST_CHANCE = 0.99, 0.9995
 BLOCK_SHINGLES = 1_000_000
-BLOCK_DOCUMENTS = 1000
+BLOCK_DOCUMENTS = 400
 SALTS = 64
 MAX_FILTER_BITS = 1 << 27
 _ROW_BITS = 32768
@@ -222,12 +222,11 @@ def jaccard_join(
     rounds: list[DataFrame] = []
     for depth in range(first, last - 1, -1):
         before = None if depth == first else depth + 1
-        rounds.append(_verify_round(docs, reps, words, trees, first, depth, before, exact))
+        rounds.append(_verify_round(docs, reps, words, trees, first, last, depth, before, exact))
         found = rounds[0]
         for more in rounds[1:]:
             found = found.unionByName(more)
-        seen = found.agg(F.sum("found").alias("found"), F.sum("expected").alias("expected")).first()
-        # `expected` of earlier rounds was for a deeper forest; this makes the estimate smaller, never larger.
+        seen = found.agg(F.sum("found").alias("found"), F.sum(F.col("expected")[first - depth]).alias("expected")).first()
         if not seen.found or seen.found >= recall * seen.expected:
             break
 
@@ -244,8 +243,11 @@ def jaccard_join(
     )
 
 
-def _verify_round(docs: DataFrame, reps: DataFrame, words: int, trees: int, steps: int, depth: int, before: int | None, exact: Fraction) -> DataFrame:
-    """(node, root, links, found, expected): new links of each representative at one depth."""
+def _verify_round(docs: DataFrame, reps: DataFrame, words: int, trees: int, steps: int, last: int, depth: int, before: int | None, exact: Fraction) -> DataFrame:
+    """(node, root, links, found, expected): new links of each representative at one depth.
+
+    found counts a row's pairs once; expected has, for each depth from the first to the last, the
+    number of pairs that stand behind them if pairs are found by their chance at that depth."""
     spark = docs.sparkSession
 
     def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,25 +315,27 @@ def _verify_round(docs: DataFrame, reps: DataFrame, words: int, trees: int, step
             )
             if not linked.any():
                 continue
-            weight = np.where(linked, 1 / chance(np.maximum(similarity, 0.5), depth, trees), 0)
+            one, two = np.nonzero(linked)
+            likely = np.maximum(similarity[one, two], 0.5)
+            expected = np.stack([np.bincount(one, 1 / chance(likely, d, trees), len(at)) for d in range(steps, last - 1, -1)], 1)
             if same:
                 whole, of = linked | linked.T, i
             else:
                 whole, of = np.zeros((len(i) + len(j),) * 2, bool), np.concatenate([i, j])
                 whole[: len(i), len(i) :], whole[len(i) :, : len(i)] = linked, linked.T
-            expected = np.zeros(len(of))
-            expected[: len(i)] = weight.sum(1)
             some = np.flatnonzero(whole.any(1))
             out["node"].append(node[of[some]])
             out["root"].append(node[of[_roots(whole)[some]]])
             out["links"].append((whole @ copies[of].astype(np.float64))[some].astype(np.int64))
             out["found"].append(np.concatenate([linked.sum(1), np.zeros(len(of) - len(i), int)])[some].astype(np.int64))
             out["expected"].append(expected[some])
-        kinds = {"node": np.int64, "root": np.int64, "links": np.int64, "found": np.int64, "expected": np.float64}
-        return pa.table({k: np.concatenate([np.zeros(0, kinds[k]), *v]).astype(kinds[k]) for k, v in out.items()})
+        weights = out.pop("expected")
+        columns = {k: pa.array(np.concatenate([np.zeros(0, np.int64), *v]).astype(np.int64)) for k, v in out.items()}
+        columns["expected"] = pa.array([row for w in weights for row in w.tolist()], pa.list_(pa.float64()))
+        return pa.table(columns)
 
     checked = tasks.groupBy("large", "bundle", "b1", "b2").applyInArrow(
-        verify, "node long, root long, links long, found long, expected double"
+        verify, "node long, root long, links long, found long, expected array<double>"
     )
     checked = materialize(checked, "links")
     discard(sized)
