@@ -361,3 +361,10 @@ def id_filter(ids: DataFrame, max_bits: int) -> tuple[np.ndarray, int]:
     for row in rows.toLocalIterator():  # at most max_bits / 8 bytes in all
         out[row.slot] = np.frombuffer(row.bitmap, np.uint8)
     return out.ravel(), bits
+
+
+def documents_without_near_copies(df: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+    """The rows of df but those whose class has another, smaller id to stand for it."""
+    dropped = jaccard_join(df, id_col=id_col, **how).where("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
+    row = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"))
+    return row.join(dropped, F.col("own_id") == F.col("dropped_id"), "left_anti").select("row.*")

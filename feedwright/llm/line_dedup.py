@@ -148,8 +148,10 @@ def near_lines(lines: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> Data
 
 def line_dedup(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_contexts: int = MIN_CONTEXTS,
+    carry: bool = False,
 ) -> DataFrame:
-    """doc_id, text, n_lines, n_removed: every row with the repeated lines removed.
+    """doc_id, text, n_lines, n_removed: every row with the repeated lines removed;
+    with carry also `row`, a struct of the row's own columns.
 
     Lines end at \\n.  Lines of at least min_chars characters form classes: equal
     lines, lines one edit apart, and what these connect.  In a document the
@@ -162,7 +164,8 @@ def line_dedup(
     repeated with its id loses the same lines as its twin.  Lines of rows
     without id count and stay.  Other columns are ignored.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                     *([F.struct("*").alias("row")] if carry else []))
     split = docs.where("text IS NOT NULL").select("doc_id", _line(F.col("text")).alias("lines"))
     placed = split.select("doc_id", "lines", F.posexplode("lines").alias("pos", "line")).where(F.length("line") >= min_chars)
     around = F.xxhash64(F.expr("get(lines, pos - 1)"), F.lit("\n"), F.expr("get(lines, pos + 1)"))
@@ -193,5 +196,14 @@ def line_dedup(
     return joined.select(
         "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("long").alias("n_removed"), *(["row"] if carry else []),
     )
+
+
+def documents_without_repeated_lines(df: DataFrame, **how) -> DataFrame:
+    """The rows of df with text and n_chars (if there) after line_dedup(); none is left out."""
+    done = line_dedup(df, carry=True, **how)
+    row = F.col("row").withField("text", F.col("text"))
+    if "n_chars" in df.columns:
+        row = row.withField("n_chars", F.coalesce(F.length("text"), F.col("row.n_chars")).cast(df.schema["n_chars"].dataType))
+    return done.select(row.alias("row")).select("row.*")

@@ -13,6 +13,7 @@ from feedwright.llm.exact_dedup import exact_dedup
 from feedwright.llm.jaccard_join import jaccard_join
 from feedwright.llm.labelled import fold
 from feedwright.llm.line_dedup import line_dedup
+from feedwright.llm.mixing import mix_sources
 from feedwright.llm.quality import score_quality
 from feedwright.llm.substring_dedup import substring_dedup
 from feedwright.llm.topk_search import quantised, top_k
@@ -61,6 +62,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op6_source_mixing": op6_source_mixing,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_topk": op8_exact_topk,
     "op9_jaccard_join": op9_jaccard_join,

@@ -130,13 +130,14 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
     @classmethod
-    def fit(cls, votes: np.ndarray, steps: int = 60) -> LabelModel:
+    def fit(cls, votes: np.ndarray, prior: float | None = None, steps: int = 60) -> LabelModel:
         """Correlations first, then expectation-maximisation over the votes alone.
 
         If voters depended on each other through the class only, the correlation of two would be
         the product of each one's own with the class; triples of voters give these (the median
         over triples bears a few dependent ones).  What a correlation has beyond the product is a
-        dependence, and voters share the weight of what they have in common."""
+        dependence, and voters share the weight of what they have in common.  A known share of
+        class 1 is given as prior and kept."""
         n, m = votes.shape
         signed = np.where(votes == 2, -1, votes).astype(float)
         centred = signed - signed.mean(0)
@@ -157,7 +158,7 @@ class LabelModel:
         for _ in range(steps):
             by_class = np.stack([np.einsum("n,nmv->mv", 1 - p, says), np.einsum("n,nmv->mv", p, says)], 1)
             model.chance = (by_class + 0.5) / (by_class.sum(2, keepdims=True) + 1.5)
-            model.prior = float(np.clip(p.mean(), 0.01, 0.99))
+            model.prior = float(np.clip(p.mean() if prior is None else prior, 0.01, 0.99))
             p = model.posterior(votes)
         return model
 
@@ -233,6 +234,8 @@ def train(sample: DataFrame) -> ToxicityModel:
     ratio = f"((a + 0.5) / {n_toxic + 1}) / ((b + 0.5) / {n_clean + 1})"
     lexicon = counted.where(f"a >= 4 AND {ratio} >= {LEAST_RATIO}").withColumn("g2", F.expr(g2)).where(F.col("g2") >= LEAST_G2)
     lexicon = sorted(lexicon.orderBy(F.desc("g2"), "unit").limit(MAX_UNITS).collect(), key=lambda r: np.uint64(r.unit % 2**64))
+    if not lexicon:  # nothing stands out: patterns alone say nothing of toxicity
+        return constant(float(y.mean()))
     units = np.array([r.unit for r in lexicon], np.int64).view(np.uint64)
     kinds = np.array([r.kind for r in lexicon], np.int64)
 
@@ -258,7 +261,7 @@ def train(sample: DataFrame) -> ToxicityModel:
     votes = [np.where(x[:, voters == g].any(1), 1, 0) for g in np.unique(voters)]
     votes += [np.where(x[:, kinds == k].any(1), 1, 2) for k in np.unique(kinds)]
     votes += [s.astype(int) for s in shouts.T]
-    model = LabelModel.fit(np.stack(votes, 1))
+    model = LabelModel.fit(np.stack(votes, 1), share)
     target = model.posterior(np.stack(votes, 1))
     both = np.hstack([x, shouts.astype(np.float32)])
     w = logistic(both, target, np.r_[np.full(len(units), 0.1), np.full(len(cuts), 50.0)])
@@ -285,3 +288,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learnable, id_col: str =
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(shared.value.score(part.column("text")))], ["doc_id", "score"])
 
     return rows.mapInArrow(run, "doc_id long, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def documents_without_toxic(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id", text_col: str = "text",
+                            threshold: float = 0.7, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """The rows of docs whose text score_toxicity() scores below the threshold, unchanged and not shuffled."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    sample = labelled_sample(rows, labels, "toxic", learnable, max_labelled)
+    shared = docs.sparkSession.sparkContext.broadcast(train(sample))
+    discard(sample)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, text_col):
+            yield part.filter(pa.array(shared.value.score(part.column(text_col)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)

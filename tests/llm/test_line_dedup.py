@@ -16,6 +16,16 @@ def distance(a, b):
     return row[-1]
 
 
+def one_edit(a, b):
+    """Whether a <> b are one edit apart, by their common prefix and suffix."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    p = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[p + (len(a) == len(b)) :] == b[p + 1 :]
+
+
 def components_of(nodes, linked):
     label = {n: n for n in nodes}
     changed = True
@@ -62,7 +72,7 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, few):
     monkeypatch.setattr(ld, "FEW_LINES", few)
     lines = some_lines(few)
     df = spark.createDataFrame([(x,) for x in lines], "line string").select(F.unhex(F.md5("line")).alias("id"), "line")
-    name = {r.id.hex(): r.line for r in df.collect()} if False else {bytes(r.id): r.line for r in df.collect()}
+    name = {bytes(r.id): r.line for r in df.collect()}
     links = [(name[bytes(r.a)], name[bytes(r.b)]) for r in near_lines(df).collect()]
     assert all(distance(a, b) == 1 for a, b in links)
     nodes = sorted(set(lines))
@@ -72,7 +82,7 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, few):
 
 def brute_force(rows, min_contexts=3):
     nodes = sorted({x for _, t in rows if t is not None for x in t.split("\n") if len(x) >= 20})
-    label = components_of(nodes, [(a, b) for a in nodes for b in nodes if a < b and distance(a, b) == 1])
+    label = components_of(nodes, [(a, b) for a in nodes for b in nodes if a < b and one_edit(a, b)])
     contexts, first = {}, {}
     for i, t in rows:
         lines = (t or "").split("\n") if t is not None else []
