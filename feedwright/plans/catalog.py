@@ -560,3 +560,23 @@ def registry_targets(spark, sf):
 @query(f"WITH {_FEED} SELECT outlet_id, section, pos, (floor(pos / 25) + 1)::BIGINT AS batch FROM f")
 def upsert_batches(spark, sf):
     return _feed(spark, sf).select("outlet_id", "section", "pos", text.batch_number(F.col("pos") + 1).alias("batch"))
+
+
+@query("""WITH r AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events)
+  SELECT 'https://feed.example/' || user_id || '/' || event_type AS url, event_id FROM r WHERE n = 1""")
+def stream_upsert(spark, sf):
+    """The events as a stream of articles, upserted on their URL; what the table holds when the stream has ended.
+
+    The path is a pattern, so it may be a file or a folder."""
+    import uuid
+
+    from feedwright.storage import shared_dir
+    from feedwright.streaming import stream
+
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    root = f"{shared_dir(spark)}/feedwright/stream-{uuid.uuid4().hex}"
+    rows = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]").select(
+        text.normalize_link(F.concat(F.lit("HTTPS://Feed.example/"), "user_id", F.lit("/"), "event_type", F.lit("/?e="), "event_id")).alias("url"), "event_id", "ts")
+    bronze_table = sinks.VersionedTable(spark, f"{root}/bronze")
+    stream.run_once(spark, stream.upsert_batches(rows, bronze_table, f"{root}/progress", "url string, event_id bigint, ts timestamp", ("ts", "event_id")))
+    return bronze_table.read("url string, event_id bigint, ts timestamp").select("url", "event_id")
