@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedwright.llm import line_dedup as ld
-from feedwright.llm.line_dedup import line_dedup, near_lines, within_edits
+from feedwright.llm.line_dedup import line_dedup, near, near_lines, within_edits
 
 
 def distance(a, b):
@@ -67,6 +67,16 @@ def test_banded_distance(spark, k):
     assert all(x.near == (distance(x.a, x.b) <= k) for x in df.collect())
 
 
+def test_narrowed_distance(spark):
+    r = random.Random(8)
+    rows = [("", ""), ("a", ""), ("", "ab"), ("ab", "ba")]
+    for _ in range(200):
+        a = "".join(r.choice("abé🙂") for _ in range(r.randint(0, 60)))
+        rows.append((a, edited(r, a, r.randint(0, 3))))
+    df = spark.createDataFrame(rows, "a string, b string").withColumn("near", near("a", "b"))
+    assert all(x.near == (distance(x.a, x.b) <= 1) for x in df.collect())
+
+
 @pytest.mark.parametrize("few", [1, 8])
 def test_links_connect_what_brute_force_connects(spark, monkeypatch, few):
     monkeypatch.setattr(ld, "FEW_LINES", few)
