@@ -36,10 +36,15 @@ def _positions(fingerprint: Column, bits: int) -> list[Column]:
             F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
 
 
-def _bit_is_set(bitmap: str, position: str) -> Column:
-    within = f"pmod({position}, {_ROW_BITS})"
-    byte = f"cast(conv(hex(substring({bitmap}, cast(shiftright({within}, 3) + 1 AS int), 1)), 16, 10) AS int)"
-    return F.expr(f"coalesce(bit_get({byte}, cast({within} & 7 AS int)) = 1, false)")
+def _as_words(bitmap: str) -> Column:
+    """A bitmap as 64-bit words: one look at an array tests a bit."""
+    return F.expr(f"transform(sequence(0, {_ROW_BITS // 64 - 1}), i -> cast(conv(hex(substring({bitmap}, i * 8 + 1, 8)), 16, -10) AS bigint))")
+
+
+def _bit_is_set(words: str, position: str) -> Column:
+    """Byte j of a bitmap holds the positions from 8 j, the lowest bit first; words are big-endian."""
+    within = f"cast(pmod({position}, {_ROW_BITS}) AS int)"
+    return F.expr(f"coalesce(bit_get(get({words}, shiftright({within}, 6)), (7 - (shiftright({within}, 3) & 7)) * 8 + ({within} & 7)) = 1, false)")
 
 
 def repeated_filter(fingerprints: DataFrame, bits: int) -> DataFrame:
@@ -74,7 +79,7 @@ def exact_dedup(
     first, second = _positions(F.col("fp"), bits)
     probed = rows.withColumns({"p1": first, "p2": second})
     for n in ("1", "2"):
-        side = bloom.select(F.col("slot").alias(f"slot{n}"), F.col("bitmap").alias(f"bitmap{n}"))
+        side = bloom.select(F.col("slot").alias(f"slot{n}"), _as_words("bitmap").alias(f"bitmap{n}"))
         probed = probed.join(F.broadcast(side), F.expr(f"p{n} div {_ROW_BITS}") == F.col(f"slot{n}"), "left")
     suspect = _bit_is_set("bitmap1", "p1") & _bit_is_set("bitmap2", "p2")
     sha = F.lower(F.hex("fp")).alias("text_sha256")

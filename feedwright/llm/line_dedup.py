@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from feedwright.llm.common import discard, materialize
 from feedwright.llm.components import components
-from feedwright.llm.exact_dedup import _ROW_BITS, _bit_is_set
+from feedwright.llm.exact_dedup import _ROW_BITS, _as_words, _bit_is_set
 
 MAX_EDITS = 1
 #: Shorter lines (headings, list marks) are no repeats of anything.
@@ -32,7 +32,7 @@ LONGEST_REST = 256
 MAX_FILTER_BITS = 1 << 27
 
 
-def within_edits(a: str, b: str, k: int) -> Column:
+def _within_edits_sql(a: str, b: str, k: int) -> str:
     """True if the strings a and b (column names) are at most k edits apart.
 
     Banded bit-parallel simulation: bit o of r_e says that a[: j+o-k] turns into
@@ -49,12 +49,16 @@ def within_edits(a: str, b: str, k: int) -> Column:
     step = "named_struct(" + ", ".join(f"'r{e}', {x}" for e, x in enumerate(steps)) + ")"
     last = f"aggregate({matches}, {zero}, (s, m) -> {step}, s -> s.r{k})"
     apart = f"length({a}) - length({b})"
-    return F.expr(
+    return (
         f"CASE WHEN abs({apart}) > {k} THEN false WHEN {b} = '' OR {a} = '' THEN true "
         f"ELSE bit_get({last}, {apart} + {k}) = 1 END"
     )
 
 
+def within_edits(a: str, b: str, k: int) -> Column:
+    return F.expr(_within_edits_sql(a, b, k))
+
+
 def _line(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -63,7 +67,7 @@ def _key(*parts: Column) -> Column:
     return F.xxhash64(*parts)
 
 
-def segment_entries(line: str) -> Column:
+def segment_entries(line: str, rest: bool = True) -> Column:
     """array<struct<key, d, rest>>: the index (d = 0) and probe (d = 1) entries of a line.
 
     Under length n the segments are the first n div 2 characters and the others."""
@@ -73,8 +77,8 @@ def segment_entries(line: str) -> Column:
         tail = f"cast(length({line}) - {d} - (length({line}) - {d}) div 2 AS int)"
         of = f"length({line}) - {d}"
         out += [
-            f"named_struct('key', xxhash64({of}, 'P', substring({line}, 1, {head})), 'd', {d}, 'rest', substring({line}, {head} + 1))",
-            f"named_struct('key', xxhash64({of}, 'S', right({line}, {tail})), 'd', {d}, 'rest', substring({line}, 1, cast(length({line}) - {tail} AS int)))",
+            f"named_struct('key', xxhash64({of}, 'P', substring({line}, 1, {head})), 'd', {d}" + f", 'rest', substring({line}, {head} + 1)" * rest + ")",
+            f"named_struct('key', xxhash64({of}, 'S', right({line}, {tail})), 'd', {d}" + f", 'rest', substring({line}, 1, cast(length({line}) - {tail} AS int))" * rest + ")",
         ]
     return F.expr(f"array({', '.join(out)})")
 
@@ -89,6 +93,28 @@ def _halves() -> Column:
     )
 
 
+def near(a: str, b: str) -> Column:
+    """True if the strings are at most one edit apart.
+
+    One edit spares one of two segments of the shorter string, and what both share at an end
+    doesn't change their distance: the spared half is taken off, again and again.  Strings that
+    differ in both halves are told apart there; the few characters that are left of the others
+    go to the banded distance.  One expression, so the optimiser copies no part of it."""
+    n = "least(length(u.a), length(u.b))"
+    h, t = f"cast({n} div 2 AS int)", f"cast({n} - {n} div 2 AS int)"
+    state = "named_struct('a', {}, 'b', {}, 'ok', {})".format
+    step = (
+        f"CASE WHEN NOT u.ok THEN u "
+        f"WHEN substring(u.a, 1, {h}) = substring(u.b, 1, {h}) THEN {state(f'substring(u.a, {h} + 1)', f'substring(u.b, {h} + 1)', 'true')} "
+        f"WHEN right(u.a, {t}) = right(u.b, {t}) THEN "
+        f"{state(f'substring(u.a, 1, cast(length(u.a) - {t} AS int))', f'substring(u.b, 1, cast(length(u.b) - {t} AS int))', 'true')} "
+        f"ELSE {state(chr(39) * 2, chr(39) * 2, 'false')} END"
+    )
+    rounds = LONGEST_REST.bit_length() - 1
+    left = f"aggregate(sequence(1, {rounds}), {state(a, b, 'true')}, (u, i) -> {step})"
+    return F.expr(f"get(transform(array({left}), x -> CASE WHEN x.ok THEN {_within_edits_sql('x.a', 'x.b', MAX_EDITS)} ELSE false END), 0)")
+
+
 def _shared_keys(entries: DataFrame, max_bits: int) -> tuple[DataFrame, int]:
     """Filter rows (slot, bitmap), of bounded size, over the keys that two different lines have."""
     seen = entries.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b"), F.min("d").alias("d"))
@@ -107,13 +133,13 @@ def _shared_keys(entries: DataFrame, max_bits: int) -> tuple[DataFrame, int]:
 def near_lines(lines: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """(a, b): links between the ids of different lines, at least enough that connected
     lines stay connected.  lines: (id, line), repeated or not."""
-    keyed = lines.select("id", "line", F.xxhash64("line").alias("h"), F.explode(segment_entries("line")).alias("e"))
+    keyed = lines.select("id", F.explode(segment_entries("line")).alias("e"))
     slots, bits = _shared_keys(
-        lines.select(F.xxhash64("line").alias("h"), F.explode(segment_entries("line")).alias("e")).select("h", "e.key", "e.d"), max_filter_bits
+        lines.select(F.xxhash64("line").alias("h"), F.explode(segment_entries("line", rest=False)).alias("e")).select("h", "e.key", "e.d"), max_filter_bits
     )
     # At most max_filter_bits / 8 bytes: a bounded broadcast.
     probed = keyed.select("id", "e.*", F.expr(f"e.key & {bits - 1}L").alias("p")).join(
-        F.broadcast(slots), F.expr(f"p div {_ROW_BITS}") == F.col("slot"), "inner"
+        F.broadcast(slots.select("slot", _as_words("bitmap").alias("bitmap"))), F.expr(f"p div {_ROW_BITS}") == F.col("slot"), "inner"
     ).where(_bit_is_set("bitmap", "p")).select("id", "key", "d", "rest")
     level = materialize(probed.dropDuplicates(["key", "id", "d"]), "bucket")
     links: list[DataFrame] = []
@@ -125,7 +151,7 @@ def near_lines(lines: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> Data
         small, tiny, many = sized.where(few), sized.where(one), sized.where(~few & ~one)
         a = small.where("d = 0").select("key", F.col("id").alias("a"), F.col("rest").alias("rest_a"))
         b = small.select("key", F.col("id").alias("b"), F.col("d").alias("d_b"), F.col("rest").alias("rest_b"))
-        pairs = a.join(b, "key").where("a <> b AND (d_b = 1 OR a < b)").where(within_edits("rest_a", "rest_b", MAX_EDITS)).select("a", "b")
+        pairs = a.join(b, "key").where("a <> b AND (d_b = 1 OR a < b)").where(near("rest_a", "rest_b")).select("a", "b")
         # One character is left: lines of one length are all one edit apart, and a longer line
         # is near the line that it becomes without one of its two characters.
         index = tiny.where("d = 0")
