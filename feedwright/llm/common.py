@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from feedwright.storage import discard, materialize, shared_dir
+
+__all__ = ["SLICE_BYTES", "discard", "materialize", "shared_dir", "table", "text_slices"]
+
 #: Text bytes that a Python worker hashes at once; bounds its memory.
 SLICE_BYTES = 2_000_000
 
@@ -18,38 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor sees; a local one only where none is set, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        context = spark.sparkContext
-        root = context.getCheckpointDir()
-        if not root:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            root = tempfile.mkdtemp(prefix="feedwright-")
-            context.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends here and a
-    lost executor costs only the tasks that read its files again."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/feedwright/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files behind a table that materialize() returned."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def text_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds at most `limit` bytes of text, or one row."""
     for batch in batches:
