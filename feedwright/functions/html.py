@@ -265,3 +265,63 @@ def valid_body(body: Column, kind: str = "html") -> Column:
         if kind == "xml":
             ok = ok & (F.contains(head, F.lit("<?xml")) | F.contains(head, F.lit("<rss")))
     return F.coalesce(ok, F.lit(False))
+
+
+def page_ready(page: Column, markers: Sequence[str]) -> Column:
+    """No interstitial, and one of the markers of a loaded page is there."""
+    seen = F.lit(False)
+    for m in markers:
+        seen = seen | F.contains(page, F.lit(m))
+    return F.coalesce(seen & ~is_block_page(page), F.lit(False))
+
+
+class Cards(HTMLParser):
+    """Cards of a list page: elements of a class, each with its first link, heading, date text and image."""
+
+    def __init__(self, source: str, card: str, date: str):
+        super().__init__(convert_charrefs=True)
+        self.card, self.date, self.stack, self.open, self.cards = card, date, [], [], []
+        self.feed(source or "")
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        a = {k: v or "" for k, v in attrs}
+        classes = a.get("class", "").split()
+        if self.card in classes:
+            self.cards.append({"pos": len(self.cards), "title": "", "link": "", "date_text": "", "image": ""})
+            self.open.append((len(self.stack), self.cards[-1]))
+        if self.open:
+            card = self.open[-1][1]
+            if tag == "a" and not card["link"]:
+                card["link"] = a.get("href", "")
+            if tag == "img" and not card["image"]:
+                card["image"] = a.get("src") or a.get("data-src") or ""
+        if tag not in _VOID:
+            self.stack.append((tag, classes))
+
+    def handle_endtag(self, tag):
+        at = max((i for i, (t, _) in enumerate(self.stack) if t == tag), default=None)
+        if at is not None:
+            del self.stack[at:]
+            while self.open and self.open[-1][0] >= at:
+                self.open.pop()
+
+    def handle_data(self, data):
+        if not self.open or not data.strip():
+            return
+        card, inside = self.open[-1][1], self.stack[self.open[-1][0] :]
+        if any(self.date in c for _, c in inside):
+            card["date_text"] = f"{card['date_text']} {data.strip()}".strip()
+        elif any(t in ("h1", "h2", "h3", "h4", "a") for t, _ in inside):
+            card["title"] = f"{card['title']} {data.strip()}".strip()
+
+
+def list_cards(page: Column, card: str, date: str) -> Column:
+    """array<struct<pos, title, link, date_text, image>> of the elements of class `card`; `date` is the class of a card's date."""
+    kind = T.ArrayType(T.StructType([_POS, *[T.StructField(n, _TEXT) for n in ("title", "link", "date_text", "image")]]))
+
+    @F.pandas_udf(kind)
+    def cards(pages: pd.Series) -> pd.Series:
+        return pd.Series([None if h is None else Cards(h, card, date).cards for h in pages], dtype=object)
+
+    return cards(page)

@@ -148,3 +148,33 @@ def batch_number(row_number: Column, size: int = 25) -> Column:
 
 def backoff_seconds(attempt: Column) -> Column:
     return F.pow(F.lit(2), attempt).cast("long")
+
+
+#: Shapes of article addresses (fixed values): dated path, /kind/id, and category-number.
+ARTICLE_SHAPES = {"dated": r"(?i)/20\d{2}/\d{1,2}/\d{1,2}/", "numbered": r"/(?:article|news|story)/\d+", "prefixed": r"/108-\d+"}
+
+
+def is_article_link(link: Column, shape: str, exclude: Sequence[str] = ("epaper.", "archives.")) -> Column:
+    """The link has the shape of an article's and none of the excluded parts."""
+    out = F.rlike(link, F.lit(ARTICLE_SHAPES[shape]))
+    for part in exclude:
+        out = out & ~F.contains(link, F.lit(part))
+    return F.coalesce(out, F.lit(False))
+
+
+#: Parts that mark list and service pages (fixed values).
+NO_ARTICLE = ("category", "author", "about", "contact", "archives", "classifieds", "/page/", "/tag/")
+
+
+def looks_like_article(link: Column, slashes: int = 2, longer_than: int = 10, exclude: Sequence[str] = NO_ARTICLE) -> Column:
+    """By its path alone: enough slashes, long enough, and none of the excluded parts in the link."""
+    path = F.regexp_extract(link, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)?([^?#]*)", 1)
+    out = (F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit(""))) >= slashes) & (F.length(path) > longer_than) & ~F.startswith(link, F.lit("#"))
+    for part in exclude:
+        out = out & ~F.contains(link, F.lit(part))
+    return F.coalesce(out, F.lit(False))
+
+
+def without_slash(link: Column) -> Column:
+    """A key that doesn't tell a trailing slash."""
+    return F.regexp_replace(link, r"/+$", "")

@@ -154,3 +154,20 @@ def advance_checkpoint(feed: DataFrame, emitted: DataFrame, old: DataFrame, boun
     else:
         out = F.coalesce("_stopped", F.when(F.col("_new").isNotNull(), F.col("_head")), "_old", "_head")
     return met.select(*k, out.alias("link")).where("link IS NOT NULL AND link <> ''")
+
+
+def caught_up(feed: DataFrame, boundary: Column, keys: Sequence[str]) -> DataFrame:
+    """(keys, caught_up): the head of the list is a boundary, so the section has no news and keeps its checkpoint."""
+    return feed.groupBy(*keys).agg(F.coalesce(F.min_by(boundary, "pos"), F.lit(False)).alias("caught_up"))
+
+
+def listed_cards_left(cards: DataFrame, processed: DataFrame, key: str = "link") -> DataFrame:
+    """Cards that weren't processed on an earlier look at the page."""
+    return cards.join(processed.select(key).distinct(), key, "left_anti")
+
+
+def range_counts(rows: DataFrame, keys: Sequence[str], inside: Column, image: Column | None = None) -> DataFrame:
+    """(keys, in_range, out_of_range, with_image)."""
+    hit = F.coalesce(inside, F.lit(False))
+    return rows.groupBy(*keys).agg(F.count_if(hit).alias("in_range"), F.count_if(~hit).alias("out_of_range"),
+                                   F.count_if(F.coalesce(image, F.lit("")) != "").alias("with_image") if image is not None else F.lit(0).cast("long").alias("with_image"))

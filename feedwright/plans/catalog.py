@@ -580,3 +580,36 @@ def stream_upsert(spark, sf):
     bronze_table = sinks.VersionedTable(spark, f"{root}/bronze")
     stream.run_once(spark, stream.upsert_batches(rows, bronze_table, f"{root}/progress", "url string, event_id bigint, ts timestamp", ("ts", "event_id")))
     return bronze_table.read("url string, event_id bigint, ts timestamp").select("url", "event_id")
+
+
+@query(r"""SELECT page_id, regexp_matches(url, '/(?:article|news|story)/\d+') AS numbered, length(p) - length(replace(p, '/', '')) >= 2 AND length(p) > 6 AND NOT contains(url, 'author') AS likely
+  FROM (SELECT page_id, url, regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS p FROM pages)""")
+def article_links(spark, sf):
+    url = F.col("url")
+    return table(spark, sf, "pages").select("page_id", text.is_article_link(url, "numbered").alias("numbered"), text.looks_like_article(url, 2, 6, ("author",)).alias("likely"))
+
+
+@query(f"WITH {_FEED} SELECT outlet_id, section, arg_min(event_id % 7 = 0, pos) AS caught_up FROM f GROUP BY 1, 2")
+def caught_up_sections(spark, sf):
+    return feeds.caught_up(_feed(spark, sf), F.col("event_id") % 7 == 0, ["outlet_id", "section"])
+
+
+@query("""SELECT o_custkey, count(*) FILTER (WHERE year(o_orderdate) = 1995) AS in_range, count(*) FILTER (WHERE year(o_orderdate) <> 1995) AS out_of_range,
+  count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS with_image FROM orders GROUP BY 1""")
+def range_counters(spark, sf):
+    return feeds.range_counts(table(spark, sf, "orders"), ["o_custkey"], F.year("o_orderdate") == 1995, F.when(F.col("o_orderpriority") == "1-URGENT", "x"))
+
+
+@query("""SELECT c.c_nationkey, n_name, count(*) AS n FROM customer c JOIN nation ON c.c_nationkey = n_nationkey GROUP BY 1, 2""")
+def outlet_dimension_join(spark, sf):
+    """Facts joined to a dimension: the fact side is counted before it meets the names."""
+    facts = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    return facts.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_nationkey", "n_name", "n")
+
+
+@query(r"""WITH old AS (SELECT doc_id, sha256(text) AS h FROM documents), new AS (SELECT doc_id, sha256(CASE WHEN doc_id % 4 = 0 THEN text || '!' ELSE text END) AS h FROM documents)
+  SELECT 'https://x.example/' || new.doc_id AS url, new.h AS content_hash FROM new JOIN old ON new.doc_id = old.doc_id WHERE new.h <> old.h""")
+def changed_articles(spark, sf):
+    d = table(spark, sf, "documents").withColumn("url", F.concat(F.lit("https://x.example/"), "doc_id"))
+    old = d.select("url", F.sha2("text", 256).alias("content_hash"))
+    return bronze.changed_rows(old, d.select("url", F.sha2(F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("content_hash")))

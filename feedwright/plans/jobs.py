@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -60,3 +61,29 @@ def incremental_run(outlet: Outlet, feed: DataFrame, checkpoints: DataFrame, kno
     advanced = feeds.advance_checkpoint(
         rows, emitted, checkpoints.select("outlet_id", "section", F.col("link").alias("checkpoint")), F.col("boundary"), ["outlet_id", "section"], outlet.rule)
     return Run(emitted.select(*feed.columns), advanced)
+
+
+@dataclass
+class Outcome:
+    outlet_id: str
+    count: int
+    error: str | None = None
+
+
+def run_outlets(outlets: Sequence[Outlet], run: Callable[[Outlet], int], start_from: str | None = None) -> list[Outcome]:
+    """Run outlet by outlet, from one on if asked; a failure stays its outlet's own.  An unknown start runs nothing."""
+    names = [o.id for o in outlets]
+    begin = 0 if start_from is None else names.index(start_from) if start_from in names else len(names)
+    out = []
+    for o in outlets[begin:]:
+        try:
+            out.append(Outcome(o.id, run(o)))
+        except Exception as e:  # noqa: BLE001  whatever an outlet's run raises
+            out.append(Outcome(o.id, 0, f"{type(e).__name__}: {e}"))
+    return out
+
+
+def summary(outcomes: Sequence[Outcome]) -> tuple[list[str], list[str], int]:
+    """Succeeded ids, failed ids and the exit code: 0 only if none failed."""
+    failed = [o.outlet_id for o in outcomes if o.error is not None]
+    return [o.outlet_id for o in outcomes if o.error is None], failed, int(bool(failed))

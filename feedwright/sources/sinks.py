@@ -70,8 +70,11 @@ def merged_archive(new: DataFrame, old: DataFrame, keys: Sequence[str] = (), lim
     norm = lambda df, batch: df.withColumn("_norm", normalize_link(F.col("link"))).withColumn("_batch", F.lit(batch))
     fresh, rest = norm(new, 0), norm(old, 1)
     rest = rest.join(fresh.select(*keys, "_norm").distinct(), [*keys, "_norm"], "left_anti").select(*fresh.columns)
-    w = Window.partitionBy(*keys).orderBy("_batch", "pos") if keys else Window.partitionBy(F.lit(0)).orderBy("_batch", "pos")
-    return fresh.unionByName(rest).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).withColumn("pos", F.col("_n") - 1).drop("_n", "_norm", "_batch")
+    every = fresh.unionByName(rest)
+    if not keys:  # one list: only its first rows are numbered
+        every = every.orderBy("_batch", "pos").limit(limit)
+    w = Window.partitionBy(*keys).orderBy("_batch", "pos")
+    return every.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).withColumn("pos", F.col("_n") - 1).drop("_n", "_norm", "_batch")
 
 
 RUNS = ("id string, run_type string, status string, started_at timestamp, finished_at timestamp, articles_in int, articles_out int, "
@@ -94,3 +97,10 @@ def close_run(run: DataFrame, finished_at: Column, articles_in: int, articles_ou
 def audit_counts(articles: DataFrame, bronze: DataFrame) -> tuple[int, int]:
     """A dry run: rows read and rows that would be written."""
     return articles.count(), bronze.count()
+
+
+def write_delta_and_archive(batch: DataFrame, delta: VersionedTable, archive: VersionedTable, limit: int = ARCHIVE_LIMIT) -> None:
+    """Two targets of one batch: the delta is exactly the batch, the archive is the batch before what it held."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.schema)
+    archive.replace(merged_archive(batch, archive.read(schema), limit=limit))
+    delta.replace(batch)

@@ -131,3 +131,14 @@ def test_html_predicates(spark):
 @pytest.mark.parametrize("n,batch", [(1, 1), (25, 1), (26, 2)])
 def test_batches(spark, n, batch):
     assert spark.range(1).select(text.batch_number(F.lit(n))).first()[0] == batch
+
+
+def test_article_links_and_cards(spark):
+    check(spark, lambda c: text.is_article_link(c, "dated"), [("https://x/2026/06/04/a/", True), ("https://epaper.x/2026/06/04/a/", False), ("https://x/a", False), (None, False)])
+    check(spark, text.looks_like_article, [("https://x.lk/local/a-long-story", True), ("https://x.lk/category/a-long-story/", False), ("https://x.lk/short", False), ("#top", False), (None, False)])
+    check(spark, text.without_slash, [("https://x/a//", "https://x/a"), ("https://x/a", "https://x/a")])
+    check(spark, lambda c: html.page_ready(c, ("<article",)), [("<article" + "x" * 600, True), ("x" * 600, False), ("<article", False), (None, False)])
+    page = "<div class='card big'><a href='/1'><img src='a.png'></a><h3>One <b>1</b></h3><span class='date'>2 days ago</span></div><p>no</p><div class='card'><a href='/2'>Two</a></div>"
+    df = spark.createDataFrame([(page,), ("",), (None,)], "h string")
+    got = [r[0] for r in df.select(html.list_cards(F.col("h"), "card", "date")).collect()]
+    assert [tuple(c) for c in got[0]] == [(0, "One 1", "/1", "2 days ago", "a.png"), (1, "Two", "/2", "", "")] and got[1] == [] and got[2] is None

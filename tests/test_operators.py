@@ -193,3 +193,16 @@ def test_every_outlet_runs_and_reruns_without_news(spark, outlet):
         left = {r.link for r in again.emitted.collect()} & {r.link for r in emitted}
         assert not left
     assert len(incremental_run(o, feed, none, known, bootstrap=True).emitted.collect()) == (5 if o.capped == "run" else 10)
+
+
+def test_outlets_fail_alone():
+    from feedwright.plans.jobs import run_outlets, summary
+
+    def run(o):
+        if o.id == "aruna":
+            raise ValueError("no page")
+        return 3
+
+    out = run_outlets(OUTLETS, run, "lankadeepa")
+    ok, failed, code = summary(out)
+    assert failed == ["aruna"] and code == 1 and len(ok) == 7 and run_outlets(OUTLETS, run, "nowhere") == []

@@ -94,6 +94,14 @@ def test_versions_and_audit(spark, tmp_path):
     assert (run.status, run.articles_in, run.articles_out, run.error_message) == ("failed", 5, 3, "boom")
 
 
+def test_delta_and_archive(spark, tmp_path):
+    delta, archive = (sinks.VersionedTable(spark, f"file://{tmp_path}/{n}") for n in ("delta", "archive"))
+    for batch in ([(0, "https://x/a"), (1, "https://x/b")], [(0, "https://x/c"), (1, "https://x/a/")]):
+        sinks.write_delta_and_archive(spark.createDataFrame(batch, "pos int, link string"), delta, archive, 3)
+    assert [r.link for r in delta.read().orderBy("pos").collect()] == ["https://x/c", "https://x/a/"]
+    assert [r.link for r in archive.read().orderBy("pos").collect()] == ["https://x/c", "https://x/a/", "https://x/b"]
+
+
 def test_stream_replay_changes_nothing(spark, tmp_path):
     source, schema = tmp_path / "in", "url string, v int, at timestamp"
     source.mkdir()
