@@ -30,8 +30,8 @@ MAX_LABELLED = 8000
 #: Words and stems that the lexicons may hold.
 MAX_UNITS = 20_000
 STEMS = (4, 5, 6, 7)
-#: Least likelihood-ratio statistic and rate ratio of a word that enters a lexicon.
-LEAST_G2, LEAST_RATIO = 16.0, 8.0
+#: Least likelihood-ratio statistic, rate ratio and precision of a word that enters a lexicon.
+LEAST_G2, LEAST_RATIO, LEAST_PRECISION = 16.0, 8.0, 0.8
 VOTERS_PER_KIND = 8
 #: Random projections that tell near copies in the sample from different documents.
 COPY_HASHES = 16
@@ -130,7 +130,7 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
     @classmethod
-    def fit(cls, votes: np.ndarray, prior: float | None = None, steps: int = 60) -> LabelModel:
+    def fit(cls, votes: np.ndarray, prior: float | None = None, steps: int = 10) -> LabelModel:
         """Correlations first, then expectation-maximisation over the votes alone.
 
         If voters depended on each other through the class only, the correlation of two would be
@@ -232,7 +232,7 @@ def train(sample: DataFrame) -> ToxicityModel:
     all_, share = n_toxic + n_clean, n_toxic / (n_toxic + n_clean)
     g2 = f"2 * (a * ln(greatest(a, 0.5) / ((a + b) * {share})) + b * ln(greatest(b, 0.5) / ((a + b) * {1 - share})))"
     ratio = f"((a + 0.5) / {n_toxic + 1}) / ((b + 0.5) / {n_clean + 1})"
-    lexicon = counted.where(f"a >= 4 AND {ratio} >= {LEAST_RATIO}").withColumn("g2", F.expr(g2)).where(F.col("g2") >= LEAST_G2)
+    lexicon = counted.where(f"a >= 4 AND {ratio} >= {LEAST_RATIO} AND a >= {LEAST_PRECISION} * (a + b)").withColumn("g2", F.expr(g2)).where(F.col("g2") >= LEAST_G2)
     lexicon = sorted(lexicon.orderBy(F.desc("g2"), "unit").limit(MAX_UNITS).collect(), key=lambda r: np.uint64(r.unit % 2**64))
     if not lexicon:  # nothing stands out: patterns alone say nothing of toxicity
         return constant(float(y.mean()))
@@ -259,12 +259,12 @@ def train(sample: DataFrame) -> ToxicityModel:
     shouts = patterns > cuts
     voters = kinds * VOTERS_PER_KIND + (units % np.uint64(VOTERS_PER_KIND)).astype(np.int64)
     votes = [np.where(x[:, voters == g].any(1), 1, 0) for g in np.unique(voters)]
-    votes += [np.where(x[:, kinds == k].any(1), 1, 2) for k in np.unique(kinds)]
+    votes += [np.where(x.any(1), 1, 2)]  # nothing in any lexicon says clean
     votes += [s.astype(int) for s in shouts.T]
     model = LabelModel.fit(np.stack(votes, 1), share)
     target = model.posterior(np.stack(votes, 1))
     both = np.hstack([x, shouts.astype(np.float32)])
-    w = logistic(both, target, np.r_[np.full(len(units), 0.1), np.full(len(cuts), 50.0)])
+    w = logistic(both, target, np.r_[np.full(len(units), 0.02), np.full(len(cuts), 50.0)])
     return ToxicityModel(units, w[: len(units)].astype(float), cuts, w[len(units) : -1].astype(float), float(w[-1]))
 
 
