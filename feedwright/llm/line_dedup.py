@@ -184,8 +184,9 @@ def line_dedup(
     first line of a class stays and later ones go.  A class that stands between
     at least min_contexts different pairs of neighbouring lines is boilerplate:
     of its lines only the first in the corpus (smallest id, then position)
-    stays.  Copies of a document repeat lines in the same surroundings, and are
-    left to document-level operators.  A null text stays null and has no lines;
+    stays.  With min_contexts 1 that holds for every class, wherever it stands;
+    with more, copies of a document, which repeat lines in the same surroundings,
+    are left to document-level operators.  A null text stays null and has no lines;
     an empty text has one empty line.  Rows keep their number and ids; a row
     repeated with its id loses the same lines as its twin.  Lines of rows
     without id count and stay.  Other columns are ignored.
@@ -194,7 +195,7 @@ def line_dedup(
                      *([F.struct("*").alias("row")] if carry else []))
     split = docs.where("text IS NOT NULL").select("doc_id", _line(F.col("text")).alias("lines"))
     placed = split.select("doc_id", "lines", F.posexplode("lines").alias("pos", "line")).where(F.length("line") >= min_chars)
-    around = F.xxhash64(F.expr("get(lines, pos - 1)"), F.lit("\n"), F.expr("get(lines, pos + 1)"))
+    around = F.xxhash64(F.expr("get(lines, pos - 1)"), F.lit("\n"), F.expr("get(lines, pos + 1)")) if min_contexts > 1 else F.lit(0).cast("long")
     ident = F.unhex(F.md5("line")).alias("id")
     places = materialize(placed.select("doc_id", "pos", ident, around.alias("context")), "places")
 

@@ -48,7 +48,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup(table(spark, sf_dir, "documents"))
+    kept = line_dedup(table(spark, sf_dir, "documents"), min_contexts=1)  # wherever a repeated line stands
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feedwright.llm import line_dedup as ld
 from feedwright.llm.line_dedup import line_dedup, near, near_lines, within_edits
+from feedwright.llm.queries import op3_line_dedup
 
 
 def distance(a, b):
@@ -139,3 +140,20 @@ def test_null_ids_and_repeated_rows(spark):
 
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_without_contexts_every_repeated_line_goes(spark):
+    footer = ["first line of the repeated footer", "second line of the repeated footer", "third line of the repeated footer"]
+    rows = [(i, "\n".join([f"{i} " + chr(97 + i) * 25, *footer])) for i in range(3)]
+    rows += [(10, "a line that only two documents share"), (11, "a line that only two documents share"), (12, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x.doc_id: (x.text, x.n_lines, x.n_removed) for x in line_dedup(df, min_contexts=1).collect()}
+    assert got == brute_force(rows, min_contexts=1)
+    assert [got[i][2] for i in (0, 1, 2, 10, 11, 12)] == [0, 3, 3, 0, 1, 4]
+
+
+def test_query_removes_lines_of_two_documents(spark, tmp_path):
+    rows = [(i, "a line that only two documents share\n" + chr(97 + i) * 25) for i in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x.doc_id: x.n_removed for x in op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: 0, 1: 1}
