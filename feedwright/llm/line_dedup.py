@@ -9,6 +9,10 @@ by a banded bit-parallel edit distance.  A bucket with many lines isn't
 enumerated: the rests are split again in the same way, until few lines share a
 bucket or one character is left, where a star of links is exact.
 
+near_lines() has this for one edit; near_lines_within() for k edits that grow with
+the length: k + 1 segments, probes of the lengths down to k below, shifted by what
+the edits before and after a segment allow.
+
 Everything here is DataFrame functions.
 """
 
@@ -22,6 +26,8 @@ from feedwright.llm.exact_dedup import _ROW_BITS, _as_words, _bit_is_set
 from feedwright.operators.graph import components
 
 MAX_EDITS = 1
+#: Least length of the shorter line, edits: one for every line.
+ONE_EDIT = ((0, MAX_EDITS),)
 #: Shorter lines (headings, list marks) are no repeats of anything.
 MIN_CHARS = 20
 #: A line class that stands in so many different surroundings is boilerplate.
@@ -172,15 +178,97 @@ def near_lines(lines: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> Data
     return found
 
 
+def _edits(n: str, edits) -> str:
+    """The edits that are allowed where the shorter line has n characters."""
+    cases = " ".join(f"WHEN {n} >= {least} THEN {k}" for least, k in sorted(edits, reverse=True))
+    return f"(CASE {cases} ELSE 0 END)"
+
+
+def _segments(line: str, length: str, d: str, k: str, key: str, rest: bool) -> str:
+    """Entries of a line under the index of the length d below its own, for k edits.
+
+    Segment i of that length may have moved by s: by at most i edits before it, and so
+    that at most k - i come after it.  What is used again is bound to a lambda's variable."""
+    start = lambda i: f"cast(u.n * ({i}) div (u.k + 1) AS int)"
+    fields = f"'key', xxhash64({key}, u.n, i, substring({line}, g.p + s + 1, g.z)), 'd', {d}"
+    if rest:
+        fields += ", 'k', u.k, 'at', g.p + s, 'size', g.z"
+    moves = f"filter(sequence(greatest(-i, {d} - u.k + i), least(i, {d} + u.k - i)), s -> g.p + s >= 0 AND g.p + s + g.z <= u.n + {d})"
+    segment = f"array(named_struct('p', {start('i')}, 'z', {start('i + 1')} - {start('i')}))"
+    moved = f"flatten(transform({segment}, g -> transform({moves}, s -> named_struct({fields}))))"
+    return f"flatten(transform(array(named_struct('n', {length} - {d}, 'k', {k})), u -> flatten(transform(sequence(0, u.k), i -> {moved}))))"
+
+
+def _without(line: str) -> Column:
+    """What a line's shared segment leaves over."""
+    return F.expr(f"concat(substring({line}, 1, at), substring({line}, at + size + 1))").alias("rest")
+
+
+def moved_entries(line: str, edits, rest: bool = True) -> Column:
+    """The index (d = 0, not moved) and probe entries of a line."""
+    most = max(k for _, k in edits)
+    k = _edits("(m - d)", edits)
+    below = f"filter(sequence(0, {most}), d -> m >= d AND d <= {k})"
+    return F.expr(f"flatten(transform(array(length({line})), m -> flatten(transform({below}, d -> {_segments(line, 'm', 'd', k, '0L', rest)}))))")
+
+
+def near_lines_within(lines: DataFrame, edits, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
+    """(a, b): as near_lines(), for as many edits as `edits` allows the shorter line.
+
+    A crowded bucket has a hub; lines near it are linked to it, and only what isn't
+    yet connected is split again by what the shared segment leaves over."""
+    slots, bits = _shared_keys(
+        lines.select(F.xxhash64("line").alias("h"), F.explode(moved_entries("line", edits, rest=False)).alias("e")).select("h", "e.key", "e.d"), max_filter_bits
+    )
+    words = F.broadcast(slots.select("slot", _as_words("bitmap").alias("bitmap")))
+    level = lines.select("id", "line", F.explode(moved_entries("line", edits)).alias("e")).select("id", "line", "e.*", F.expr(f"e.key & {bits - 1}L").alias("p"))
+    level = level.join(words, F.expr(f"p div {_ROW_BITS}") == F.col("slot"), "inner").where(_bit_is_set("bitmap", "p"))
+    level = level.select("id", "line", "key", "d", "k", "at", "size").dropDuplicates(["key", "id", "d", "at"])
+    level = materialize(level.select("id", "line", "key", "d", "k", _without("line"), F.lit(False).alias("tied")), "bucket")
+    links: list[DataFrame] = []
+    while True:
+        sizes = level.groupBy("key").agg(
+            F.count("*").alias("n"), F.min("d").alias("least"), F.min("tied").alias("all_tied"), F.max(F.length("rest") - F.col("d") - 2 * F.col("k")).alias("r")
+        )
+        sized = level.join(sizes.where("n > 1 AND least = 0 AND NOT all_tied").drop("least", "all_tied"), "key")
+        few = F.expr(f"n <= {FEW_LINES} OR r <= 2")
+        small, many = sized.where(few), sized.where(~few)
+        a = small.where("d = 0").select("key", "k", F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("tied").alias("tied_a"))
+        b = small.select("key", F.col("id").alias("b"), F.col("d").alias("d_b"), F.col("line").alias("line_b"), F.col("tied").alias("tied_b"))
+        pairs = a.join(b, "key").where("a <> b AND (d_b > 0 OR a < b) AND NOT (tied_a AND tied_b)")
+        pairs = pairs.select("a", "b", "line_a", "line_b", "k").distinct().where("levenshtein(line_a, line_b, k) >= 0").select("a", "b")
+        hubs = many.where("d = 0").groupBy("key").agg(F.min(F.struct(F.expr("NOT tied").alias("loose"), "id", "line")).alias("hub"))
+        met = many.join(hubs, "key").withColumn("by_hub", F.expr("id = hub.id OR levenshtein(hub.line, line, k) >= 0"))
+        met = materialize(met.select("key", "id", "line", "d", "k", "rest", F.col("hub.id").alias("hub"), "by_hub",
+                                     F.expr("by_hub OR (tied AND NOT hub.loose)").alias("tied")), "hubs")
+        stars = met.where("by_hub AND id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+        links.append(materialize(pairs.unionByName(stars).distinct(), "near"))
+        open_keys = met.groupBy("key").agg(F.min("tied").alias("done")).where("NOT done").select("key")
+        cut = F.explode(F.expr(_segments("rest", "length(rest)", "d", "k", "key", True))).alias("e")
+        below = met.join(open_keys, "key").select("id", "line", "tied", "rest", cut)
+        below = below.select("id", "line", "rest", "e.*", "tied").select("id", "line", "key", "d", "k", _without("rest"), "tied").dropDuplicates(["key", "id", "d", "rest"])
+        below = materialize(below, "bucket")
+        discard(level)
+        discard(met)
+        level = below
+        if level.isEmpty():
+            break
+    found = links[0]
+    for more in links[1:]:
+        found = found.unionByName(more)
+    return found
+
+
 def line_dedup(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_contexts: int = MIN_CONTEXTS,
-    carry: bool = False,
+    carry: bool = False, edits=ONE_EDIT,
 ) -> DataFrame:
     """doc_id, text, n_lines, n_removed: every row with the repeated lines removed;
     with carry also `row`, a struct of the row's own columns.
 
     Lines end at \\n.  Lines of at least min_chars characters form classes: equal
-    lines, lines one edit apart, and what these connect.  In a document the
+    lines, lines few edits apart, and what these connect; `edits` says how many,
+    as (least length of the shorter line, edits) pairs, one edit by default.  In a document the
     first line of a class stays and later ones go.  A class that stands between
     at least min_contexts different pairs of neighbouring lines is boilerplate:
     of its lines only the first in the corpus (smallest id, then position)
@@ -200,7 +288,7 @@ def line_dedup(
     places = materialize(placed.select("doc_id", "pos", ident, around.alias("context")), "places")
 
     lines = split.select(F.explode("lines").alias("line")).where(F.length("line") >= min_chars).select(ident, "line")
-    labels = components(near_lines(lines))
+    labels = components(near_lines(lines) if tuple(edits) == ONE_EDIT else near_lines_within(lines, edits))
     pairs = places.groupBy("id", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"))
     tagged = pairs.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("label", "id"))
     classes = (

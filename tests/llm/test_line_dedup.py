@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedwright.llm import line_dedup as ld
-from feedwright.llm.line_dedup import line_dedup, near, near_lines, within_edits
+from feedwright.llm.line_dedup import line_dedup, near, near_lines, near_lines_within, within_edits
 from feedwright.llm.queries import op3_line_dedup
 
 
@@ -157,3 +157,24 @@ def test_query_removes_lines_of_two_documents(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {x.doc_id: x.n_removed for x in op3_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {0: 0, 1: 1}
+
+
+@pytest.mark.parametrize("few", [1, 8])
+def test_more_edits_connect_what_brute_force_connects(spark, monkeypatch, few):
+    monkeypatch.setattr(ld, "FEW_LINES", few)
+    lines = [x for x in some_lines(few + 20) if len(x) < 60] + ["count %02d of a list with dates" % i for i in range(0, 90, 4)]
+    lines += [edited(random.Random(i), "a longer line 2024-01-31 that has a date in it", i % 5) for i in range(20)]
+    allowed = lambda a, b: 3 if min(len(a), len(b)) >= 40 else 2 if min(len(a), len(b)) >= 25 else 1
+    df = spark.createDataFrame([(x,) for x in lines], "line string").select(F.unhex(F.md5("line")).alias("id"), "line")
+    name = {bytes(r.id): r.line for r in df.collect()}
+    links = [(name[bytes(r.a)], name[bytes(r.b)]) for r in near_lines_within(df, ((0, 1), (25, 2), (40, 3))).collect()]
+    assert all(1 <= distance(a, b) <= allowed(a, b) for a, b in links)
+    nodes = sorted(set(lines))
+    true = [(a, b) for a in nodes for b in nodes if a < b and abs(len(a) - len(b)) < 4 and distance(a, b) <= allowed(a, b)]
+    assert components_of(nodes, links) == components_of(nodes, true)
+
+
+def test_query_joins_lines_with_another_number(spark, tmp_path):
+    rows = [(i, "this line of the corpus was printed on day %02d of the month" % n) for i, n in enumerate([17, 25])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {x.doc_id: x.n_removed for x in op3_line_dedup(spark, str(tmp_path)).collect()} == {0: 0, 1: 1}
