@@ -1,20 +1,24 @@
-"""Repeated-phrase removal with Aho-Corasick automata.
+"""Repeated-phrase removal with sharded Aho-Corasick automata.
 
 A word is removed if it lies in a window of `window` words that also starts
-somewhere else in the corpus.  Four passes, none of which gathers more than a
-bounded slice of the corpus in one place:
+somewhere else in the corpus.  No pass gathers more than a bounded part of the
+corpus in one place:
 
 1. Anchors.  Of the short phrases in a window the one of least hash is its
    anchor, so equal windows have equal anchors.  Anchors that occur once are
-   done with; the others set bits of a Bloom filter of bounded size.
-2. Candidates.  Documents stream past the filter in slices.  A document with no
-   window whose anchor is in the filter is finished.  The other documents'
-   window hashes go, once per slice, to a bucket by hash.
-3. Confirmation.  Each bucket counts its hashes over all slices; the slice is
-   told which of its windows recur.
-4. Location.  Each slice is a shard: the recurring passages found in it are
-   compiled into one automaton over word numbers, all its documents stream
-   through it, and every match covers `window` words.
+   done with; the others set bits of a Bloom filter of bounded size.  Anchors
+   in very many places set bits of a second one: their windows are counted one
+   by one, and those that recur set bits of a third.
+2. Passages.  Documents stream past the filters in slices.  A document without
+   a window that may recur is finished.  In the others, neighbouring windows of
+   one anchor are a passage, which is routed to the shard of its anchor, once
+   per slice.  A window of a very frequent anchor is a passage of its own, and
+   equal ones are combined before they reach their shard.
+3. Location.  Each shard compiles the passages that its window hashes make
+   likely to recur into one automaton over words and streams all its passages
+   through it.  The matches decide: a window recurs if it is matched in two
+   places or more, word by word; hashes only choose what is compiled.
+4. Removal.  The slices get back which words of their passages are covered.
 """
 
 from __future__ import annotations
@@ -37,9 +41,13 @@ ANCHOR = 12
 #: Largest anchor filter that is collected and broadcast: 2**27 bits are 16 MB.
 MAX_FILTER_BITS = 1 << 27
 _ROW_BITS = 32768
-#: Window hashes that one bucket of the confirmation is meant to hold.
-BUCKET_HASHES = 1_000_000
-MIN_BUCKETS = 256
+#: Places from which on an anchor's windows are routed one by one.
+HOT_PLACES = 20_000
+#: Passage bytes that a shard is meant to hold, and bytes that a shuffled part is meant to hold.
+SHARD_BYTES = 4_000_000
+PART_BYTES = 48_000_000
+#: Ways the answer to a very frequent window is dealt back.
+SALTS = 16
 
 
 def sliding(op: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
@@ -59,6 +67,8 @@ class Slice:
 
     first: np.ndarray  # words of document d: first[d] : first[d+1]
     words: np.ndarray
+    joined: bytes  # the words, each with one space behind it
+    at: np.ndarray  # where each word starts in joined, and its length at the end
     starts: np.ndarray  # word positions where a whole window starts
     least: np.ndarray  # anchor of each such window
     anchors: np.ndarray  # hash of every phrase that is an anchor, once per place
@@ -68,6 +78,10 @@ class Slice:
         data, offsets = flat_utf8(column)
         begin, end, first = word_spans(data, offsets)
         words = word_hashes(data, begin, end)
+        lens = end - begin + 1
+        at = np.r_[0, np.cumsum(lens)]
+        joined = np.append(data, np.uint8(0x20))[np.arange(at[-1]) + np.repeat(begin - at[:-1], lens)]
+        joined[at[1:] - 1] = 0x20
         short, width = phrase_hashes(words, anchor), window - anchor + 1
         whole = phrase_mask(first, window, len(words))
         least = sliding(np.minimum, short, width)[: len(whole)]
@@ -76,65 +90,84 @@ class Slice:
         inside = np.zeros(len(short) + width - 1, np.uint64)
         inside[width - 1 : width - 1 + len(least)] = np.where(whole, least, 0)
         around = sliding(np.maximum, inside, width)
-        return cls(first, words, np.flatnonzero(whole), least[whole], short[(around == short) & (around > 0)])
+        return cls(first, words, joined.tobytes(), at, np.flatnonzero(whole), least[whole], short[(around == short) & (around > 0)])
 
-    def windows(self, window: int) -> np.ndarray:
-        return phrase_hashes(self.words, window)[self.starts]
+    def text(self, a: int, b: int) -> bytes:
+        """Words a to b, joined by one space."""
+        return self.joined[self.at[a] : self.at[b] - 1] if b > a else b""
 
+    def documents(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, places, side="right") - 1
 
-def _in_filter(bits: np.ndarray, n_bits: int, values: np.ndarray) -> np.ndarray:
-    at = values & np.uint64(n_bits - 1)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-
-def anchor_filter(df: DataFrame, window: int, anchor: int, max_bits: int) -> tuple[np.ndarray, int, int]:
-    """(filter bytes, bits, places of recurring anchors) over the `text` column of df."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
-            found, n = np.unique(Slice.of(part.column("text"), window, anchor).anchors, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["anchor", "n"])
-
-    counted = df.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    recurring = materialize(counted.where("n > 1"), "anchors")
-    total = recurring.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("places")).first()
-    bits = _ROW_BITS
-    while bits < 16 * total.kinds and bits < max_bits:
+@dataclass
+class Filters:
+    """Bits of recurring anchors, of very frequent ones, and of recurring windows of the latter."""
+
+    anchors: np.ndarray
+    hot: np.ndarray
+    windows: np.ndarray
+
+    @staticmethod
+    def has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+        if not len(bits):
+            return np.zeros(len(values), bool)
+        at = values & np.uint64(8 * len(bits) - 1)
+        return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def candidates(self, part: Slice, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """(index into part.starts, alone): the windows that may recur, and which of them go alone."""
+        may, hot = self.has(self.anchors, part.least), self.has(self.hot, part.least)
+        if hot.any():
+            may &= ~hot | self.has(self.windows, phrase_hashes(part.words, window)[part.starts])
+        chosen = np.flatnonzero(may)
+        return chosen, hot[chosen]
+
+
+def bitmap_of(values: DataFrame, max_bits: int) -> np.ndarray:
+    """Bloom filter bytes, at most max_bits / 8 of them, over the only column of values; none without values."""
+    name, n, bits = values.columns[0], values.count(), _ROW_BITS
+    if not n:
+        return np.zeros(0, np.uint8)
+    while bits < 16 * n and bits < max_bits:
         bits *= 2
-    position = F.col("anchor").bitwiseAND(F.lit(bits - 1))
-    rows = recurring.groupBy(F.shiftright(position, 15).alias("slot")).agg(
-        F.bitmap_construct_agg(position.bitwiseAND(F.lit(_ROW_BITS - 1))).alias("bitmap")
-    )
+    position = F.col(name).bitwiseAND(F.lit(bits - 1))
+    rows = values.groupBy(F.shiftright(position, 15).alias("slot")).agg(F.bitmap_construct_agg(position.bitwiseAND(F.lit(_ROW_BITS - 1))).alias("bitmap"))
     out = np.zeros((bits // _ROW_BITS, _ROW_BITS // 8), np.uint8)
-    for row in rows.toLocalIterator():  # at most max_bits / 8 bytes in all
+    for row in rows.toLocalIterator():
         out[row.slot] = np.frombuffer(row.bitmap, np.uint8)
-    discard(recurring)
-    return out.ravel(), bits, total.places
+    return out.ravel()
 
 
-_CANDIDATES = "kind int, chunk string, doc_id long, n_words long, sha string, text string, bucket int, hashes binary, many binary"
+def _counted(values_of, docs: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(value, n > 1): what values_of(slice) gives more than once in all of docs."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text"):
+            found, n = np.unique(values_of(Slice.of(part.column("text"), window, anchor)), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["value", "n"])
 
-def _bucket(hashes: np.ndarray, n: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
+    return materialize(docs.select("text").mapInArrow(run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n")).where("n > 1"), "recurring")
 
 
-def _own_windows(part: Slice, recurs, window: int, n_buckets: int):
-    """Candidate windows of a slice: start, and the distinct hashes in the order of their buckets."""
-    chosen = recurs(part.least)
-    starts, hashes = part.starts[chosen], part.windows(window)[chosen]
-    distinct, inverse, n = np.unique(hashes, return_inverse=True, return_counts=True)
-    bucket = _bucket(distinct, n_buckets)
-    order = np.argsort(bucket, kind="stable")
-    return starts, distinct[order], bucket[order], n[order] > 1, np.argsort(order)[inverse]
+def filters(docs: DataFrame, window: int, anchor: int, max_bits: int, hot_places: int) -> Filters:
+    recurring = _counted(lambda part: part.anchors, docs, window, anchor)
+    anchors, hot = bitmap_of(recurring.select("value"), max_bits), bitmap_of(recurring.where(F.col("n") >= hot_places).select("value"), max_bits)
+    discard(recurring)
+    windows = np.zeros(0, np.uint8)
+    if len(hot):
+        shared = docs.sparkSession.sparkContext.broadcast(hot)
+        recurring = _counted(lambda part: phrase_hashes(part.words, window)[part.starts[Filters.has(shared.value, part.least)]], docs, window, anchor)
+        windows = bitmap_of(recurring.select("value"), max_bits)
+        discard(recurring)
+    return Filters(anchors, hot, windows)
 
 
-def _joined(text: str) -> bytes:
-    return b" ".join(text.encode().split())
+_STREAMED = "kind int, chunk binary, doc_id long, n_words long, sha string, text binary, places binary, no int, shard long, alone boolean, many boolean"
 
 
 def _batch(fields: str, **columns) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
     n = len(next(iter(columns.values())))
     names = [f.split() for f in fields.split(", ")]
     return pa.RecordBatch.from_arrays(
@@ -143,37 +176,71 @@ def _batch(fields: str, **columns) -> pa.RecordBatch:
     )
 
 
-def covered_words(part: Slice, starts: np.ndarray, window: int) -> np.ndarray:
-    """Mark the words of a slice that its recurring windows cover, found by automaton.
+def passages(part: Slice, known: Filters, window: int):
+    """(first word, end, anchor or window hash, alone) of the passages of a slice."""
+    chosen, alone = known.candidates(part, window)
+    starts, key = part.starts[chosen], part.least[chosen]
+    if alone.any():
+        key = np.where(alone, phrase_hashes(part.words, window)[starts], key)
+    new = (np.diff(starts) > 1) | (key[1:] != key[:-1]) | alone[1:] | alone[:-1] | (np.diff(part.documents(starts)) > 0)
+    opens = np.flatnonzero(np.r_[len(starts) > 0, new])
+    closes = np.r_[opens[1:], len(starts)] - 1 if len(opens) else opens
+    return starts[opens], starts[closes] + window, key[opens], alone[opens]
 
-    Runs of recurring windows are passages.  Windows along each passage, so spaced
-    that they cover it, are the automaton's phrases; equal ones are added once.
-    """
+
+def covered_words(texts: list[bytes], many: np.ndarray, window: int, hash_bits: int = 64) -> list[np.ndarray]:
+    """For each passage which of its words lie in a window that is matched twice or more.
+
+    many: passages that stand for several places.  Window hashes of hash_bits bits choose what
+    is compiled; only words are matched, so their number changes no result."""
     import ahocorasick
 
-    covered = np.zeros(len(part.words) + 1, np.int64)
-    if len(starts):
-        numbers = np.unique(part.words, return_inverse=True)[1].tolist()
-        document = np.searchsorted(part.first, starts, side="right")
-        opens = np.flatnonzero(np.r_[True, (np.diff(starts) > 1) | (np.diff(document) > 0)])
-        closes = np.r_[opens[1:], len(starts)] - 1
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+    data, offsets = flat_utf8(pa.array(texts, pa.binary()).cast(pa.string()))
+    begin, end, first = word_spans(data, offsets)
+    words = word_hashes(data, begin, end)
+    numbers = np.unique(words, return_inverse=True)[1]
+    starts = np.flatnonzero(phrase_mask(first, window, len(words)))
+    hashes = phrase_hashes(words, window)[starts] >> np.uint64(64 - hash_bits)
+    of = np.searchsorted(first, starts, side="right") - 1
+    weight = np.where(many, 2, 1)
+    inverse = np.unique(hashes, return_inverse=True)[1]
+    starts = starts[np.bincount(inverse, weight[of])[inverse] > 1.5] if len(starts) else starts
+    of = np.searchsorted(first, starts, side="right") - 1
+    covered = np.zeros(len(words) + 1, np.int64)
+    stride, some = window, [(i, tuple(numbers[first[i] : first[i + 1]].tolist())) for i in np.unique(of).tolist()]
+    opens = np.flatnonzero(np.r_[len(starts) > 0, (np.diff(starts) > 1) | (np.diff(of) > 0)])
+    closes = np.r_[opens[1:], len(starts)] - 1 if len(opens) else opens
+    while some:
+        compiled: dict[tuple, int] = {}
         for a, b in zip(starts[opens].tolist(), starts[closes].tolist(), strict=True):
-            for at in (*range(a, b, window), b):
-                automaton.add_word(tuple(numbers[at : at + window]))
+            for s in (*range(a, b, stride), b):  # these windows cover the run
+                compiled.setdefault(tuple(numbers[s : s + window].tolist()), len(compiled))
+        automaton, n = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), len(compiled)
+        for phrase, i in compiled.items():
+            automaton.add_word(phrase, i)
         automaton.make_automaton()
-        for a, b in zip(part.first[:-1].tolist(), part.first[1:].tolist(), strict=True):
-            if b - a >= window:
-                ends = [end for end, _ in automaton.iter(tuple(numbers[a:b]))]
-                at = np.array(ends, np.int64) + a + 1
-                covered[at - window] += 1
-                covered[at] -= 1
-    return np.cumsum(covered[:-1]) > 0
+        at, which, passage = [], [], []
+        for i, text in some:
+            found = list(automaton.iter(text))
+            at += [e + int(first[i]) + 1 for e, _ in found]
+            which += [w for _, w in found]
+            passage += [i] * len(found)
+        at, which = np.array(at, np.int64), np.array(which, np.int64)
+        times = np.bincount(which, weight[passage], n) if len(which) else np.zeros(n)
+        if stride > 1 and (times < 1.5).any():
+            stride = 1  # two windows share a hash but not their words: every window is matched
+            continue
+        at = at[times[which] > 1.5]
+        np.add.at(covered, at - window, 1)
+        np.add.at(covered, at, -1)
+        break
+    gone = np.cumsum(covered[:-1]) > 0
+    return [gone[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
 def substring_dedup(
     df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text",
-    max_filter_bits: int = MAX_FILTER_BITS, with_text: bool = False,
+    max_filter_bits: int = MAX_FILTER_BITS, with_text: bool = False, hot_places: int = HOT_PLACES, hash_bits: int = 64,
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept_text) of every row.
 
@@ -181,84 +248,89 @@ def substring_dedup(
     unchanged; null counts as a text without words.  A word goes if a window of
     `window` words around it starts anywhere else too, in the same document or
     another; repeated rows are other documents.  Texts shorter than a window
-    keep all their words.  Windows are judged on the input, not on what is left.
-    Rows keep their number and ids; other columns are ignored.
+    keep all their words; a text of any length is one row's work.  Windows are
+    judged on the input, not on what is left.  Rows keep their number and ids,
+    null ids included; other columns are ignored.  An empty table gives an empty
+    result.  hot_places and hash_bits shape the work, not the result.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    context = df.sparkSession.sparkContext
-    bits, n_bits, places = anchor_filter(docs, window, anchor, max_filter_bits)
-    shared = context.broadcast(bits)
-    n_buckets = max(MIN_BUCKETS, places * window // (3 * BUCKET_HASHES))
-    recurs = lambda least: _in_filter(shared.value, n_bits, least)
+    shared = df.sparkSession.sparkContext.broadcast(filters(docs, window, anchor, max_filter_bits, hot_places))
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in text_slices(batches, "text"):
             part = Slice.of(rows.column("text"), window, anchor)
+            begin, end, key, alone = passages(part, shared.value, window)
+            ids, n_words = rows.column("doc_id").to_pylist(), np.diff(part.first).tolist()
+            of, chunk = part.documents(begin), uuid.uuid4().bytes
             hit = np.zeros(rows.num_rows, bool)
-            hit[np.searchsorted(part.first, part.starts[recurs(part.least)], side="right") - 1] = True
-            ids, texts = rows.column("doc_id").to_pylist(), [t or "" for t in rows.column("text").to_pylist()]
-            n_words = np.diff(part.first).tolist()
-            done, chunk = np.flatnonzero(~hit).tolist(), uuid.uuid4().hex
-            yield _batch(
-                _CANDIDATES, kind=[0] * len(done), doc_id=[ids[i] for i in done], n_words=[n_words[i] for i in done],
-                sha=[hashlib.sha256(_joined(texts[i])).hexdigest() for i in done],
-                **({"text": [_joined(texts[i]).decode() for i in done]} if with_text else {}),
-            )
-            if not hit.any():
+            hit[of] = True
+            whole = [part.text(a, b) for a, b in zip(part.first[:-1].tolist(), part.first[1:].tolist(), strict=True)]
+            done, open_ = np.flatnonzero(~hit).tolist(), np.flatnonzero(hit).tolist()
+            yield _batch(_STREAMED, kind=[0] * len(done), doc_id=[ids[i] for i in done], n_words=[n_words[i] for i in done],
+                         sha=[hashlib.sha256(whole[i]).hexdigest() for i in done], **({"text": [whole[i] for i in done]} if with_text else {}))
+            if not open_:
                 continue
-            open_ = np.flatnonzero(hit).tolist()
-            yield _batch(_CANDIDATES, kind=[1] * len(open_), chunk=[chunk] * len(open_),
-                         doc_id=[ids[i] for i in open_], text=[texts[i] for i in open_])
-            _, hashes, bucket, many, _ = _own_windows(part, recurs, window, n_buckets)
-            cuts = np.flatnonzero(np.r_[True, np.diff(bucket) > 0, True]).tolist()
-            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
-            yield _batch(
-                _CANDIDATES, kind=[2] * len(spans), chunk=[chunk] * len(spans), bucket=[int(bucket[a]) for a, _ in spans],
-                hashes=[hashes[a:b].tobytes() for a, b in spans], many=[np.packbits(many[a:b]).tobytes() for a, b in spans],
-            )
-
-    found = materialize(docs.mapInArrow(candidates, _CANDIDATES), "phrases")
-
-    def confirm(group: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(b, np.uint64) for b in group.column("hashes").to_pylist()]
-        many = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(p)) for b, p in zip(group.column("many").to_pylist(), parts, strict=True)]
-        _, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-        recurring = np.bincount(inverse, np.concatenate(many) + 1.0)[inverse] > 1.5
-        ends = np.cumsum([len(p) for p in parts])
-        said = [np.packbits(recurring[e - len(p) : e]).tobytes() for e, p in zip(ends.tolist(), parts, strict=True)]
-        return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"), "said": pa.array(said, pa.binary())})
-
-    said = found.where("kind = 2").select("chunk", "bucket", "hashes", "many").groupBy("bucket").applyInArrow(
-        confirm, "chunk string, bucket int, said binary"
-    )
+            # Equal passages of a slice are sent once; each document knows where it has which.
+            numbers: dict[tuple, int] = {}
+            no = np.array([numbers.setdefault((k, part.text(a, b)), len(numbers)) for k, a, b in zip(key.tolist(), begin.tolist(), end.tolist(), strict=True)], np.int64)
+            place = np.stack([begin - part.first[of], no], 1).astype(np.int32)
+            cuts = np.searchsorted(of, [*open_, rows.num_rows]).tolist()
+            yield _batch(_STREAMED, kind=[1] * len(open_), chunk=[chunk] * len(open_), doc_id=[ids[i] for i in open_], n_words=[n_words[i] for i in open_],
+                         text=[whole[i] for i in open_], places=[place[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+            once = np.unique(no, return_index=True)[1]
+            yield _batch(_STREAMED, kind=[2] * len(once), chunk=[chunk] * len(once), text=[t for _, t in numbers], no=range(len(once)),
+                         shard=key[once].view(np.int64), alone=alone[once], many=np.bincount(no) > 1)
+
+    found = materialize(docs.mapInArrow(stream, _STREAMED), "phrases")
+    sizes = {r.kind: r.bytes for r in found.groupBy("kind").agg(F.sum(F.length("text")).alias("bytes")).collect()}
+    n_shards = max(256, 2 * (sizes.get(2) or 0) // SHARD_BYTES)
+    parts = lambda kind: max(8, (sizes.get(kind) or 0) // PART_BYTES)
+    sent = found.where("kind = 2").withColumn("shard", F.pmod("shard", F.lit(n_shards)))
+    together = sent.where("NOT alone").select("shard", "chunk", "no", "many", "text")
+    single = sent.where("alone").groupBy("text").agg(F.first("shard").alias("shard"), (F.sum(F.when(F.col("many"), 2).otherwise(1)) > 1).alias("many"))
+    gathered = together.unionByName(single.where("many"), allowMissingColumns=True)
+
+    def locate(shard: pa.Table) -> pa.Table:
+        texts = shard.column("text").to_pylist()
+        gone = covered_words(texts, shard.column("many").to_numpy().astype(bool), window, hash_bits)
+        hit = [i for i, g in enumerate(gone) if g.any()]
+        chunks, numbers = shard.column("chunk").to_pylist(), shard.column("no").to_pylist()
+        return pa.table({
+            "chunk": pa.array([chunks[i] for i in hit], pa.binary()), "no": pa.array([numbers[i] for i in hit], pa.int32()),
+            "text": pa.array([texts[i] if chunks[i] is None else None for i in hit], pa.binary()),
+            "gone": pa.array([np.packbits(gone[i]).tobytes() for i in hit], pa.binary())})
+
+    located = gathered.repartition(parts(2), "shard").groupBy("shard").applyInArrow(locate, "chunk binary, no int, text binary, gone binary")
+    located = materialize(located, "located")
+    # A very frequent window's answer goes back in salted parts.
+    dealt = located.where("chunk IS NULL").select("text", "gone", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    uses = sent.where("alone").select("text", "chunk", "no", F.pmod(F.xxhash64("chunk"), F.lit(SALTS)).cast("int").alias("salt"))
+    replies = located.where("chunk IS NOT NULL").select("chunk", "no", "gone").unionByName(uses.join(dealt, ["text", "salt"]).select("chunk", "no", "gone"))
+
     result = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
 
-    def locate(texts: pa.Table, replies: pa.Table) -> pa.Table:
-        column = texts.column("text").combine_chunks()
-        part = Slice.of(column, window, anchor)
-        starts, hashes, bucket, _, place = _own_windows(part, recurs, window, n_buckets)
-        reply = dict(zip(replies.column("bucket").to_pylist(), replies.column("said").to_pylist(), strict=True))
-        sizes = zip(*np.unique(bucket, return_counts=True), strict=True)
-        bits = [np.unpackbits(np.frombuffer(reply[int(b)], np.uint8), count=int(n)) for b, n in sizes]
-        gone = covered_words(part, starts[np.concatenate(bits)[place] > 0] if bits else starts[:0], window)
-        out: dict[str, list] = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
-        for text, a, b in zip(column.to_pylist(), part.first[:-1].tolist(), part.first[1:].tolist(), strict=True):
-            words, lost = text.encode().split(), gone[a:b]
-            kept = b" ".join([w for w, g in zip(words, lost.tolist(), strict=True) if not g] if lost.any() else words)
-            out["n_words"].append(b - a)
+    def remove(texts: pa.Table, said: pa.Table) -> pa.Table:
+        bits = dict(zip(said.column("no").to_pylist(), said.column("gone").to_pylist(), strict=True))
+        out: dict[str, list] = {"n_removed": [], "kept_sha256": [], "kept_text": []}
+        for text, n, places in zip(texts.column("text").to_pylist(), texts.column("n_words").to_pylist(), texts.column("places").to_pylist(), strict=True):
+            lost = np.zeros(n + 8, bool)
+            for at, no in np.frombuffer(places, np.int32).reshape(-1, 2).tolist():
+                if no in bits:
+                    of = np.unpackbits(np.frombuffer(bits[no], np.uint8)).astype(bool)
+                    lost[at : at + len(of)] |= of[: n + 8 - at]
+            kept = b" ".join([w for w, g in zip(text.split(b" "), lost.tolist()) if not g]) if lost.any() else text
             out["n_removed"].append(int(lost.sum()))
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
             out["kept_text"].append(kept.decode())
-        batch = _batch(result, doc_id=texts.column("doc_id").to_pylist(), **out)
-        return pa.Table.from_batches([batch])
+        return pa.Table.from_batches([_batch(result, doc_id=texts.column("doc_id").to_pylist(), n_words=texts.column("n_words").to_pylist(), **out)])
 
-    # The same documents in the same order make the same slice: equal windows of a slice get one answer.
-    located = (
-        found.where("kind = 1").select("chunk", "doc_id", "text").groupBy("chunk")
-        .cogroup(said.groupBy("chunk")).applyInArrow(locate, result)
+    n = parts(1)
+    cleaned = (
+        found.where("kind = 1").select("chunk", "doc_id", "n_words", "text", "places").repartition(n, "chunk").groupBy("chunk")
+        .cogroup(replies.repartition(n, "chunk").groupBy("chunk")).applyInArrow(remove, result)
     )
     finished = found.where("kind = 0").select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"),
-        *([F.col("text").alias("kept_text")] if with_text else []),
+        *([F.col("text").cast("string").alias("kept_text")] if with_text else []),
     )
-    return finished.unionByName(located)
+    return finished.unionByName(cleaned)

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from feedwright.llm.substring_dedup import substring_dedup
@@ -52,6 +53,34 @@ def test_bloom_filter_too_small_changes_nothing(spark):
     assert got == dict(enumerate(brute_force(texts, 8)))
 
 
+@pytest.mark.parametrize("how", [{"hash_bits": 2}, {"hot_places": 2}, {"hot_places": 3, "hash_bits": 4, "max_filter_bits": 1}])
+def test_words_decide_and_frequent_anchors_change_nothing(spark, how):
+    """With window hashes of two bits nearly all is compiled: only the automaton's matches tell what recurs."""
+    texts = corpus(11)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r[1:4] for r in substring_dedup(df, 8, 3, **how).collect()}
+    assert got == dict(enumerate(brute_force(texts, 8)))
+
+
+def test_a_shard_without_matches_covers_nothing(monkeypatch):
+    from feedwright.llm import substring_dedup as sd
+
+    one, two = b" ".join(b"w%d" % i for i in range(9)), b" ".join(b"v%d" % i for i in range(9))
+    many = np.array([False, False, False])
+    assert [g.sum() for g in sd.covered_words([one, two, one], many, 8, 1)] == [9, 0, 9]
+    assert [g.sum() for g in sd.covered_words([one, two], many[:2], 8, 1)] == [0, 0]
+    assert [g.sum() for g in sd.covered_words([one], np.array([True]), 8)] == [9]
+
+
+def test_a_very_long_text(spark):
+    r = random.Random(2)
+    long = " ".join(str(r.randint(0, 10**6)) for _ in range(150_000))
+    texts = [long + " " + long[:5000], "x " + long[300_000:300_400], "head"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r[1:4] for r in substring_dedup(df).collect()}
+    assert got == dict(enumerate(brute_force(texts, 35)))
+
+
 def test_null_ids_and_repeated_rows(spark):
     long = " ".join(f"w{i}" for i in range(50))
     df = spark.createDataFrame([(None, "a b"), (1, long), (1, long)], "doc_id long, text string")
