@@ -37,3 +37,30 @@ def test_repeated_query_rows_and_empty_tables(spark):
     v = quantised(df, "vec_id", "embedding")
     assert [tuple(r) for r in top_k(v.where("vec_id = 0"), v).collect()] == [(0, 1, 1, 1024 * 512)]
     assert top_k(v.limit(0), v).count() == 0 and top_k(v.limit(0), v.limit(0)).count() == 0
+
+
+def test_large_components_stay_exact(spark):
+    r = random.Random(6)
+    rows = [(0, [10**9 + 1, 3]), (1, [10**9 + 1, 5]), (2, [10**9 + 1, 6]), (3, [-(10**9), 7])]
+    rows += [(i, [r.choice([10**6, 10**9]) * r.randint(-9, 9) + r.randint(0, 3) for _ in range(2)]) for i in range(4, 200)]
+    rows += [(200, [2**62, 2**62]), (201, [2**62 - 1, 2**62]), (202, [-(2**62), -(2**62)])]
+    v = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = sorted(map(tuple, top_k(v.where("vec_id % 5 = 0"), v, 7, 16, 8, 32).collect()))
+    want = []
+    for q, a in rows:
+        if q % 5 == 0:
+            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q)
+            want += [(q, n + 1, i, min(max(-s, -(2**63)), 2**63 - 1)) for n, (s, i) in enumerate(found[:7])]
+    assert got == sorted(want)
+
+
+def test_bounds_leave_most_candidates_out_where_vectors_lie_in_groups(spark):
+    r = random.Random(7)
+    centres = [[r.gauss(0, 1) for _ in range(16)] for _ in range(40)]
+    centres = [[x / math.sqrt(sum(y * y for y in c)) for x in c] for c in centres]
+    rows = [(i, [x + r.gauss(0, 0.03) for x in centres[i % 40]]) for i in range(2000)]
+    v = quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    report = {}
+    got = top_k(v.where("vec_id % 100 = 0"), v, 10, 64, 8, 256, report).collect()
+    assert sorted(map(tuple, got)) == brute_force(rows, 10, lambda q: q % 100 == 0)
+    assert report["pairs"] == 20 * 2000 and report["evaluated"] < 0.2 * report["pairs"]
