@@ -42,10 +42,10 @@ ANCHOR = 12
 MAX_FILTER_BITS = 1 << 27
 _ROW_BITS = 32768
 #: Places from which on an anchor's windows are routed one by one.
-HOT_PLACES = 20_000
+HOT_PLACES = 5_000
 #: Passage bytes that a shard is meant to hold, and bytes that a shuffled part is meant to hold.
 SHARD_BYTES = 4_000_000
-PART_BYTES = 48_000_000
+PART_BYTES = 12_000_000
 #: Ways the answer to a very frequent window is dealt back.
 SALTS = 16
 
