@@ -1,41 +1,37 @@
 """Line de-duplication with a segment-partition edit join.
 
-Two lines are near if one edit turns one into the other.  A line is split into
-threshold-plus-one, that is two, segments; an edit spares one of them.  Segment
-indexes are kept by line length: a line is indexed under its own length, and
-probes the index of its own length and of the length below with the substrings
-that can match there.  What a shared segment leaves over, the rest, is verified
-by a banded bit-parallel edit distance.  A bucket with many lines isn't
-enumerated: the rests are split again in the same way, until few lines share a
-bucket or one character is left, where a star of links is exact.
-
-near_lines() has this for one edit; near_lines_within() for k edits that grow with
-the length: k + 1 segments, probes of the lengths down to k below, shifted by what
-the edits before and after a segment allow.
+Lines at most k edits apart are near; k grows with the length of the shorter
+line.  A line is split into threshold-plus-one, k + 1, segments; k edits spare
+one of them.  Segment indexes are kept by line length: a line is indexed under
+its own length, and probes the indexes of its own length and of the lengths
+down to k below with the substrings that can match there, shifted by what the
+edits before and after a segment allow.  Keys that meet nothing are turned away
+by Bloom filters, so what travels beside them are the index keys themselves,
+without texts.  Lines that share a key are verified by a banded bit-parallel
+edit distance, after common ends are taken off.  A bucket with many lines isn't
+enumerated: lines near its hub are linked to it, and the others are split again
+by what the shared segment leaves over, until few lines share a bucket.
 
 Everything here is DataFrame functions.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedwright.llm import bloom
 from feedwright.llm.common import discard, materialize
-from feedwright.llm.exact_dedup import _ROW_BITS, _as_words, _bit_is_set
 from feedwright.operators.graph import components
 
-MAX_EDITS = 1
-#: Least length of the shorter line, edits: one for every line.
-ONE_EDIT = ((0, MAX_EDITS),)
-#: Shorter lines (headings, list marks) are no repeats of anything.
-MIN_CHARS = 20
-#: A line class that stands in so many different surroundings is boilerplate.
-MIN_CONTEXTS = 3
-#: Lines of a bucket that are compared pair by pair, and the longest rest that is.
+#: Edits between near lines, by the least length of the shorter one; below the first, lines are only equal.
+LINE_EDITS = ((20, 1), (40, 2), (100, 3))
+#: Lines of a bucket that are compared pair by pair.
 FEW_LINES = 8
-LONGEST_REST = 256
-MAX_FILTER_BITS = 1 << 27
+#: Ways the answer to a frequent key is dealt to the rows that wait for it.
+SALTS = 16
 
 
 def _within_edits_sql(a: str, b: str, k: int) -> str:
@@ -45,8 +41,8 @@ def _within_edits_sql(a: str, b: str, k: int) -> str:
     b[: j] with at most e edits; only the 2k+1 diagonals of the band have bits.
     """
     mask = (1 << (2 * k + 1)) - 1
-    hits = " | ".join(f"if(coalesce(get(split({a}, ''), j + {o - k}) = c, false), {1 << o}, 0)" for o in range(2 * k + 1))
-    matches = f"transform(split({b}, ''), (c, j) -> {hits})"
+    hits = " | ".join(f"if(coalesce(get(w.a, j + {o - k}) = c, false), {1 << o}, 0)" for o in range(2 * k + 1))
+    matches = f"transform(w.b, (c, j) -> {hits})"
     start = [sum(1 << o for o in range(k, k + e + 1)) for e in range(k + 1)]
     zero = "named_struct(" + ", ".join(f"'r{e}', {start[e]}" for e in range(k + 1)) + ")"
     steps = ["s.r0 & m"]
@@ -54,6 +50,7 @@ def _within_edits_sql(a: str, b: str, k: int) -> str:
         steps.append(f"((s.r{e} & m) | s.r{e - 1} | shiftright(s.r{e - 1}, 1) | shiftleft({steps[-1]}, 1)) & {mask}")
     step = "named_struct(" + ", ".join(f"'r{e}', {x}" for e, x in enumerate(steps)) + ")"
     last = f"aggregate({matches}, {zero}, (s, m) -> {step}, s -> s.r{k})"
+    last = f"get(transform(array(named_struct('a', split({a}, ''), 'b', split({b}, ''))), w -> {last}), 0)"  # each is split once
     apart = f"length({a}) - length({b})"
     return (
         f"CASE WHEN abs({apart}) > {k} THEN false WHEN {b} = '' OR {a} = '' THEN true "
@@ -65,117 +62,19 @@ def within_edits(a: str, b: str, k: int) -> Column:
     return F.expr(_within_edits_sql(a, b, k))
 
 
-def _line(text: Column) -> Column:
-    return F.split(text, "\n", -1)
-
-
-def _key(*parts: Column) -> Column:
-    return F.xxhash64(*parts)
-
-
-def segment_entries(line: str, rest: bool = True) -> Column:
-    """array<struct<key, d, rest>>: the index (d = 0) and probe (d = 1) entries of a line.
-
-    Under length n the segments are the first n div 2 characters and the others."""
-    out = []
-    for d in (0, 1):
-        head = f"cast((length({line}) - {d}) div 2 AS int)"
-        tail = f"cast(length({line}) - {d} - (length({line}) - {d}) div 2 AS int)"
-        of = f"length({line}) - {d}"
-        out += [
-            f"named_struct('key', xxhash64({of}, 'P', substring({line}, 1, {head})), 'd', {d}" + f", 'rest', substring({line}, {head} + 1)" * rest + ")",
-            f"named_struct('key', xxhash64({of}, 'S', right({line}, {tail})), 'd', {d}" + f", 'rest', substring({line}, 1, cast(length({line}) - {tail} AS int))" * rest + ")",
-        ]
-    return F.expr(f"array({', '.join(out)})")
-
-
-def _halves() -> Column:
-    """The entries of a rest, under the bucket it is in."""
-    r = "(length(rest) - d)"
-    head, tail = f"cast({r} div 2 AS int)", f"cast({r} - {r} div 2 AS int)"
-    return F.expr(
-        f"array(named_struct('key', xxhash64(key, 'P', substring(rest, 1, {head})), 'rest', substring(rest, {head} + 1)),"
-        f" named_struct('key', xxhash64(key, 'S', right(rest, {tail})), 'rest', substring(rest, 1, cast(length(rest) - {tail} AS int))))"
-    )
-
+def near(a: str, b: str, k: str, most: int) -> Column:
+    """True if the strings in a and b are at most k edits apart, k a column of 1 to `most`.
 
-def near(a: str, b: str) -> Column:
-    """True if the strings are at most one edit apart.
-
-    One edit spares one of two segments of the shorter string, and what both share at an end
-    doesn't change their distance: the spared half is taken off, again and again.  Strings that
-    differ in both halves are told apart there; the few characters that are left of the others
-    go to the banded distance.  One expression, so the optimiser copies no part of it."""
-    n = "least(length(u.a), length(u.b))"
-    h, t = f"cast({n} div 2 AS int)", f"cast({n} - {n} div 2 AS int)"
-    state = "named_struct('a', {}, 'b', {}, 'ok', {})".format
-    step = (
-        f"CASE WHEN NOT u.ok THEN u "
-        f"WHEN substring(u.a, 1, {h}) = substring(u.b, 1, {h}) THEN {state(f'substring(u.a, {h} + 1)', f'substring(u.b, {h} + 1)', 'true')} "
-        f"WHEN right(u.a, {t}) = right(u.b, {t}) THEN "
-        f"{state(f'substring(u.a, 1, cast(length(u.a) - {t} AS int))', f'substring(u.b, 1, cast(length(u.b) - {t} AS int))', 'true')} "
-        f"ELSE {state(chr(39) * 2, chr(39) * 2, 'false')} END"
-    )
-    rounds = LONGEST_REST.bit_length() - 1
-    left = f"aggregate(sequence(1, {rounds}), {state(a, b, 'true')}, (u, i) -> {step})"
-    return F.expr(f"get(transform(array({left}), x -> CASE WHEN x.ok THEN {_within_edits_sql('x.a', 'x.b', MAX_EDITS)} ELSE false END), 0)")
-
-
-def _shared_keys(entries: DataFrame, max_bits: int) -> tuple[DataFrame, int]:
-    """Filter rows (slot, bitmap), of bounded size, over the keys that two different lines have."""
-    seen = entries.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b"), F.min("d").alias("d"))
-    keys = materialize(seen.where("a <> b AND d = 0").select("key"), "segments")
-    n, bits = keys.count(), _ROW_BITS
-    while bits < 16 * n and bits < max_bits:
-        bits *= 2
-    slots = keys.select((F.col("key").bitwiseAND(F.lit(bits - 1))).alias("p")).groupBy(F.expr(f"p div {_ROW_BITS}").alias("slot")).agg(
-        F.bitmap_construct_agg(F.pmod("p", F.lit(_ROW_BITS))).alias("bitmap")
-    )
-    slots = materialize(slots, "segmentfilter")
-    discard(keys)
-    return slots, bits
-
-
-def near_lines(lines: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
-    """(a, b): links between the ids of different lines, at least enough that connected
-    lines stay connected.  lines: (id, line), repeated or not."""
-    keyed = lines.select("id", F.explode(segment_entries("line")).alias("e"))
-    slots, bits = _shared_keys(
-        lines.select(F.xxhash64("line").alias("h"), F.explode(segment_entries("line", rest=False)).alias("e")).select("h", "e.key", "e.d"), max_filter_bits
-    )
-    # At most max_filter_bits / 8 bytes: a bounded broadcast.
-    probed = keyed.select("id", "e.*", F.expr(f"e.key & {bits - 1}L").alias("p")).join(
-        F.broadcast(slots.select("slot", _as_words("bitmap").alias("bitmap"))), F.expr(f"p div {_ROW_BITS}") == F.col("slot"), "inner"
-    ).where(_bit_is_set("bitmap", "p")).select("id", "key", "d", "rest")
-    level = materialize(probed.dropDuplicates(["key", "id", "d"]), "bucket")
-    links: list[DataFrame] = []
-    while True:
-        sizes = level.groupBy("key").agg(F.count("*").alias("n"), F.min("d").alias("least"), F.max(F.length("rest") - F.col("d")).alias("r"))
-        sized = level.join(sizes.where("n > 1 AND least = 0"), "key").drop("least")
-        few = F.expr(f"n <= {FEW_LINES} AND r <= {LONGEST_REST}")
-        one = F.expr("r <= 1") & ~few
-        small, tiny, many = sized.where(few), sized.where(one), sized.where(~few & ~one)
-        a = small.where("d = 0").select("key", F.col("id").alias("a"), F.col("rest").alias("rest_a"))
-        b = small.select("key", F.col("id").alias("b"), F.col("d").alias("d_b"), F.col("rest").alias("rest_b"))
-        pairs = a.join(b, "key").where("a <> b AND (d_b = 1 OR a < b)").where(near("rest_a", "rest_b")).select("a", "b")
-        # One character is left: lines of one length are all one edit apart, and a longer line
-        # is near the line that it becomes without one of its two characters.
-        index = tiny.where("d = 0")
-        stars = index.join(index.groupBy("key").agg(F.min("id").alias("b")), "key").where("id <> b").select(F.col("id").alias("a"), "b")
-        shorter = F.expr("CASE WHEN r = 0 THEN array('') ELSE array(substring(rest, 1, 1), substring(rest, 2, 1)) END")
-        spelt = tiny.where("d = 1").select("key", F.col("id").alias("a"), F.explode(F.array_distinct(shorter)).alias("rest"))
-        longer = spelt.join(index.select("key", "rest", F.col("id").alias("b")), ["key", "rest"]).select("a", "b")
-        links.append(materialize(pairs.unionByName(stars).unionByName(longer).distinct(), "near"))
-        below = many.select("id", "key", "d", "rest").select("id", "d", F.explode(_halves()).alias("e")).select("id", "e.key", "d", "e.rest")
-        below = materialize(below, "bucket")
-        discard(level)
-        level = below
-        if level.isEmpty():
-            break
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
-    return found
+    What both share at an end doesn't change their distance and is taken off first, in
+    pieces of halving size; the banded distance looks at what is left of them."""
+    state = "named_struct('a', {}, 'b', {})".format
+    pieces = "array(" + ", ".join(str(1 << e) for e in range(20, -1, -1)) + ")"
+    front = f"CASE WHEN length(u.a) >= j AND length(u.b) >= j AND substring(u.a, 1, j) = substring(u.b, 1, j) THEN {state('substring(u.a, j + 1)', 'substring(u.b, j + 1)')} ELSE u END"
+    back = (f"CASE WHEN length(u.a) >= j AND length(u.b) >= j AND right(u.a, j) = right(u.b, j) THEN "
+            f"{state('substring(u.a, 1, length(u.a) - j)', 'substring(u.b, 1, length(u.b) - j)')} ELSE u END")
+    cut = f"aggregate({pieces}, aggregate({pieces}, {state(a, b)}, (u, j) -> {front}), (u, j) -> {back})"
+    cases = " ".join(f"WHEN {k} = {n} THEN {_within_edits_sql('x.a', 'x.b', n)}" for n in range(1, most + 1))
+    return F.expr(f"get(transform(array({cut}), x -> CASE {cases} ELSE x.a = x.b END), 0)")
 
 
 def _edits(n: str, edits) -> str:
@@ -184,19 +83,35 @@ def _edits(n: str, edits) -> str:
     return f"(CASE {cases} ELSE 0 END)"
 
 
-def _segments(line: str, length: str, d: str, k: str, key: str, rest: bool) -> str:
-    """Entries of a line under the index of the length d below its own, for k edits.
-
-    Segment i of that length may have moved by s: by at most i edits before it, and so
-    that at most k - i come after it.  What is used again is bound to a lambda's variable."""
-    start = lambda i: f"cast(u.n * ({i}) div (u.k + 1) AS int)"
-    fields = f"'key', xxhash64({key}, u.n, i, substring({line}, g.p + s + 1, g.z)), 'd', {d}"
-    if rest:
-        fields += ", 'k', u.k, 'at', g.p + s, 'size', g.z"
-    moves = f"filter(sequence(greatest(-i, {d} - u.k + i), least(i, {d} + u.k - i)), s -> g.p + s >= 0 AND g.p + s + g.z <= u.n + {d})"
+def keyed(lines: DataFrame, edits, moved: bool) -> DataFrame:
+    """The index entries of lines, or with `moved` their probes that aren't index entries too.
+
+    Adds key, d, k, at and size: the line under the index of the length d below its own, where k edits
+    are allowed; characters at + 1 to at + size are the segment.  Segment i of that length may have
+    moved by s: by at most i edits before it, and so that at most k - i come after it."""
+    most, shortest = max(k for _, k in edits), min(least for least, k in edits if k)
+    rows = lines.withColumn("m", F.length("line")).where(F.col("m") >= shortest)
+    rows = rows.withColumn("d", F.explode(F.expr(f"sequence(0, {most})")) if moved else F.lit(0))
+    rows = rows.withColumn("n", F.expr("m - d")).withColumn("k", F.expr(_edits("n", edits))).where("k > 0 AND d <= k")
+    rows = rows.withColumn("i", F.explode(F.expr("sequence(0, k)")))
+    rows = rows.withColumn("p", F.expr("cast(n * i div (k + 1) AS int)")).withColumn("size", F.expr("cast(n * (i + 1) div (k + 1) AS int) - p"))
+    if moved:
+        rows = rows.withColumn("low", F.expr("greatest(-i, d - k + i, -p)")).withColumn("high", F.expr("least(i, d + k - i, m - p - size)")).where("low <= high")
+        rows = rows.withColumn("s", F.explode(F.expr("sequence(low, high)"))).where("d > 0 OR s <> 0")
+    else:
+        rows = rows.withColumn("s", F.lit(0))
+    rows = rows.withColumn("at", F.expr("p + s")).withColumn("key", F.expr("xxhash64(n, i, substring(line, at + 1, size))"))
+    return rows.drop("m", "n", "i", "p", "s", "low", "high")
+
+
+def _rest_segments() -> Column:
+    """Entries of a rest, under the key it is in, the same way."""
+    start = lambda i: f"cast(u.n * ({i}) div (k + 1) AS int)"
+    moves = "filter(sequence(greatest(-i, d - k + i), least(i, d + k - i)), s -> g.p + s >= 0 AND g.p + s + g.z <= u.n + d)"
     segment = f"array(named_struct('p', {start('i')}, 'z', {start('i + 1')} - {start('i')}))"
-    moved = f"flatten(transform({segment}, g -> transform({moves}, s -> named_struct({fields}))))"
-    return f"flatten(transform(array(named_struct('n', {length} - {d}, 'k', {k})), u -> flatten(transform(sequence(0, u.k), i -> {moved}))))"
+    entry = "named_struct('key', xxhash64(key, u.n, i, substring(rest, g.p + s + 1, g.z)), 'at', g.p + s, 'size', g.z, 'own', own AND s = 0)"
+    moved = f"flatten(transform({segment}, g -> transform({moves}, s -> {entry})))"
+    return F.explode(F.expr(f"flatten(transform(array(named_struct('n', length(rest) - d)), u -> flatten(transform(sequence(0, k), i -> {moved}))))"))
 
 
 def _without(line: str) -> Column:
@@ -204,119 +119,159 @@ def _without(line: str) -> Column:
     return F.expr(f"concat(substring({line}, 1, at), substring({line}, at + size + 1))").alias("rest")
 
 
-def moved_entries(line: str, edits, rest: bool = True) -> Column:
-    """The index (d = 0, not moved) and probe entries of a line."""
-    most = max(k for _, k in edits)
-    k = _edits("(m - d)", edits)
-    below = f"filter(sequence(0, {most}), d -> m >= d AND d <= {k})"
-    return F.expr(f"flatten(transform(array(length({line})), m -> flatten(transform({below}, d -> {_segments(line, 'm', 'd', k, '0L', rest)}))))")
-
+def _dealt(rows: DataFrame, answer: DataFrame, keys: list[str], by: str = "id") -> DataFrame:
+    """rows joined to one answer per key, in salted parts: no task has all the rows of a frequent key."""
+    salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
+    parts = answer.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", salt).join(parts, [*keys, "_salt"]).drop("_salt")
 
-def near_lines_within(lines: DataFrame, edits, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
-    """(a, b): as near_lines(), for as many edits as `edits` allows the shorter line.
 
-    A crowded bucket has a hub; lines near it are linked to it, and only what isn't
-    yet connected is split again by what the shared segment leaves over."""
-    slots, bits = _shared_keys(
-        lines.select(F.xxhash64("line").alias("h"), F.explode(moved_entries("line", edits, rest=False)).alias("e")).select("h", "e.key", "e.d"), max_filter_bits
-    )
-    words = F.broadcast(slots.select("slot", _as_words("bitmap").alias("bitmap")))
-    level = lines.select("id", "line", F.explode(moved_entries("line", edits)).alias("e")).select("id", "line", "e.*", F.expr(f"e.key & {bits - 1}L").alias("p"))
-    level = level.join(words, F.expr(f"p div {_ROW_BITS}") == F.col("slot"), "inner").where(_bit_is_set("bitmap", "p"))
-    level = level.select("id", "line", "key", "d", "k", "at", "size").dropDuplicates(["key", "id", "d", "at"])
-    level = materialize(level.select("id", "line", "key", "d", "k", _without("line"), F.lit(False).alias("tied")), "bucket")
+def _alignments(k: int, n: int, d: int) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """(places in a string of n characters, places in one of n + d): the ways to match characters that
+    leave at most k edits."""
+    out = []
+    for c in range(n + 1):
+        for x in combinations(range(n), c):
+            for y in combinations(range(n + d), c):
+                ends = zip([-1, *x], [*x, n], [-1, *y], [*y, n + d], strict=True)
+                if sum(max(b - a - 1, f - e - 1) for a, b, e, f in ends) <= k:
+                    out.append((x, y))
+    return out
+
+
+def _tiny_keys(most: int) -> Column:
+    """For rests whose index length n is at most k: keys that a probe and an index entry share if they are near.
+
+    A key says which characters stand where in the index entry.  If it stands for an alignment of few
+    edits with one entry, it does so with every entry that has the key, so one of them is enough."""
+    cases = []
+    spelt = lambda x, y: "concat_ws('.', " + ", ".join([f"'{','.join(map(str, x))}'", *(f"hex(substring(rest, {p + 1}, 1))" for p in y)]) + ")"
+    for k in range(1, most + 1):
+        for n in range(k + 1):
+            places = [x for c in range(n + 1) for x in combinations(range(n), c)]
+            cases.append((k, n, 0, "own", [spelt(x, x) for x in places]))
+            cases += [(k, n, d, "NOT own", [spelt(x, y) for x, y in _alignments(k, n, d)]) for d in range(k + 1)]
+    whens = " ".join(f"WHEN {own} AND k = {k} AND length(rest) - d = {n} AND d = {d} THEN array({', '.join(keys)})" for k, n, d, own, keys in cases if keys)
+    return F.explode(F.array_distinct(F.expr(f"CASE {whens} END")))
+
+
+def near_lines(lines: DataFrame, edits=LINE_EDITS, max_slots: int = bloom.MAX_SLOTS) -> DataFrame:
+    """(a, b): links between the ids of different lines, at least enough that connected lines stay
+    connected.  lines: (id, line), repeated or not; edits: (least length of the shorter line, edits)."""
+    most = max(k for _, k in edits)
+    slots = bloom.slots_for((most + 1) * lines.count(), max_slots)
+    index = keyed(lines.select("line"), edits, False).select("key", F.xxhash64("line").alias("h"))
+    seen = index.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b"))
+    table = materialize(bloom.built(seen, slots, every="true", shared="a <> b"), "segmentfilter")
+    entry = ["id", "key", "d", "k", "at", "size"]
+    probes = bloom.probed(keyed(lines, edits, True), table, slots, which="every").where("may").select(entry).dropDuplicates(["key", "id", "d", "at"])
+    probes = materialize(probes, "probes")
+    asked = bloom.either(table.select("slot", F.col("shared1").alias("every1"), F.col("shared2").alias("every2")), bloom.built(probes, slots, every="true"))
+    met = bloom.probed(keyed(lines, edits, False), materialize(asked, "askedfilter"), slots, which="every").where("may").select(entry).dropDuplicates(["key", "id", "d", "at"])
+    level = materialize(probes.withColumn("own", F.lit(False)).unionByName(met.withColumn("own", F.lit(True))), "entries")
+    shared = level.groupBy("key").agg(F.count("*").alias("c"), F.bool_or("own").alias("any_own")).where("c > 1 AND any_own").select("key")
+    level = materialize(_dealt(level, shared, ["key"]), "shared")
+    discard(probes)
+    discard(table)
+    # Only now are texts needed: those of lines that share a key with another.
+    ids = level.select("id").distinct()
+    found = bloom.where_in(lines.withColumn("_h", F.xxhash64("id")), ids.select(F.xxhash64("id").alias("key")), "_h", max_slots)
+    texts = materialize(found.select("id", "line").dropDuplicates(["id"]), "texts")
+    level = level.join(texts, "id").select("id", "line", "key", "d", "k", "own", _without("line"), F.lit(False).alias("tied"))
+    level = materialize(level, "bucket")
     links: list[DataFrame] = []
     while True:
         sizes = level.groupBy("key").agg(
-            F.count("*").alias("n"), F.min("d").alias("least"), F.min("tied").alias("all_tied"), F.max(F.length("rest") - F.col("d") - 2 * F.col("k")).alias("r")
+            F.count("*").alias("c"), F.bool_or("own").alias("any_own"), F.min("tied").alias("all_tied"), F.max(F.length("rest") - F.col("d") - F.col("k")).alias("over")
         )
-        sized = level.join(sizes.where("n > 1 AND least = 0 AND NOT all_tied").drop("least", "all_tied"), "key")
-        few = F.expr(f"n <= {FEW_LINES} OR r <= 2")
-        small, many = sized.where(few), sized.where(~few)
-        a = small.where("d = 0").select("key", "k", F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("tied").alias("tied_a"))
-        b = small.select("key", F.col("id").alias("b"), F.col("d").alias("d_b"), F.col("line").alias("line_b"), F.col("tied").alias("tied_b"))
-        pairs = a.join(b, "key").where("a <> b AND (d_b > 0 OR a < b) AND NOT (tied_a AND tied_b)")
-        pairs = pairs.select("a", "b", "line_a", "line_b", "k").distinct().where("levenshtein(line_a, line_b, k) >= 0").select("a", "b")
-        hubs = many.where("d = 0").groupBy("key").agg(F.min(F.struct(F.expr("NOT tied").alias("loose"), "id", "line")).alias("hub"))
-        met = many.join(hubs, "key").withColumn("by_hub", F.expr("id = hub.id OR levenshtein(hub.line, line, k) >= 0"))
-        met = materialize(met.select("key", "id", "line", "d", "k", "rest", F.col("hub.id").alias("hub"), "by_hub",
-                                     F.expr("by_hub OR (tied AND NOT hub.loose)").alias("tied")), "hubs")
-        stars = met.where("by_hub AND id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-        links.append(materialize(pairs.unionByName(stars).distinct(), "near"))
+        sized = _dealt(level, sizes.where("c > 1 AND any_own AND NOT all_tied").drop("any_own", "all_tied"), ["key"])
+        few, tiny = F.expr(f"c <= {FEW_LINES}"), F.expr(f"c > {FEW_LINES} AND over <= 0")
+        small, many = sized.where(few), sized.where(~few & ~tiny)
+        a = small.where("own").select("key", "k", F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("tied").alias("tied_a"))
+        b = small.select("key", F.col("id").alias("b"), F.col("own").alias("own_b"), F.col("line").alias("line_b"), F.col("tied").alias("tied_b"))
+        pairs = a.join(b, "key").where("a <> b AND (NOT own_b OR a < b) AND NOT (tied_a AND tied_b)")
+        pairs = pairs.select("a", "b", "line_a", "line_b", "k").dropDuplicates(["a", "b", "k"]).where(near("line_a", "line_b", "k", most)).select("a", "b")
+        # So little is left that all index entries are near each other; a probe needs one of them.
+        left = sized.where(tiny)
+        index = left.where("own")
+        stars = _dealt(index, index.groupBy("key").agg(F.min("id").alias("b")), ["key"]).where("id <> b").select(F.col("id").alias("a"), "b")
+        spelt = left.select("key", "id", "line", "k", "own", _tiny_keys(most).alias("spelt"))
+        firsts = spelt.where("own").groupBy("key", "spelt").agg(F.min(F.struct("id", "line")).alias("b"))
+        longer = _dealt(spelt.where("NOT own"), firsts, ["key", "spelt"]).where("id <> b.id").select(F.col("id").alias("a"), F.col("b.id").alias("b"), F.col("line").alias("line_a"), F.col("b.line").alias("line_b"), "k")
+        longer = longer.dropDuplicates(["a", "b", "k"]).where(near("line_a", "line_b", "k", most)).select("a", "b")
+        hubs = many.where("own").groupBy("key").agg(F.min(F.struct(F.expr("NOT tied").alias("loose"), "id", "line")).alias("hub"))
+        met = _dealt(many, hubs, ["key"]).select("key", "id", "line", "d", "k", "own", "rest", "tied", F.col("hub.id").alias("hub"), F.col("hub.line").alias("hub_line"), F.col("hub.loose").alias("loose"))
+        met = met.withColumn("by_hub", (F.col("id") == F.col("hub")) | near("hub_line", "line", "k", most))
+        met = materialize(met.select("key", "id", "line", "d", "k", "own", "rest", "hub", "by_hub", F.expr("by_hub OR (tied AND NOT loose)").alias("tied")), "hubs")
+        spokes = met.where("by_hub AND id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+        links.append(materialize(pairs.unionByName(stars).unionByName(longer).unionByName(spokes).distinct(), "near"))
         open_keys = met.groupBy("key").agg(F.min("tied").alias("done")).where("NOT done").select("key")
-        cut = F.explode(F.expr(_segments("rest", "length(rest)", "d", "k", "key", True))).alias("e")
-        below = met.join(open_keys, "key").select("id", "line", "tied", "rest", cut)
-        below = below.select("id", "line", "rest", "e.*", "tied").select("id", "line", "key", "d", "k", _without("rest"), "tied").dropDuplicates(["key", "id", "d", "rest"])
+        below = _dealt(met, open_keys, ["key"]).select("id", "line", "tied", "rest", "d", "k", _rest_segments().alias("e"))
+        below = below.select("id", "line", "rest", "d", "k", "e.*", "tied").select("id", "line", "key", "d", "k", "own", _without("rest"), "tied").dropDuplicates(["key", "id", "d", "own", "rest"])
         below = materialize(below, "bucket")
         discard(level)
         discard(met)
         level = below
         if level.isEmpty():
             break
-    found = links[0]
+    links_of = links[0]
     for more in links[1:]:
-        found = found.unionByName(more)
-    return found
+        links_of = links_of.unionByName(more)
+    return links_of
 
 
-def line_dedup(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_contexts: int = MIN_CONTEXTS,
-    carry: bool = False, edits=ONE_EDIT,
-) -> DataFrame:
+def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, edits=LINE_EDITS) -> DataFrame:
     """doc_id, text, n_lines, n_removed: every row with the repeated lines removed;
     with carry also `row`, a struct of the row's own columns.
 
-    Lines end at \\n.  Lines of at least min_chars characters form classes: equal
-    lines, lines few edits apart, and what these connect; `edits` says how many,
-    as (least length of the shorter line, edits) pairs, one edit by default.  In a document the
-    first line of a class stays and later ones go.  A class that stands between
-    at least min_contexts different pairs of neighbouring lines is boilerplate:
-    of its lines only the first in the corpus (smallest id, then position)
-    stays.  With min_contexts 1 that holds for every class, wherever it stands;
-    with more, copies of a document, which repeat lines in the same surroundings,
-    are left to document-level operators.  A null text stays null and has no lines;
-    an empty text has one empty line.  Rows keep their number and ids; a row
-    repeated with its id loses the same lines as its twin.  Lines of rows
-    without id count and stay.  Other columns are ignored.
+    Lines end at \\n.  Lines that aren't blank form classes: equal lines, lines few edits apart, and
+    what these connect; `edits` says how many, as (least length of the shorter line, edits) pairs;
+    shorter lines are only compared for equality.  Of each class one line stays, the first in the
+    corpus: smallest id (null last), then a hash of the text, then position.  Blank lines, of space
+    characters or of nothing, are layout and stay.  A null text stays null and has no lines; an empty
+    text has one empty line.  Rows keep their number and ids, and a row may be left without any text.
+    Rows of one id with different texts are different documents; a row that is repeated with its id
+    and text is one document with its twin, and both keep the same lines.  Other columns are ignored,
+    whatever their names.  An empty table gives an empty result; a text of any length is one row's work.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                      *([F.struct("*").alias("row")] if carry else []))
-    split = docs.where("text IS NOT NULL").select("doc_id", _line(F.col("text")).alias("lines"))
-    placed = split.select("doc_id", "lines", F.posexplode("lines").alias("pos", "line")).where(F.length("line") >= min_chars)
-    around = F.xxhash64(F.expr("get(lines, pos - 1)"), F.lit("\n"), F.expr("get(lines, pos + 1)")) if min_contexts > 1 else F.lit(0).cast("long")
+    docs = docs.withColumn("own", F.xxhash64(F.coalesce("doc_id", F.lit(-1).cast("long")), F.col("doc_id").isNull(), "text"))
+    split = docs.where("text IS NOT NULL").select("doc_id", "own", F.split("text", "\n", -1).alias("lines"))
+    placed = split.select("doc_id", "own", F.posexplode("lines").alias("pos", "line")).where(F.length(F.trim(F.translate("line", "\t\r\x0b\x0c", "    "))) > 0)
     ident = F.unhex(F.md5("line")).alias("id")
-    places = materialize(placed.select("doc_id", "pos", ident, around.alias("context")), "places")
-
-    lines = split.select(F.explode("lines").alias("line")).where(F.length("line") >= min_chars).select(ident, "line")
-    labels = components(near_lines(lines) if tuple(edits) == ONE_EDIT else near_lines_within(lines, edits))
-    pairs = places.groupBy("id", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"))
-    tagged = pairs.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("label", "id"))
-    classes = (
-        tagged.groupBy("class", "context").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-        .groupBy("class").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.count("*").alias("contexts")).where("n > 1")
-    )
-    answer = tagged.select("id", "class").distinct().join(classes, "class")
-    hits = places.where("doc_id IS NOT NULL").join(answer, "id")  # a hot line's places are split by adaptive execution
-    of_class = hits.groupBy("doc_id", "class").agg(
-        F.min("pos").alias("own_first"), F.collect_set("pos").alias("at"), F.first("first").alias("first"), F.first("contexts").alias("contexts")
-    )
-    goes = F.expr(
-        f"filter(at, p -> CASE WHEN contexts >= {min_contexts} THEN NOT (doc_id = first.doc_id AND p = first.pos) ELSE p > own_first END)"
-    )
-    gone = of_class.select("doc_id", goes.alias("gone")).where(F.size("gone") > 0).groupBy("doc_id").agg(
-        F.flatten(F.collect_list("gone")).alias("gone")
-    )
+    places = materialize(placed.select("doc_id", "own", "pos", ident), "places")
+
+    lines = placed.select(ident, "line")
+    labels = components(near_lines(lines, edits))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "own", "pos")
+    equal = places.groupBy("id").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    tagged = equal.join(labels.withColumnRenamed("node", "id"), "id", "left").where("n > 1 OR label IS NOT NULL")
+    tagged = materialize(tagged.withColumn("class", F.coalesce("label", "id")).select("id", "class", "n", "first"), "classes")
+    classes = tagged.groupBy("class").agg(F.sum("n").alias("of"), F.min("first").alias("stays")).where("of > 1")
+    answer = materialize(_dealt(tagged.select("id", "class"), classes, ["class"]).select("id", "stays"), "answer")
+    # Lines that occur once, which are most, don't travel.
+    may = bloom.where_in(places.withColumn("_h", F.xxhash64("id")), answer.select(F.xxhash64("id").alias("key")), "_h").drop("_h")
+    hits = _dealt(may, answer, ["id"], by="own").where(~(place.eqNullSafe(F.col("stays"))))
+    gone = materialize(hits.groupBy("doc_id", "own").agg(F.collect_set("pos").alias("gone")), "gone")
+
+    may = bloom.probed_in(docs, gone.select(F.col("own").alias("key")), "own")
+    out = lambda rows, text, lost: rows.select(
+        "doc_id", text.alias("text"), F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"),
+        lost.cast("long").alias("n_removed"), *(["row"] if carry else []))
+    whole = out(may.where("NOT may"), F.col("text"), F.lit(0))
+    side = gone.select(F.col("doc_id").alias("_doc"), F.col("own").alias("_own"), "gone")
+    met = may.where("may").join(side, F.expr("own = _own AND doc_id <=> _doc"), "left").withColumn("lines", F.split("text", "\n", -1))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), gone), i -> lines[i]), '\n')")
-    joined = docs.join(gone, "doc_id", "left").withColumn("lines", _line(F.col("text")))
-    return joined.select(
-        "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("long").alias("n_removed"), *(["row"] if carry else []),
-    )
+    cut = out(met, F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")))
+    return whole.unionByName(cut)
 
 
 def documents_without_repeated_lines(df: DataFrame, **how) -> DataFrame:
-    """The rows of df with text and n_chars (if there) after line_dedup(); none is left out."""
+    """The rows of df with text and n_chars (if there) after line_dedup(); none is left out.
+
+    Nulls, empty texts, repeated rows and ids, and empty tables as in line_dedup(); n_chars stays where
+    the text is null; the other columns stay as they are."""
     done = line_dedup(df, carry=True, **how)
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in df.columns:
