@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import html as htmllib
 from collections.abc import Sequence
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -62,7 +63,7 @@ class Page(HTMLParser):
             self.links.append({"href": a["href"], "text": [], "tags": around["tags"], "classes": own})
             self._open_links.append(self.links[-1])
         elif tag == "img":
-            self.images.append({"src": a.get("src") or a.get("data-src") or "", "classes": own, "tags": around["tags"]})
+            self.images.append({"src": a.get("src") or a.get("data-src") or a.get("data-original") or "", "classes": own, "tags": around["tags"]})
         elif tag == "p":
             self.paragraphs.append({"text": [], "tags": around["tags"], "classes": own, "ids": around["ids"]})
             self._open_paragraphs.append(self.paragraphs[-1])
@@ -105,47 +106,62 @@ class Page(HTMLParser):
                 x["text"].append(data.strip())
 
 
-def _each(pages: pd.Series, f) -> pd.Series:
-    return pd.Series([None if h is None else f(Page(h)) for h in pages], dtype=object)
+PARTS = T.StructType([
+    T.StructField("meta", T.MapType(_TEXT, _TEXT)), T.StructField("text", _TEXT), T.StructField("links", LINKS), T.StructField("images", IMAGES),
+    T.StructField("paragraphs", PARAGRAPHS), T.StructField("scripts", _TEXTS), T.StructField("heading", _TEXT),
+])
 
 
-@F.pandas_udf(T.MapType(_TEXT, _TEXT))
-def page_meta(pages: pd.Series) -> pd.Series:
+def _parts(source: str) -> dict:
+    p = Page(source)
+    return {
+        "meta": p.meta, "text": "\n".join(p.text), "links": [{**x, "pos": i, "text": " ".join(x["text"])} for i, x in enumerate(p.links)],
+        "images": [{**x, "pos": i} for i, x in enumerate(p.images)], "paragraphs": [{**x, "text": " ".join(x["text"])} for x in p.paragraphs], "scripts": p.scripts,
+        "heading": next((t for k in ("h1", "title") for t in (" ".join(x.split()) for x in p.titles.get(k, [])) if t), ""),
+    }
+
+
+@F.pandas_udf(PARTS)
+def page_parts(pages: pd.Series) -> pd.DataFrame:
+    """Everything that one parse of a page gives.  Functions of one page in one projection share the parse."""
+    empty = {f.name: None for f in PARTS.fields}
+    return pd.DataFrame([empty if h is None else _parts(h) for h in pages], columns=list(empty), dtype=object)
+
+
+def _part(page: Column | str, name: str) -> Column:
+    return page_parts(page)[name]
+
+
+def page_meta(page: Column | str) -> Column:
     """First value of each <meta> property, itemprop or name."""
-    return _each(pages, lambda p: p.meta)
+    return _part(page, "meta")
 
 
-@F.pandas_udf(_TEXT)
-def visible_text(pages: pd.Series) -> pd.Series:
+def visible_text(page: Column | str) -> Column:
     """Text outside scripts and styles, stripped pieces joined by line feeds."""
-    return _each(pages, lambda p: "\n".join(p.text))
+    return _part(page, "text")
 
 
-@F.pandas_udf(LINKS)
-def page_links(pages: pd.Series) -> pd.Series:
+def page_links(page: Column | str) -> Column:
     """Links in document order with the tags and classes around them."""
-    return _each(pages, lambda p: [{**x, "pos": i, "text": " ".join(x["text"])} for i, x in enumerate(p.links)])
+    return _part(page, "links")
 
 
-@F.pandas_udf(IMAGES)
-def page_images(pages: pd.Series) -> pd.Series:
-    return _each(pages, lambda p: [{**x, "pos": i} for i, x in enumerate(p.images)])
+def page_images(page: Column | str) -> Column:
+    return _part(page, "images")
 
 
-@F.pandas_udf(PARAGRAPHS)
-def page_paragraphs(pages: pd.Series) -> pd.Series:
-    return _each(pages, lambda p: [{**x, "text": " ".join(x["text"])} for x in p.paragraphs])
+def page_paragraphs(page: Column | str) -> Column:
+    return _part(page, "paragraphs")
 
 
-@F.pandas_udf(_TEXTS)
-def page_json_ld(pages: pd.Series) -> pd.Series:
-    return _each(pages, lambda p: p.scripts)
+def page_json_ld(page: Column | str) -> Column:
+    return _part(page, "scripts")
 
 
-@F.pandas_udf(_TEXT)
-def page_heading(pages: pd.Series) -> pd.Series:
+def page_heading(page: Column | str) -> Column:
     """The first <h1> with text, else the <title>."""
-    return _each(pages, lambda p: next((t for k in ("h1", "title") for t in (" ".join(x.split()) for x in p.titles.get(k, [])) if t), ""))
+    return _part(page, "heading")
 
 
 @F.pandas_udf(_TEXT)
@@ -166,13 +182,61 @@ def json_ld_date(page: Column) -> Column:
 
 #: Wrappers that hold an article's body, best first; each a tag, .class or #id (fixed values of the layouts).
 BODY_SELECTORS = (".entry-content", ".article-content", ".inner-content", ".post-content", "#content", "article", "main")
+#: Blocks that hold an article's image, best first, after the meta images (fixed values of one layout).
+IMAGE_BLOCKS = ("td-post-content", "td-post-featured-image", "td-main-content-wrap", "td-post-thumb", "entry-thumb")
 #: Where page chrome lives (fixed values).
 CHROME_TAGS = ("header", "footer", "nav")
 
 
-def paragraphs_in(page: Column, selectors: Sequence[str] = BODY_SELECTORS, least: int = 0) -> Column:
-    """Paragraph texts of the first selector that has any, longer than `least`; else of the whole page."""
+@dataclass(frozen=True)
+class Layout:
+    """Where an outlet's pages keep what: body wrappers, best first; paragraphs and bodies count from a length on;
+    blocks of an excluded class don't count; names of meta dates, best first; the class of a date
+    paragraph; list roots, best first; the class of list cards and of their dates; image blocks."""
+
+    bodies: tuple[str, ...] = BODY_SELECTORS
+    exclude: tuple[str, ...] = ()
+    paragraph_least: int = 0
+    least: int = 100
+    dates: tuple[str, ...] = ("article:published_time",)
+    json_ld: bool = False
+    date_class: str = ""
+    roots: tuple[str, ...] = ()
+    card: str = ""
+    card_date: str = ""
+    images: tuple[str, ...] = ("entry-content", "article-content", "featured-image", "hero")
+
+
+_PROSE = {"bodies": (".prose-lg",), "dates": ("article:published_time", "article:modified_time"), "date_class": "text-grey-base",
+          "images": ("prose-lg", "article-content", "content", "featured-image", "hero-image", "article-hero", "post-thumbnail")}
+# The layouts of the outlets' pages.
+LAYOUTS = {
+    "sundaytimes": Layout(bodies=(".entry", ".post"), dates=("datePublished", "article:published_time"), card="loop-default", card_date="date"),
+    "dailynews": Layout(),
+    "ceylontoday": Layout(bodies=(".td-post-content", ".post-content", ".entry-content", "article", ".content"), card="tdb_module_loop", card_date="td-module-date", images=IMAGE_BLOCKS),
+    "dailymirror": Layout(bodies=(".a-content",), dates=("datePublished",)),
+    "ftlk": Layout(card="lineg", card_date="gtime"),
+    "economynext": Layout(bodies=(".story-page-text-content",), exclude=("most-recent-article-text",), json_ld=True, card="story-grid-single-story", card_date="article-publish-date"),
+    "morning": Layout(**_PROSE),
+    "sundayobserver": Layout(**_PROSE),
+    "divaina": Layout(bodies=(".entry-content", ".post-content", "article")),
+    "lankadeepa": Layout(bodies=(".article-body", "article")),
+    "aruna": Layout(**_PROSE, roots=("main",)),
+    "mawbima": Layout(**_PROSE, roots=(".td-ss-main-content", "main", ".td-main-content")),
+    "virakesari": Layout(bodies=(".article-content", ".post-content", ".entry-content", "article"), card="news-item", card_date="date"),
+    "thinakaran": Layout(bodies=(".entry-content", ".post-content", ".article-content", "article"), roots=(".penci-wrapper-data",), card="penci-entry-title", card_date="entry-date"),
+    "thamilan": Layout(bodies=(), paragraph_least=40),
+    "island": Layout(bodies=(".prose-lg",), dates=("dateModified", "article:modified_time"), date_class="text-grey-base", roots=(".mvp-widget-feat2-right", ".mvp-blog-story-list")),
+    "dinamina": Layout(bodies=(".entry-content", ".post-content", ".article-content", "article")),
+}
+
+
+def paragraphs_in(page: Column, selectors: Sequence[str] = BODY_SELECTORS, least: int = 0, exclude: Sequence[str] = ()) -> Column:
+    """Paragraph texts of the first selector that has any, longer than `least`; else of the whole page.  Paragraphs
+    in a block of an excluded class don't count."""
     every = page_paragraphs(page)
+    if exclude:
+        every = F.filter(every, lambda p: ~F.arrays_overlap(p["classes"], F.array(*map(F.lit, exclude))))
 
     def under(selector: str) -> Column:
         field = {".": "classes", "#": "ids"}.get(selector[0], "tags")
@@ -186,10 +250,10 @@ def paragraphs_in(page: Column, selectors: Sequence[str] = BODY_SELECTORS, least
     return F.transform(out, lambda p: p["text"])
 
 
-def body_text(page: Column, selectors: Sequence[str] = BODY_SELECTORS, paragraph_least: int = 0, least: int = 100) -> Column:
+def body_text(page: Column, selectors: Sequence[str] = BODY_SELECTORS, paragraph_least: int = 0, least: int = 100, exclude: Sequence[str] = ()) -> Column:
     """Distinct paragraphs joined by blank lines, if longer than `least`; else all visible lines over 20
     characters; else the description."""
-    joined = F.array_join(F.array_distinct(paragraphs_in(page, selectors, paragraph_least)), "\n\n")
+    joined = F.array_join(F.array_distinct(paragraphs_in(page, selectors, paragraph_least, exclude)), "\n\n")
     lines = F.array_join(F.filter(F.split(visible_text(page), "\n"), lambda x: F.length(x) > 20), "\n\n")
     meta = page_meta(page)
     return first_filled(F.when(F.length(joined) > least, joined), F.when(F.length(lines) > least, lines), meta["og:description"], meta["description"])
@@ -228,6 +292,49 @@ def image_of(page: Column, base: str, content_classes: Sequence[str] = ("entry-c
     return absolute_link(first_filled(meta["og:image"], meta["twitter:image"], inside(content_classes), inside(hero_classes), any_), base)
 
 
+def image_chain(page: Column, address: str, blocks: Sequence[str] = IMAGE_BLOCKS, missing: str = "N/A") -> Column:
+    """The first valid one of: og:image, twitter:image, the first image in each block; each made absolute first."""
+    from feedwright.functions.text import joined_link
+
+    images, meta = page_images(page), page_meta(page)
+    first = lambda block: F.get(F.filter(images, lambda x: F.array_contains(x["classes"], block)), 0)["src"]
+    tries = F.array(*[F.coalesce(c, F.lit("")) for c in (meta["og:image"], meta["twitter:image"], *map(first, blocks))])
+    whole = F.transform(F.filter(tries, lambda t: t != ""), lambda t: F.when(F.startswith(t, F.lit("//")), F.concat(F.lit("https:"), t)).otherwise(joined_link(t, address)))
+    return F.coalesce(F.get(F.filter(whole, valid_image_url), 0), F.lit(missing))
+
+
+def article_parts(page: Column, layout: Layout, address: str) -> dict[str, Column]:
+    """title, summary, image, date_text and date_source of an article page by its outlet's layout.
+
+    The date text is the first meta date there is, else the first JSON-LD date, else the text of the
+    first paragraph of the layout's date class."""
+    meta = page_meta(page)
+    tries = [(meta[name], f"Meta tag: {name}") for name in layout.dates]
+    tries += [(json_ld_date(page), "JSON-LD: datePublished")] if layout.json_ld else []
+    if layout.date_class:
+        tries.append((F.get(F.filter(page_paragraphs(page), lambda p: F.array_contains(p["classes"], layout.date_class)), 0)["text"], f"Article page: {layout.date_class}"))
+    source = F.lit("N/A")
+    for text, name in reversed(tries):
+        source = F.when(F.coalesce(text, F.lit("")) != "", F.lit(name)).otherwise(source)
+    return {"title": title_of(page), "summary": body_text(page, layout.bodies, layout.paragraph_least, layout.least, layout.exclude), "image": image_chain(page, address, layout.images),
+            "date_text": first_filled(*[t for t, _ in tries], F.lit("")), "date_source": source}
+
+
+def list_links(page: Column, layout: Layout) -> Column:
+    """Links of a list page: those inside the layout's first list root that has any, else all outside page chrome."""
+    every = page_links(page)
+
+    def under(root: str) -> Column:
+        field = "classes" if root.startswith(".") else "tags"
+        return F.filter(every, lambda x: F.array_contains(x[field], root.lstrip(".")))
+
+    out = content_links(page)
+    for root in reversed(layout.roots):
+        inside = under(root)
+        out = F.when(F.size(inside) > 0, F.array_distinct(F.transform(inside, lambda x: F.regexp_replace(x["href"], r"(?s)[?#].*$", "")))).otherwise(out)
+    return out
+
+
 def first_image_src(markup: Column) -> Column:
     return strip(first_filled(F.regexp_extract(markup, r"(?i)<img[^>]+src=[\"']([^\"']+)[\"']", 1), F.regexp_extract(markup, r"(?i)<img[^>]+data-src=[\"']([^\"']+)[\"']", 1)))
 
@@ -295,7 +402,7 @@ class Cards(HTMLParser):
             if tag == "a" and not card["link"]:
                 card["link"] = a.get("href", "")
             if tag == "img" and not card["image"]:
-                card["image"] = a.get("src") or a.get("data-src") or ""
+                card["image"] = a.get("src") or a.get("data-src") or a.get("data-original") or ""
         if tag not in _VOID:
             self.stack.append((tag, classes))
 

@@ -129,6 +129,26 @@ def absolute_link(href: Column, base: str) -> Column:
     ).otherwise(href)
 
 
+def joined_link(href: Column, page: str) -> Column:
+    """href as a page of the address `page` means it: with a scheme, without one (//host), from the root, or
+    relative to the page's folder, ./ and ../ resolved; empty is the page itself."""
+    scheme, rest = page.split("://", 1)
+    host, _, path = rest.partition("/")
+    folder = "/" + path.rpartition("/")[0].strip("/")
+    root = f"{scheme}://{host}"
+    tail = F.regexp_extract(href, r"(?s)([?#].*)$", 1)
+    steps = F.split(F.concat(F.lit(folder.rstrip("/") + "/"), F.regexp_replace(href, r"(?s)[?#].*$", "")), "/")
+    walked = F.aggregate(F.slice(steps, F.lit(2), F.size(steps)), F.array().cast("array<string>"), lambda kept, s: F.when(
+        s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(s == ".", kept).otherwise(F.concat(kept, F.array(s))))
+    slash = F.when(F.rlike(href, F.lit(r"(^|/)\.\.?/?$")) & ~F.endswith(href, F.lit("/")), "/").otherwise("")
+    relative = F.concat(F.lit(root + "/"), F.array_join(walked, "/"), slash, tail)
+    query = F.concat(F.lit(f"{root}/{path.partition('?')[0].partition('#')[0]}"), href)
+    return (
+        F.when(href == "", F.lit(page)).when(F.rlike(href, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:")), href).when(F.startswith(href, F.lit("//")), F.concat(F.lit(f"{scheme}:"), href))
+        .when(F.startswith(href, F.lit("/")), F.concat(F.lit(root), href)).when(F.rlike(href, F.lit("^[?#]")), query).otherwise(relative)
+    )
+
+
 def content_hash(title: Column, summary: Column) -> Column:
     return F.sha2(F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.coalesce(summary, F.lit(""))), 256)
 

@@ -122,6 +122,25 @@ def page_level_stop(rows: DataFrame, keys: Sequence[str], page: str, inside: Col
     return rows.join(stop, list(keys), "left").where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
 
 
+def newest_by_date(feed: DataFrame, keys: Sequence[str], date: str = "date", pos: str = "pos") -> DataFrame:
+    """Number a feed by its date strings, the latest first; equal and missing dates keep their order, missing ones last."""
+    order = [F.desc(F.coalesce(date, F.lit(""))), F.asc(pos)]
+    return feed.withColumn(pos, (F.row_number().over(_over(keys, order)) - 1).cast(feed.schema[pos].dataType))
+
+
+#: Links that a list page gives at most.
+LIST_LIMIT = 40
+
+
+def list_head(links: DataFrame, keys: Sequence[str], pos: str = "pos", limit: int = LIST_LIMIT) -> DataFrame:
+    return cap(links, keys, [pos], limit)
+
+
+def distinct_raw_links(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str], link: str = "link") -> DataFrame:
+    """The first of each link as it is written, across the pages of a date-range run."""
+    return first_wins(rows, [*keys, link], order)
+
+
 def newest_first(feed: DataFrame, keys: Sequence[str], ident: str, pos: str = "pos") -> DataFrame:
     """Number an oldest-first feed the other way round: its first id is below its last, neither is 0, and there are two rows or more."""
     ends = feed.groupBy(*keys).agg(F.min_by(ident, pos).alias("_first"), F.max_by(ident, pos).alias("_last"), F.count("*").alias("_n"), F.max(pos).alias("_max"))

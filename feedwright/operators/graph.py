@@ -5,29 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedwright.operators.skew import dealt
 from feedwright.storage import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each end of an edge is connected to.
 
-    edges: (a long, b long), in any direction, repeated or not.  Labels and edges
-    stay distributed; each round is written to the shared folder, and the one
-    before is deleted.  The rounds grow with the logarithm of the longest path.
-    A hub's rows are combined before the shuffle; joins on a hub are split by
-    adaptive execution.
+    edges: (a, b), nodes of any one type that has an order, in any direction, repeated or not.
+    Labels and edges stay distributed; each round is written to the shared folder, and the one
+    before is deleted.  The rounds grow with the logarithm of the longest path.  A hub's rows are
+    combined before the shuffle, and what waits for the label of a hub, or for the root of a label
+    that many nodes have, is dealt into salted parts.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
     both = materialize(both, "edges")
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")), "labels")
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("of_b"))
+        near = dealt(both, of_b, ["b"], "a").groupBy(F.col("a").alias("node")).agg(F.min("of_b").alias("near"))
         lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         lower = materialize(lower, "lower")
-        root = lower.select(F.col("node").alias("at"), F.col("label").alias("root"))
-        after = lower.join(root, lower.label == root["at"], "left").select(
-            "node", F.coalesce("root", "label").alias("label"), "old"
-        )
+        # Every label is a node, so each has a root; its nodes get it in parts.
+        asked = lower.select("label").distinct()
+        roots = asked.join(lower.select(F.col("node").alias("label"), F.col("label").alias("root")), "label")
+        after = dealt(lower, roots, ["label"], "node").select("node", F.col("root").alias("label"), "old")
         after = materialize(after, "labels")
         discard(lower)
         discard(labels)

@@ -39,6 +39,16 @@ def migrate_global(state: DataFrame, keys: DataFrame) -> DataFrame:
     return state.join(new.select("outlet_id", "section"), ["outlet_id", "section"], "left_anti").unionByName(new)
 
 
+def migrate_by_url(state: DataFrame, section: Column) -> DataFrame:
+    """Give an outlet that has no section yet the one that its global link's address names.
+
+    section: of the column `link`, null where the address names none."""
+    having = _sections(state).select("outlet_id").distinct()
+    source = _globals(state).where("coalesce(link, '') <> ''").join(having, "outlet_id", "left_anti")
+    new = source.withColumn("section", section).where("section IS NOT NULL")
+    return state.unionByName(new.select(*state.columns))
+
+
 def clear_global_bleed(state: DataFrame) -> DataFrame:
     """Drop the sections that repeat the global link, where two or more do."""
     g = _globals(state).select("outlet_id", normalize_link(F.col("link")).alias("_g")).where("_g <> ''")
@@ -107,10 +117,11 @@ def repair_links(state: DataFrame, repaired: Column) -> DataFrame:
 
 
 def checkpoint_title(links: DataFrame, emitted: DataFrame, sections: DataFrame, stored: DataFrame) -> DataFrame:
-    """links (norm) with a title: from the new rows, then the section's own, then the stored batch (each norm, title)."""
+    """links (norm) with a title: from the new rows, then the section's own, then the stored batch (each norm, title
+    and, if it has an order, pos: the first title of a link wins, without an order the least)."""
     out = links
     for i, side in enumerate((emitted, sections, stored)):
-        out = out.join(side.groupBy("norm").agg(F.first("title", ignorenulls=True).alias(f"_t{i}")), "norm", "left")
+        out = out.join(side.groupBy("norm").agg(F.min_by("title", F.when(F.col("title").isNotNull(), F.col("pos") if "pos" in side.columns else F.col("title"))).alias(f"_t{i}")), "norm", "left")
     return out.withColumn("title", first_filled(F.col("_t0"), F.col("_t1"), F.col("_t2"))).drop("_t0", "_t1", "_t2")
 
 

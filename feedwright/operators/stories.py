@@ -55,6 +55,49 @@ def merged_stories(grouped: DataFrame) -> DataFrame:
         (F.max(F.coalesce("base_importance", F.lit(1))) + F.countDistinct("source") - 1).cast("long").alias("importance"))
 
 
+#: Own rules: words that name a category, in the order in which they are tried, and its base importance.
+CATEGORIES = (
+    ("politics", 4, ("election", "parliament", "president", "minister", "cabinet")),
+    ("economy", 3, ("economy", "inflation", "budget", "tax", "bank", "rupee")),
+    ("sports", 2, ("cricket", "match", "tournament", "rugby")),
+)
+
+
+def categorised(articles: DataFrame, rules=CATEGORIES, title: str = "title", other: str = "general", base: int = 1) -> DataFrame:
+    """articles with category, tags and base_importance (1 to 5) by the words of the title: the first rule that
+    has one of them; tags are the words of all rules that the title has, sorted."""
+    words = tokens(F.col(title))
+    category, importance = F.lit(other), F.lit(base)
+    for name, weight, needles in reversed(rules):
+        hit = F.arrays_overlap(words, F.array(*map(F.lit, needles)))
+        category, importance = F.when(hit, F.lit(name)).otherwise(category), F.when(hit, F.lit(weight)).otherwise(importance)
+    every = F.array(*[F.lit(n) for _, _, needles in rules for n in needles])
+    return articles.withColumns({"category": category, "tags": F.array_sort(F.array_intersect(words, every)), "base_importance": importance})
+
+
+#: A claim is a sentence with a figure or a report in it (own rule).
+CLAIM = r"(?i)(\d|\bsaid\b|\bsays\b|\bannounced\b|\baccording to\b)"
+
+
+def claims(articles: DataFrame, text: str = "text", pattern: str = CLAIM) -> DataFrame:
+    """(id, pos, claim): the sentences of each text that state something to check, in order."""
+    sentences = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "), r"(?<=[.!?]) ")
+    every = articles.select("id", F.posexplode(sentences).alias("pos", "claim")).where(F.rlike("claim", F.lit(pattern)))
+    return every.select("id", "pos", F.trim("claim").alias("claim"))
+
+
+def distinct_claims(found: DataFrame) -> DataFrame:
+    """(claim, first_id, n): equal claims, letter case and end marks aside, once, with the least id that makes it."""
+    key = F.lower(F.regexp_replace("claim", r"[.!?]+$", ""))
+    one = F.min(F.struct("id", "pos", "claim")).alias("first")
+    return found.groupBy(key.alias("_key")).agg(one, F.count("*").alias("n")).select(F.col("first.claim").alias("claim"), F.col("first.id").alias("first_id"), "n")
+
+
+def in_language(rows: DataFrame, language: str) -> DataFrame:
+    """Rows tagged with the language they are in."""
+    return rows.withColumn("language", F.lit(language))
+
+
 def with_translations(articles: DataFrame, translations: DataFrame) -> DataFrame:
     """Titles and texts in translation where there is one; translated says so."""
     t = translations.select("id", F.col("title").alias("_t"), F.col("text").alias("_x"))

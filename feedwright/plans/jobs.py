@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.functions.text import article_id, composite_key, normalize_link, story_id
+from feedwright.functions.text import article_id, composite_key, normalize_link, story_id, title_key
 from feedwright.operators import feeds
 from feedwright.sources.registry import Outlet
 
@@ -17,52 +17,94 @@ CAP_BOOTSTRAP, CAP_RUN = 5, 15
 
 @dataclass
 class Run:
+    """What a run emits, and the checkpoints after it; without anything listed both are as before and
+    nothing is to be written."""
+
     emitted: DataFrame
     checkpoints: DataFrame
+    write: bool = True
+
+
+def numeric_id(outlet: Outlet, link: Column) -> Column | None:
+    """The number of a link, 0 if it has none; null where an outlet's links aren't numbered."""
+    return {"story_id": story_id, "article_id": article_id}[outlet.key](link) if outlet.key in ("story_id", "article_id") else None
+
+
+def _suffix(outlet: Outlet) -> str:
+    return outlet.display_name.replace(" ", "")
 
 
-def feed_key(outlet: Outlet):
-    """What a link is known by."""
+def feed_key(outlet: Outlet) -> Column:
+    """What a link is known by.  A link without a number is known by its address, so two of them are two articles."""
     link, title = F.col("link"), F.coalesce(F.col("title"), F.lit(""))
-    if outlet.key == "story_id":
-        return story_id(link).cast("string")
-    if outlet.key == "article_id":
-        return article_id(link).cast("string")
+    number = numeric_id(outlet, link)
+    if number is not None:
+        return F.when(number > 0, number.cast("string")).otherwise(normalize_link(link))
     if outlet.key == "composite":
-        return composite_key(link, title, outlet.homepage_url.split("://")[1].removeprefix("www."), outlet.display_name.replace(" ", ""))
+        return composite_key(link, title, outlet.homepage_url.split("://")[1].removeprefix("www."), _suffix(outlet))
     return normalize_link(link)
 
 
+def _titled(df: DataFrame) -> DataFrame:
+    return df if "title" in df.columns else df.withColumn("title", F.lit(None).cast("string"))
+
+
 def incremental_run(outlet: Outlet, feed: DataFrame, checkpoints: DataFrame, known: DataFrame, bootstrap: bool = False) -> Run:
-    """feed: outlet_id, section, section_ord, pos, link, title, valid; checkpoints: outlet_id, section, link;
-    known: link.  Boundaries, promos, first-wins and caps as the outlet is configured; numeric keys
-    also stop at ids below the checkpoint's (0 is no id)."""
+    """feed: outlet_id, section, section_ord, pos, link, title, valid; checkpoints: outlet_id, section, link
+    and, if known, title; known: link and, if known, title.  Boundaries, promos, first-wins and caps as
+    the outlet is configured; numeric keys also stop at ids below the checkpoint's (0 is no id and never
+    stops); composite keys also stop at the checkpoint's title.  A section whose head is a boundary has
+    caught up and keeps its checkpoint."""
     rows = feed.withColumn("norm", feed_key(outlet))
     if outlet.capped == "run":  # one list: sections don't matter
         rows = rows.withColumn("section_ord", F.lit(0))
     if outlet.promos:
         rows = feeds.without_promos(rows)
-    keyed = checkpoints.withColumn("title", F.lit(None).cast("string")).select("outlet_id", "section", feed_key(outlet).alias("cp"), F.col("link").alias("checkpoint"))
-    seen = known.withColumn("title", F.lit(None).cast("string")).select(feed_key(outlet).alias("norm")).distinct().withColumn("is_known", F.lit(True))
+    keyed = _titled(checkpoints).select("outlet_id", "section", feed_key(outlet).alias("cp"), F.col("link").alias("cp_link"), F.col("title").alias("cp_title"))
+    seen = _titled(known).select(feed_key(outlet).alias("norm")).distinct().withColumn("is_known", F.lit(True))
     rows = rows.join(keyed, ["outlet_id", "section"], "left")
     if outlet.on_known == "skip":
         rows = rows.join(seen, "norm", "left_anti").withColumn("is_known", F.lit(None).cast("boolean"))
     else:
         rows = rows.join(seen, "norm", "left")
     hit = feeds.boundary_reason(F.col("norm"), F.col("cp"), F.col("is_known")).isNotNull()
-    if outlet.key in ("story_id", "article_id"):
-        n, at = F.col("norm").cast("long"), F.col("cp").cast("long")
-        hit = ((n > 0) & (hit | F.coalesce((at > 0) & (n <= at), F.lit(False))))
+    n = numeric_id(outlet, F.col("link"))
+    if n is not None:
+        at = numeric_id(outlet, F.col("cp_link"))
+        hit = (n > 0) & (hit | F.coalesce((at > 0) & (n <= at), F.lit(False)))
+    if outlet.key == "composite":
+        said = F.coalesce("cp_title", F.lit(""))
+        hit = hit | ((said != "") & (title_key(F.col("title"), _suffix(outlet)) == title_key(said, _suffix(outlet))))
     rows = rows.withColumn("boundary", F.coalesce(hit, F.lit(False)))
     limit = CAP_BOOTSTRAP if bootstrap else CAP_RUN
     folded = feeds.emit_fold(rows, limit)
     place = ["outlet_id", "section_ord", "pos", "norm"]
-    emitted = rows.join(folded, place, "left_semi") if outlet.capped != "run" else rows.join(folded, place, "left_semi")
-    advanced = feeds.advance_checkpoint(
-        rows, emitted, checkpoints.select("outlet_id", "section", F.col("link").alias("checkpoint")), F.col("boundary"), ["outlet_id", "section"], outlet.rule)
+    emitted = rows.join(folded, place, "left_semi")
+    k = ["outlet_id", "section"]
+    old = checkpoints.select(*k, F.col("link").alias("checkpoint"))
+    advanced = feeds.advance_checkpoint(rows, emitted, old, F.col("boundary"), k, outlet.rule)
+    kept = feeds.caught_up(rows, F.col("boundary"), k).where("caught_up").select(*k).join(old, k)
+    advanced = advanced.join(kept.withColumnRenamed("checkpoint", "_kept"), k, "left").select(*k, F.coalesce("_kept", "link").alias("link"))
     return Run(emitted.select(*feed.columns), advanced)
 
 
+def interleaved_run(outlet: Outlet, feed: DataFrame, section: Column, sections: Sequence[str], checkpoints: DataFrame, known: DataFrame, bootstrap: bool = False) -> Run:
+    """incremental_run() of one feed whose links tell their sections: each section stops and is capped on
+    its own, in the order of the feed; links of no section are dropped.
+
+    feed: outlet_id, pos, link, title, valid."""
+    place = F.array_position(F.array(*map(F.lit, sections)), F.col("section")) - 1
+    rows = feed.withColumn("section", section).where(F.col("section").isin(*sections)).withColumn("section_ord", place.cast("int"))
+    return incremental_run(outlet, rows, checkpoints, known, bootstrap)
+
+
+def run_or_keep(outlet: Outlet, feed: DataFrame, checkpoints: DataFrame, known: DataFrame, bootstrap: bool = False) -> Run:
+    """incremental_run(), unless all lists are empty, which is a failure: then state and data stay as they are."""
+    if feed.isEmpty():
+        return Run(feed, checkpoints.select("outlet_id", "section", "link"), write=False)
+    return incremental_run(outlet, feed, checkpoints, known, bootstrap)
+
+
 @dataclass
 class Outcome:
     outlet_id: str
@@ -83,6 +125,17 @@ def run_outlets(outlets: Sequence[Outlet], run: Callable[[Outlet], int], start_f
     return out
 
 
+def run_dates(outlets: Sequence[Outlet], command: Callable[[Outlet, str, str], int], start: str, end: str, names: Sequence[str] | None = None) -> list[Outcome]:
+    """A date-range run, each outlet in a process or session of its own: command gives an exit code, and
+    one that isn't 0 is that outlet's failure."""
+    chosen = [o for o in outlets if not names or o.id in names]
+    out = []
+    for o in chosen:
+        code = command(o, start, end)
+        out.append(Outcome(o.id, 0, None if code == 0 else f"exit code {code}"))
+    return out
+
+
 def summary(outcomes: Sequence[Outcome]) -> tuple[list[str], list[str], int]:
     """Succeeded ids, failed ids and the exit code: 0 only if none failed."""
     failed = [o.outlet_id for o in outcomes if o.error is not None]

@@ -11,6 +11,7 @@ from feedwright.functions.dates import parse_rfc822, written
 from feedwright.functions.html import first_image_src, unescape, until_promo, without_boilerplate
 from feedwright.functions.text import feed_link, first_filled, strip
 from feedwright.operators.state import CHECKPOINT
+from feedwright.sources.registry import NO_BATCH, Outlet
 
 ARTICLE = ("title string, link string, summary string, description string, date string, image_url string, date_source string, "
            "section string, author string, rss_categories array<string>, guid string")
@@ -88,6 +89,37 @@ def post_items(documents: DataFrame, body: str = "body", as_of: Column | None =
     ).where("link <> ''")
 
 
+def existing_batches(spark: SparkSession, folder: str, names: Sequence[str]) -> list[str]:
+    """The paths of those files that are there; missing ones are skipped, and so are files that are no batches."""
+    jvm = spark._jvm
+    out = []
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}")
+        named = name.endswith(".json") and not any(part in name for part in NO_BATCH)
+        if named and path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+            out.append(str(path))
+    return out
+
+
+def read_outlets(spark: SparkSession, folder: str, targets: Sequence[Outlet]) -> DataFrame:
+    """Article rows of the outlets' batch files with outlet_id and outlet_ord, the order of the targets."""
+    paths = existing_batches(spark, folder, [o.data_file for o in targets])
+    if not paths:
+        return spark.createDataFrame([], "data_file string, pos int, " + ARTICLE + ", raw_payload string, outlet_id string, outlet_ord int")
+    by_file = spark.createDataFrame([(o.data_file, o.id, i) for i, o in enumerate(targets)], "data_file string, outlet_id string, outlet_ord int")
+    return read_batches(spark, paths).join(F.broadcast(by_file), "data_file")  # a row per outlet
+
+
+def source_order(ci: bool) -> tuple[str, str]:
+    """Which reading of a feed comes first: the feed itself on CI, list pages elsewhere; the other is the fallback."""
+    return ("feed", "pages") if ci else ("pages", "feed")
+
+
+def by_preference(feed: DataFrame, pages: DataFrame, ci: bool, keys: Sequence[str] = ("outlet_id",)) -> DataFrame:
+    named = {"feed": feed, "pages": pages}
+    return preferred_source(*[named[n] for n in source_order(ci)], keys=keys)
+
+
 def preferred_source(*sources: DataFrame, keys: Sequence[str] = ("outlet_id",)) -> DataFrame:
     """Of several readings of the same feeds, each feed's first that has rows."""
     every = None
@@ -113,3 +145,12 @@ def page_urls(feeds: DataFrame, pages: int, style: str = "path", step: int = 30)
     url = F.regexp_replace("url", r"/+$", "")
     shape = {"path": F.concat(url, F.lit("/page/"), F.col("page"), F.lit("/")), "query": F.concat(url, F.lit("?page="), F.col("page")), "offset": F.concat(url, F.lit("/"), (F.col("page") - 1) * step)}[style]
     return feeds.withColumn("page", n).withColumn("page_url", F.when(F.col("page") == 1, F.col("url")).otherwise(shape))
+
+
+#: Pages that a paginated list is followed for at most, by the shape of its addresses (fixed values).
+MAX_PAGES = {"query": 8, "offset": 10, "path": 20}
+
+
+def paginated(feeds: DataFrame, style: str) -> DataFrame:
+    """page_urls() up to the most pages of that shape."""
+    return page_urls(feeds, MAX_PAGES[style], style)

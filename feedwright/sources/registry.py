@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +53,26 @@ BY_ID = {o.id: o for o in OUTLETS}
 NO_BATCH = ("_checkpoint", "_translated_en", "_archive", "discarded_links")
 
 
+#: Other names of outlets (fixed values).
+ALIASES = {"ft": "ftlk", "observer": "sundayobserver"}
+
+
+def canonical_name(name: str) -> str:
+    """The id that a name on a command line stands for: any case, with or without the endings of a script."""
+    key = name.lower().removesuffix(".py").removesuffix("_selenium_json")
+    return ALIASES.get(key, key)
+
+
+def unknown_names(names: Sequence[str]) -> list[str]:
+    return [n for n in names if canonical_name(n) not in BY_ID]
+
+
+def aliases(spark: SparkSession) -> DataFrame:
+    """(alias, id): every outlet under its id and its other names."""
+    rows = [(o.id, o.id) for o in OUTLETS] + sorted(ALIASES.items())
+    return spark.createDataFrame(rows, "alias string, id string")
+
+
 def outlets(spark: SparkSession) -> DataFrame:
     """The outlet dimension, 17 rows: small by construction, so joins may broadcast it."""
     rows = [(i, o.id, o.display_name, o.language, o.homepage_url, True, o.data_file, o.runs_on) for i, o in enumerate(OUTLETS)]
@@ -58,8 +80,11 @@ def outlets(spark: SparkSession) -> DataFrame:
 
 
 def resolve_targets(spark: SparkSession, ids: list[str] | None = None, runs_on: str | None = None) -> DataFrame:
-    """An explicit list, in its order, beats runs_on, which beats all; unknown ids are left out."""
+    """An explicit list, in its order, beats runs_on, which beats all; unknown ids are left out, with a warning."""
     if ids:
+        if lost := unknown_names(ids):
+            warnings.warn(f"no outlets of these names: {', '.join(lost)}", stacklevel=2)
+        ids = [canonical_name(i) for i in ids]
         wanted = spark.createDataFrame([(i, x) for i, x in enumerate(dict.fromkeys(ids))], "target_ord int, id string")
         return outlets(spark).join(F.broadcast(wanted), "id")
     every = outlets(spark).withColumn("target_ord", F.col("ord"))

@@ -1,65 +1,148 @@
 """Sinks: replace, merge, keyed upsert and run audit.
 
-A table is a folder of versions and a pointer: a version is written whole, then
-the pointer moves, so nothing is overwritten while it is read, and a run that
-dies leaves the old version in place.
+A table is a folder of parts and a sequence of pointers, each naming the parts
+of one version.  Parts are written whole, then the next pointer is created, so
+nothing is overwritten while it is read, a run that dies leaves the old version
+in place, and of two writers with the same turn one succeeds and one is told.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedwright.functions.text import normalize_link
 
 ARCHIVE_LIMIT = 2000
+#: Times a write is tried, and parts of a table before an upsert gathers them.
+ATTEMPTS = 3
+COMPACT_AT = 16
+
+T = TypeVar("T")
+
+
+class TurnTaken(RuntimeError):
+    """Another writer has made this version's successor: read again and try again."""
+
+
+def retried(action: Callable[[], T], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep) -> T:
+    """action(), again after 2, 4, ... seconds if it fails; the last failure is raised."""
+    for attempt in range(1, attempts + 1):
+        try:
+            return action()
+        except Exception:  # noqa: BLE001  whatever a store raises may pass
+            if attempt == attempts:
+                raise
+            sleep(2**attempt)
+    raise AssertionError("unreachable")
 
 
 class VersionedTable:
-    """Parquet versions under one path, readable by any Hadoop file system."""
+    """Parquet parts under one path, readable by any Hadoop file system."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._at = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
+        self._jvm = spark._jvm
+        self._at = lambda *parts: self._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
         self._fs = self._at().getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
-    def _pointers(self) -> list[str]:
+    def _pointers(self) -> list[tuple[int, dict]]:
+        """(turn, version) of the pointers; one whose writer died before it was filled doesn't count."""
         where = self._at("_pointers")
         if not self._fs.exists(where):
             return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(where))
+        out = []
+        for name in sorted(s.getPath().getName() for s in self._fs.listStatus(where)):
+            stream = self._fs.open(self._at("_pointers", name))
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            out.append((int(name), json.loads(text) if text else {}))
+        return out
+
+    def _current(self) -> tuple[int, dict]:
+        names = self._pointers()
+        filled = [v for _, v in names if v]
+        return (names[-1][0] if names else -1), (filled[-1] if filled else {"key": None, "parts": []})
+
+    def _commit(self, turn: int, version: dict) -> None:
+        try:
+            stream = self._fs.create(self._at("_pointers", f"{turn:012d}"), False)
+        except Py4JJavaError as e:
+            raise TurnTaken(f"turn {turn} of {self.path} is taken") from e
+        stream.writeBytes(json.dumps(version))
+        stream.close()
+
+    def _write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
+        part = f"v-{uuid.uuid4().hex}"
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        writer.parquet(f"{self.path}/{part}")
+        return part
 
     def read(self, schema: str | None = None) -> DataFrame:
-        """The current version; an empty table of the schema before the first."""
-        names = self._pointers()
-        if not names:
+        """The current version; an empty table of the schema before the first.
+
+        Of an upserted table's parts, a later one's row stands for its key.  The first part, the
+        history, is only anti-joined with the keys of the later ones, which are few."""
+        version = self._current()[1]
+        parts = [self.spark.read.parquet(f"{self.path}/{p}") for p in version["parts"]]
+        if not parts:
             return self.spark.createDataFrame([], schema or "url string")
-        return self.spark.read.parquet(f"{self.path}/{names[-1].partition('-')[2]}")
+        if len(parts) == 1:
+            return parts[0]
+        key, columns = version["key"], parts[0].columns
+        later = parts[1].withColumn("_turn", F.lit(1))
+        for i, part in enumerate(parts[2:], 2):
+            later = later.unionByName(part.withColumn("_turn", F.lit(i)))
+        w = Window.partitionBy(key).orderBy(F.desc("_turn"))
+        last = later.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*columns)
+        return parts[0].join(last.select(key), key, "left_anti").select(*columns).unionByName(last)
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(f"{self.path}/{version}") if partition_by else df.write.parquet(f"{self.path}/{version}")
-        names = self._pointers()
-        turn = int(names[-1].partition("-")[0]) + 1 if names else 0
-        self._fs.create(self._at("_pointers", f"{turn:012d}-{version}")).close()
+        turn = self._current()[0]
+        self._commit(turn + 1, {"key": None, "parts": [self._write(df, partition_by)]})
+
+    def upsert(self, new: DataFrame, key: str = "url", order: Sequence[Column | str] = (), compact_at: int = COMPACT_AT) -> None:
+        """The rows of new in place of those of the same key; of equal keys in new the last by `order` wins.
+
+        Only the new rows are written; when there are compact_at parts they become one."""
+        turn, version = self._current()
+        part = self._write(last_by_key(new, key, order))
+        self._commit(turn + 1, {"key": key, "parts": [*version["parts"], part]})
+        if len(version["parts"]) + 1 >= compact_at:
+            turn, version = self._current()
+            self._commit(turn + 1, {"key": key, "parts": [self._write(self.read())]})
 
     def vacuum(self, keep: int = 2) -> None:
-        """Delete all but the last versions."""
-        for name in self._pointers()[:-keep]:
-            self._fs.delete(self._at(name.partition("-")[2]), True)
-            self._fs.delete(self._at("_pointers", name), False)
+        """Delete all but the last pointers, and the parts that no pointer left names."""
+        every = self._pointers()
+        old, kept = every[:-keep], every[-keep:]
+        for turn, _ in old:
+            self._fs.delete(self._at("_pointers", f"{turn:012d}"), False)
+        live = {p for _, v in kept for p in v.get("parts", ())}
+        for part in {p for _, v in old for p in v.get("parts", ())} - live:
+            self._fs.delete(self._at(part), True)
+
+
+def last_by_key(new: DataFrame, key: str, order: Sequence[Column | str] = ()) -> DataFrame:
+    """Of each key the last row by `order`."""
+    if not order:
+        return new.dropDuplicates([key])
+    w = Window.partitionBy(key).orderBy(*[F.desc(o) if isinstance(o, str) else o for o in order])
+    return new.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
 def upserted(current: DataFrame, new: DataFrame, key: str = "url", order: Sequence[Column | str] = ()) -> DataFrame:
     """current with the rows of new in place of those of the same key; of equal keys in new the last by `order` wins.
 
     Old rows are only anti-joined: the wide history isn't sorted."""
-    w = Window.partitionBy(key).orderBy(*[F.desc(o) if isinstance(o, str) else o for o in order]) if order else None
-    last = new.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n") if w is not None else new.dropDuplicates([key])
+    last = last_by_key(new, key, order)
     return current.join(last.select(key), key, "left_anti").select(*current.columns).unionByName(last.select(*current.columns))
 
 
@@ -81,6 +164,33 @@ RUNS = ("id string, run_type string, status string, started_at timestamp, finish
         "error_message string, github_run_id string, metadata string")
 
 
+def archive_checkpoint(archive: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, link, title): what a merged archive makes the checkpoint, its first row."""
+    first = F.min_by(F.struct("link", "title"), "pos")
+    return (archive.groupBy(*keys) if keys else archive.groupBy()).agg(first.alias("v")).where("v IS NOT NULL").select(*keys, "v.*")
+
+
+#: Defaults of a run (fixed values).
+RUN_DEFAULTS = {"run_type": "scrape", "status": "running", "articles_in": 0, "articles_out": 0, "metadata": "{}"}
+
+
+def with_run_defaults(rows: DataFrame, now: Column) -> DataFrame:
+    """Rows of runs with what is missing, a column or a value, at its default."""
+    out = rows
+    for field in RUNS.split(", "):
+        name, kind = field.split()
+        value = F.col(name).cast(kind) if name in rows.columns else F.lit(None).cast(kind)
+        default = now if name == "started_at" else F.lit(RUN_DEFAULTS.get(name)).cast(kind)
+        out = out.withColumn(name, F.coalesce(value, default))
+    return out.select(*[f.split()[0] for f in RUNS.split(", ")])
+
+
+def with_runs(articles: DataFrame, runs: DataFrame) -> DataFrame:
+    """articles with the status and times of the run that wrote them; null for rows of no run."""
+    side = runs.select(F.col("id").alias("scrape_run_id"), F.col("status").alias("run_status"), F.col("started_at").alias("run_started_at"), F.col("finished_at").alias("run_finished_at"))
+    return articles.join(side, "scrape_run_id", "left")
+
+
 def open_run(spark: SparkSession, run_id: str, started_at: Column, run_type: str = "scrape") -> DataFrame:
     return spark.range(1).select(
         F.lit(run_id).alias("id"), F.lit(run_type).alias("run_type"), F.lit("running").alias("status"), started_at.alias("started_at"),

@@ -13,19 +13,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedwright.functions.text import normalize_link
-from feedwright.sources.sinks import VersionedTable, upserted
+from feedwright.sources.sinks import VersionedTable, retried
 
 POLL = "600 seconds"
 
 
 def upsert_batches(stream: DataFrame, table: VersionedTable, checkpoint: str, schema: str, order: tuple[str, ...] = (), once: bool = True,
                    after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Upsert each micro-batch on url; empty batches write nothing.  after(batch, id) advances other state."""
+    """Upsert each micro-batch on url; empty batches write nothing.  after(batch, id) advances other state.
+
+    A batch writes its own rows only; a write that fails is tried again; versions before the last two go."""
+
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        table.replace(upserted(table.read(schema), batch, "url", order))
+        retried(lambda: table.upsert(batch.select(*names), "url", order))
+        table.vacuum()
         if after is not None:
             after(batch, batch_id)
 
