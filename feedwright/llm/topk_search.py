@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from feedwright.llm.common import discard, materialize
 
-PIVOTS = 128
+PIVOTS = 64
 #: Vectors that pivots are chosen from: a bounded sample, by a hash of the id.
 PIVOT_SAMPLE = 4096
 SCALE = 1024
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 8192
-#: Candidates that a query evaluates between two looks at its k-th score.
+#: Candidates that a query evaluates before its first look at its k-th score; each look waits for twice as many.
 STEP = 512
 #: Sums below this are exact in double precision.
 _EXACT_DOUBLE = 1 << 53
@@ -119,17 +119,20 @@ def search_block(qid, q, qp, least, xid, x, xp, k: int) -> tuple[list[tuple[int,
         upper = upper_bounds(q_float, qp[i], x_float, xp, max(norm, float(np.sqrt((q_float * q_float).sum()))))
         order = np.argsort(-upper, kind="stable")
         order = order[xid[order] != qid[i]]
-        found: list[tuple[int, int]] = []
-        for at in range(0, len(order), STEP):
-            known = [b for b in (-found[k - 1][0] if len(found) >= k else None, least[i]) if b is not None]
-            part = order[at : at + STEP]
+        ids, best, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, STEP
+        while at < len(order):
+            known = [int(b) for b in (best[k - 1] if len(best) >= k else None, least[i]) if b is not None]
+            part = order[at : at + step]
+            at, step = at + step, 2 * step
             if known:  # an equal bound goes on: a tie may have a smaller id
                 part = part[upper[part] >= float(max(known)) - _tolerance(max(known))]
                 if not len(part):
                     break
             evaluated += len(part)
-            found = sorted(found + [(-int(s), int(c)) for s, c in zip(scores(q[i], x[part]).tolist(), xid[part].tolist(), strict=True)])[:k]
-        out += [(int(qid[i]), c, -s) for s, c in found]
+            ids, best = np.concatenate([ids, xid[part]]), np.concatenate([best, scores(q[i], x[part])])
+            top = np.lexsort((ids, -best))[:k] if best.dtype != object else np.array(sorted(range(len(ids)), key=lambda j: (-best[j], ids[j]))[:k], np.int64)
+            ids, best = ids[top], best[top]
+        out += [(int(qid[i]), int(c), int(s)) for c, s in zip(ids, best, strict=True)]
     return out, evaluated
 
 
