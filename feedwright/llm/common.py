@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedwright.storage import discard, materialize, shared_dir
 
-__all__ = ["SLICE_BYTES", "discard", "materialize", "shared_dir", "table", "text_slices"]
+__all__ = ["SLICE_BYTES", "discard", "materialize", "own_key", "shared_dir", "table", "text_slices"]
 
 #: Text bytes that a Python worker hashes at once; bounds its memory.
 SLICE_BYTES = 2_000_000
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def own_key(doc_id: str, text: str) -> Column:
+    """A hash of a row's id and text: rows that share an id are told apart by it."""
+    return F.xxhash64(F.coalesce(doc_id, F.lit(-1).cast("long")), F.col(doc_id).isNull(), text)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds at most `limit` bytes of text, or one row."""
     for batch in batches:

@@ -10,7 +10,9 @@ by Bloom filters, so what travels beside them are the index keys themselves,
 without texts.  Lines that share a key are verified by a banded bit-parallel
 edit distance, after common ends are taken off.  A bucket with many lines isn't
 enumerated: lines near its hub are linked to it, and the others are split again
-by what the shared segment leaves over, until few lines share a bucket.
+by what the shared segment leaves over, until few lines share a bucket.  Two
+lines that agree with the hub in one segment meet in that segment's bucket, so
+in the buckets of later segments they are passed over.
 
 Everything here is DataFrame functions.
 """
@@ -23,15 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedwright.llm import bloom
-from feedwright.llm.common import discard, materialize
+from feedwright.llm.common import discard, materialize, own_key
 from feedwright.operators.graph import components
+from feedwright.operators.skew import dealt
 
 #: Edits between near lines, by the least length of the shorter one; below the first, lines are only equal.
 LINE_EDITS = ((20, 1), (40, 2), (100, 3))
 #: Lines of a bucket that are compared pair by pair.
-FEW_LINES = 8
-#: Ways the answer to a frequent key is dealt to the rows that wait for it.
-SALTS = 16
+FEW_LINES = 32
 
 
 def _within_edits_sql(a: str, b: str, k: int) -> str:
@@ -105,13 +106,21 @@ def keyed(lines: DataFrame, edits, moved: bool) -> DataFrame:
 
 
 def _rest_segments() -> Column:
-    """Entries of a rest, under the key it is in, the same way."""
+    """Entries of a rest, under the key it is in, the same way.
+
+    mask has a bit for each earlier segment, of this and of the levels before, in which the rest
+    agrees with its bucket's hub (hub_rest): lines that share a bit share that segment's bucket."""
     start = lambda i: f"cast(u.n * ({i}) div (k + 1) AS int)"
-    moves = "filter(sequence(greatest(-i, d - k + i), least(i, d + k - i)), s -> g.p + s >= 0 AND g.p + s + g.z <= u.n + d)"
-    segment = f"array(named_struct('p', {start('i')}, 'z', {start('i + 1')} - {start('i')}))"
-    entry = "named_struct('key', xxhash64(key, u.n, i, substring(rest, g.p + s + 1, g.z)), 'at', g.p + s, 'size', g.z, 'own', own AND s = 0)"
-    moved = f"flatten(transform({segment}, g -> transform({moves}, s -> {entry})))"
-    return F.explode(F.expr(f"flatten(transform(array(named_struct('n', length(rest) - d)), u -> flatten(transform(sequence(0, k), i -> {moved}))))"))
+    moves = lambda i: f"filter(sequence(greatest(-{i}, d - k + {i}), least({i}, d + k - {i})), s -> g.p + s >= 0 AND g.p + s + g.z <= u.n + d)"
+    segment = lambda i: f"array(named_struct('p', {start(i)}, 'z', {start(i + ' + 1')} - {start(i)}))"
+    agrees = f"transform(sequence(0, k), j -> exists({segment('j')}, g -> exists({moves('j')}, s -> substring(rest, g.p + s + 1, g.z) = substring(hub_rest, g.p + 1, g.z))))"
+    before = "aggregate(sequence(0, k), 0L, (m, j) -> CASE WHEN j < i AND v.agrees[j] THEN m | shiftleft(1L, j) ELSE m END)"
+    entry = ("named_struct('key', xxhash64(key, u.n, i, substring(rest, g.p + s + 1, g.z)), 'at', g.p + s, 'size', g.z, 'own', own AND s = 0, "
+             f"'mask', (shiftleft(mask, k + 1) | {before}) & {(1 << 62) - 1}L)")
+    moved = f"flatten(transform({segment('i')}, g -> transform({moves('i')}, s -> {entry})))"
+    with_n = "array(named_struct('n', length(rest) - d))"
+    told = f"flatten(transform({with_n}, u -> flatten(transform(array(named_struct('agrees', {agrees})), v -> flatten(transform(sequence(0, k), i -> {moved}))))))"
+    return F.explode(F.expr(told))
 
 
 def _without(line: str) -> Column:
@@ -120,10 +129,7 @@ def _without(line: str) -> Column:
 
 
 def _dealt(rows: DataFrame, answer: DataFrame, keys: list[str], by: str = "id") -> DataFrame:
-    """rows joined to one answer per key, in salted parts: no task has all the rows of a frequent key."""
-    salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
-    parts = answer.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", salt).join(parts, [*keys, "_salt"]).drop("_salt")
+    return dealt(rows, answer, keys, by)
 
 
 def _alignments(k: int, n: int, d: int) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
@@ -177,19 +183,19 @@ def near_lines(lines: DataFrame, edits=LINE_EDITS, max_slots: int = bloom.MAX_SL
     ids = level.select("id").distinct()
     found = bloom.where_in(lines.withColumn("_h", F.xxhash64("id")), ids.select(F.xxhash64("id").alias("key")), "_h", max_slots)
     texts = materialize(found.select("id", "line").dropDuplicates(["id"]), "texts")
-    level = level.join(texts, "id").select("id", "line", "key", "d", "k", "own", _without("line"), F.lit(False).alias("tied"))
+    level = level.join(texts, "id").select("id", "line", "key", "d", "k", "own", _without("line"), F.lit(False).alias("tied"), F.lit(0).cast("long").alias("mask"))
     level = materialize(level, "bucket")
     links: list[DataFrame] = []
     while True:
         sizes = level.groupBy("key").agg(
-            F.count("*").alias("c"), F.bool_or("own").alias("any_own"), F.min("tied").alias("all_tied"), F.max(F.length("rest") - F.col("d") - F.col("k")).alias("over")
+            F.count("*").alias("c"), F.bool_or("own").alias("any_own"), F.min("tied").alias("all_tied"), F.bit_and("mask").alias("met"), F.max(F.length("rest") - F.col("d") - F.col("k")).alias("over")
         )
-        sized = _dealt(level, sizes.where("c > 1 AND any_own AND NOT all_tied").drop("any_own", "all_tied"), ["key"])
+        sized = _dealt(level, sizes.where("c > 1 AND any_own AND NOT all_tied AND met = 0").drop("any_own", "all_tied", "met"), ["key"])
         few, tiny = F.expr(f"c <= {FEW_LINES}"), F.expr(f"c > {FEW_LINES} AND over <= 0")
         small, many = sized.where(few), sized.where(~few & ~tiny)
-        a = small.where("own").select("key", "k", F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("tied").alias("tied_a"))
-        b = small.select("key", F.col("id").alias("b"), F.col("own").alias("own_b"), F.col("line").alias("line_b"), F.col("tied").alias("tied_b"))
-        pairs = a.join(b, "key").where("a <> b AND (NOT own_b OR a < b) AND NOT (tied_a AND tied_b)")
+        a = small.where("own").select("key", "k", F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("tied").alias("tied_a"), F.col("mask").alias("mask_a"))
+        b = small.select("key", F.col("id").alias("b"), F.col("own").alias("own_b"), F.col("line").alias("line_b"), F.col("tied").alias("tied_b"), F.col("mask").alias("mask_b"))
+        pairs = a.join(b, "key").where("a <> b AND (NOT own_b OR a < b) AND NOT (tied_a AND tied_b) AND (mask_a & mask_b) = 0")
         pairs = pairs.select("a", "b", "line_a", "line_b", "k").dropDuplicates(["a", "b", "k"]).where(near("line_a", "line_b", "k", most)).select("a", "b")
         # So little is left that all index entries are near each other; a probe needs one of them.
         left = sized.where(tiny)
@@ -199,15 +205,15 @@ def near_lines(lines: DataFrame, edits=LINE_EDITS, max_slots: int = bloom.MAX_SL
         firsts = spelt.where("own").groupBy("key", "spelt").agg(F.min(F.struct("id", "line")).alias("b"))
         longer = _dealt(spelt.where("NOT own"), firsts, ["key", "spelt"]).where("id <> b.id").select(F.col("id").alias("a"), F.col("b.id").alias("b"), F.col("line").alias("line_a"), F.col("b.line").alias("line_b"), "k")
         longer = longer.dropDuplicates(["a", "b", "k"]).where(near("line_a", "line_b", "k", most)).select("a", "b")
-        hubs = many.where("own").groupBy("key").agg(F.min(F.struct(F.expr("NOT tied").alias("loose"), "id", "line")).alias("hub"))
-        met = _dealt(many, hubs, ["key"]).select("key", "id", "line", "d", "k", "own", "rest", "tied", F.col("hub.id").alias("hub"), F.col("hub.line").alias("hub_line"), F.col("hub.loose").alias("loose"))
+        hubs = many.where("own").groupBy("key").agg(F.min(F.struct(F.expr("NOT tied").alias("loose"), "id", "line", "rest")).alias("hub"))
+        met = _dealt(many, hubs, ["key"]).select("key", "id", "line", "d", "k", "own", "rest", "tied", "mask", F.col("hub.rest").alias("hub_rest"), F.col("hub.id").alias("hub"), F.col("hub.line").alias("hub_line"), F.col("hub.loose").alias("loose"))
         met = met.withColumn("by_hub", (F.col("id") == F.col("hub")) | near("hub_line", "line", "k", most))
-        met = materialize(met.select("key", "id", "line", "d", "k", "own", "rest", "hub", "by_hub", F.expr("by_hub OR (tied AND NOT loose)").alias("tied")), "hubs")
+        met = materialize(met.select("key", "id", "line", "d", "k", "own", "rest", "hub_rest", "mask", "hub", "by_hub", F.expr("by_hub OR (tied AND NOT loose)").alias("tied")), "hubs")
         spokes = met.where("by_hub AND id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
         links.append(materialize(pairs.unionByName(stars).unionByName(longer).unionByName(spokes).distinct(), "near"))
         open_keys = met.groupBy("key").agg(F.min("tied").alias("done")).where("NOT done").select("key")
         below = _dealt(met, open_keys, ["key"]).select("id", "line", "tied", "rest", "d", "k", _rest_segments().alias("e"))
-        below = below.select("id", "line", "rest", "d", "k", "e.*", "tied").select("id", "line", "key", "d", "k", "own", _without("rest"), "tied").dropDuplicates(["key", "id", "d", "own", "rest"])
+        below = below.select("id", "line", "rest", "d", "k", "e.*", "tied").select("id", "line", "key", "d", "k", "own", _without("rest"), "tied", "mask").dropDuplicates(["key", "id", "d", "own", "rest"])
         below = materialize(below, "bucket")
         discard(level)
         discard(met)
@@ -236,7 +242,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                      *([F.struct("*").alias("row")] if carry else []))
-    docs = docs.withColumn("own", F.xxhash64(F.coalesce("doc_id", F.lit(-1).cast("long")), F.col("doc_id").isNull(), "text"))
+    docs = docs.withColumn("own", own_key("doc_id", "text"))
     split = docs.where("text IS NOT NULL").select("doc_id", "own", F.split("text", "\n", -1).alias("lines"))
     placed = split.select("doc_id", "own", F.posexplode("lines").alias("pos", "line")).where(F.length(F.trim(F.translate("line", "\t\r\x0b\x0c", "    "))) > 0)
     ident = F.unhex(F.md5("line")).alias("id")
