@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from feedwright.llm import jaccard_join as jj
-from feedwright.llm.jaccard_join import jaccard_join
+from feedwright.llm.jaccard_join import documents_without_near_copies, jaccard_join
 
 
 def brute_force(rows):
@@ -69,8 +69,42 @@ def test_shortened_paths_find_what_long_ones_miss(spark):
 
 def test_repeated_rows_and_null_ids(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "x"), (None, "x")], "doc_id long, text string")
-    got = sorted((r.doc_id, r.class_id, r.n_links, r.kept) for r in jaccard_join(df).collect())
-    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 2, 0, True)]
+    got = sorted((r.doc_id or 9, r.class_id, r.n_links, r.kept) for r in jaccard_join(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 2, 1, True), (9, 2, 1, False)]
+    assert sorted(r.text for r in documents_without_near_copies(df).collect()) == ["a b c d e f", "x"]
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    one, two = " ".join("abcdefgh"), " ".join("pqrstuvw")
+    rows = [(0, one, "l"), (1, one, "m"), (1, two, "n"), (None, "y", "o"), (None, "y", "p"), (None, None, "q"), (4, "", "r"), (4, "   ", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, own string").repartition(3)
+    got = sorted((r.doc_id if r.doc_id is not None else 9, r.class_id if r.class_id is not None else 9, r.n_links, r.kept) for r in jaccard_join(df).collect())
+    # Which of the two rows of id 4 stays is settled by a hash.
+    assert [g[:3] for g in got] == [(0, 0, 1), (1, 0, 1), (1, 1, 0), (4, 4, 2), (4, 4, 2), (9, 4, 2), (9, 9, 1), (9, 9, 1)]
+    assert sum(k for *_, k in got if _[0] == 4) == 1
+    left = documents_without_near_copies(df)
+    assert left.columns == df.columns
+    left = left.collect()
+    assert sorted((r.doc_id if r.doc_id is not None else 9, (r.text or "").strip()) for r in left) == [(0, one), (1, two), (4, ""), (9, "y")]
+    assert documents_without_near_copies(df.limit(0)).count() == 0
+
+
+def test_a_crowd_is_cut_by_sizes(spark, monkeypatch):
+    monkeypatch.setattr(jj, "BLOCK_DOCUMENTS", 3)
+    r = random.Random(8)
+    base = [str(r.randint(0, 10**6)) for _ in range(300)]
+    rows = [(i, " ".join(base[: 300 - 8 * i])) for i in range(28)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join(df).collect()}
+    assert got == brute_force(rows)
+
+
+def test_a_very_long_text(spark):
+    r = random.Random(5)
+    base = [str(r.randint(0, 10**6)) for _ in range(120_000)]
+    rows = [(0, " ".join(base)), (1, " ".join(base[:60_000] + ["new"] + base[60_000:])), (2, " ".join(base[:80_000]))]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: (0, 1), 1: (0, 1), 2: (2, 0)}
 
 
 def test_empty_table(spark):
