@@ -87,14 +87,13 @@ def pages_per_host(spark, sf):
     return kept.groupBy(F.regexp_extract("norm", "://([^/]*)", 1).alias("host")).agg(F.count("*").alias("n_pages"), F.min("h").alias("first_hash"))
 
 
-@query("SELECT page_id, url AS target FROM pages")
+@query(r"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'https://news.example/plain/' || page_id ELSE regexp_replace(url, '^https?://[^/]*', 'https://www.outlet.example') END AS target FROM pages""")
 def redirect_targets(spark, sf):
-    """Links wrapped as a redirect's base64url payload, and unwrapped again."""
+    """Links wrapped as a redirect's base64url payload, and unwrapped again; other links stay what they are."""
     clean = F.regexp_replace("url", r"^https?://[^/]*", "https://www.outlet.example")
     payload = F.translate(F.base64(F.encode(F.concat(F.lit("\x08\x13\""), clean), "UTF-8")), "+/=\r\n", "-_")
-    p = table(spark, sf, "pages").select("page_id", "url", clean.alias("clean"), F.concat(F.lit("https://news.example/rss/articles/"), payload, F.lit("?oc=5")).alias("wrapped"))
-    found = text.redirect_target(F.col("wrapped"), "outlet.example")
-    return p.select("page_id", F.when(found == F.col("clean"), F.col("url")).otherwise(found).alias("target"))
+    wrapped = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("https://news.example/plain/"), "page_id")).otherwise(F.concat(F.lit("https://news.example/rss/articles/"), payload, F.lit("?oc=5")))
+    return table(spark, sf, "pages").select("page_id", text.redirect_target(wrapped, "outlet.example").alias("target"))
 
 
 # --- texts --------------------------------------------------------------------------------
@@ -302,7 +301,13 @@ def first_wins_run(spark, sf):
     return feeds.first_wins(c, ["norm"], ["conv_id", "turn"]).select("conv_id", "turn", "role")
 
 
-@query()
+@query(r"""WITH RECURSIVE r AS (SELECT conv_id // 10 AS o, (conv_id % 10)::INTEGER AS so, turn::INTEGER AS pos, lower(regexp_extract(text, '(\S+)\s*$', 1)) AS norm, length(text) % 11 = 0 AS b, length(text) % 7 <> 0 AS v,
+    row_number() OVER (PARTITION BY conv_id // 10 ORDER BY conv_id % 10, turn) AS k FROM conversations),
+  f AS (SELECT DISTINCT o, 0::BIGINT AS k, CAST([] AS VARCHAR[]) AS seen, -1 AS so, false AS stop, 0 AS n, false AS out, 0 AS pos, '' AS norm FROM r UNION ALL
+    SELECT o, k, CASE WHEN emit THEN list_append(seen, norm) ELSE seen END, so, CASE WHEN skip OR b THEN true WHEN emit THEN n0 + 1 >= 3 ELSE false END, n0 + emit::INTEGER, emit, pos, norm FROM (
+      SELECT *, NOT skip AND NOT b AND v AND NOT list_contains(seen, norm) AS emit FROM (
+        SELECT r.*, f.seen, r.so = f.so AND f.stop AS skip, CASE WHEN r.so = f.so THEN f.n ELSE 0 END AS n0 FROM f JOIN r ON r.o = f.o AND r.k = f.k + 1)))
+  SELECT o AS outlet_id, so AS section_ord, pos, norm FROM f WHERE out""")
 def fold_emit(spark, sf):
     """Conversations as sectioned lists of an outlet (their first role and length), links by their last word."""
     c = table(spark, sf, "conversations").select(
@@ -479,12 +484,25 @@ def json_batches(spark, sf):
 # --- pages --------------------------------------------------------------------------------
 
 
-@query(r"SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS raw_title FROM pages")
+#: Entities in the pages, & last; tags parted from text.
+_PLAIN = "{0}"
+for _entity, _char in (("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&amp;", "&")):
+    _PLAIN = f"replace({_PLAIN}, '{_entity}', '{_char}')"
+_PIECES = r"list_filter(list_transform(string_split(regexp_replace({0}, '(?s)<[^>]*>', chr(1), 'g'), chr(1)), lambda t: trim(" + _PLAIN.format("t") + r", chr(10) || ' ')), lambda t: t <> '')"
+_HEADING = r"regexp_replace(trim(" + _PLAIN.format(r"regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)") + r"), '\s+', ' ', 'g')"
+_WITHOUT = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>', chr(2), 'g'), '(?s)<style.*?</style>', chr(2), 'g'), '(?s)<title>.*?</title>', chr(2), 'g'), '(?s)<!--.*?-->', chr(2), 'g')"
+
+
+@query(rf"SELECT page_id, {_HEADING} AS title, html LIKE '%<meta property=%' AS has_meta FROM pages")
 def html_titles(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("raw_title"))
+    return table(spark, sf, "pages").select("page_id", html.title_of(F.col("html")).alias("title"), F.coalesce(html.page_meta("html")["og:title"].isNotNull(), F.lit(False)).alias("has_meta"))
 
 
-@query()
+@query(rf"""WITH a AS (SELECT page_id, html, list_filter(list_transform(string_split(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>')[2:],
+    lambda p: array_to_string({_PIECES.format("regexp_replace(p, '(?s)</p>.*$', '')")}, ' ')), lambda p: p IS NOT NULL) AS p FROM pages),
+  b AS (SELECT *, array_to_string(list_filter(p, lambda x, i: list_position(p, x) = i), chr(10) || chr(10)) AS joined,
+    array_to_string(list_filter(string_split(array_to_string({_PIECES.format("replace(" + _WITHOUT + ", chr(2), '<x>')")}, chr(10)), chr(10)), lambda x: length(x) > 20), chr(10) || chr(10)) AS lines FROM a)
+  SELECT page_id, {_HEADING} AS heading, p AS paragraphs, CASE WHEN length(joined) > 100 THEN joined WHEN length(lines) > 100 THEN lines ELSE '' END AS body FROM b""")
 def html_text_blocks(spark, sf):
     """Heading, paragraphs and body text from the document's structure; script and chrome don't count."""
     p = table(spark, sf, "pages")
@@ -494,11 +512,12 @@ def html_text_blocks(spark, sf):
 @query(r"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) - 1 AS pos FROM pages)
   SELECT page_id, pos::INTEGER AS pos, href FROM l""")
 def html_links(spark, sf):
-    links = F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), 1)
-    return table(spark, sf, "pages").select("page_id", F.posexplode(links).alias("pos", "href"))
+    return table(spark, sf, "pages").select("page_id", F.inline(html.page_links("html"))).select("page_id", "pos", "href")
 
 
-@query()
+@query(r"""WITH a AS (SELECT page_id, len(regexp_extract_all(html, '<a href="', 0)) AS n, list_transform(regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(html,
+    '(?s)<nav.*?</nav>', '', 'g'), '(?s)<footer.*?</footer>', '', 'g'), '(?s)<header.*?</header>', '', 'g'), '<a href="([^"]*)"', 1), lambda x: regexp_replace(x, '(?s)[?#].*$', '')) AS l FROM pages)
+  SELECT page_id, list_filter(l, lambda x, i: list_position(l, x) = i) AS links, n::INTEGER AS all_links FROM a""")
 def html_content_links(spark, sf):
     return table(spark, sf, "pages").select("page_id", html.content_links(F.col("html")).alias("links"), F.size(html.page_links("html")).alias("all_links"))
 
@@ -546,14 +565,17 @@ def top7_by_language(spark, sf):
 # --- registry, batches, streams -----------------------------------------------------------
 
 
-@query("SELECT 17 AS outlets, 8 AS local_outlets, 9 AS shared_outlets, 1 AS picked")
+@query("""WITH o(ord, id, language, runs_on) AS (VALUES (0, 'sundaytimes', 'English', 'shared'), (1, 'dailynews', 'English', 'local'), (2, 'ceylontoday', 'English', 'local'), (3, 'dailymirror', 'English', 'shared'),
+  (4, 'ftlk', 'English', 'local'), (5, 'economynext', 'English', 'local'), (6, 'morning', 'English', 'shared'), (7, 'sundayobserver', 'English', 'local'), (8, 'divaina', 'Sinhala', 'shared'), (9, 'lankadeepa', 'Sinhala', 'shared'),
+  (10, 'aruna', 'Sinhala', 'shared'), (11, 'mawbima', 'Sinhala', 'shared'), (12, 'virakesari', 'Tamil', 'shared'), (13, 'thinakaran', 'Tamil', 'local'), (14, 'thamilan', 'Tamil', 'shared'), (15, 'island', 'English', 'local'), (16, 'dinamina', 'Sinhala', 'local'))
+  SELECT 'all' AS choice, ord AS target_ord, id, language FROM o UNION ALL SELECT runs_on, ord, id, language FROM o UNION ALL SELECT 'picked', CASE id WHEN 'island' THEN 0 WHEN 'ftlk' THEN 1 END, id, language FROM o WHERE id IN ('island', 'ftlk')""")
 def registry_targets(spark, sf):
-    n = lambda df: df.agg(F.count("*").cast("int").alias("n"))
-    parts = (registry.resolve_targets(spark), registry.resolve_targets(spark, runs_on="local"), registry.resolve_targets(spark, runs_on="shared"), registry.resolve_targets(spark, ["island", "nowhere"]))
+    """All outlets, those of either kind of worker, and a list in its own order by other names."""
+    choices = {"all": {}, "local": {"runs_on": "local"}, "shared": {"runs_on": "shared"}, "picked": {"ids": ["Island", "ft"]}}
     out = None
-    for df, name in zip(parts, ("outlets", "local_outlets", "shared_outlets", "picked"), strict=True):
-        one = n(df).withColumnRenamed("n", name)
-        out = one if out is None else out.crossJoin(one)  # one row each
+    for name, how in choices.items():
+        one = registry.resolve_targets(spark, **how).select(F.lit(name).alias("choice"), "target_ord", "id", "language")
+        out = one if out is None else out.unionByName(one)
     return out
 
 
