@@ -14,16 +14,16 @@ def fold(id_col: str, folds: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learnable: Column, bound: int) -> DataFrame:
-    """(doc_id, text, y) of about `bound` labelled documents at most, chosen by a hash of the id.
+    """(doc_id, text, y) of labelled documents, chosen by a hash of the id so that about `bound` ids are.
 
     docs: (doc_id, text); labels: doc_id and `label`, 0 or 1.  Rows without a
-    label, rows that aren't learnable and labels given twice are left out.  A
-    quarter more than the bound can pass before rows are turned away for good.
+    label, rows that aren't learnable and documents that are labelled both ways
+    are left out; a label that is repeated counts once.
     """
     clean = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
         .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & learnable)
-        .groupBy("doc_id").agg(F.max("y").alias("y"))
+        .groupBy("doc_id").agg(F.max("y").alias("y"), F.min("y").alias("least")).where("y = least").drop("least")
     )
     n = clean.count()
     rate = min(1.0, bound / max(n, 1))

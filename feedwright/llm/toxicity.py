@@ -1,12 +1,13 @@
 """Toxicity by weak supervision.
 
 Lexicons are mined from a bounded sample of labelled documents: words and word
-stems that stand out in toxic ones.  They are dealt into many voters, beside
-pattern voters for shouting and junk.  A generative model, which doesn't see
-the labels, estimates how often each voter votes which way in either class and
-how the voters depend on each other beyond the class.  Its posterior labels
-train a linear classifier on the single words, stems and patterns; that
-classifier scores every document.
+stems that stand out in toxic ones, and such that stand out in clean ones.
+They are dealt into many voters of either polarity, beside one that says clean
+where all toxic lexicons are silent, and pattern voters for shouting and junk.  A generative model, which doesn't see the labels, estimates how
+often each voter votes which way in either class, and how it does so given the
+vote of the voter that it depends on most beyond the class: these pairwise
+factors form a forest.  Its posterior labels train a linear classifier on the
+single words, stems and patterns; that classifier scores every document.
 """
 
 from __future__ import annotations
@@ -27,12 +28,12 @@ from feedwright.llm.wordhash import flat_utf8, mix, phrase_hashes, word_hashes,
 
 #: Labelled documents to learn from.
 MAX_LABELLED = 8000
-#: Words and stems that the lexicons may hold.
-MAX_UNITS = 20_000
 STEMS = (4, 5, 6, 7)
 #: Least likelihood-ratio statistic, rate ratio and precision of a word that enters a lexicon.
 LEAST_G2, LEAST_RATIO, LEAST_PRECISION = 16.0, 8.0, 0.8
 VOTERS_PER_KIND = 8
+#: Least correlation beyond the class that makes a pairwise factor.
+STRONG = 0.2
 #: Random projections that tell near copies in the sample from different documents.
 COPY_HASHES = 16
 #: Separators of the words here: every ASCII character but letters and digits.
@@ -111,33 +112,70 @@ def different(sketches: np.ndarray, alike: int = COPY_HASHES // 2) -> np.ndarray
     return keep
 
 
+def spanning_forest(beyond: np.ndarray) -> np.ndarray:
+    """parent[j], or -1: the forest of the strongest dependences, each tree from its first voter on."""
+    m = len(beyond)
+    parent, left = np.full(m, -1), set(range(m))
+    while left:
+        tree = [min(left)]
+        left.discard(tree[0])
+        while left:
+            rest = sorted(left)
+            strength = beyond[np.ix_(tree, rest)]
+            i, j = np.unravel_index(int(strength.argmax()), strength.shape)
+            if strength[i, j] <= 0:
+                break
+            parent[rest[j]] = tree[i]
+            tree.append(rest[j])
+            left.discard(rest[j])
+    return parent
+
+
 @dataclass
 class LabelModel:
-    """chance[j, y, v]: how often voter j says v (0 nothing, 1 toxic, 2 clean) in class y; weight[j]:
-    its vote's weight after what it shares with correlated voters; prior: share of class 1."""
+    """chance[j, y, v]: how often voter j says v (0 nothing, 1 toxic, 2 clean) in class y; factor[j, y, u, v]: the
+    same where the voter parent[j], the one that it depends on most beyond the class, says u (parent -1: none);
+    prior: share of class 1; weight[j]: what a vote counts before the model is fitted."""
 
     chance: np.ndarray
+    factor: np.ndarray
+    parent: np.ndarray
     weight: np.ndarray
     prior: float
     correlation: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        if not votes.shape[1]:
+        m = votes.shape[1]
+        if not m:
             return np.full(len(votes), self.prior)
-        logs = np.log(self.chance)
-        gain = np.stack([(logs[np.arange(votes.shape[1]), y, votes] * self.weight).sum(1) for y in (0, 1)])
+        above = np.where(self.parent >= 0, votes[:, self.parent], 0)
+        gain = [np.log(self.factor[np.arange(m), y, above, votes]).sum(1) for y in (0, 1)]
         odds = gain[1] - gain[0] + np.log(self.prior / (1 - self.prior))
         return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
+    def learn(self, votes: np.ndarray, p: np.ndarray) -> None:
+        """The likeliest parameters if p says how likely each row is of class 1."""
+        n, m = votes.shape
+        counts = np.zeros((m, 2, 3, 3))
+        above = np.where(self.parent >= 0, votes[:, self.parent], 0)
+        for y, weight in enumerate((1 - p, p)):
+            for j in range(m):
+                counts[j, y] = np.bincount(above[:, j] * 3 + votes[:, j], weight, 9).reshape(3, 3)
+        own = counts.sum(2)
+        self.chance = (own + 0.5) / (own.sum(2, keepdims=True) + 1.5)
+        # A pair of votes that is rare in a class falls back to the voter's own rate there.
+        self.factor = (counts + 2 * self.chance[:, :, None, :]) / (counts.sum(3, keepdims=True) + 2)
+
     @classmethod
-    def fit(cls, votes: np.ndarray, prior: float | None = None, steps: int = 10) -> LabelModel:
-        """Correlations first, then expectation-maximisation over the votes alone.
+    def fit(cls, votes: np.ndarray, prior: float | None = None, steps: int = 10, sums: tuple[int, ...] = ()) -> LabelModel:
+        """The forest of correlations first, then expectation-maximisation over the votes alone.
 
         If voters depended on each other through the class only, the correlation of two would be
         the product of each one's own with the class; triples of voters give these (the median
         over triples bears a few dependent ones).  What a correlation has beyond the product is a
-        dependence, and voters share the weight of what they have in common.  A known share of
-        class 1 is given as prior and kept."""
+        dependence; the strongest ones form the forest whose factors the model has.  A known
+        share of class 1 is given as prior and kept.  Voters named in sums say what others say
+        together; they take no part in the forest."""
         n, m = votes.shape
         signed = np.where(votes == 2, -1, votes).astype(float)
         centred = signed - signed.mean(0)
@@ -152,28 +190,56 @@ class LabelModel:
                 own[j] = np.sqrt(np.clip(np.median(np.abs(c[j, k] * c[j, l] / np.where(sure, c[k, l], 1))[sure]), 0, 1))
         beyond = np.maximum(c - np.outer(own, own) - 0.1, 0)
         np.fill_diagonal(beyond, 0)
-        model = cls(np.full((m, 2, 3), 1 / 3), 1 / (1 + beyond.sum(1)), 0.5, c)
+        strong = np.where(beyond > STRONG, beyond, 0)
+        strong[list(sums)] = strong[:, list(sums)] = 0
+        model = cls(np.full((m, 2, 3), 1 / 3), np.full((m, 2, 3, 3), 1 / 3), spanning_forest(strong), 1 / (1 + beyond.sum(1)), 0.5, c)
         p = np.clip(0.5 + 0.45 * np.sign(signed @ model.weight), 0.05, 0.95)
-        says = np.stack([votes == v for v in range(3)], 2).astype(float)
         for _ in range(steps):
-            by_class = np.stack([np.einsum("n,nmv->mv", 1 - p, says), np.einsum("n,nmv->mv", p, says)], 1)
-            model.chance = (by_class + 0.5) / (by_class.sum(2, keepdims=True) + 1.5)
+            model.learn(votes, p)
             model.prior = float(np.clip(p.mean() if prior is None else prior, 0.01, 0.99))
             p = model.posterior(votes)
         return model
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, steps: int = 300) -> np.ndarray:
-    """Weights (the last is the intercept) of a ridge logistic regression on soft labels y, by accelerated gradients."""
-    n, m = x.shape
-    x = np.hstack([x, np.ones((n, 1), x.dtype)])
+@dataclass
+class Hits:
+    """Which units each document has: units[start[i] : start[i+1]], each once."""
+
+    start: np.ndarray
+    units: np.ndarray
+    width: int
+
+    @classmethod
+    def of(cls, rows: list, width: int) -> Hits:
+        sizes = np.array([len(r) for r in rows], np.int64)
+        return cls(np.r_[0, np.cumsum(sizes)], np.concatenate([np.zeros(0, np.int64), *rows]).astype(np.int64), width)
+
+    @property
+    def row(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.units], len(self.start) - 1)
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.units, r[self.row], self.width)
+
+    def any_of(self, chosen: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, chosen[self.units], len(self.start) - 1) > 0
+
+
+def logistic(x: Hits, dense: np.ndarray, y: np.ndarray, penalty: np.ndarray, steps: int = 300) -> np.ndarray:
+    """Weights (units, dense columns, intercept) of a ridge logistic regression on soft labels y, by accelerated gradients."""
+    n = len(y)
+    d = np.hstack([dense, np.ones((n, 1))])
     penalty = np.r_[penalty, 0]
     # A diagonal that majorises the curvature: rare features, in rows with few others, take long steps.
-    curve = 0.25 * (np.abs(x).T @ np.abs(x).sum(1)) / n + penalty / n + 1e-9
-    w = v = np.zeros(m + 1)
+    size = np.diff(x.start) + np.abs(d).sum(1)
+    curve = 0.25 * np.r_[x.back(size.astype(float)), np.abs(d).T @ size] / n + penalty / n + 1e-9
+    w = v = np.zeros(x.width + d.shape[1])
     for t in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        new = v - (x.T @ (p - y) / n + penalty * v / n) / curve
+        p = 1 / (1 + np.exp(-np.clip(x.times(v[: x.width]) + d @ v[x.width :], -30, 30)))
+        new = v - (np.r_[x.back(p - y), d.T @ (p - y)] / n + penalty * v / n) / curve
         w, v = new, new + t / (t + 3) * (new - w)
     return w
 
@@ -232,40 +298,47 @@ def train(sample: DataFrame) -> ToxicityModel:
     all_, share = n_toxic + n_clean, n_toxic / (n_toxic + n_clean)
     g2 = f"2 * (a * ln(greatest(a, 0.5) / ((a + b) * {share})) + b * ln(greatest(b, 0.5) / ((a + b) * {1 - share})))"
     ratio = f"((a + 0.5) / {n_toxic + 1}) / ((b + 0.5) / {n_clean + 1})"
-    lexicon = counted.where(f"a >= 4 AND {ratio} >= {LEAST_RATIO} AND a >= {LEAST_PRECISION} * (a + b)").withColumn("g2", F.expr(g2)).where(F.col("g2") >= LEAST_G2)
-    lexicon = sorted(lexicon.orderBy(F.desc("g2"), "unit").limit(MAX_UNITS).collect(), key=lambda r: np.uint64(r.unit % 2**64))
-    if not lexicon:  # nothing stands out: patterns alone say nothing of toxicity
+    toxic_unit = f"a >= 4 AND {ratio} >= {LEAST_RATIO} AND a >= {LEAST_PRECISION} * (a + b)"
+    # What is left is bounded by the sample: no unit is in fewer than four of its documents.
+    lexicon = counted.withColumn("toxic", F.expr(toxic_unit)).where(f"toxic OR (b >= 4 AND {ratio} <= {1 / LEAST_RATIO})").where(F.expr(g2) >= LEAST_G2)
+    lexicon = sorted(lexicon.select("unit", "kind", "toxic").collect(), key=lambda r: np.uint64(r.unit % 2**64))
+    toxic = np.array([r.toxic for r in lexicon], bool)
+    if not toxic.any():  # nothing stands out: patterns alone say nothing of toxicity
         return constant(float(y.mean()))
-    units = np.array([r.unit for r in lexicon], np.int64).view(np.uint64)
+    every = np.array([r.unit for r in lexicon], np.int64).view(np.uint64)
     kinds = np.array([r.kind for r in lexicon], np.int64)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
             chosen = part.filter(pa.array([i in ids for i in part.column("doc_id").to_pylist()]))
             if chosen.num_rows:
-                found = units_of(chosen.column("text"), units)
-                at = np.searchsorted(units, found.unit)
-                hits = [at[found.document == d].tolist() for d in range(chosen.num_rows)]
+                found = units_of(chosen.column("text"), every)
+                order = np.argsort(found.document, kind="stable")
+                cuts = np.searchsorted(found.document[order], np.arange(1, chosen.num_rows))
+                hits = [h.tolist() for h in np.split(np.searchsorted(every, found.unit)[order], cuts)]
                 yield pa.RecordBatch.from_arrays(
                     [chosen.column("doc_id"), pa.array(hits, pa.list_(pa.int64())), pa.array(found.patterns.tolist(), pa.list_(pa.float64()))], ["doc_id", "hits", "patterns"]
                 )
 
     learned = sorted(sample.mapInArrow(features, "doc_id long, hits array<long>, patterns array<double>").collect(), key=lambda r: r.doc_id)
-    x = np.zeros((len(learned), len(units)), np.float32)
-    for i, r in enumerate(learned):
-        x[i, r.hits] = 1
+    x = Hits.of([r.hits for r in learned], len(every))
     patterns = np.array([r.patterns for r in learned])
     cuts = np.quantile(patterns, 0.95, axis=0)
     shouts = patterns > cuts
-    voters = kinds * VOTERS_PER_KIND + (units % np.uint64(VOTERS_PER_KIND)).astype(np.int64)
-    votes = [np.where(x[:, voters == g].any(1), 1, 0) for g in np.unique(voters)]
-    votes += [np.where(x.any(1), 1, 2)]  # nothing in any lexicon says clean
+    voters = kinds * VOTERS_PER_KIND + (every % np.uint64(VOTERS_PER_KIND)).astype(np.int64)
+    votes = [np.where(x.any_of(toxic & (voters == g)), 1, 0) for g in np.unique(voters[toxic])]
+    votes += [np.where(x.any_of(~toxic & (kinds == k)) & ~x.any_of(toxic), 2, 0) for k in np.unique(kinds[~toxic])]
+    silence = len(votes)
+    votes += [np.where(x.any_of(toxic), 1, 2)]  # nothing in any lexicon says clean
     votes += [s.astype(int) for s in shouts.T]
-    model = LabelModel.fit(np.stack(votes, 1), share)
+    model = LabelModel.fit(np.stack(votes, 1), share, sums=(silence,))
     target = model.posterior(np.stack(votes, 1))
-    both = np.hstack([x, shouts.astype(np.float32)])
-    w = logistic(both, target, np.r_[np.full(len(units), 0.02), np.full(len(cuts), 50.0)])
-    return ToxicityModel(units, w[: len(units)].astype(float), cuts, w[len(units) : -1].astype(float), float(w[-1]))
+    # The classifier's words are the toxic ones: it rejects for what is there, not for what is missing.
+    numbers = np.cumsum(toxic) - 1
+    toxic_hits = Hits.of([numbers[np.array([u for u in r.hits if toxic[u]], np.int64)] for r in learned], int(toxic.sum()))
+    w = logistic(toxic_hits, shouts.astype(float), target, np.r_[np.full(toxic_hits.width, 0.02), np.full(len(cuts), 50.0)])
+    n = toxic_hits.width
+    return ToxicityModel(every[toxic], w[:n], cuts, w[n:-1], float(w[-1]))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id", text_col: str = "text",
