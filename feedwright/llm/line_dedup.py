@@ -30,9 +30,9 @@ from feedwright.operators.graph import components
 from feedwright.operators.skew import dealt
 
 #: Edits between near lines, by the least length of the shorter one; below the first, lines are only equal.
-LINE_EDITS = ((20, 1), (40, 2), (100, 3))
+ONE_EDIT = ((20, 1),)
 #: Lines of a bucket that are compared pair by pair.
-FEW_LINES = 32
+FEW_LINES = 8
 
 
 def _within_edits_sql(a: str, b: str, k: int) -> str:
@@ -161,11 +161,12 @@ def _tiny_keys(most: int) -> Column:
     return F.explode(F.array_distinct(F.expr(f"CASE {whens} END")))
 
 
-def near_lines(lines: DataFrame, edits=LINE_EDITS, max_slots: int = bloom.MAX_SLOTS) -> DataFrame:
+def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOTS, n_lines: int | None = None) -> DataFrame:
     """(a, b): links between the ids of different lines, at least enough that connected lines stay
-    connected.  lines: (id, line), repeated or not; edits: (least length of the shorter line, edits)."""
+    connected.  lines: (id, line), repeated or not; edits: (least length of the shorter line, edits);
+    n_lines: about how many there are, if that is known."""
     most = max(k for _, k in edits)
-    slots = bloom.slots_for((most + 1) * lines.count(), max_slots)
+    slots = bloom.slots_for((most + 1) * (lines.count() if n_lines is None else n_lines), max_slots)
     index = keyed(lines.select("line"), edits, False).select("key", F.xxhash64("line").alias("h"))
     seen = index.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b"))
     table = materialize(bloom.built(seen, slots, every="true", shared="a <> b"), "segmentfilter")
@@ -226,7 +227,7 @@ def near_lines(lines: DataFrame, edits=LINE_EDITS, max_slots: int = bloom.MAX_SL
     return links_of
 
 
-def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, edits=LINE_EDITS) -> DataFrame:
+def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, edits=ONE_EDIT) -> DataFrame:
     """doc_id, text, n_lines, n_removed: every row with the repeated lines removed;
     with carry also `row`, a struct of the row's own columns.
 
@@ -244,12 +245,12 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
                      *([F.struct("*").alias("row")] if carry else []))
     docs = docs.withColumn("own", own_key("doc_id", "text"))
     split = docs.where("text IS NOT NULL").select("doc_id", "own", F.split("text", "\n", -1).alias("lines"))
-    placed = split.select("doc_id", "own", F.posexplode("lines").alias("pos", "line")).where(F.length(F.trim(F.translate("line", "\t\r\x0b\x0c", "    "))) > 0)
+    placed = split.select("doc_id", "own", F.posexplode("lines").alias("pos", "line")).where(F.trim("line", F.lit(" \t\r\x0b\x0c")) != "")
     ident = F.unhex(F.md5("line")).alias("id")
     places = materialize(placed.select("doc_id", "own", "pos", ident), "places")
 
     lines = placed.select(ident, "line")
-    labels = components(near_lines(lines, edits))
+    labels = components(near_lines(lines, edits, n_lines=places.count()))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "own", "pos")
     equal = places.groupBy("id").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     tagged = equal.join(labels.withColumnRenamed("node", "id"), "id", "left").where("n > 1 OR label IS NOT NULL")

@@ -39,6 +39,10 @@ URL_RULES = (
 )
 
 
+#: Edits between near lines, by the least length of the shorter one.
+LINE_EDITS = ((20, 1), (40, 2), (100, 3))
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup(table(spark, sf_dir, "documents"))
+    kept = line_dedup(table(spark, sf_dir, "documents"), edits=LINE_EDITS)
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
