@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedwright.llm.labelled import fold
-from feedwright.llm.quality import score_quality
-from feedwright.llm.toxicity import LabelModel, different, score_toxicity
+from feedwright.llm.labelled import fold, labelled_sample
+from feedwright.llm.quality import bradley_terry, lexical, score_quality
+from feedwright.llm.toxicity import Hits, LabelModel, different, logistic, score_toxicity, spanning_forest
 
 
 def auc(y, s):
@@ -71,3 +71,100 @@ def test_near_copies_count_once():
     b = a.copy()
     b[:4] += np.uint64(100)
     assert different(np.stack([a, b, a + np.uint64(1000)])).tolist() == [True, False, True]
+
+
+def test_labels_both_ways_are_left_out(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(5)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (0, 1), (1, 0), (1, 1), (2, None), (3, 0), (None, 1), (4, 7)], "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, "toxic", F.lit(True), 100)
+    assert sorted(map(tuple, got.collect())) == [(0, "text 0", 1), (3, "text 3", 0)]
+
+
+def test_bradley_terry_reaches_the_likeliest_weights():
+    r = np.random.default_rng(2)
+    x = np.c_[r.normal(size=(60, 4)), r.random((60, 1)) < 0.3]
+    better, worse = r.integers(0, 60, 400), r.integers(0, 60, 400)
+    flip = r.random(400) > 1 / (1 + np.exp(-(x[better] - x[worse]) @ [1, -2, 0, 0.5, 1]))
+    better, worse = np.where(flip, worse, better), np.where(flip, better, worse)
+    got = bradley_terry(x, better, worse, 1e-3, 3000)
+    d, w = x[better] - x[worse], np.zeros(5)
+    for _ in range(50):  # Newton's method on the differences
+        p = 1 / (1 + np.exp(-d @ w))
+        w += np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / 400 + 1e-3 * np.eye(5), d.T @ (1 - p) / 400 - 1e-3 * w)
+    assert np.abs(got - w).max() < 1e-3
+
+
+def test_sparse_logistic_reaches_the_likeliest_weights():
+    r = np.random.default_rng(3)
+    rows = [np.flatnonzero(r.random(6) < 0.3) for _ in range(300)]
+    dense = (r.random((300, 2)) < 0.5).astype(float)
+    x = np.c_[[[i in row for i in range(6)] for row in rows], dense, np.ones(300)].astype(float)
+    y = 1 / (1 + np.exp(-x @ r.normal(size=9)))
+    got = logistic(Hits.of(rows, 6), dense, y, np.full(8, 0.5), 4000)
+    w, ridge = np.zeros(9), np.r_[np.full(8, 0.5), 0] / 300
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / 300 + np.diag(ridge), x.T @ (p - y) / 300 + ridge * w)
+    assert np.abs(got - w).max() < 1e-3
+
+
+def plain_em(votes, parent, p, prior, steps):
+    """The label model row by row: each voter's vote given the class and its parent's vote."""
+    n, m = votes.shape
+    for _ in range(steps):
+        chance, factor = np.zeros((m, 2, 3)), np.zeros((m, 2, 3, 3))
+        for j in range(m):
+            for y in (0, 1):
+                weight = p if y else 1 - p
+                for v in range(3):
+                    chance[j, y, v] = (weight[votes[:, j] == v].sum() + 0.5) / (weight.sum() + 1.5)
+                for u in range(3):
+                    above = np.array([(votes[i, parent[j]] if parent[j] >= 0 else 0) == u for i in range(n)])
+                    for v in range(3):
+                        factor[j, y, u, v] = (weight[above & (votes[:, j] == v)].sum() + 2 * chance[j, y, v]) / (weight[above].sum() + 2)
+        new = np.zeros(n)
+        for i in range(n):
+            like = [1 - prior, prior]
+            for j in range(m):
+                u = votes[i, parent[j]] if parent[j] >= 0 else 0
+                like = [like[y] * factor[j, y, u, votes[i, j]] for y in (0, 1)]
+            new[i] = like[1] / sum(like)
+        p = new
+    return p
+
+
+def test_label_model_equals_plain_expectation_maximisation():
+    r = np.random.default_rng(4)
+    y = r.random(300) < 0.4
+    voters = [np.where(r.random(300) < 0.8, np.where(y, 1, 2), np.where(y, 2, 1)) for _ in range(5)]
+    voters += [np.where(r.random(300) < 0.95, voters[0], 0), np.where(y & (r.random(300) < 0.5), 1, 0)]
+    votes = np.stack(voters, 1)
+    model = LabelModel.fit(votes, 0.4, steps=4)
+    assert model.parent[5] == 0 and (model.parent[:5] == -1).all()
+    signed = np.where(votes == 2, -1, votes)
+    start = np.clip(0.5 + 0.45 * np.sign(signed @ model.weight), 0.05, 0.95)
+    assert np.abs(model.posterior(votes) - plain_em(votes, model.parent, start, 0.4, 4)).max() < 1e-9
+
+
+def test_forest_takes_the_strongest_dependences():
+    beyond = np.zeros((5, 5))
+    for a, b, w in [(0, 1, 0.5), (1, 2, 0.4), (0, 2, 0.3), (3, 4, 0.2)]:
+        beyond[a, b] = beyond[b, a] = w
+    assert spanning_forest(beyond).tolist() == [-1, 0, 1, -1, 3]
+
+
+def test_lexical_shares(spark):
+    import pyarrow as pa
+
+    x = lexical(pa.array(["a b a", None, "", "abcde", "abcd" * 50_000]))
+    assert x.shape == (5, 1024) and not x[1:3].any()
+    assert np.allclose(np.sort(x[0, :512] ** 2)[-2:], [1 / 3, 2 / 3]) and np.allclose((x[3:] ** 2).sum(1), 2)
+
+
+@pytest.mark.parametrize("score", [score_toxicity, score_quality])
+def test_a_very_long_text_and_ties(spark, score):
+    rows = corpus(300, 5)
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in rows] + [(1000, "word scum " * 300_000), (1001, "word scum " * 300_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t, q) for i, _, t, q in rows], "doc_id long, toxic int, quality int")
+    got = {r.doc_id: r.score for r in score(docs, labels, F.lit(True)).collect()}
+    assert len(got) == 302 and got[1000] == got[1001]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedwright.llm import line_dedup as ld
 from feedwright.llm.line_dedup import documents_without_repeated_lines, line_dedup, near, near_lines, within_edits
-from feedwright.llm.queries import op3_line_dedup
+from feedwright.llm.queries import LINE_EDITS, op3_line_dedup
 
 
 def distance(a, b):
@@ -30,9 +30,8 @@ def within(a, b, k):
     return within(a[1:], b, k - 1) or within(a, b[1:], k - 1) or within(a[1:], b[1:], k - 1)
 
 
-def allowed(a, b):
-    n = min(len(a), len(b))
-    return 3 if n >= 100 else 2 if n >= 40 else 1 if n >= 20 else 0
+def allowed(a, b, edits):
+    return max(k for least, k in ((0, 0), *edits) if min(len(a), len(b)) >= least)
 
 
 def components_of(nodes, linked):
@@ -92,7 +91,7 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, few, edits)
     monkeypatch.setattr(ld, "FEW_LINES", few)
     lines = [x for x in some_lines(few + len(edits)) if len(x) < 60] + ["count %02d of a list with dates" % i for i in range(0, 90, 4)]
     lines += [edited(random.Random(i), "a longer line 2024-01-31 that has a date in it", i % 5) for i in range(20)]
-    of = lambda a, b: max(k for least, k in ((0, 0), *edits) if min(len(a), len(b)) >= least)
+    of = lambda a, b: allowed(a, b, edits)
     df = spark.createDataFrame([(x,) for x in lines], "line string").select(F.unhex(F.md5("line")).alias("id"), "line")
     name = {bytes(r.id): r.line for r in df.collect()}
     links = [(name[bytes(r.a)], name[bytes(r.b)]) for r in near_lines(df, edits).collect()]
@@ -129,7 +128,7 @@ def test_alignments_say_what_is_near(k):
                     assert bool(share) == within("".join(a), "".join(b), k)
 
 
-def brute_force(rows):
+def brute_force(rows, edits=ld.ONE_EDIT):
     """Every class of equal and near lines keeps its first line in the corpus; blank lines stay."""
     blank = lambda x: not x.strip(" \t\r\x0b\x0c")
     nodes = sorted({x for _, t in rows if t is not None for x in t.split("\n") if not blank(x)}, key=len)
@@ -138,7 +137,7 @@ def brute_force(rows):
         for b in nodes[i + 1 :]:
             if len(b) - len(a) > 3:
                 break
-            if allowed(a, b) and within(a, b, allowed(a, b)):
+            if allowed(a, b, edits) and within(a, b, allowed(a, b, edits)):
                 linked.append((a, b))
     label = components_of(nodes, linked)
     first = {}
@@ -157,15 +156,16 @@ def brute_force(rows):
     return out
 
 
-def test_documents_equal_brute_force(spark):
+@pytest.mark.parametrize("edits", [ld.ONE_EDIT, LINE_EDITS])
+def test_documents_equal_brute_force(spark, edits):
     r = random.Random(9)
     pool = some_lines(3)[:40] + ["", "short", "another short", " \t", "short "]
     texts = [None, "", "\n", "\n\n"] + ["\n".join(r.choice(pool) for _ in range(r.randint(1, 9))) for _ in range(40)]
     texts += texts[20:24]
     rows = list(enumerate(texts))
     df = spark.createDataFrame([(i, t, "x", [1], "y") for i, t in rows], "doc_id long, text string, line string, lines array<int>, own string")
-    got = {x.doc_id: (x.text, x.n_lines, x.n_removed) for x in line_dedup(df.repartition(3)).collect()}
-    assert got == brute_force(rows)
+    got = {x.doc_id: (x.text, x.n_lines, x.n_removed) for x in line_dedup(df.repartition(3), edits=edits).collect()}
+    assert got == brute_force(rows, edits)
 
 
 def test_null_ids_and_repeated_rows(spark):
