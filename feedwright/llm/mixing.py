@@ -113,7 +113,9 @@ def place(doc_id: Column, epoch: Column) -> Column:
 
 
 def block_permutations(rows: DataFrame, mixed: Mixture, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """doc_id, source, epoch, block, n_tokens: the mixture, one row per use of a document.
+    """doc_id, source, epoch, block, place, n_tokens: the mixture, one row per use of a document.
+
+    A block is read in the order of place (without its sign), then doc_id, which mixes its sources.
 
     rows: (doc_id, source, tokens).  A document is used if its tokens begin
     inside its source's budget.  Running sums are taken per bucket of a
@@ -144,13 +146,13 @@ def block_permutations(rows: DataFrame, mixed: Mixture, block_tokens: int = BLOC
     return met.where((F.col("epoch") < F.col("whole")) | (before < F.col("rest"))).select(
         "doc_id", "source", "epoch",
         F.when(share > 0, F.floor((F.col("epoch") * F.col("of_tokens") + before) / share)).otherwise(0).cast("long").alias("block"),
-        F.col("tokens").alias("n_tokens"),
+        "place", F.col("tokens").alias("n_tokens"),
     )
 
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", budget: float | None = None,
                 max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """doc_id, source, epoch, block, n_tokens: one row for each time the mixture uses a document.
+    """doc_id, source, epoch, block, place, n_tokens: one row for each time the mixture uses a document.
 
     Tokens are words (runs without space or the controls 9 to 13) of the whole
     text; null has none.  A null source is a source of its own.  A source
@@ -166,10 +168,13 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The rows of df, each as often as mix_sources() uses it; texts aren't shuffled.
+    """The rows of df, each as often as mix_sources() uses it, in the order of the mixture.
 
     What the last, partial permutation of a source takes is a range of places:
-    its end is one value per source.
+    its end is one value per source.  A use stands where its source's stream is
+    at it, as a share of the whole stream, so any run of rows holds the sources
+    by weight.  Nulls, empty texts, repeated rows and empty tables as in
+    mix_sources(); columns are unchanged.
     """
     row = df.select(F.struct("*").alias("row"))
     rows = materialize(
@@ -187,6 +192,8 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = row.withColumn("source", F.col("row")[source_col]).withColumn("doc_id", F.col("row")[id_col])
     known = _with_source(named, sources).withColumn("place", place(F.col("doc_id"), F.col("whole")))
     copies = F.col("whole") + F.when(F.coalesce(ordered <= F.col("end"), F.lit(False)), 1).otherwise(0)
-    out = known.withColumn("copies", copies).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    uses = known.withColumn("copies", copies).where("copies > 0").select("row", "doc_id", "repeats", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("epoch"))
+    signed = place(F.col("doc_id"), F.col("epoch")).cast("double") / float(1 << 64)
+    uses = uses.withColumn("at", (F.col("epoch") + signed + F.when(signed < 0, 1.0).otherwise(0.0)) / F.greatest("repeats", F.lit(1e-9)))
     discard(rows)
-    return out.select("row.*")
+    return uses.repartitionByRange("at", "doc_id").sortWithinPartitions("at", "doc_id").select("row.*")

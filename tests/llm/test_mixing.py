@@ -88,4 +88,43 @@ def test_documents_come_as_often_as_the_plan_says(spark):
 def test_empty_table_and_no_tokens(spark):
     assert mix_sources(frame(spark, [])).count() == 0
     assert mixed_documents(frame(spark, [])).count() == 0
-    assert [tuple(r) for r in mix_sources(frame(spark, [(1, None, None)])).collect()] == [(1, None, 0, 0, 0)]
+    assert [tuple(r) for r in mix_sources(frame(spark, [(1, None, None)])).drop("place").collect()] == [(1, None, 0, 0, 0)]
+
+
+def test_rows_equal_plain_permutations(spark):
+    """Every use, its block and its order, from the mixture's weights and the places alone."""
+    rows = [r for r in corpus() if r[2] != "void"]
+    df = frame(spark, rows)
+    got = mix_sources(df, max_repeats=1.5, block_tokens=700).collect()
+    mixed = mixture(df.select("source", F.size(F.filter(F.split("text", " "), lambda x: x != "")).cast("long").alias("tokens")), max_repeats=1.5)
+    told = {r.source: r for r in mixed.sources.collect()}
+    place = {(r.doc_id, r.epoch): r.place % 2**64 for r in got}
+    want = Counter()
+    for s, t in told.items():
+        own = [(i, len((x or "").split())) for i, x, of in rows if of == s]
+        for epoch in range(t.whole + (t.rest > 0)):
+            ahead = 0
+            known = [d for d in own if (d[0], epoch) in place]
+            for i, n in sorted(known, key=lambda d: (place[d[0], epoch], d[0])):
+                if epoch < t.whole or ahead < t.rest:
+                    want[i, epoch, int((epoch * t.tokens + ahead) / (t.weight * 700)), n] += 1
+                ahead += n
+            assert epoch >= t.whole or len(known) == len(own)
+            assert epoch < t.whole or ahead >= t.rest
+    assert Counter((r.doc_id, r.epoch, r.block, r.n_tokens) for r in got) == want
+
+
+def test_documents_come_in_the_order_of_the_mixture(spark):
+    rows = [(i, "w " * 10, "big" if i % 5 else "small") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4, "source")
+    out = [r.source for r in mixed_documents(df, max_repeats=1.5).collect()]
+    share = out.count("small") / len(out)
+    for at in range(0, len(out) - 400, 400):
+        assert abs(out[at : at + 400].count("small") / 400 - share) < 0.1
+
+
+def test_documents_keep_columns_and_rows(spark):
+    df = frame(spark, corpus(40)).drop("tokens")
+    out = mixed_documents(df)
+    assert out.columns == df.columns and {r.doc_id for r in out.collect()} == {r.doc_id for r in df.collect()}
+    assert mixed_documents(df.limit(0)).count() == 0
