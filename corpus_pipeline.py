@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedwright.llm.bpe import round_trip
-from feedwright.llm.common import materialize, table
+from feedwright.llm.common import discard, materialize, table
 from feedwright.llm.jaccard_join import documents_without_near_copies
 from feedwright.llm.labelled import fold
 from feedwright.llm.line_dedup import documents_without_repeated_lines
@@ -57,7 +57,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)  # its successor is written
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
