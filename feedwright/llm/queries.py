@@ -80,7 +80,7 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,48 @@ QUERIES: dict[str, Query] = {
     "op10_bpe": op10_bpe,
 }
 
+#: DuckDB's distance counts bytes: the tables' letters beyond ASCII are given one byte each for it.
+_LETTERS = "ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü"
+_ONE_BYTE = "".join(map(chr, (*range(1, 9), *range(14, 27))))
+#: Components of links (a, b) among the ids of d, by least ids.
+_COMPONENTS = """e AS (SELECT a, b FROM links UNION SELECT b, a FROM links), r(id, low) AS (SELECT id, id FROM d UNION SELECT e.b, r.low FROM r JOIN e ON r.id = e.a WHERE r.low < e.b),
+  label AS (SELECT id, min(low) AS low FROM r GROUP BY id)"""
+
 ORACLES: dict[str, str] = {
+    "op3_line_dedup": f"""
+        WITH RECURSIVE o AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+        p AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM o),
+        q AS (SELECT doc_id, pos, line FROM p WHERE trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> ''),
+        d AS (SELECT line, translate(line, '{_LETTERS}', '{_ONE_BYTE}') AS plain, length(line) AS n, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM q)),
+        links AS (SELECT x.id AS a, y.id AS b FROM d x JOIN d y ON x.id <> y.id AND x.n >= 20 AND y.n BETWEEN x.n AND x.n + CASE WHEN x.n >= 100 THEN 3 WHEN x.n >= 40 THEN 2 ELSE 1 END
+          AND levenshtein(x.plain, y.plain) <= CASE WHEN x.n >= 100 THEN 3 WHEN x.n >= 40 THEN 2 ELSE 1 END),
+        {_COMPONENTS},
+        s AS (SELECT q.doc_id, q.pos, row_number() OVER (PARTITION BY low ORDER BY q.doc_id, q.pos) AS turn FROM q JOIN d ON q.line = d.line JOIN label ON d.id = label.id),
+        g AS (SELECT doc_id, pos FROM s WHERE turn > 1),
+        k AS (SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY p.pos) AS t FROM p ANTI JOIN g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY 1),
+        c AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1)
+        SELECT o.doc_id, coalesce(len(o.l), 0)::BIGINT AS n_lines, coalesce(c.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS text_sha256
+        FROM o LEFT JOIN k ON o.doc_id = k.doc_id LEFT JOIN c ON o.doc_id = c.doc_id""",
+    "op7_substring_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        u AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM d),
+        h AS (SELECT r, j, count(*) OVER v AS n, md5(string_agg(x, ' ') OVER v) AS h FROM u WINDOW v AS (PARTITION BY r ORDER BY j ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+        c AS (SELECT h FROM h WHERE n = 35 GROUP BY h HAVING count(*) > 1),
+        g AS (SELECT DISTINCT r, j + k AS j FROM h SEMI JOIN c ON h.h = c.h, (SELECT unnest(range(0, 35)) AS k) WHERE n = 35),
+        k AS (SELECT u.r, string_agg(x, ' ' ORDER BY u.j) AS t FROM u ANTI JOIN g ON u.r = g.r AND u.j = g.j GROUP BY 1),
+        m AS (SELECT r, count(*) AS n FROM g GROUP BY 1)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(m.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.r = k.r LEFT JOIN m ON d.r = m.r""",
+    "op9_jaccard_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id AS id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        u AS (SELECT id, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM d),
+        v AS (SELECT id, count(*) OVER f AS n, md5(string_agg(x, ' ') OVER f) AS h FROM u WINDOW f AS (PARTITION BY id ORDER BY j ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+        s AS (SELECT DISTINCT id, h FROM v WHERE n = 5 UNION SELECT id, md5(array_to_string(w, ' ')) FROM d WHERE len(w) < 5),
+        z AS (SELECT id, count(*) AS n FROM s GROUP BY 1),
+        i AS (SELECT a.id AS a, b.id AS b, count(*) AS m FROM s a JOIN s b ON a.h = b.h AND a.id < b.id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM i JOIN z x ON i.a = x.id JOIN z y ON i.b = y.id WHERE 9 * m >= 4 * (x.n + y.n)),
+        {_COMPONENTS},
+        n AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY 1)
+        SELECT label.id AS doc_id, low AS class_id, coalesce(n.n, 0)::BIGINT AS n_links, label.id = low AS kept FROM label LEFT JOIN n ON label.id = n.id""".replace("{_COMPONENTS}", _COMPONENTS),
     "op1_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
