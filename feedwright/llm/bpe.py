@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,10 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 CACHE_ENTRIES = 400_000
 #: Longer pre-tokens are encoded but not remembered.
 CACHE_LENGTH = 64
-_INFINITE = float("inf")
+#: More than any key (rank times length plus position) of a text that fits in memory.
+_INFINITE = 1 << 62
+#: From this length on the tree is packed: eight bytes a node instead of an object.
+PACKED_LENGTH = 10_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -73,7 +77,8 @@ def merge_all(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]
         return symbols
     get = merges.get
     width = 1 << (n - 2).bit_length()
-    tree = [_INFINITE] * (2 * width)
+    pack = (lambda items: array("q", items)) if n >= PACKED_LENGTH else list
+    tree = pack([_INFINITE]) * (2 * width)
     at = width
     for pair in zip(symbols, symbols[1:], strict=False):
         if found := get(pair):
@@ -82,9 +87,9 @@ def merge_all(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]
     for i in range(width - 1, 0, -1):
         a, b = tree[2 * i], tree[2 * i + 1]
         tree[i] = a if a < b else b
-    following, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    following, before = pack(range(1, n + 1)), pack(range(-1, n - 1))
 
-    def put(leaf: int, key: float) -> None:
+    def put(leaf: int, key: int) -> None:
         i = width + leaf
         if tree[i] == key:
             return

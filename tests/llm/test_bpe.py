@@ -52,3 +52,11 @@ def test_columns(spark, library):
     back = {r.doc_id: r.text for r in decode_column(coded.where("doc_id <> 3"), PATH).collect()}
     assert all(back[i] == t for i, t in enumerate(every) if i != 3)
     assert round_trip(df.limit(0), PATH).count() == 0
+
+
+def test_a_million_characters_without_a_space(library):
+    with open(PATH, encoding="utf-8") as file:
+        encoder = Encoder(Vocabulary.from_json(file.read()))
+    r = random.Random(9)
+    text = "".join(r.choice("etaoinshrdlu") for _ in range(1_000_000))
+    assert encoder.encode_batch([text])[0] == library.encode(text, add_special_tokens=False).ids
