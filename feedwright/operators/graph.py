@@ -20,6 +20,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
     both = materialize(both, "edges")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("node"), F.col("b").alias("label"))
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")), "labels")
     while True:
         of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("of_b"))
