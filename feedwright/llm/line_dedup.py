@@ -180,6 +180,8 @@ def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOT
     level = materialize(_dealt(level, shared, ["key"]), "shared")
     discard(probes)
     discard(table)
+    if level.isEmpty():
+        return level.select(F.col("id").alias("a"), F.col("id").alias("b"))
     # Only now are texts needed: those of lines that share a key with another.
     ids = level.select("id").distinct()
     found = bloom.where_in(lines.withColumn("_h", F.xxhash64("id")), ids.select(F.xxhash64("id").alias("key")), "_h", max_slots)
@@ -191,13 +193,19 @@ def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOT
         sizes = level.groupBy("key").agg(
             F.count("*").alias("c"), F.bool_or("own").alias("any_own"), F.min("tied").alias("all_tied"), F.bit_and("mask").alias("met"), F.max(F.length("rest") - F.col("d") - F.col("k")).alias("over")
         )
-        sized = _dealt(level, sizes.where("c > 1 AND any_own AND NOT all_tied AND met = 0").drop("any_own", "all_tied", "met"), ["key"])
+        sizes = sizes.where("c > 1 AND any_own AND NOT all_tied AND met = 0").drop("any_own", "all_tied", "met")
+        crowded = not sizes.where(f"c > {FEW_LINES}").isEmpty()
+        sized = _dealt(level, sizes, ["key"])
         few, tiny = F.expr(f"c <= {FEW_LINES}"), F.expr(f"c > {FEW_LINES} AND over <= 0")
         small, many = sized.where(few), sized.where(~few & ~tiny)
         a = small.where("own").select("key", "k", F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("tied").alias("tied_a"), F.col("mask").alias("mask_a"))
         b = small.select("key", F.col("id").alias("b"), F.col("own").alias("own_b"), F.col("line").alias("line_b"), F.col("tied").alias("tied_b"), F.col("mask").alias("mask_b"))
         pairs = a.join(b, "key").where("a <> b AND (NOT own_b OR a < b) AND NOT (tied_a AND tied_b) AND (mask_a & mask_b) = 0")
         pairs = pairs.select("a", "b", "line_a", "line_b", "k").dropDuplicates(["a", "b", "k"]).where(near("line_a", "line_b", "k", most)).select("a", "b")
+        if not crowded:
+            links.append(materialize(pairs.distinct(), "near"))
+            discard(level)
+            break
         # So little is left that all index entries are near each other; a probe needs one of them.
         left = sized.where(tiny)
         index = left.where("own")

@@ -86,7 +86,7 @@ def test_narrowed_distance(spark, k):
     assert all(x.near == (distance(x.a, x.b) <= k) for x in df.collect())
 
 
-@pytest.mark.parametrize("few,edits", [(1, ((0, 1),)), (8, ((0, 1),)), (1, ((20, 1), (25, 2), (40, 3))), (8, ((20, 2),)), (4, ((20, 3),))])
+@pytest.mark.parametrize("few,edits", [(1, ((0, 1),)), (2, ((20, 1), (25, 2), (40, 3))), (8, ((20, 2),))])
 def test_links_connect_what_brute_force_connects(spark, monkeypatch, few, edits):
     monkeypatch.setattr(ld, "FEW_LINES", few)
     lines = [x for x in some_lines(few + len(edits)) if len(x) < 60] + ["count %02d of a list with dates" % i for i in range(0, 90, 4)]
@@ -101,7 +101,7 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, few, edits)
     assert components_of(nodes, links) == components_of(nodes, true)
 
 
-@pytest.mark.parametrize("k", [1, 2, 3])
+@pytest.mark.parametrize("k", [1, 2])
 def test_crowded_lines_that_differ_in_few_places(spark, monkeypatch, k):
     """One bucket holds hundreds of lines; what is left of them is down to k characters."""
     monkeypatch.setattr(ld, "FEW_LINES", 2)
