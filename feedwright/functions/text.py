@@ -140,7 +140,7 @@ def joined_link(href: Column, page: str) -> Column:
     steps = F.split(F.concat(F.lit(folder.rstrip("/") + "/"), F.regexp_replace(href, r"(?s)[?#].*$", "")), "/")
     walked = F.aggregate(F.slice(steps, F.lit(2), F.size(steps)), F.array().cast("array<string>"), lambda kept, s: F.when(
         s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(s == ".", kept).otherwise(F.concat(kept, F.array(s))))
-    slash = F.when(F.rlike(href, F.lit(r"(^|/)\.\.?/?$")) & ~F.endswith(href, F.lit("/")), "/").otherwise("")
+    slash = F.when(F.rlike(href, F.lit(r"(^|/)\.\.?/?$")) & ~F.endswith(href, F.lit("/")) & (F.size(walked) > 0), "/").otherwise("")
     relative = F.concat(F.lit(root + "/"), F.array_join(walked, "/"), slash, tail)
     query = F.concat(F.lit(f"{root}/{path.partition('?')[0].partition('#')[0]}"), href)
     return (
