@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
@@ -22,12 +23,22 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Tables written between two collections of the driver's garbage.
+COLLECT_EVERY = 8
+_written = itertools.count(1)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here and a
-    lost executor costs only the tasks that read its files again."""
+    lost executor costs only the tasks that read its files again.
+
+    Spark lets go of broadcasts and shuffle files of finished rounds when the
+    driver's garbage is collected, so that is asked for now and then."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/feedwright/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if next(_written) % COLLECT_EVERY == 0:
+        spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
