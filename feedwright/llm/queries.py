@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedwright.llm.bpe import round_trip
 from feedwright.llm.common import table
+from feedwright.llm.divergence import source_divergence
 from feedwright.llm.exact_dedup import exact_dedup
 from feedwright.llm.jaccard_join import jaccard_join
 from feedwright.llm.labelled import fold
@@ -87,6 +88,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_bpe": op10_bpe,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 #: DuckDB's distance counts bytes: the tables' letters beyond ASCII are given one byte each for it.
@@ -167,4 +173,21 @@ ORACLES: dict[str, str] = {
           FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        u AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+        k AS (SELECT lang, term, count(*) AS total FROM u GROUP BY 1, 2 HAVING count(DISTINCT r) >= 10),
+        v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY 1),
+        c AS (SELECT u.lang, source, u.term, count(*) AS n FROM u SEMI JOIN k ON u.lang = k.lang AND u.term = k.term GROUP BY 1, 2, 3),
+        g AS (SELECT lang, source, coalesce(m.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY 1, 2) m USING (lang, source)),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.n + 2 * v.v)::HUGEINT AS p,
+            1 + (1000000000::HUGEINT * (k.total + 2)) // (v.n + 2 * v.v)::HUGEINT AS q
+          FROM g JOIN k ON g.lang = k.lang JOIN v ON g.lang = v.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+        o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q),
+        z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM o)
+        SELECT lang, source, part, item, value, rank FROM z WHERE part = 'pair' OR rank <= 10""",
 }
