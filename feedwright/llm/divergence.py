@@ -110,7 +110,8 @@ def _tile(key: tuple, cells: pa.Table, groups: pa.Table) -> pa.Table:
         for c, v in zip(out, (part, source, item, value), strict=True):
             out[c].append(v)
 
-    if groups.num_rows and (cells.num_rows or block == 0):
+    held = groups["held"][0].as_py() if groups.num_rows else 0
+    if groups.num_rows and (held or block == 0):
         order = np.argsort(np.array(groups["source"].to_pylist(), object), kind="stable")
         groups = groups.take(pa.array(order))
         sources, side = groups["source"].to_pylist(), groups["side"].to_numpy()
@@ -124,7 +125,9 @@ def _tile(key: tuple, cells: pa.Table, groups: pa.Table) -> pa.Table:
         of_lang[at] = cells["total"].to_numpy()
         p = scaled(counts + 2, total[:, None])
         left, right = np.flatnonzero(side == a), np.flatnonzero(side == b)
-        pairs = np.zeros((len(left), len(right)), np.int64)
+        absent = scaled(np.full(len(sources), 2), total) if held else total
+        # Kept terms of the block that no group of this tile has: each pair has one value for all of them.
+        pairs = (held - len(terms)) * divergence(absent[left, None], absent[None, right]) if held else np.zeros((len(left), len(right)), np.int64)
         step = max(1, PAIR_ELEMENTS // max(pairs.size, 1))
         for i in range(0, len(terms), step):
             pairs += divergence(p[left, None, i : i + step], p[None, right, i : i + step]).sum(2)
@@ -178,8 +181,11 @@ def source_divergence(df: DataFrame, min_docs: int = MIN_DOCS, terms_per_block:
     blocks = max(1, -(-(most.v or 0) // terms_per_block))
     sides = max(1, -(-(most.s or 0) // groups_per_tile))
     key = ("lang", "block", "a", "b")
-    left = _met(cells.where("term IS NOT NULL").drop("once").withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")), sides)
-    right = _met(groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), sides)
+    dealt = cells.where("term IS NOT NULL").withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int"))
+    held = dealt.where("once").groupBy("lang", "block").agg(F.count("*").alias("held"))
+    everywhere = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    left = _met(dealt.drop("once"), sides)
+    right = _met(everywhere.join(held, ["lang", "block"], "left").fillna(0, ["held"]), sides)
     tiles = materialize(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_tile, _TILES), "tiles")
     pairs = tiles.where("part = 'pair'").groupBy("part", "lang", "source", "item").agg(F.sum("value").alias("value"))
     both = pairs.union(pairs.select("part", "lang", "item", "source", "value"))
