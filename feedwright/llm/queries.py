@@ -15,6 +15,7 @@ from feedwright.llm.jaccard_join import jaccard_join
 from feedwright.llm.labelled import fold
 from feedwright.llm.line_dedup import line_dedup
 from feedwright.llm.mixing import mix_sources
+from feedwright.llm.packing import pack_documents
 from feedwright.llm.quality import score_quality
 from feedwright.llm.substring_dedup import substring_dedup
 from feedwright.llm.topk_search import quantised, top_k
@@ -92,6 +93,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
@@ -104,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_bpe": op10_bpe,
     "op11_source_divergence": op11_source_divergence,
+    "op13_packing": op13_packing,
 }
 
 #: DuckDB's distance counts bytes: the tables' letters beyond ASCII are given one byte each for it.
