@@ -14,6 +14,7 @@ all tails, are a table of the vocabulary's size, whatever the corpus holds.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,7 +24,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.bpe import Vocabulary, _read
 from feedwright.llm.chunks import ChunkEncoder
 from feedwright.llm.common import materialize, text_slices
 
@@ -48,10 +48,16 @@ def _encoder(spec: str) -> ChunkEncoder:
     key = hash(spec)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = ChunkEncoder(Vocabulary.from_json(spec))
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are what runs side by side
+        _encoders[key] = ChunkEncoder(spec)
     return _encoders[key]
 
 
+def _read(path: str) -> str:
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
 def _binary(data: np.ndarray, edges: np.ndarray, valid: np.ndarray) -> pa.Array:
     """The ids between following edges as bytes; null where not valid (those are empty)."""
     offsets = (edges * 4).astype(np.int32)
@@ -294,7 +300,7 @@ def pack_documents(df: DataFrame, path: str, length: int = LENGTH, end_id: int =
     """
     encoded = materialize(windows_and_tails(df, path, length, end_id), "encoded")
     tails = encoded.where("tail IS NOT NULL")
-    stats = Statistics.of(tails, max(len(Vocabulary.from_json(_read(path)).surface), end_id + 1))
+    stats = Statistics.of(tails, max(_encoder(_read(path)).size, end_id + 1))
     parts = max(1, round(stats.docs * stats.mean / TASK_TOKENS))
     names = [f.split()[0] for f in _PIECES.split(", ")]
     whole = encoded.where("window IS NOT NULL").select("doc_id", "start", "length", F.col("window").alias("ids"), "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from feedwright.llm.bpe import Vocabulary, _read
+from feedwright.llm import chunks
 from feedwright.llm.chunks import ChunkEncoder
-from feedwright.llm.packing import LENGTH, Packer, Shard, Statistics, pack_documents
+from feedwright.llm.packing import LENGTH, Packer, Shard, Statistics, _read, pack_documents
 from feedwright.llm.queries import QUERIES, tokenizer_path
 
 PATH = tokenizer_path()
@@ -46,12 +46,13 @@ def whole(pieces):
     return out
 
 
-def test_chunks_equal_the_library(reference):
+def test_chunks_equal_the_library(reference, monkeypatch):
     texts = ["", None, " ", "a  \n b", "x \n  b　\n c", "  x \x1c\n y", " <|endoftext|> x<|endoftext|>", "don't we'll\t\tgo\r\n  \r\n", "Ünïcode ßtraße 中文 字 🙂 1234", "a" * 5000, "word " * 3000 + "\n\n", "\n\n lead", "tail \n \n"]
-    encoder = ChunkEncoder(Vocabulary.from_json(_read(PATH)))
+    encoder = ChunkEncoder(_read(PATH))
     import pyarrow as pa
 
-    for _ in range(2):  # new and remembered
+    for joined in (1, 3, 512):
+        monkeypatch.setattr(chunks, "JOINED", joined)
         ids, at = encoder.encode_column(pa.array(texts, pa.string()))
         assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [ids_of(reference, t)[:-1] for t in texts]
     assert encoder.encode_column(pa.array([], pa.string()))[1].tolist() == [0]
