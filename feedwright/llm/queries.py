@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedwright.llm.bpe import round_trip
 from feedwright.llm.common import table
+from feedwright.llm.conversations import damaged, repair_conversations
 from feedwright.llm.divergence import source_divergence
 from feedwright.llm.exact_dedup import exact_dedup
 from feedwright.llm.jaccard_join import jaccard_join
@@ -93,6 +94,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_bpe": op10_bpe,
     "op11_source_divergence": op11_source_divergence,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_packing": op13_packing,
 }
 
@@ -120,6 +126,27 @@ _ONE_BYTE = "".join(map(chr, (*range(1, 9), *range(14, 27))))
 _COMPONENTS = """e AS (SELECT a, b FROM links UNION SELECT b, a FROM links), r(id, low) AS (SELECT id, id FROM d UNION SELECT e.b, r.low FROM r JOIN e ON r.id = e.a WHERE r.low < e.b),
   label AS (SELECT id, min(low) AS low FROM r GROUP BY id)"""
 
+
+def _more(path: str, cost: str, edit: str) -> str:
+    """SQL: a path (its cost in twelve digits, then its edits) with one more edit; null where there is none."""
+    return f"printf('%012d', left({path}, 12)::BIGINT + {cost}) || substr({path}, 13) || '{edit}'"
+
+
+def _cheapest_edits() -> str:
+    """SQL: the least path to each state after each row of a conversation; what is inserted next is already in it."""
+    extra = "CASE WHEN t.fault = 'truncated' THEN 5 ELSE 0 END"
+    may = lambda path, when: f"CASE WHEN t.fault NOT IN ('blank', 'duplicate') AND {when} THEN {path} END"
+    kept = lambda path, initial: may(_more(path, extra, "K"), f"t.initial = '{initial}'")
+    other = lambda path: may(_more(path, f"1 + {extra}", "R"), "true")
+    gone = lambda path: _more(path, "2", "D")
+    to_user = ", ".join([*(kept(f"p.{q}", "u") for q in ("b", "s", "a")), *(other(f"p.{q}") for q in ("b", "s", "a"))])
+    return f"""SELECT conv_id, i, b, s, u, least(a, {_more("u", "5", "I")}) AS a FROM (
+            SELECT conv_id, i, b, s, least(u, {_more("b", "5", "I")}, {_more("s", "5", "I")}, {_more("a", "5", "I")}) AS u, a FROM (
+              SELECT t.conv_id, t.i, {gone("p.b")} AS b, least({gone("p.s")}, {kept("p.b", "s")}) AS s, least({gone("p.u")}, {to_user}) AS u,
+                least({gone("p.a")}, {kept("p.u", "a")}, {other("p.u")}) AS a
+              FROM p JOIN t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1))"""
+
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": f"""
         WITH RECURSIVE o AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
@@ -180,6 +207,29 @@ ORACLES: dict[str, str] = {
           FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op12_conversation_repair": f"""
+        WITH RECURSIVE crc AS MATERIALIZED (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), n)) AS l),
+        k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+        h AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT), lambda c, b: xor(c >> 8, l[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS kind FROM k, crc),
+        d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+          FROM h, (SELECT unnest(range(2)) AS copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+        e AS (SELECT *, left(role, 1) AS initial, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen FROM d),
+        t AS MATERIALIZED (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, seen) AS i, turn, role, text, initial, CASE WHEN last = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+            lag(initial) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, seen) AS before FROM e),
+        c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+            count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM t GROUP BY 1),
+        p(conv_id, i, b, s, u, a) AS (SELECT DISTINCT conv_id, 0::BIGINT, '000000000000', NULL::VARCHAR, '000000000005I', '000000000010II' FROM t UNION ALL {_cheapest_edits()}),
+        w AS (SELECT c.*, left(least(b, a), 12)::BIGINT AS cost, substr(least(b, a), 13) AS audit FROM c JOIN p ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.i),
+        x AS (SELECT conv_id, string_split(audit, '') AS l FROM w WHERE audit <> ''),
+        y AS (SELECT conv_id, unnest(l) AS edit, generate_subscripts(l, 1) AS j FROM x),
+        z AS (SELECT conv_id, edit, j, count(*) FILTER (edit <> 'I') OVER f AS i, count(*) FILTER (edit <> 'D') OVER f AS o FROM y WINDOW f AS (PARTITION BY conv_id ORDER BY j)),
+        r AS (SELECT z.conv_id, z.j, z.edit, z.o, t.role, CASE WHEN z.edit = 'I' THEN '' ELSE t.text END AS text,
+            max(CASE WHEN z.o = 1 AND z.edit = 'K' AND t.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY z.conv_id) AS led FROM z LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM z.conv_id AND t.i = z.i),
+        s AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (o - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS whole FROM r WHERE edit <> 'D' GROUP BY 1)
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+          coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM o.conv_id""",
     "op11_source_divergence": r"""
         WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
