@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from feedwright.functions import dates, html, text
 from feedwright.operators import bronze, feeds, state, stories
 from feedwright.sources import readers, registry, sinks
+from feedwright.sources.keyed import KeyedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -599,9 +600,9 @@ def stream_upsert(spark, sf):
     root = f"{shared_dir(spark)}/feedwright/stream-{uuid.uuid4().hex}"
     rows = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]").select(
         text.normalize_link(F.concat(F.lit("HTTPS://Feed.example/"), "user_id", F.lit("/"), "event_type", F.lit("/?e="), "event_id")).alias("url"), "event_id", "ts")
-    bronze_table = sinks.VersionedTable(spark, f"{root}/bronze")
-    stream.run_once(spark, stream.upsert_batches(rows, bronze_table, f"{root}/progress", "url string, event_id bigint, ts timestamp", ("ts", "event_id")))
-    return bronze_table.read("url string, event_id bigint, ts timestamp").select("url", "event_id")
+    bronze_table = KeyedTable(spark, f"{root}/bronze", "url string, event_id bigint, ts timestamp", "url", ("ts", "event_id"))
+    stream.run_once(spark, stream.upsert_batches(rows, bronze_table, "events", f"{root}/progress"))
+    return bronze_table.read().select("url", "event_id")
 
 
 @query(r"""SELECT page_id, regexp_matches(url, '/(?:article|news|story)/\d+') AS numbered, length(p) - length(replace(p, '/', '')) >= 2 AND length(p) > 6 AND NOT contains(url, 'author') AS likely

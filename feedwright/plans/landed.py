@@ -11,6 +11,7 @@ from feedwright.operators import bronze, feeds, state, stories
 from feedwright.plans import jobs
 from feedwright.plans.catalog import _FEED, _feed, _state, query, table
 from feedwright.sources import readers, registry, sinks
+from feedwright.sources.keyed import KeyedTable
 
 _AS_OF = "2024-02-01 00:00:00"
 _DAY = "(DATE '2024-01-01' + (doc_id % 28)::INTEGER)"
@@ -21,6 +22,15 @@ def _as_of():
     return F.lit(_AS_OF).cast("timestamp")
 
 
+def _aside(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one."""
+    import uuid
+
+    from feedwright.storage import shared_dir
+
+    return f"{shared_dir(spark)}/feedwright/{name}-{uuid.uuid4().hex}"
+
+
 def _batches(docs: DataFrame, size: int, item) -> DataFrame:
     """(batch, items): the texts that item(doc) gives, in the order of the ids, `size` to a batch."""
     packed = docs.select(F.floor(F.col("doc_id") / size).alias("batch"), F.struct("doc_id", item.alias("t")).alias("s")).groupBy("batch").agg(F.collect_list("s").alias("s"))
@@ -273,33 +283,43 @@ def archive_checkpoints(spark, sf):
     return sinks.archive_checkpoint(sinks.merged_archive(a.where("pos < 10"), a.where("pos >= 5"), ["source"]), ["source"])
 
 
-@query("""SELECT 'delta' AS target, doc_id FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT 'archive', doc_id FROM documents WHERE doc_id % 3 = 0 OR doc_id % 2 = 0""")
+@query("""WITH d AS (SELECT source, doc_id FROM documents), a AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM d WHERE doc_id % 2 = 0),
+  m AS (SELECT source, doc_id, 0 AS b, doc_id AS p FROM d WHERE doc_id % 3 = 0 UNION ALL SELECT source, doc_id, 1, n FROM a WHERE n <= 25 AND doc_id % 3 <> 0),
+  r AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY b, p) AS n FROM m)
+  SELECT 'archive' AS target, source, doc_id, (n - 1)::INTEGER AS pos FROM r WHERE n <= 25
+  UNION ALL SELECT 'delta', source, doc_id, doc_id::INTEGER FROM d WHERE doc_id % 3 = 0 OR (doc_id % 2 = 0 AND source NOT IN (SELECT source FROM d WHERE doc_id % 3 = 0))""")
 def delta_and_archive(spark, sf):
-    """Two writes of one batch: the delta is the batch alone, the archive has the earlier ones too."""
-    import uuid
+    """Two writes of a batch: an outlet's delta is its part of the batch alone, its archive has the earlier ones after it, 25 rows at most."""
+    root = _aside(spark, "sinks")
+    d = table(spark, sf, "documents").select("source", "doc_id", F.concat(F.lit("https://x.example/"), "doc_id").alias("link"), F.col("doc_id").cast("int").alias("pos"))
+    for n in (2, 3):
+        sinks.write_delta_and_archive(d.where(f"doc_id % {n} = 0"), root, "source", 25)
+    read = lambda target: spark.read.schema(d.schema).parquet(f"{root}/{target}").select(F.lit(target).alias("target"), "source", "doc_id", "pos")
+    return read("archive").unionByName(read("delta"))
 
-    from feedwright.storage import shared_dir
 
-    root = f"{shared_dir(spark)}/feedwright/sinks-{uuid.uuid4().hex}"
-    delta, archive = sinks.VersionedTable(spark, f"{root}/delta"), sinks.VersionedTable(spark, f"{root}/archive")
-    d = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("https://x.example/"), "doc_id").alias("link"), F.col("doc_id").cast("int").alias("pos"))
-    for n in (2, 3):
-        sinks.write_delta_and_archive(d.where(f"doc_id % {n} = 0"), delta, archive, limit=1 << 30)
-    return delta.read().select(F.lit("delta").alias("target"), "doc_id").unionByName(archive.read().select(F.lit("archive"), "doc_id").toDF("target", "doc_id"))
+_UPSERTS = """SELECT doc_id, source, 'first' AS writer, 0 AS batch, doc_id % 5 AS v FROM documents UNION ALL SELECT doc_id, source, 'first', 1, doc_id % 7 FROM documents WHERE doc_id % 2 = 0
+  UNION ALL SELECT doc_id, source, 'second', 0, doc_id % 11 FROM documents WHERE doc_id % 3 = 0"""
 
 
-@query("""SELECT 'https://x.example/' || doc_id AS url, CASE WHEN doc_id % 3 = 0 THEN 2 WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS batch FROM documents""")
+@query(f"""WITH u AS ({_UPSERTS}), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY v DESC, batch DESC, writer DESC) AS n FROM u)
+  SELECT 'https://x.example/' || doc_id AS url, source, writer, v::INTEGER AS v FROM r WHERE n = 1""")
 def upserted_parts(spark, sf):
-    """A keyed table of a history and later parts: a later part's row stands for its key, before and after the parts are gathered."""
-    import uuid
+    """Two writers of one keyed table in turns, one batch twice: the last row by v stands for its key, before and after buckets are gathered."""
+    t = KeyedTable(spark, f"{_aside(spark, 'upserts')}/t", "url string, source string, writer string, v int", "url", ("v",), buckets=16)
+    d = table(spark, sf, "documents")
+    for writer, batch, test, v in (("first", 0, "true", 5), ("second", 0, "doc_id % 3 = 0", 11), ("first", 1, "doc_id % 2 = 0", 7), ("second", 0, "doc_id % 3 = 0", 11)):
+        t.upsert(d.where(test).select(F.concat(F.lit("https://x.example/"), "doc_id").alias("url"), "source", F.lit(writer).alias("writer"), (F.col("doc_id") % v).cast("int").alias("v")), writer, batch)
+        t.compact(least=3)
+    return t.read()
 
-    from feedwright.storage import shared_dir
 
-    t = sinks.VersionedTable(spark, f"{shared_dir(spark)}/feedwright/upserts-{uuid.uuid4().hex}")
-    d = table(spark, sf, "documents").select(F.concat(F.lit("https://x.example/"), "doc_id").alias("url"), "doc_id")
-    for batch, test in enumerate(("true", "doc_id % 2 = 0", "doc_id % 3 = 0")):
-        t.upsert(d.where(test).select("url", F.lit(batch).alias("batch")), "url", ("batch",), compact_at=4)
-    return t.read()
+@query("""SELECT count(*) AS articles_in, count(DISTINCT source || '/' || doc_id // 2) AS articles_out FROM documents""")
+def run_audit(spark, sf):
+    """What a dry run reads and would write, counted by its one job as the rows pass."""
+    d = table(spark, sf, "documents").select("source", "doc_id", F.concat(F.lit("https://x.example/"), "source", F.lit("/"), F.floor(F.col("doc_id") / 2)).alias("link"))
+    counts = sinks.audit_counts(d, lambda rows: feeds.first_wins(rows, ["link"], ["doc_id"]))
+    return spark.createDataFrame([counts], "articles_in long, articles_out long")
 
 
 # --- state --------------------------------------------------------------------------------

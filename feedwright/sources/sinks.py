@@ -1,37 +1,25 @@
-"""Sinks: replace, merge, keyed upsert and run audit.
-
-A table is a folder of parts and a sequence of pointers, each naming the parts
-of one version.  Parts are written whole, then the next pointer is created, so
-nothing is overwritten while it is read, a run that dies leaves the old version
-in place, and of two writers with the same turn one succeeds and one is told.
-"""
+"""Sinks: merged archives, upserts of frames, run audit.  Tables with one row per key are in keyed.py."""
 
 from __future__ import annotations
 
-import json
 import time
-import uuid
 from collections.abc import Callable, Sequence
 from typing import TypeVar
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feedwright.functions.text import normalize_link
+from feedwright.storage import discard, materialize
 
 ARCHIVE_LIMIT = 2000
-#: Times a write is tried, and parts of a table before an upsert gathers them.
+#: Times a write is tried.
 ATTEMPTS = 3
-COMPACT_AT = 16
 
 T = TypeVar("T")
 
 
-class TurnTaken(RuntimeError):
-    """Another writer has made this version's successor: read again and try again."""
-
-
 def retried(action: Callable[[], T], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep) -> T:
     """action(), again after 2, 4, ... seconds if it fails; the last failure is raised."""
     for attempt in range(1, attempts + 1):
@@ -44,101 +32,15 @@ def retried(action: Callable[[], T], attempts: int = ATTEMPTS, sleep: Callable[[
     raise AssertionError("unreachable")
 
 
-class VersionedTable:
-    """Parquet parts under one path, readable by any Hadoop file system."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self._jvm = spark._jvm
-        self._at = lambda *parts: self._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
-        self._fs = self._at().getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-    def _pointers(self) -> list[tuple[int, dict]]:
-        """(turn, version) of the pointers; one whose writer died before it was filled doesn't count."""
-        where = self._at("_pointers")
-        if not self._fs.exists(where):
-            return []
-        out = []
-        for name in sorted(s.getPath().getName() for s in self._fs.listStatus(where)):
-            stream = self._fs.open(self._at("_pointers", name))
-            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            stream.close()
-            out.append((int(name), json.loads(text) if text else {}))
-        return out
-
-    def _current(self) -> tuple[int, dict]:
-        names = self._pointers()
-        filled = [v for _, v in names if v]
-        return (names[-1][0] if names else -1), (filled[-1] if filled else {"key": None, "parts": []})
-
-    def _commit(self, turn: int, version: dict) -> None:
-        try:
-            stream = self._fs.create(self._at("_pointers", f"{turn:012d}"), False)
-        except Py4JJavaError as e:
-            raise TurnTaken(f"turn {turn} of {self.path} is taken") from e
-        stream.writeBytes(json.dumps(version))
-        stream.close()
-
-    def _write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        part = f"v-{uuid.uuid4().hex}"
-        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-        writer.parquet(f"{self.path}/{part}")
-        return part
-
-    def read(self, schema: str | None = None) -> DataFrame:
-        """The current version; an empty table of the schema before the first.
-
-        Of an upserted table's parts, a later one's row stands for its key.  The first part, the
-        history, is only anti-joined with the keys of the later ones, which are few."""
-        version = self._current()[1]
-        parts = [self.spark.read.parquet(f"{self.path}/{p}") for p in version["parts"]]
-        if not parts:
-            return self.spark.createDataFrame([], schema or "url string")
-        if len(parts) == 1:
-            return parts[0]
-        key, columns = version["key"], parts[0].columns
-        later = parts[1].withColumn("_turn", F.lit(1))
-        for i, part in enumerate(parts[2:], 2):
-            later = later.unionByName(part.withColumn("_turn", F.lit(i)))
-        w = Window.partitionBy(key).orderBy(F.desc("_turn"))
-        last = later.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*columns)
-        return parts[0].join(last.select(key), key, "left_anti").select(*columns).unionByName(last)
-
-    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        turn = self._current()[0]
-        self._commit(turn + 1, {"key": None, "parts": [self._write(df, partition_by)]})
-
-    def upsert(self, new: DataFrame, key: str = "url", order: Sequence[Column | str] = (), compact_at: int = COMPACT_AT) -> None:
-        """The rows of new in place of those of the same key; of equal keys in new the last by `order` wins.
-
-        Only the new rows are written; when there are compact_at parts they become one."""
-        turn, version = self._current()
-        part = self._write(last_by_key(new, key, order))
-        self._commit(turn + 1, {"key": key, "parts": [*version["parts"], part]})
-        if len(version["parts"]) + 1 >= compact_at:
-            turn, version = self._current()
-            self._commit(turn + 1, {"key": key, "parts": [self._write(self.read())]})
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Delete all but the last pointers, and the parts that no pointer left names."""
-        every = self._pointers()
-        old, kept = every[:-keep], every[-keep:]
-        for turn, _ in old:
-            self._fs.delete(self._at("_pointers", f"{turn:012d}"), False)
-        live = {p for _, v in kept for p in v.get("parts", ())}
-        for part in {p for _, v in old for p in v.get("parts", ())} - live:
-            self._fs.delete(self._at(part), True)
-
-
-def last_by_key(new: DataFrame, key: str, order: Sequence[Column | str] = ()) -> DataFrame:
+def last_by_key(new: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
     """Of each key the last row by `order`."""
     if not order:
-        return new.dropDuplicates([key])
+        raise ValueError("without an order the row that stands for a key would be arbitrary")
     w = Window.partitionBy(key).orderBy(*[F.desc(o) if isinstance(o, str) else o for o in order])
     return new.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def upserted(current: DataFrame, new: DataFrame, key: str = "url", order: Sequence[Column | str] = ()) -> DataFrame:
+def upserted(current: DataFrame, new: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
     """current with the rows of new in place of those of the same key; of equal keys in new the last by `order` wins.
 
     Old rows are only anti-joined: the wide history isn't sorted."""
@@ -204,13 +106,41 @@ def close_run(run: DataFrame, finished_at: Column, articles_in: int, articles_ou
                             "articles_out": F.lit(articles_out), "error_message": F.lit(error).cast("string")})
 
 
-def audit_counts(articles: DataFrame, bronze: DataFrame) -> tuple[int, int]:
-    """A dry run: rows read and rows that would be written."""
-    return articles.count(), bronze.count()
+def written_and_counted(articles: DataFrame, to_bronze: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None]) -> tuple[int, int]:
+    """Write to_bronze(articles) and tell how many articles were read and rows written: both are counted by the
+    write's own job, as rows pass.
+
+    A task that is run again may pass its rows again before the count is taken; Spark then counts those of
+    the attempt that succeeded.  to_bronze must read every article (no limit)."""
+    read, made = Observation(), Observation()
+    write(to_bronze(articles.observe(read, F.count(F.lit(1)).alias("n"))).observe(made, F.count(F.lit(1)).alias("n")))
+    return read.get["n"], made.get["n"]
+
+
+def audit_counts(articles: DataFrame, to_bronze: Callable[[DataFrame], DataFrame]) -> tuple[int, int]:
+    """A dry run: rows read and rows that would be written, in one job that writes nothing."""
+    return written_and_counted(articles, to_bronze, lambda rows: rows.write.format("noop").mode("overwrite").save())
+
+
+def _at(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows under a path, none before the first write."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    there = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(root)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
 
+def write_delta_and_archive(batch: DataFrame, path: str, outlet: str = "outlet_id", limit: int = ARCHIVE_LIMIT) -> None:
+    """Two targets of one batch (outlet, pos, link, ...), path/archive and path/delta: an outlet's delta is exactly its
+    part of the last batch that had one, its archive that part before what the archive held, `limit` rows at most.
 
-def write_delta_and_archive(batch: DataFrame, delta: VersionedTable, archive: VersionedTable, limit: int = ARCHIVE_LIMIT) -> None:
-    """Two targets of one batch: the delta is exactly the batch, the archive is the batch before what it held."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.schema)
-    archive.replace(merged_archive(batch, archive.read(schema), limit=limit))
-    delta.replace(batch)
+    Only the folders of the batch's outlets are read and replaced.  The merged archive is written aside first, so
+    nothing is read while it is replaced.  An outlet has one writer at a time."""
+    spark = batch.sparkSession
+    schema = StructType([f for f in batch.schema if f.name != outlet] + [batch.schema[outlet]])
+    old = _at(spark, f"{path}/archive", schema).join(batch.select(outlet).distinct(), outlet, "left_semi")
+    merged = materialize(merged_archive(batch.select(*schema.names), old.select(*schema.names), [outlet], limit), "archive")
+    for rows, target in ((merged, "archive"), (batch, "delta")):
+        dealt = rows.repartition(outlet)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(outlet).parquet(f"{path}/{target}")
+    discard(merged)

@@ -13,29 +13,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedwright.functions.text import normalize_link
-from feedwright.sources.sinks import VersionedTable, retried
+from feedwright.sources.keyed import KeyedTable
+from feedwright.sources.sinks import retried
 
 POLL = "600 seconds"
 
 
-def upsert_batches(stream: DataFrame, table: VersionedTable, checkpoint: str, schema: str, order: tuple[str, ...] = (), once: bool = True,
-                   after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Upsert each micro-batch on url; empty batches write nothing.  after(batch, id) advances other state.
+def upsert_batches(stream: DataFrame, table: KeyedTable, writer: str, checkpoint: str, once: bool = True, after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Upsert each micro-batch into a keyed table; empty batches write nothing.  after(batch, id) advances other state.
 
-    A batch writes its own rows only; a write that fails is tried again; versions before the last two go."""
-
-    names = [field.split()[0] for field in schema.split(", ")]
+    `writer` names the stream, as its checkpoint does: the batch's number is part of what it writes, so a replayed
+    batch replaces itself.  Streams of other names may write to the same table meanwhile.  A write that fails is
+    tried again; buckets of many folders are gathered now and then."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        retried(lambda: table.upsert(batch.select(*names), "url", order))
-        table.vacuum()
+        retried(lambda: table.upsert(batch, writer, batch_id))
+        table.compact()
         if after is not None:
             after(batch, batch_id)
 
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=POLL)).start()
+    started = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (started.trigger(availableNow=True) if once else started.trigger(processingTime=POLL)).start()
 
 
 def first_seen(stream: DataFrame, link: str, at: str, lateness: str = "7 days") -> DataFrame:

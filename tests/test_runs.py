@@ -1,4 +1,4 @@
-"""Incremental runs at their edges, versioned tables under failure and competition, layouts."""
+"""Incremental runs at their edges, writes under failure, layouts."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,20 +42,6 @@ def test_empty_lists_and_sections_without_news_keep_their_checkpoints(spark):
     assert caught.write and caught.emitted.count() == 0 and [r.link for r in caught.checkpoints.collect()] == ["https://www.aruna.lk/x/?old=1"]
 
 
-def test_one_of_two_writers_is_told(spark, tmp_path):
-    one, two = (sinks.VersionedTable(spark, f"file://{tmp_path}/t") for _ in range(2))
-    one.upsert(spark.createDataFrame([("u", 1), ("v", 1)], "url string, n int"))
-    turn = two._current()[0]
-    two._commit(turn + 1, two._current()[1])
-    with pytest.raises(sinks.TurnTaken):
-        one._commit(turn + 1, one._current()[1])
-    for n in range(2, 6):
-        one.upsert(spark.createDataFrame([("u", n)], "url string, n int"), compact_at=3)
-    assert sorted(map(tuple, two.read().collect())) == [("u", 5), ("v", 1)]
-    two.vacuum(1)
-    assert sorted(map(tuple, one.read().collect())) == [("u", 5), ("v", 1)] and len(one._pointers()) == 1
-
-
 def test_writes_are_tried_again():
     waited, left = [], [2]
 
