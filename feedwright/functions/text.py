@@ -105,9 +105,9 @@ def title_key(title: Column, suffix: str) -> Column:
     return F.lower(F.regexp_replace(strip(F.coalesce(title, F.lit(""))), rf"(?iU)\s*[-|]\s*{quoted}\s*$", ""))
 
 
-def composite_key(link: Column, title: Column, domain: str, suffix: str) -> Column:
-    """url:<link> for links of the domain, else title:<key>, else url:<link>."""
-    by_url, key = F.concat(F.lit("url:"), normalize_link(link)), title_key(title, suffix)
+def composite_key(link: Column, title: Column, domain: str, suffix: str, norm: Column | None = None) -> Column:
+    """url:<link> for links of the domain, else title:<key>, else url:<link>.  norm: the normalised link, if it is at hand."""
+    by_url, key = F.concat(F.lit("url:"), normalize_link(link) if norm is None else norm), title_key(title, suffix)
     return F.when(F.contains(F.coalesce(link, F.lit("")), F.lit(domain)), by_url).when(key != "", F.concat(F.lit("title:"), key)).otherwise(by_url)
 
 

@@ -17,6 +17,19 @@ def _over(keys: Sequence[str], order: Sequence[Column | str] = ()):
     return w.orderBy(*order) if order else w
 
 
+def met(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """left join right on keys in which a null equals a null; each key is there once, first."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(other[f"_r_{k}"])
+    joined = left.join(other, same, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    both = [(F.coalesce(k, f"_r_{k}") if how == "full" else F.col(k)).alias(k) for k in keys]
+    return joined.select(*both, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys])
+
+
 def boundary_reason(norm: Column, checkpoint: Column, known: Column) -> Column:
     """checkpoint, known_previous or null."""
     return F.when(F.coalesce(norm == checkpoint, F.lit(False)), "checkpoint").when(F.coalesce(known, F.lit(False)), "known_previous")
@@ -26,10 +39,11 @@ def until_boundary(feed: DataFrame, is_boundary: Column, keys: Sequence[str], or
     """The rows of each feed before its first boundary; all of them without one.
 
     The boundary is an aggregate joined back, not a window over the rows: a
-    feed's rows are combined before the shuffle, and aren't sorted.
+    feed's rows are combined before the shuffle, and aren't sorted.  A null in a
+    key is a key like any other.
     """
     stop = feed.where(is_boundary).groupBy(*keys).agg(F.min(order).alias("_stop"))
-    return feed.join(stop, list(keys), "left").where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_stop")
+    return met(feed, stop, keys, "left").where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_stop")
 
 
 def until_global_boundary(feed: DataFrame, is_boundary: Column, order: Sequence[str]) -> DataFrame:
@@ -62,28 +76,38 @@ def without_promos(feed: DataFrame, link: str = "norm", **how) -> DataFrame:
     return feed.join(promo_links(feed, link, **how).select(link), link, "left_anti")
 
 
+def fold_candidates(feed: DataFrame, limit: int, outlet: str = "outlet_id") -> DataFrame:
+    """(outlet, section_ord, pos, norm): the rows that emit_fold() has to look at.
+
+    Those before their section's boundary that are valid and have a key, each key at its first place in the section;
+    of an outlet's s-th section the first limit * s of them: the earlier sections emit at most limit * (s - 1) keys
+    that this one may have to pass over.  So an outlet of n sections keeps at most limit * n * (n + 1) / 2 rows,
+    however long its lists are."""
+    place = [outlet, "section_ord"]
+    plain = feed.select(outlet, "section_ord", "pos", "norm", F.coalesce("boundary", F.lit(False)).alias("boundary"), F.coalesce("valid", F.lit(False)).alias("valid"))
+    firsts = until_boundary(plain, F.col("boundary"), place).where("valid AND norm IS NOT NULL").groupBy(*place, "norm").agg(F.min("pos").alias("pos"))
+    sections = firsts.groupBy(outlet).agg(F.array_sort(F.collect_set("section_ord")).alias("_all"))
+    ranked = firsts.withColumn("_n", F.row_number().over(_over(place, ["pos"])))
+    wanted = met(ranked, sections, [outlet]).where(F.col("_n") <= limit * F.array_position("_all", F.col("section_ord")))
+    return wanted.select(*place, "pos", "norm")
+
+
 def emit_fold(feed: DataFrame, limit: int, outlet: str = "outlet_id") -> DataFrame:
     """What a run emits: sections in order; each until its boundary or `limit` emitted rows; a link
     emitted before, or an invalid row, is passed over and doesn't count.
 
-    feed: (outlet, section_ord, pos, norm, boundary, valid).  Whether a link counts
-    in a section depends on what earlier sections emitted, so this is a fold over
-    an outlet's sorted rows, not a window.  A run's feeds are bounded by the list
-    pages (some hundred links an outlet); duplicates that can't matter are
-    dropped before the rows of an outlet meet.
+    feed: (outlet, section_ord, pos, norm, boundary, valid).  A row without a key,
+    or of unknown validity, is passed over; an unknown boundary is none.  Whether a
+    link counts in a section depends on what earlier sections emitted, so this is a
+    fold over an outlet's sorted rows, not a window; fold_candidates() bounds them.
     """
-    row = "struct<section_ord:int,pos:int,norm:string,boundary:boolean,valid:boolean>"
-    sorted_rows = feed.groupBy(outlet).agg(F.sort_array(F.collect_list(F.struct(*[F.col(c).cast(t) for c, t in (
-        ("section_ord", "int"), ("pos", "int"), ("norm", "string"), ("boundary", "boolean"), ("valid", "boolean"))]).cast(row))).alias("rows"))
-    start = "named_struct('em', cast(array() AS array<struct<section_ord:int,pos:int,norm:string>>), 'seen', cast(array() AS array<string>), 'so', -1, 'stop', false, 'n', 0)"
+    row = "struct<section_ord:int,pos:int,norm:string>"
+    few = fold_candidates(feed, limit, outlet)
+    sorted_rows = few.groupBy(outlet).agg(F.sort_array(F.collect_list(F.struct(F.col("section_ord").cast("int"), F.col("pos").cast("int"), F.col("norm").cast("string")).cast(row))).alias("rows"))
+    start = f"named_struct('em', cast(array() AS array<{row}>), 'so', -1, 'n', 0)"
     step = f"""
-      CASE WHEN x.section_ord = c.so AND c.stop THEN c
-           WHEN x.boundary THEN named_struct('em', c.em, 'seen', c.seen, 'so', x.section_ord, 'stop', true, 'n', if(x.section_ord = c.so, c.n, 0))
-           WHEN array_contains(c.seen, x.norm) OR NOT x.valid THEN
-                named_struct('em', c.em, 'seen', c.seen, 'so', x.section_ord, 'stop', false, 'n', if(x.section_ord = c.so, c.n, 0))
-           ELSE named_struct('em', concat(c.em, array(named_struct('section_ord', x.section_ord, 'pos', x.pos, 'norm', x.norm))),
-                'seen', concat(c.seen, array(x.norm)), 'so', x.section_ord,
-                'stop', if(x.section_ord = c.so, c.n, 0) + 1 >= {limit}, 'n', if(x.section_ord = c.so, c.n, 0) + 1) END"""
+      CASE WHEN if(x.section_ord = c.so, c.n, 0) >= {limit} OR exists(c.em, e -> e.norm = x.norm) THEN c
+           ELSE named_struct('em', concat(c.em, array(x)), 'so', x.section_ord, 'n', if(x.section_ord = c.so, c.n, 0) + 1) END"""
     return sorted_rows.select(outlet, F.inline(F.expr(f"aggregate(rows, {start}, (c, x) -> {step}, c -> c.em)")))
 
 
@@ -165,14 +189,14 @@ def advance_checkpoint(feed: DataFrame, emitted: DataFrame, old: DataFrame, boun
     k = list(keys)
     heads = feed.groupBy(*k).agg(F.min_by("link", "pos").alias("_head"), F.min_by(F.when(boundary, F.col("link")), F.when(boundary, F.col("pos"))).alias("_stopped"))
     new = emitted.groupBy(*k).agg(F.min_by("link", "pos").alias("_new"))
-    met = heads.join(new, k, "full").join(old.select(*k, F.col("checkpoint").alias("_old")), k, "full")
+    every = met(met(heads, new, k, "full"), old.select(*k, F.col("checkpoint").alias("_old")), k, "full")
     if rule == "head":
         out = F.coalesce("_head", "_old")
     elif rule == "first_new":
         out = F.coalesce("_new", "_old")
     else:
         out = F.coalesce("_stopped", F.when(F.col("_new").isNotNull(), F.col("_head")), "_old", "_head")
-    return met.select(*k, out.alias("link")).where("link IS NOT NULL AND link <> ''")
+    return every.select(*k, out.alias("link")).where("link IS NOT NULL AND link <> ''")
 
 
 def caught_up(feed: DataFrame, boundary: Column, keys: Sequence[str]) -> DataFrame:

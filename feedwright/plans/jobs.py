@@ -30,19 +30,21 @@ def numeric_id(outlet: Outlet, link: Column) -> Column | None:
     return {"story_id": story_id, "article_id": article_id}[outlet.key](link) if outlet.key in ("story_id", "article_id") else None
 
 
-def _suffix(outlet: Outlet) -> str:
+def title_suffix(outlet: Outlet) -> str:
     return outlet.display_name.replace(" ", "")
 
 
-def feed_key(outlet: Outlet) -> Column:
-    """What a link is known by.  A link without a number is known by its address, so two of them are two articles."""
+def feed_key(outlet: Outlet, norm: Column | None = None) -> Column:
+    """What a link is known by.  A link without a number is known by its address, so two of them are two articles.
+    norm: the normalised link, if it is at hand."""
     link, title = F.col("link"), F.coalesce(F.col("title"), F.lit(""))
+    norm = normalize_link(link) if norm is None else norm
     number = numeric_id(outlet, link)
     if number is not None:
-        return F.when(number > 0, number.cast("string")).otherwise(normalize_link(link))
+        return F.when(number > 0, number.cast("string")).otherwise(norm)
     if outlet.key == "composite":
-        return composite_key(link, title, outlet.homepage_url.split("://")[1].removeprefix("www."), _suffix(outlet))
-    return normalize_link(link)
+        return composite_key(link, title, outlet.homepage_url.split("://")[1].removeprefix("www."), title_suffix(outlet), norm)
+    return norm
 
 
 def _titled(df: DataFrame) -> DataFrame:
@@ -54,7 +56,7 @@ def incremental_run(outlet: Outlet, feed: DataFrame, checkpoints: DataFrame, kno
     and, if known, title; known: link and, if known, title.  Boundaries, promos, first-wins and caps as
     the outlet is configured; numeric keys also stop at ids below the checkpoint's (0 is no id and never
     stops); composite keys also stop at the checkpoint's title.  A section whose head is a boundary has
-    caught up and keeps its checkpoint."""
+    caught up and keeps its checkpoint.  A null section is a section like any other."""
     rows = feed.withColumn("norm", feed_key(outlet))
     if outlet.capped == "run":  # one list: sections don't matter
         rows = rows.withColumn("section_ord", F.lit(0))
@@ -62,7 +64,7 @@ def incremental_run(outlet: Outlet, feed: DataFrame, checkpoints: DataFrame, kno
         rows = feeds.without_promos(rows)
     keyed = _titled(checkpoints).select("outlet_id", "section", feed_key(outlet).alias("cp"), F.col("link").alias("cp_link"), F.col("title").alias("cp_title"))
     seen = _titled(known).select(feed_key(outlet).alias("norm")).distinct().withColumn("is_known", F.lit(True))
-    rows = rows.join(keyed, ["outlet_id", "section"], "left")
+    rows = feeds.met(rows, keyed, ["outlet_id", "section"], "left")
     if outlet.on_known == "skip":
         rows = rows.join(seen, "norm", "left_anti").withColumn("is_known", F.lit(None).cast("boolean"))
     else:
@@ -74,7 +76,7 @@ def incremental_run(outlet: Outlet, feed: DataFrame, checkpoints: DataFrame, kno
         hit = (n > 0) & (hit | F.coalesce((at > 0) & (n <= at), F.lit(False)))
     if outlet.key == "composite":
         said = F.coalesce("cp_title", F.lit(""))
-        hit = hit | ((said != "") & (title_key(F.col("title"), _suffix(outlet)) == title_key(said, _suffix(outlet))))
+        hit = hit | ((said != "") & (title_key(F.col("title"), title_suffix(outlet)) == title_key(said, title_suffix(outlet))))
     rows = rows.withColumn("boundary", F.coalesce(hit, F.lit(False)))
     limit = CAP_BOOTSTRAP if bootstrap else CAP_RUN
     folded = feeds.emit_fold(rows, limit)
@@ -83,8 +85,9 @@ def incremental_run(outlet: Outlet, feed: DataFrame, checkpoints: DataFrame, kno
     k = ["outlet_id", "section"]
     old = checkpoints.select(*k, F.col("link").alias("checkpoint"))
     advanced = feeds.advance_checkpoint(rows, emitted, old, F.col("boundary"), k, outlet.rule)
-    kept = feeds.caught_up(rows, F.col("boundary"), k).where("caught_up").select(*k).join(old, k)
-    advanced = advanced.join(kept.withColumnRenamed("checkpoint", "_kept"), k, "left").select(*k, F.coalesce("_kept", "link").alias("link"))
+    kept = feeds.caught_up(rows, F.col("boundary"), k).where("caught_up").select(*k)
+    kept = feeds.met(kept, old, k)
+    advanced = feeds.met(advanced, kept.withColumnRenamed("checkpoint", "_kept"), k, "left").select(*k, F.coalesce("_kept", "link").alias("link"))
     return Run(emitted.select(*feed.columns), advanced)
 
 

@@ -541,3 +541,32 @@ def stream_first_seen(spark, sf):
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     rows = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]").select(F.concat(F.lit("HTTPS://Feed.example/"), "user_id", F.lit("/"), "event_type", F.lit("/?e="), "event_id").alias("link"), F.col("ts").cast("timestamp").alias("ts"))
     return _memory(spark, stream.first_seen(rows, "link", "ts", "3650 days").select("norm"), "norm string")
+
+
+@query("""WITH e AS (SELECT user_id, event_type, event_id, least(2, event_id * 3 // (max(event_id) OVER () + 1)) AS run FROM events),
+  l AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, run ORDER BY event_id DESC) AS n FROM e)
+  SELECT ['dailynews', 'ceylontoday', 'morning', 'sundayobserver', 'divaina', 'lankadeepa', 'aruna', 'mawbima', 'thinakaran', 'thamilan', 'island', 'dinamina'][(user_id % 12)::INTEGER + 1] AS outlet_id, run, event_type || user_id AS section, 'https://feed.example/' || event_id AS link FROM l WHERE n <= 15""")
+def stream_runs(spark, sf):
+    """Three runs as micro-batches: each lists the newest 40 links of every section so far, and emits what is above its checkpoint."""
+    from feedwright.storage import materialize
+    from feedwright.streaming import incremental, stream
+
+    e = table(spark, sf, "events").select("user_id", "event_type", "event_id", F.concat("event_type", "user_id").alias("section"))
+    last = e.agg(F.max("event_id").alias("last"))
+    e = materialize(e.crossJoin(last).withColumn("since", F.least(F.lit(2), F.floor(F.col("event_id") * 3 / (F.col("last") + 1)))), "events")  # one row
+    root, names = _aside(spark, "runs"), [f.split()[0] for f in incremental.EMITTED.split(", ")]
+    outlets = [o for o in registry.OUTLETS if o.key == "url" and o.on_known == "stop" and o.capped == "section"]
+    settings = {k: spark.conf.get(k) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.noDataMicroBatches.enabled")}
+    incremental.stateful(spark)
+    for run in range(3):
+        w = Window.partitionBy("section").orderBy(F.desc("event_id"))
+        listed = e.where(F.col("since") <= run).withColumn("pos", (F.row_number().over(w) - 1).cast("int")).where(F.col("pos") < feeds.LIST_LIMIT)
+        listed.select(
+            F.get(F.array(*(F.lit(o.id) for o in outlets)), (F.col("user_id") % len(outlets)).cast("int")).alias("outlet_id"), F.lit(run).cast("long").alias("run"), "section", F.col("user_id").cast("int").alias("section_ord"), "pos",
+            F.concat(F.lit("https://feed.example/"), "event_id").alias("link"), F.lit(None).cast("string").alias("title"), F.lit(True).alias("valid")).write.mode("append").parquet(f"{root}/in")
+        lists = spark.readStream.schema(f"{incremental.EMITTED}, valid boolean").parquet(f"{root}/in")
+        out = incremental.incremental_stream(lists, outlets).select(*names)
+        stream.run_once(spark, out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start())
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    return spark.read.schema(incremental.EMITTED).parquet(f"{root}/out").select("outlet_id", "run", "section", "link")
