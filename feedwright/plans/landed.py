@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedwright.functions import dates, html, text
+from feedwright.functions import dates, html, selectors, text
 from feedwright.operators import bronze, feeds, state, stories
 from feedwright.plans import jobs
 from feedwright.plans.catalog import _FEED, _feed, _state, query, table
@@ -164,6 +164,49 @@ def list_page_links(spark, sf):
     return p.select("page_id", html.list_links(F.col("html"), html.LAYOUTS["aruna"]).alias("inside"), html.list_links(F.col("html"), html.LAYOUTS["dailynews"]).alias("outside"))
 
 
+@query(r"""WITH n AS (SELECT page_id, regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) AS nav FROM pages), l AS (SELECT page_id, regexp_extract_all(nav, '<a href="([^"]*)">[^<]*</a>', 1) AS h, regexp_extract_all(nav, '<a href="[^"]*">([^<]*)</a>', 1) AS t FROM n),
+  u AS (SELECT page_id, unnest(h) AS href, unnest(t) AS text, generate_subscripts(h, 1) AS i FROM l), o AS (SELECT page_id, href, min(i) AS i, arg_min(text, i) AS text FROM u GROUP BY 1, 2)
+  SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INTEGER AS pos, href, trim(text) AS text FROM o""")
+def selected_links(spark, sf):
+    """The pages' own menus: links by a selector, as rows, each address once."""
+    menu = {"menu": (selectors.Rule(("nav ul > li > a[href]",)),)}
+    return selectors.with_list_links(table(spark, sf, "pages").select("page_id", "html"), "html", F.lit("menu"), menu).select("page_id", "pos", "href", "text")
+
+
+# What surrounds a link on the list pages of each outlet, and the rule that still finds it when all that is left is a <main>.
+_LISTED = {
+    "sundaytimes": ('<div class="entry loop-default border_bottom_30"><h2 class="entry_title"><a href="', '">@</a></h2></div>', None), "dailynews": ('<ul><li><article><div><div><h2><a href="', '">@</a></h2></div></div></article></li></ul>', None),
+    "ceylontoday": ('<div class="td_module_wrap x tdb_module_loop"><h3 class="entry-title"><a href="', '">@</a></h3></div>', None), "dailymirror": ('<a href="', '"><h3>@</h3></a>', 1), "ftlk": ('<div class="lineg"><a href="', '"><h3 class="newsch">@</h3></a></div>', 1),
+    "economynext": ('<div class="story-grid-single-story"><a href="/no">n</a><h3 class="recent-top-header"><a href="', '">@</a></h3></div>', 1), "morning": ('<a href="', '"><h2 class="font-heading hidden">@</h2></a>', 1),
+    "sundayobserver": ('<a href="', '"><h2 class="font-heading hidden">@</h2></a>', 1), "divaina": ('<div><div><h2><a href="', '">@</a></h2></div></div>', 1), "lankadeepa": ('<section><div><article><a href="', '"><h2>@</h2></a></article></div></section>', None),
+    "aruna": ('<main><p><a href="', '">@</a></p></main>', 0), "mawbima": ('<div class="td-ss-main-content"><a href="', '">@</a></div>', 1), "virakesari": ('<section class="group-news"><div class="three-grid"><a class="news-item" href="', '">@</a></div></section>', 1),
+    "thinakaran": ('<ul class="penci-wrapper-data"><article><h2 class="penci-entry-title"><a href="', '">@</a></h2></article></ul>', None), "thamilan": ('<a href="', '"><h2 class="hidden font-heading">@</h2></a>', 1),
+    "island": ('<ul class="mvp-blog-story-list"><li><a href="', '">@</a></li></ul>', None), "dinamina": ('<ul><li><article><h2><a href="', '">@</a></h2></article></li></ul>', None),
+}
+_LISTED_SQL = ", ".join(f"({i}, '{o}', {'NULL' if r is None else r}::INTEGER)" for i, (o, (_, _, r)) in enumerate(_LISTED.items()))
+
+
+@query(f"""WITH o(i, outlet_id, left_rule) AS (VALUES {_LISTED_SQL}), p AS (SELECT page_id, o.*, page_id % 5 = 0 AS bare, trim(regexp_replace('t ' || regexp_extract(html, '(?s)<h1>([^<]*)</h1>', 1), '[^A-Za-z ]', '', 'g')) AS title FROM pages JOIN o ON page_id % 17 = i),
+  k AS (SELECT *, unnest(range(1, 2 + page_id % 4)) AS k FROM p)
+  SELECT page_id, outlet_id, CASE WHEN bare THEN left_rule ELSE 0 END AS rule, (k - 1)::INTEGER AS pos, CASE WHEN outlet_id = 'mawbima' THEN 'https://mawbima.lk/2024/01/02/' ELSE '/news/article/articles/108-' END || page_id || '-' || k AS href,
+    title || ' ' || k AS text FROM k WHERE NOT bare OR left_rule IS NOT NULL""")
+def outlet_lists(spark, sf):
+    """A list page of each outlet's layout, its links titled by the pages' own headings; a fifth of the pages have lost their layout."""
+    outlets, i = list(_LISTED), F.col("page_id")
+    pick = lambda n: F.get(F.array(*(F.lit(_LISTED[o][n]) for o in outlets)), (i % len(outlets)).cast("int"))
+    outlet = F.get(F.array(*map(F.lit, outlets)), (i % len(outlets)).cast("int"))
+    heading = F.trim(F.regexp_replace(F.concat(F.lit("t "), F.regexp_extract("html", r"<h1>([^<]*)</h1>", 1)), "[^A-Za-z ]", ""))
+    before = F.when(i % 5 == 0, F.lit('<main><a class="news-item" href="')).otherwise(pick(0))
+    after = F.when(i % 5 == 0, F.lit('">@</a></main>')).otherwise(pick(1))
+    root = F.when(F.col("outlet_id") == "mawbima", "https://mawbima.lk/2024/01/02/").otherwise("/news/article/articles/108-")
+    rows = table(spark, sf, "pages").select("page_id", outlet.alias("outlet_id"), before.alias("before"), after.alias("after"), heading.alias("title"))
+    card = lambda k: F.concat("before", root, "page_id", F.lit("-"), k, F.replace("after", F.lit("@"), F.concat("title", F.lit(" "), k)))
+    cards = F.array_join(F.transform(F.sequence(F.lit(1), (1 + i % 4).cast("int")), lambda k: card(k.cast("string"))), "\n")
+    page = F.concat(F.lit('<html><body><header><a href="/top">x</a></header><nav><ul><li><a href="/nav">x</a></li></ul></nav><div>'), cards, F.lit('</div><footer><a href="/foot">x</a></footer></body></html>'))
+    found = selectors.with_list_links(rows.select("page_id", "outlet_id", page.alias("html")), "html", F.col("outlet_id"))
+    return found.select("page_id", "outlet_id", "rule", "pos", "href", "text")
+
+
 @query(r"""SELECT page_id, 'https://x.example/news/a' || page_id AS relative, 'https://x.example/b' || page_id AS upward, 'https://x.example/c?q=1' AS rooted, 'https://cdn.example/d' AS hosted, url AS whole,
   'https://x.example/news/today?p=' || page_id AS query, 'https://x.example/r/' || page_id AS based FROM pages""")
 def joined_links(spark, sf):
