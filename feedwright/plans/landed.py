@@ -77,6 +77,33 @@ def post_rows(spark, sf):
     return rows.select("batch", "pos", "title", "link", "summary", F.regexp_replace("description", " +", " ").alias("description"), "date", "image_url", "date_source")
 
 
+_BROKEN = "CASE WHEN doc_id % 13 = 5 THEN 'entity' WHEN doc_id % 11 = 4 THEN 'tag' WHEN doc_id % 7 = 3 THEN 'link' END"
+
+
+@query(f"""WITH b AS (SELECT doc_id // 20 AS batch, doc_id, {_BROKEN} AS broken, (row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1)::INTEGER AS pos FROM documents)
+  SELECT batch, pos, CASE broken WHEN 'link' THEN 'no link' ELSE 'malformed' END AS reason, CASE WHEN broken = 'link' THEN '' ELSE 'https://feed.example/' || doc_id END AS link FROM b WHERE broken IS NOT NULL""")
+def rss_rejects(spark, sf):
+    """Feeds some of whose items are no XML (an unknown entity, an open tag) or have no link; their texts are the documents' own."""
+    c, broken = F.concat, F.expr(_BROKEN)
+    body = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), "&", "&amp;"), "[<>\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\ufffe\uffff]", " ")
+    item = c(F.lit("<item><title>"), "source", F.when(broken == "entity", "&nbsp;").otherwise(" &amp; "), F.lit("</title>"), F.when(broken == "link", "").otherwise(c(F.lit("<link>https://feed.example/"), "doc_id", F.lit("</link>"))),
+             F.when(broken == "tag", "<description>").otherwise(""), F.lit("<content:encoded>"), body, F.lit("</content:encoded></item>"))
+    packed = _batches(table(spark, sf, "documents"), 20, item).select("batch", c(F.lit("<rss><channel>"), F.array_join("items", "\n"), F.lit("</channel></rss>")).alias("body"))
+    return readers.rss_rejects(packed).select("batch", "pos", "reason", F.regexp_extract("record", "<link>([^<]*)</link>", 1).alias("link"))
+
+
+@query("""WITH b AS (SELECT doc_id // 20 AS batch, doc_id, source, (row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1)::INTEGER AS pos FROM documents)
+  SELECT batch, pos, CASE WHEN doc_id % 5 = 1 THEN 'no object' ELSE 'malformed' END AS reason, CASE WHEN doc_id % 5 = 1 THEN source ELSE '{"link":"' || doc_id || '","rss_categories":7}' END AS record FROM b WHERE batch % 7 <> 3 AND (doc_id % 5 = 1 OR doc_id % 9 = 2)
+  UNION ALL SELECT DISTINCT batch, NULL, 'no array', '{"not": "a list"}' FROM b WHERE batch % 7 = 3""")
+def batch_rejects(spark, sf):
+    """Batches some of whose elements are texts, or objects with a number for a list; a seventh of them are no lists."""
+    d = F.col("doc_id")
+    item = F.when(d % 5 == 1, F.concat(F.lit('"'), "source", F.lit('"'))).when(d % 9 == 2, F.concat(F.lit('{"link": "'), d, F.lit('", "rss_categories": 7}'))).otherwise(F.concat(F.lit('{"link": "https://x.example/'), d, F.lit('", "rss_categories": ["a"]}')))
+    packed = _batches(table(spark, sf, "documents"), 20, item)
+    body = F.when(F.col("batch") % 7 == 3, F.lit('{"not": "a list"}')).otherwise(F.concat(F.lit("["), F.array_join("items", ", "), F.lit("]")))
+    return readers.batch_rejects(packed.select("batch", body.alias("body")))
+
+
 @query("""WITH f AS (SELECT user_id AS outlet_id, event_id, event_type FROM events), a AS (SELECT * FROM f WHERE event_type = 'click'), b AS (SELECT * FROM f WHERE event_type <> 'click')
   SELECT 'feed' AS plan, outlet_id, event_id FROM a UNION ALL SELECT 'feed', outlet_id, event_id FROM b WHERE outlet_id NOT IN (SELECT outlet_id FROM a)
   UNION ALL SELECT 'pages', outlet_id, event_id FROM b UNION ALL SELECT 'pages', outlet_id, event_id FROM a WHERE outlet_id NOT IN (SELECT outlet_id FROM b)""")

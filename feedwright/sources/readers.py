@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedwright.functions.dates import parse_rfc822, written
@@ -29,6 +29,18 @@ def articles_in(documents: DataFrame, body: str = "body") -> DataFrame:
     return objects.select(*keep, "pos", F.from_json("_one", _ARTICLE_ROW[6:-1]).alias("_a"), F.col("_one").alias("raw_payload")).select(*keep, "pos", "_a.*", "raw_payload")
 
 
+def batch_rejects(documents: DataFrame, body: str = "body") -> DataFrame:
+    """pos, reason, record of what articles_in() leaves out: texts that are no arrays (pos null), elements that are no
+    objects or can't be read."""
+    keep = [c for c in documents.columns if c != body]
+    parts = F.from_json(body, "array<string>")
+    whole = documents.where(~F.coalesce(F.rlike(F.col(body), F.lit(r"^\s*\[")) & parts.isNotNull(), F.lit(False))).select(*keep, F.lit(None).cast("int").alias("pos"), F.lit("no array").alias("reason"), F.col(body).alias("record"))
+    each = documents.where(F.rlike(F.col(body), F.lit(r"^\s*\["))).select(*keep, F.posexplode(parts).alias("pos", "record"))
+    unread = F.from_json("record", f"{ARTICLE}, _malformed string", {"columnNameOfCorruptRecord": "_malformed"})["_malformed"].isNotNull()
+    reason = F.when(~F.coalesce(F.rlike("record", F.lit(r"^\s*\{")), F.lit(False)), "no object").when(unread, "malformed")
+    return whole.unionByName(each.select(*keep, "pos", reason.alias("reason"), "record").where("reason IS NOT NULL"))
+
+
 def read_batches(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Article rows of batch files, each file one JSON array; unreadable ones give no rows."""
     files = spark.read.text(paths, wholetext=True).select(F.col("value").alias("body"), F.col("_metadata.file_name").alias("data_file"))
@@ -47,30 +59,60 @@ def recovered_rss(body: Column) -> Column:
     return first_filled(whole, F.regexp_extract(body, r"(?is)(<rss.*)$", 1))
 
 
-def _tag(item: Column, name: str) -> Column:
-    value = F.regexp_extract(item, rf"(?is)<{name}(?:\s[^>]*)?>(.*?)</{name}\s*>", 1)
-    cdata = F.regexp_extract(value, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", 1)
-    return strip(F.when(F.startswith(F.ltrim(value), F.lit("<![CDATA[")), cdata).otherwise(unescape(value)))
-
+#: An RSS item; the names are those of RSS 2.0 and its usual namespaces.
+_ITEM = ("title string, link string, description string, `content:encoded` string, pubDate string, `media:thumbnail` struct<_url:string>, `media:content` array<struct<_url:string>>, "
+         "enclosure struct<_url:string,_type:string>, `dc:creator` string, category array<string>, guid string, _malformed string")
 
-def rss_items(documents: DataFrame, body: str = "body", as_of: Column | None = None) -> DataFrame:
-    """Rows of RSS 2.0 texts, fields paired within each item; items without a link are dropped.
 
-    The pubDate's zone is dropped; without a date it is as_of."""
+def _item_texts(documents: DataFrame, body: str) -> DataFrame:
     keep = [c for c in documents.columns if c != body]
-    items = F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(r"(?is)(<item[\s>].*?</item\s*>)"), 1)
-    rows = documents.select(*keep, F.posexplode(items).alias("pos", "_i"))
-    attribute = lambda name: F.regexp_extract("_i", rf"(?is)<{name}\s[^>]*?url=[\"']([^\"']+)[\"']", 1)
-    picture = F.regexp_extract("_i", r"(?is)<enclosure\s(?=[^>]*type=[\"']image)[^>]*?url=[\"']([^\"']+)[\"']", 1)
-    content, short, at = _tag(F.col("_i"), "content:encoded"), _tag(F.col("_i"), "description"), parse_rfc822(_tag(F.col("_i"), "pubDate"))
+    items = F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(r"(?is)(<item[\s/>].*?</item\s*>)"), 1)
+    return documents.select(*keep, F.posexplode(items).alias("pos", "_i"))
+
+
+def read_rss(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """data_file, pos, body: the items of landed feeds, one a row.
+
+    Files are cut at the ends of items, so a feed of any length is read in splits and never stands in one row."""
+    lines = spark.read.option("lineSep", "</item>").text(paths)
+    rows = lines.select(F.col("_metadata.file_name").alias("data_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n"),
+                        F.concat(F.regexp_extract("value", r"(?s)(<item[\s/>].*)$", 1), F.lit("</item>")).alias("body")).where("body <> '</item>'")
+    w = Window.partitionBy("data_file").orderBy("_at", "_n")
+    return rows.select("data_file", (F.row_number().over(w) - 1).alias("pos"), "body")
+
+
+def _parsed_items(items: DataFrame) -> DataFrame:
+    """Items (_i) as _p, a struct of _ITEM; one that is no XML has its text in _p._malformed."""
+    return items.withColumn("_p", F.from_xml("_i", _ITEM, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}))
+
+
+def rss_rejects(documents: DataFrame, body: str = "body") -> DataFrame:
+    """pos, reason, record of the items that rss_items() leaves out: malformed ones, and those without a link."""
+    items = _parsed_items(_item_texts(documents, body))
+    reason = F.when(F.col("_p._malformed").isNotNull(), "malformed").when(feed_link(F.coalesce("_p.link", F.lit(""))) == "", "no link")
+    return items.withColumn("reason", reason).where("reason IS NOT NULL").withColumnRenamed("_i", "record").drop("_p")
+
+
+def rss_items(documents: DataFrame, body: str = "body", as_of: Column | None = None) -> DataFrame:
+    """Rows of RSS 2.0 texts (whole feeds, or the items of read_rss()), fields paired within each item; malformed items and
+    those without a link are dropped (see rss_rejects).
+
+    Items are read as XML: CDATA, entities, attributes, nested markup and namespaced names as it has them.  The pubDate's
+    zone is dropped; without a date it is as_of."""
+    keep = [c for c in documents.columns if c not in (body, "pos")]
+    rows = _parsed_items(_item_texts(documents.drop("pos") if "pos" not in documents.columns else documents.withColumnRenamed("pos", "_pos"), body))
+    rows = rows.where("_p._malformed IS NULL")
+    pos = F.col("_pos") if "_pos" in rows.columns else F.col("pos")
+    text_of = lambda name: strip(F.coalesce(F.col(f"_p.`{name}`"), F.lit("")))
+    picture = F.when(F.startswith("_p.enclosure._type", F.lit("image")), F.col("_p.enclosure._url"))
+    content, short, at = text_of("content:encoded"), text_of("description"), parse_rfc822(text_of("pubDate"))
     plain = lambda markup: without_boilerplate(F.regexp_replace(until_promo(markup), r"(?s)<[^>]*>", " "))
     return rows.select(
-        *keep, "pos", _tag(F.col("_i"), "title").alias("title"), feed_link(_tag(F.col("_i"), "link")).alias("link"),
-        plain(first_filled(content, short)).alias("summary"), plain(first_filled(short, content)).alias("description"),
-        written(at, as_of).alias("date"), first_filled(attribute("media:thumbnail"), attribute("media:content"), picture, first_image_src(content), first_image_src(short)).alias("image_url"),
-        F.when(at.isNotNull(), "RSS: pubDate").otherwise("RSS: missing").alias("date_source"), F.nullif(_tag(F.col("_i"), "dc:creator"), F.lit("")).alias("author"),
-        F.transform(F.regexp_extract_all(F.col("_i"), F.lit(r"(?is)<category(?:\s[^>]*)?>(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?</category\s*>"), 1), strip).alias("rss_categories"),
-        F.nullif(_tag(F.col("_i"), "guid"), F.lit("")).alias("guid"),
+        *keep, pos.alias("pos"), strip(unescape(text_of("title"))).alias("title"), feed_link(text_of("link")).alias("link"),
+        plain(first_filled(content, short)).alias("summary"), plain(first_filled(short, content)).alias("description"), written(at, as_of).alias("date"),
+        first_filled(F.col("_p.`media:thumbnail`._url"), F.get(F.col("_p.`media:content`._url"), 0), picture, first_image_src(content), first_image_src(short)).alias("image_url"),
+        F.when(at.isNotNull(), "RSS: pubDate").otherwise("RSS: missing").alias("date_source"), F.nullif(strip(unescape(text_of("dc:creator"))), F.lit("")).alias("author"),
+        F.transform(F.coalesce("_p.category", F.array().cast("array<string>")), strip).alias("rss_categories"), F.nullif(text_of("guid"), F.lit("")).alias("guid"),
     ).where("link <> ''")
 
 
