@@ -83,8 +83,9 @@ def global_checkpoint(state: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def is_bootstrap(state: DataFrame) -> DataFrame:
-    """(outlet_id, bootstrap): no section has a link."""
-    return _sections(state).groupBy("outlet_id").agg((~F.bool_or(F.coalesce(F.col("link"), F.lit("")) != "")).alias("bootstrap"))
+    """(outlet_id, bootstrap): no section has a link; an outlet that only has a global row has none."""
+    given = F.col("section").isNotNull() & (F.coalesce(F.col("link"), F.lit("")) != "")
+    return state.groupBy("outlet_id").agg((~F.bool_or(given)).alias("bootstrap"))
 
 
 def date_key(link: Column) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedwright.functions.text import article_id, composite_key, normalize_link, story_id, title_key
@@ -128,6 +131,47 @@ def run_outlets(outlets: Sequence[Outlet], run: Callable[[Outlet], int], start_f
     return out
 
 
+def run_concurrently(spark: SparkSession, outlets: Sequence[Outlet], run: Callable[[Outlet], int], at_once: int = 4, timeout: float | None = None) -> list[Outcome]:
+    """Run outlets side by side, in their order of start and of the result; a failure stays its outlet's own.
+
+    Each outlet's jobs have a tag, and a scheduler pool of their own (fair where the cluster's scheduler is).  One
+    that takes more than `timeout` seconds from its own start fails: its jobs are interrupted by their tag, and the others
+    go on.  run() must not swallow an interrupted job, and should not wait for anything but Spark."""
+    context, began = spark.sparkContext, {}
+
+    def work(o: Outlet) -> Outcome:
+        tag = f"outlet-{o.id}"
+        began[o.id] = time.monotonic()
+        context.addJobTag(tag)
+        context.setInterruptOnCancel(True)
+        context.setLocalProperty("spark.scheduler.pool", o.id)
+        try:
+            return Outcome(o.id, run(o))
+        except Exception as e:  # noqa: BLE001  whatever an outlet's run raises
+            return Outcome(o.id, 0, f"{type(e).__name__}: {str(e)[:500]}")
+        finally:
+            context.removeJobTag(tag)
+            context.setInterruptOnCancel(False)
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    done: dict[str, Outcome] = {}
+    pool = ThreadPoolExecutor(at_once, "outlet")
+    waiting = {pool.submit(inheritable_thread_target(spark)(work), o): o for o in outlets}
+    late: set[str] = set()
+    while waiting:
+        ended, _ = wait(waiting, timeout=0.2, return_when=FIRST_COMPLETED)
+        for future in ended:
+            outcome = future.result()
+            o = waiting.pop(future)
+            done[o.id] = Outcome(o.id, 0, f"TimeoutError: more than {timeout} s") if o.id in late else outcome
+        for o in list(waiting.values()):
+            if timeout is not None and time.monotonic() - began.get(o.id, float("inf")) > timeout:
+                late.add(o.id)
+                context.cancelJobsWithTag(f"outlet-{o.id}")  # again until its jobs have ended: it may start another
+    pool.shutdown()
+    return [done[o.id] for o in outlets]
+
+
 def run_dates(outlets: Sequence[Outlet], command: Callable[[Outlet, str, str], int], start: str, end: str, names: Sequence[str] | None = None) -> list[Outcome]:
     """A date-range run, each outlet in a process or session of its own: command gives an exit code, and
     one that isn't 0 is that outlet's failure."""

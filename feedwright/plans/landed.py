@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedwright.functions import dates, html, selectors, text
-from feedwright.operators import bronze, feeds, state, stories
+from feedwright.operators import bronze, documents, feeds, state, stories
 from feedwright.plans import jobs
 from feedwright.plans.catalog import _FEED, _feed, _state, query, table
 from feedwright.sources import readers, registry, sinks
@@ -409,6 +409,23 @@ def checkpoint_documents(spark, sf):
     return state.state_rows(text_.select("outlet_id", F.from_json("body", state.CHECKPOINT).alias("c")).select("outlet_id", "c.*")).select("outlet_id", "section", "link", "title", "updated_at")
 
 
+@query(f"""WITH {_ST}, d AS (SELECT DISTINCT outlet_id FROM st), b AS (SELECT outlet_id FROM st WHERE section IS NOT NULL GROUP BY 1 HAVING bool_and(link = '')), own AS (SELECT outlet_id, link FROM st WHERE section IS NULL),
+  k AS (SELECT unnest(['view', 'click', 'login']) AS section),
+  m AS (SELECT outlet_id, section, link FROM st WHERE section IS NOT NULL AND link <> '' UNION ALL SELECT b.outlet_id, k.section, own.link FROM b JOIN own USING (outlet_id) CROSS JOIN k),
+  n AS (SELECT outlet_id, 'click' AS section, 'https://new.example/' || outlet_id AS link FROM d WHERE outlet_id::INTEGER % 4 = 0),
+  a AS (SELECT outlet_id, section, coalesce(n.link, m.link) AS link FROM m FULL JOIN n USING (outlet_id, section))
+  SELECT outlet_id, section, link, 't' AS title, CASE WHEN outlet_id::INTEGER % 4 = 0 THEN '2024-02-01T00:00:00+00:00' ELSE '2024-01-01T00:00:00+00:00' END AS updated_at FROM (
+    SELECT outlet_id, section, link FROM a WHERE section IN ('view', 'click', 'login') UNION ALL SELECT outlet_id, NULL, link FROM own)""")
+def documents_in_and_out(spark, sf):
+    """Documents through a run: migrated, updated, pruned, written one per outlet and read back."""
+    s, root = _state(spark, sf), _aside(spark, "documents")
+    keys = F.array(*map(F.lit, ("view", "click", "login")))
+    docs = documents.migrated(documents.documents_of(s), keys)
+    news = s.where("section IS NULL AND cast(outlet_id AS int) % 4 = 0").select("outlet_id", F.lit("click").alias("section"), F.concat(F.lit("https://new.example/"), "outlet_id").alias("link"), "title", F.lit("2024-02-01T00:00:00+00:00").alias("updated_at"))
+    documents.write_documents(documents.pruned(documents.merged(docs, documents.documents_of(news)), keys), root)
+    return state.state_rows(documents.read_documents(spark, root)).select("outlet_id", "section", "link", "title", "updated_at")
+
+
 @query(f"""WITH {_ST} SELECT 'missing' AS what, outlet_id, section, NULL AS link FROM st WHERE section = 'view' UNION ALL
   SELECT 'seed', outlet_id, section, CASE WHEN coalesce(link, '') = '' THEN 'https://head.example/' || outlet_id ELSE link END FROM st WHERE section IS NOT NULL UNION ALL
   SELECT 'repaired', outlet_id, section, 'https://fixed.example/' || outlet_id FROM st WHERE section = 'click' UNION ALL SELECT 'repaired', outlet_id, section, link FROM st WHERE section IS DISTINCT FROM 'click' UNION ALL
