@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedwright.operators.graph import components
+from feedwright.operators.skew import dealt
+from feedwright.storage import materialize
+
 #: Own parameters: the feeds' documentation names neither window, threshold nor tie-break.
 WINDOW, THRESHOLD = 48, 0.5
 
@@ -40,10 +44,52 @@ def similar_titles(articles: DataFrame, window: int = WINDOW, threshold: float =
     return scored.where(F.col("jaccard") >= threshold)
 
 
+def title_cells(articles: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(language, words, slot, rep, first, last, n): articles of one language and equal title words whose times lie in one
+    slot of `window`; they are all similar, so the one of the smallest id stands for them."""
+    rows = articles.select("id", "language", "at", tokens(F.col("title")).alias("words"), F.floor(F.col("at") / window).alias("slot")).where(F.size("words") > 0)
+    return rows.groupBy("language", "words", "slot").agg(F.min("id").alias("rep"), F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("n"))
+
+
+def cell_links(cells: DataFrame, window: int = WINDOW, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b): cells, by their representatives, that have similar articles `window` apart at most.
+
+    Articles of one slot are near enough; of two neighbouring slots the last of the earlier and the first of the later
+    decide.  Cells of different words meet over their rarest ones (prefix filter, frequencies counted over cells) if
+    their sizes allow the threshold; cells of the same words only in neighbouring slots, one after the other."""
+    near = (F.col("x.slot") == F.col("y.slot")) | (F.col("y.first") - F.col("x.last") <= window)
+    same = cells.alias("x").join(cells.withColumn("before", F.col("slot") - 1).alias("y"), F.expr("x.language <=> y.language AND x.words = y.words AND x.slot = y.before")).where(near)
+    words = cells.select("rep", "language", F.explode("words").alias("word"))
+    frequency = words.groupBy("language", "word").agg(F.count("*").alias("m"))
+    ranked = dealt(words.where("language IS NOT NULL"), frequency, ["language", "word"], "rep").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("m", "word"))).alias("ranked"))
+    keep = (F.size("ranked") - F.ceil(F.size("ranked") * F.lit(threshold) - 1e-9) + 1).cast("int")
+    probe = ranked.select("rep", F.explode(F.slice("ranked", F.lit(1), keep)).alias("r")).select("rep", F.col("r.word").alias("word")).join(cells, "rep")
+    later = probe.withColumn("met", F.explode(F.array(F.col("slot"), F.col("slot") - 1)))
+    met = probe.alias("x").join(later.alias("y"), F.expr(f"""x.language = y.language AND x.word = y.word AND x.slot = y.met AND x.words <> y.words AND (x.slot < y.slot OR x.rep < y.rep)
+      AND size(x.words) >= {threshold} * size(y.words) - 1e-9 AND size(y.words) >= {threshold} * size(x.words) - 1e-9""")).where(near)
+    pairs = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.words").alias("wa"), F.col("y.words").alias("wb")).dropDuplicates(["a", "b"])
+    shared = F.size(F.array_intersect("wa", "wb"))
+    similar = pairs.where(shared / (F.size("wa") + F.size("wb") - shared) >= threshold).select("a", "b")
+    return similar.union(same.select(F.col("x.rep"), F.col("y.rep")))
+
+
+def title_groups(articles: DataFrame, window: int = WINDOW, threshold: float = THRESHOLD) -> DataFrame:
+    """articles with story_id: the smallest id that similar titles connect an article to, as similar_titles() and
+    story_groups() give it, without a row for each pair: equal titles, however many, are a cell for each slot.
+
+    articles: (id, language, at, title), ids unique.  Articles without a title's words are stories of their own; so are
+    those without a language but for equal titles."""
+    cells = materialize(title_cells(articles, window), "cells")
+    label = components(cell_links(cells, window, threshold).select("a", "b"))
+    story = cells.select("language", "words", "slot", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left").select("language", "words", "slot", F.coalesce("label", "rep").alias("story_id"))
+    keyed = articles.withColumns({"_key": F.xxhash64("language", F.col("language").isNull(), tokens(F.col("title")), F.floor(F.col("at") / window)), "_words": F.size(tokens(F.col("title")))})
+    of_cell = story.select(F.xxhash64("language", F.col("language").isNull(), "words", "slot").alias("_key"), "story_id")
+    grouped = dealt(keyed.where("_words > 0"), of_cell, ["_key"], "id").select(*articles.columns, "story_id")
+    return grouped.unionByName(keyed.where("_words = 0").select(*articles.columns, F.col("id").alias("story_id")))
+
+
 def story_groups(articles: DataFrame, pairs: DataFrame) -> DataFrame:
     """articles with story_id: the smallest id that similar titles connect an article to."""
-    from feedwright.operators.graph import components
-
     label = components(pairs.select("a", "b"))
     return articles.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("story_id", F.coalesce("label", "id")).drop("label")
 

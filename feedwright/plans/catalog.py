@@ -553,7 +553,7 @@ def jaccard_pairs(spark, sf):
 def story_importance(spark, sf):
     a = _stories(spark, sf)
     base = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), (F.coalesce("quality", F.lit(0)) + 1).alias("base_importance"))
-    grouped = stories.story_groups(a, stories.similar_titles(a)).join(base, "id", "left")
+    grouped = stories.title_groups(a).join(base, "id", "left")
     return stories.merged_stories(grouped).select("story_id", "importance", "language")
 
 

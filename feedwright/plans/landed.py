@@ -136,14 +136,15 @@ def outlet_aliases(spark, sf):
     return registry.aliases(spark)
 
 
-@query("""SELECT page_id, n AS page, CASE WHEN n = 1 THEN url ELSE rtrim(url, '/') || '/page/' || n || '/' END AS by_path, CASE WHEN n = 1 THEN url ELSE rtrim(url, '/') || '?page=' || n END AS by_query,
-  CASE WHEN n = 1 THEN url ELSE rtrim(url, '/') || '/' || (n - 1) * 30 END AS by_offset FROM pages, (SELECT unnest(range(1, 9)) AS n)""")
+@query("""WITH n AS (SELECT page_id, url, n AS page, rtrim(url, '/') AS u FROM pages, (SELECT unnest(range(1, 21)) AS n))
+  SELECT page_id, page, CASE WHEN page = 1 THEN url ELSE u || '/page/' || page || '/' END AS by_path, CASE WHEN page = 1 THEN url WHEN page <= 8 THEN u || '?page=' || page END AS by_query,
+  CASE WHEN page = 1 THEN url WHEN page <= 10 THEN u || '/' || (page - 1) * 30 END AS by_offset FROM n""")
 def paginated_lists(spark, sf):
+    """The addresses of a list's pages, as many as each shape is followed for."""
     p = table(spark, sf, "pages").select("page_id", "url")
-    out = readers.paginated(p, "query").select("page_id", "page", F.col("page_url").alias("by_query"))
-    for style in ("path", "offset"):
-        more = readers.paginated(p, style).where("page <= 8").select("page_id", "page", F.col("page_url").alias(f"by_{style}"))
-        out = out.join(more, ["page_id", "page"])
+    out = readers.paginated(p, "path").select("page_id", "page", F.col("page_url").alias("by_path"))
+    for style in ("query", "offset"):
+        out = out.join(readers.paginated(p, style).select("page_id", "page", F.col("page_url").alias(f"by_{style}")), ["page_id", "page"], "left")
     return out
 
 
@@ -459,10 +460,11 @@ def legacy_sections(spark, sf):
     return state.migrate_by_url(c, text.needle_section(F.col("link"), (("/en/", "english"),))).select("outlet_id", "section", "link")
 
 
-@query("""SELECT o_custkey::VARCHAR AS outlet_id, 'https://x.example/' || strftime(max(o_orderdate), '%Y/%m/%d') || '/' AS link FROM orders WHERE year(o_orderdate) >= 2000 GROUP BY 1""".replace("max(o_orderdate)", "max(o_orderdate::DATE) "))
+@query("""WITH o AS (SELECT o_custkey::VARCHAR AS outlet_id, o_orderkey::VARCHAR AS section, 'https://x.example/' || strftime(o_orderdate::DATE, '%Y/%m/%d') || '/' AS link, year(o_orderdate) AS y FROM orders)
+  SELECT outlet_id, coalesce(max(link) FILTER (y >= 2000), arg_min(link, section)) AS link FROM o GROUP BY 1""")
 def max_date_checkpoint(spark, sf):
-    """The section with the latest dated path stands for the outlet."""
-    o = table(spark, sf, "orders").where("year(o_orderdate) >= 2000").select(F.col("o_custkey").cast("string").alias("outlet_id"), F.col("o_orderkey").cast("string").alias("section"),
+    """The section with the latest dated path stands for the outlet; years before 2000 are no dates of a path, so without a later one the first section does."""
+    o = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("outlet_id"), F.col("o_orderkey").cast("string").alias("section"),
         F.concat(F.lit("https://x.example/"), F.date_format("o_orderdate", "yyyy/MM/dd"), F.lit("/")).alias("link"), F.lit("t").alias("title"), F.lit("u").alias("updated_at"))
     return state.sync_global(o).select("outlet_id", "link")
 
