@@ -39,7 +39,8 @@ _EXACT_DOUBLE = 1 << 53
 def quantised(df: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
     """(vec_id, v array<long>) of the usable vectors: floor(scale * x) of each component as double.
 
-    Rows without id, without vector, or with a null or non-finite component take no part."""
+    Rows without id, without vector, or with a null or non-finite component take no part.  A component that no long holds
+    (of 2^53 or more, at a scale of 1024) counts as the nearest long, so such components may tie."""
     x = F.col(vector_col)
     usable = df.where(
         F.col(id_col).isNotNull() & x.isNotNull()
@@ -136,6 +137,8 @@ def search_block(qid, q, qp, least, xid, x, xp, k: int) -> tuple[list[tuple[int,
     return out, evaluated
 
 
+#: Parts that the candidates' blocks are dealt into where they meet the queries' blocks.
+PARTS = 16
 _LONGS = (-(1 << 63), (1 << 63) - 1)
 #: Cells up to this number are broadcast to the rows that lie in them.
 BROADCAST_CELLS = 100_000
@@ -159,7 +162,8 @@ def top_k(
     never meets its own id; ties go to the smaller vec_id; fewer than k
     candidates give fewer rows.  Vectors of another length than the query's are
     no candidates of it.  A query row that is repeated whole counts once; a
-    candidate row that is repeated is as many candidates.  Scores are exact
+    candidate row that is repeated is as many candidates.  Columns besides these two
+    are ignored, whatever their names.  Scores are exact
     integers; one that no long holds is ranked by its exact value, up to 38
     digits, and given as the nearest long.  Empty tables give an empty result.  Work is cut in pairs
     of a query block and a candidate block, of sizes that don't depend on the
@@ -209,7 +213,10 @@ def top_k(
     gaps = "transform(sequence(0, size(q_low) - 1), i -> greatest(q_low[i] - x_high[i], x_low[i] - q_high[i]))"
     slack = "(1e-5D * greatest(q_scale, x_scale) + 1e-3D)"
     gap = f"greatest(CASE WHEN size(q_low) = 0 THEN 0D ELSE cast(array_max({gaps}) AS double) END - {slack}, 0D)"
-    met = a.join(b, F.expr("q_block.dim = x_block.dim")).select("q_block", "x_block", "q_norm", "x_norm", "q_scale", "x_scale", F.expr(gap).alias("gap"))
+    # Most tables have one dimension: without parts it would be the only key.
+    a = a.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    b = b.withColumn("x_part", F.pmod(F.xxhash64("x_block"), F.lit(PARTS)).cast("int"))
+    met = a.join(b, F.expr("q_block.dim = x_block.dim AND part = x_part")).select("q_block", "x_block", "q_norm", "x_norm", "q_scale", "x_scale", F.expr(gap).alias("gap"))
     met = met.withColumn("most", F.expr(f"least((q_norm * q_norm + x_norm * x_norm - gap * gap) / 2, q_norm * x_norm) + {slack} * ({slack} + q_norm + x_norm)"))
     met = materialize(met, "pairs")
     first = materialize(met.groupBy("q_block").agg(F.min_by("x_block", F.struct("gap", -F.col("most"), "x_block")).alias("x_block")), "nearest")

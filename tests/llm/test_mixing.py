@@ -128,3 +128,33 @@ def test_documents_keep_columns_and_rows(spark):
     out = mixed_documents(df)
     assert out.columns == df.columns and {r.doc_id for r in out.collect()} == {r.doc_id for r in df.collect()}
     assert mixed_documents(df.limit(0)).count() == 0
+
+
+def odd_corpus():
+    """Rows without id, rows of one id, and rows repeated whole, all of many texts and lengths."""
+    r = random.Random(3)
+    rows = [(None, "w " * r.randint(1, 30), "a") for _ in range(120)] + [(7, "w " * r.randint(1, 30), "b") for _ in range(60)]
+    return rows + [(8, "w w w", "b")] * 70 + [(None, "w w", "c")] * 25 + [(i, "x " * r.randint(0, 9), r.choice("abc")) for i in range(40)] + [(9, "long " * 50_000, "a")]
+
+
+def test_result_does_not_depend_on_the_partitioning(spark, monkeypatch):
+    from feedwright.llm import mixing
+
+    rows, seen, documents = odd_corpus(), set(), set()
+    for parts, copies in ((1, 10_000), (5, 1)):
+        monkeypatch.setattr(mixing, "TASK_COPIES", copies)
+        random.Random(parts).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        used = [tuple(r) for r in mix_sources(df, block_tokens=500).select("doc_id", "source", "epoch", "block", "place", "n_tokens").collect()]
+        seen.add(tuple(sorted(used, key=repr)))
+        out = Counter(tuple(r) for r in mixed_documents(df).collect())
+        documents.add(tuple(sorted(out.items(), key=repr)))
+        assert Counter((d, n) for d, *_, n in used) == sum((Counter({(d, len(t.split())): n}) for (d, t, _), n in out.items()), Counter())
+    assert len(seen) == 1 and len(documents) == 1
+
+
+def test_rows_without_id_do_not_crowd_a_place(spark):
+    df = spark.createDataFrame([(None, f"text {i}", "a") for i in range(800)], "doc_id long, text string, source string")
+    used = mix_sources(df).where("epoch = 0")
+    assert used.select("place").distinct().count() == 800
+    assert used.groupBy(F.shiftrightunsigned("place", 56)).count().agg(F.max("count")).first()[0] < 100
