@@ -90,6 +90,7 @@ def parse_after_comma(text: Column) -> Column:
 
 def find_date(text: Column) -> Column:
     """The first of three kinds of date that a text contains anywhere."""
+    # The kinds and their formats.
     kinds = (
         (r"(?i)(\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\s+\d{4})", "d MMM yyyy"),
         (r"(?i)(\d{1,2}\s+(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{4})", "d MMMM yyyy"),

@@ -341,10 +341,13 @@ def first_image_src(markup: Column) -> Column:
 
 def without_boilerplate(text: Column) -> Column:
     """Cut at the footer that feeds add to a body."""
+    # The phrases that begin it.
     return strip(F.get(F.split(text, r"(?id)the post .+ appeared first on |follow us on", 2), 0))
 
 
 def until_promo(markup: Column) -> Column:
+    """The markup before a channel's promotion or an embedded document."""
+    # What marks these.
     return F.get(F.split(markup, r"(?i)<a[^>]+href=[\"']https?://(?:www\.)?whatsapp\.com/channel|class=[\"'][^\"']*pdfemb-viewer", 2), 0)
 
 
