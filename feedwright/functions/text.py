@@ -171,7 +171,7 @@ def backoff_seconds(attempt: Column) -> Column:
 
 
 #: Shapes of article addresses (fixed values): dated path, /kind/id, and category-number.
-ARTICLE_SHAPES = {"dated": r"(?i)/20\d{2}/\d{1,2}/\d{1,2}/", "numbered": r"/(?:article|news|story)/\d+", "prefixed": r"/108-\d+"}
+ARTICLE_SHAPES = {"dated": r"(?i)/20\d{2}/\d{1,2}/\d{1,2}/", "of_year": r"/20\d{2}/", "numbered": r"/(?:article|news|story)/\d+", "prefixed": r"/108-\d+"}
 
 
 def is_article_link(link: Column, shape: str, exclude: Sequence[str] = ("epaper.", "archives.")) -> Column:

@@ -151,3 +151,7 @@ def test_references_end_with_a_semicolon(spark):
     assert r[0].t == "cut &amp" and r[0].p == ["x & y < 'z&#39 &bogus; &copy=1"] and r[0].j == "a & b &amp;" and r[2].t == ""
     cards = spark.createDataFrame([("<div class='card'><a href='/1?a=1&amp;b=2&c=3'>One &amp</a></div>",)], "h string").select(html.list_cards(F.col("h"), "card", "date")).first()[0]
     assert [tuple(c)[1:3] for c in cards] == [("One &amp", "/1?a=1&b=2&c=3")]
+
+
+def test_links_of_a_year(spark):
+    check(spark, lambda c: text.is_article_link(c, "of_year", ()), [("https://x/en/2093/", True), ("https://x/2026/06/04/a/", True), ("https://x/en/2093", False), ("https://x/1999/", False), (None, False)])
