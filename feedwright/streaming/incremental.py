@@ -1,8 +1,8 @@
 """Incremental runs as a stream: an outlet's checkpoints and known links are the stream's state.
 
-Each outlet is a key.  Its state is a map of sections to checkpoints and a map of
-the links that it has emitted, which forgets a link some time after it was last
-listed.  A micro-batch brings the lists of one run or several; what they emit is
+Each outlet is a key.  Its state, in parts that are read and written whole, is its
+sections' checkpoints and the links that it has emitted, of which one is forgotten
+some time after it was last listed.  A micro-batch brings the lists of one run or several; what they emit is
 what plans.jobs.incremental_run() would, with the checkpoints and known links of
 the runs before.  State lies in Spark's state store and is committed with the
 batch, so a run that is replayed after a failure emits the same.
@@ -10,9 +10,10 @@ batch, so a run that is replayed after a failure emits the same.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,12 +111,15 @@ def one_run(rows: list[Any], checkpoints: dict[str | None, Checkpoint], known: A
             taken.add(row.norm)
             emitted.append(row)
             n += 1
+    emitted_by: dict[Any, list[Any]] = {}
+    for row in emitted:
+        emitted_by.setdefault(row.section, []).append(row)
     for section, listed in lists.items():
         listed = [r for r in listed if rules.stop_on_known or not hits[id(r)][1]]
         if not listed or hits[id(listed[0])][0] and section in checkpoints:
             continue  # nothing listed, or caught up
         stopped = next((r for r in listed if hits[id(r)][0]), None)
-        new = [r for r in emitted if r.section == section]
+        new = emitted_by.get(section, [])
         head, first = listed[0], new[0] if new else None
         if rules.rule == "head":
             to = head
@@ -128,11 +132,16 @@ def one_run(rows: list[Any], checkpoints: dict[str | None, Checkpoint], known: A
     return emitted, changed
 
 
-def _plain(value: Any) -> Any:
-    return None if pd.isna(value) else value.item() if hasattr(value, "item") else value
+def _values(column: pd.Series) -> list[Any]:
+    """A column's values, null as None."""
+    return column.astype(object).where(column.notna(), None).tolist()
 
 
-@dataclass
+def _whole(column: pd.Series) -> list[int | None]:
+    return [None if v is None else int(v) for v in _values(column)]
+
+
+@dataclass(slots=True)
 class _Row:
     section: str | None
     section_ord: int
@@ -145,6 +154,19 @@ class _Row:
     said: str | None
 
 
+def _rows(part: pd.DataFrame) -> list[_Row]:
+    columns = [(_whole if c in ("section_ord", "pos", "number") else _values)(part[c]) for c in ("section", "section_ord", "pos", "link", "title", "valid", *_KEYS)]
+    return [_Row(*values) for values in zip(*columns, strict=True)]
+
+
+#: Parts that an outlet's state is kept in: each is read and written whole, so a run asks the store for parts, not for links.
+PARTS = 64
+
+
+def _part(name: str | None) -> int:
+    return crc32((name or "").encode()) % PARTS
+
+
 class OutletRuns(StatefulProcessor):
     """The state of one outlet, and its runs."""
 
@@ -152,42 +174,77 @@ class OutletRuns(StatefulProcessor):
         self.rules, self.limit, self.forget = rules, limit, forget_days * 86_400_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # A null section is kept under an empty flag.
-        self.checkpoints = handle.getMapState("checkpoints", "given boolean, section string", "link string, norm string, number bigint, said string")
-        self.known = handle.getMapState("known", "norm string", "run bigint", self.forget)
+        self.checkpoints = handle.getMapState("checkpoints", "part int", "sections array<string>, links array<string>, norms array<string>, numbers array<bigint>, saids array<string>")
+        # A part that isn't written for so long has no link that was listed since.
+        self.known = handle.getMapState("known", "part int", "norms array<string>, seen array<bigint>", self.forget)
+
+    def _sections(self, sections: Iterable[str | None]) -> dict[str | None, Checkpoint]:
+        """The checkpoints of all parts that hold any of the sections."""
+        out = {}
+        for part in {_part(s) for s in sections}:
+            if (kept := self.checkpoints.getValue((part,))) is not None:
+                out |= {section: Checkpoint(*c) for section, *c in zip(*kept, strict=True)}
+        return out
 
-    def _sections(self) -> dict[str | None, Checkpoint]:
-        return {k[1] if k[0] else None: Checkpoint(*v) for k, v in self.checkpoints.iterator()}
+    def _keep(self, sections: dict[str | None, Checkpoint], changed: Iterable[str | None]) -> None:
+        """Writes the parts of the changed sections; `sections` has all that these parts hold."""
+        parts = {_part(s): [] for s in changed}
+        for section, c in sections.items():
+            if (part := _part(section)) in parts:
+                parts[part].append((section, c.link, c.norm, c.number, c.said))
+        for part, kept in parts.items():
+            self.checkpoints.updateValue((part,), tuple(map(list, zip(*kept, strict=True))))
+
+    def _links(self, norms: Iterable[str], now: int) -> dict[str, int]:
+        """When each link of all parts that hold any of the norms was last listed, without those to forget."""
+        out = {}
+        for part in {_part(n) for n in norms}:
+            if (kept := self.known.getValue((part,))) is not None:
+                out |= {norm: seen for norm, seen in zip(*kept, strict=True) if now - seen < self.forget}
+        return out
 
-    def _keep(self, section: str | None, c: Checkpoint) -> None:
-        self.checkpoints.updateValue((section is not None, section or ""), (c.link, c.norm, c.number, c.said))
+    def _remember(self, known: dict[str, int], changed: Iterable[str]) -> None:
+        parts = {_part(n): ([], []) for n in changed}
+        for norm, seen in known.items():
+            if (kept := parts.get(_part(norm))) is not None:
+                kept[0].append(norm)
+                kept[1].append(seen)
+        for part, kept in parts.items():
+            self.known.updateValue((part,), kept)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """State rows (see operators.state) of checkpoints and, with a null `given`, of known links."""
-        for r in initialState.itertuples(index=False):
-            if _plain(r.known):
-                self.known.updateValue((r.norm,), (0,))
-            else:
-                self._keep(_plain(r.section), Checkpoint(*(_plain(x) for x in (r.link, r.norm, r.number, r.said))))
+        now = timerValues.getCurrentProcessingTimeInMs()
+        known = initialState["known"].fillna(False).astype(bool)
+        norms, rows = _values(initialState["norm"][known]), initialState[~known]
+        if norms:
+            self._remember(self._links(norms, now) | dict.fromkeys(norms, now), norms)
+        if len(rows):
+            columns = [_values(rows["link"]), _values(rows["norm"]), _whole(rows["number"]), _values(rows["said"])]
+            given = {section: Checkpoint(*c) for section, *c in zip(_values(rows["section"]), *columns, strict=True)}
+            self._keep(self._sections(given) | given, given)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        outlet, runs = key[0], {}
+        outlet, now, runs = key[0], timerValues.getCurrentProcessingTimeInMs(), {}
         for part in rows:
-            for r in part.itertuples(index=False):
-                row = _Row(*(_plain(getattr(r, c)) for c in ("section", "section_ord", "pos", "link", "title", "valid", *_KEYS)))
-                runs.setdefault(int(r.run), []).append(row)
+            for run, row in zip(_whole(part["run"]), _rows(part), strict=True):
+                runs.setdefault(run, []).append(row)
         rules, out = self.rules[outlet], []
+        checkpoints = self._sections({r.section for listed in runs.values() for r in listed})
+        known = self._links({r.norm for listed in runs.values() for r in listed if r.norm is not None}, now)
+        moved, listed_again = set(), set()
         for run in sorted(runs):
             listed = sorted(runs[run], key=lambda r: (0 if rules.one_list else r.section_ord, r.pos))
-            emitted, changed = one_run(listed, self._sections(), lambda norm: self.known.containsKey((norm,)), rules, self.limit)
-            for section, checkpoint in changed.items():
-                self._keep(section, checkpoint)
-            for r in listed:  # what is listed again is remembered longer
-                if r.norm is not None and self.known.containsKey((r.norm,)):
-                    self.known.updateValue((r.norm,), (run,))
-            for r in emitted:
-                self.known.updateValue((r.norm,), (run,))
+            emitted, changed = one_run(listed, checkpoints, known.__contains__, rules, self.limit)
+            checkpoints |= changed
+            moved |= changed.keys()
+            # What is listed again is remembered longer.
+            here = {r.norm for r in listed if r.norm in known} | {r.norm for r in emitted}
+            known |= dict.fromkeys(here, now)
+            listed_again |= here
             out += [(outlet, run, r.section, r.section_ord, r.pos, r.link, r.title) for r in emitted]
+        self._keep(checkpoints, moved)
+        self._remember(known, listed_again)
         yield pd.DataFrame(out, columns=[f.split()[0] for f in EMITTED.split(", ")])
 
     def close(self) -> None:

@@ -130,3 +130,44 @@ def test_forgotten_links_are_new_again():
     assert [r.link for r in first] == ["l0", "l1"] and changed["a"].link == "l0"
     again, _ = incremental.one_run([row(0), row(1)], changed, lambda _: False, rules, 15)
     assert again == []
+
+
+def test_state_is_asked_for_by_parts_not_by_links():
+    """Runs of many links and sections call the store at most once for each part and way."""
+    class Store(dict):
+        calls = 0
+
+        def getValue(self, key):
+            Store.calls += 1
+            return self.get(key)
+
+        containsKey = getValue
+
+        def updateValue(self, key, value):
+            Store.calls += 1
+            self[key] = value
+
+        def iterator(self):
+            return iter(self.items())
+
+    class Now:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.at
+
+    import pandas as pd
+
+    runs = incremental.OutletRuns({"o": incremental.Rules(True, False, "first_new")}, 15, 90)
+    runs.checkpoints, runs.known = Store(), Store()
+
+    def emitted(run, newest, day):
+        rows = [(run, s, so, pos, f"{s}/{newest - pos}", None, True, f"{s}/{newest - pos}", None, None) for so, s in enumerate([None, *(f"s{i}" for i in range(299))]) for pos in range(20)]
+        frame = pd.DataFrame(rows, columns=["run", "section", "section_ord", "pos", "link", "title", "valid", "norm", "number", "said"])
+        return len(pd.concat(runs.handleInputRows(("o",), iter([frame[:2500], frame[2500:]]), Now(day * 86_400_000))))
+
+    assert [emitted(0, 100, 0), emitted(1, 103, 1), emitted(2, 103, 2)] == [300 * 15, 300 * 3, 0]
+    assert Store.calls <= 3 * 4 * incremental.PARTS
+    runs.checkpoints.clear()
+    assert emitted(3, 103, 91) == 0 and emitted(4, 103, 200) == 300 * 15  # listed on day 91, forgotten by day 200
