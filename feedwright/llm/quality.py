@@ -1,17 +1,17 @@
 """Quality by Bradley-Terry pairwise ranking.
 
-From a bounded sample of labelled documents come preference pairs: a good one
-is preferred to a bad one.  The chance of a preference is the logistic function
+From all labelled documents come preference pairs: a good one is preferred to a
+bad one.  The chance of a preference is the logistic function
 of the difference of two scores, each linear in the documents' features, so the
 weights are a logistic regression on feature differences.  The features are
 statistics of form, and what the text says: shares of hashed words and of
-hashed four-byte pieces.  A quantile of the sample's scores, at the share of
+hashed four-byte pieces.  A quantile of the labelled documents' scores, at the share of
 bad documents, is the threshold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,13 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import discard, text_slices
-from feedwright.llm.labelled import labelled_sample
+from feedwright.llm.common import discard, materialize, text_slices
+from feedwright.llm.labelled import labelled_documents
 from feedwright.llm.wordhash import flat_utf8, mix, word_hashes, word_spans
 
-#: Labelled documents, and preference pairs among them, to learn from: the bounds of the sample.
-MAX_LABELLED = 8000
-MAX_PAIRS = 40_000
+#: Pairs that a labelled document of the larger class is in.
+PARTNERS = 4
+#: Labelled documents of a part, about, and how many of the rarer class it has at least on average.
+PART_ROWS, PART_LEAST = 1024, 32
+#: Ranks that a quantile is told by: exact up to as many rows, then off by that share of all ranks.
+RANKS = 1_000_000
+#: Steps of the search for the weights.
+STEPS = 40
 #: Quantile bins of a feature; each has a weight of its own beside the slope.
 BINS = 8
 #: Buckets that words, and pieces of PIECE bytes, are hashed into.
@@ -129,77 +134,148 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.raw(x, said) - self.threshold + base, -40, 40)))
 
 
-def bradley_terry(x: np.ndarray, better: np.ndarray, worse: np.ndarray, ridge: float | np.ndarray = 1e-3, steps: int = 400) -> np.ndarray:
-    """Weights w of the greatest penalised likelihood that x[better] @ w beats x[worse] @ w.
-
-    Accelerated gradients; differences of rows are never formed, only the scores of all rows and
-    what each row won or lost beyond its chance."""
-    n, m = x.shape
-    ridge = np.broadcast_to(np.asarray(ridge, float), m)
-    times = np.bincount(better, minlength=n) + np.bincount(worse, minlength=n)
-    # |x_i - x_j|_f sum_g |x_i - x_j|_g majorises the curvature; both are at most the sums of the two rows.
-    size = np.abs(x).sum(1)
-    most = 2 * np.max(size) if n else 1.0
-    curve = 0.25 * (np.abs(x).T @ times) * most / max(len(better), 1) + ridge + 1e-9
-    w = v = np.zeros(m)
-    for t in range(steps):
-        s = x @ v
-        won = 1 / (1 + np.exp(np.clip(s[better] - s[worse], -30, 30)))
-        pull = np.bincount(better, won, n) - np.bincount(worse, won, n)
-        new = v + (x.T @ pull / max(len(better), 1) - ridge * v) / curve
-        w, v = new, new + t / (t + 3) * (new - w)
+def preferences(x: np.ndarray, better: np.ndarray, worse: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray]:
+    """Sum over the pairs of -log of the chance that x[better] @ w beats x[worse] @ w, and its gradient.  Differences of
+    rows are never formed, only the scores of all rows and what each row won or lost beyond its chance."""
+    s, n = x @ w, len(x)
+    lead = s[better] - s[worse]
+    won = 1 / (1 + np.exp(np.clip(lead, -500, 500)))
+    return float(np.logaddexp(0, -lead).sum()), x.T @ (np.bincount(worse, won, n) - np.bincount(better, won, n))
+
+
+def likeliest(value: Callable[[np.ndarray], tuple[float, np.ndarray]], m: int, steps: int) -> np.ndarray:
+    """The least point of a smooth convex function of m weights, by L-BFGS; value(w) gives the function and its gradient."""
+    w, past = np.zeros(m), []
+    f, g = value(w)
+    for _ in range(steps):
+        d, told = g.copy(), []
+        for a, b in reversed(past):
+            told.append(a @ d / (a @ b))
+            d -= told[-1] * b
+        d *= past[-1][0] @ past[-1][1] / (past[-1][1] @ past[-1][1]) if past else 1 / (np.abs(g).sum() + 1e-30)
+        for (a, b), t in zip(past, reversed(told), strict=True):
+            d += (t - b @ d / (a @ b)) * a
+        step, slope = 1.0, g @ d
+        while True:
+            to, (f1, g1) = w - step * d, value(w - step * d)
+            if f1 <= f - 1e-4 * step * slope or step < 1e-6:
+                break
+            step /= 2
+        if f1 >= f:
+            break
+        a, b, gained = to - w, g1 - g, f - f1
+        w, f, g = to, f1, g1
+        if a @ b > 0:
+            past = [*past, (a, b)][-10:]
+        if gained < 1e-7 * max(f, 1e-3) or np.abs(g).max() < 1e-8:
+            break
     return w
 
 
-def train(sample: DataFrame, at_threshold: float, max_pairs: int = MAX_PAIRS) -> QualityModel:
-    """sample: (doc_id, text, y), bounded; its feature rows come to the driver."""
+def bradley_terry(x: np.ndarray, better: np.ndarray, worse: np.ndarray, ridge: float | np.ndarray = 1e-3, steps: int = 400) -> np.ndarray:
+    """Weights w of the greatest penalised likelihood that x[better] @ w beats x[worse] @ w."""
+    def value(w: np.ndarray) -> tuple[float, np.ndarray]:
+        f, g = preferences(x, better, worse, w)
+        return f / max(len(better), 1) + float(np.sum(ridge * w * w)) / 2, g / max(len(better), 1) + ridge * w
+
+    return likeliest(value, x.shape[1], steps)
+
+
+def pairs_of(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(better, worse): each row of the larger class PARTNERS times, against the rows of the other in turn."""
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    n = max(len(good), len(bad))
+    turn = np.concatenate([np.arange(n) + k * (1 + min(len(good), len(bad)) // PARTNERS) for k in range(PARTNERS)])
+    one = np.tile(np.arange(n), PARTNERS)
+    return (good[one], bad[turn % len(bad)]) if len(good) >= len(bad) else (good[turn % len(good)], bad[one])
+
+
+def _packed(rows: DataFrame, n: int, rarer: int) -> DataFrame:
+    """(part, y, x, said): the feature rows in parts by a hash of the id, a row each; every part has both classes."""
+    parts = max(1, min(n // PART_ROWS, rarer // PART_LEAST))
+    of = lambda p: F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(p))
+    while parts > 1 and not rows.groupBy(of(parts).alias("part")).agg(F.count_distinct("y").alias("c")).where("c < 2").isEmpty():
+        parts //= 2
+
+    def pack(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("x", "ascending")])
+        joined = [[b"".join(part.column(c).to_pylist())] for c in ("x", "said")]
+        return pa.table({"part": part.column("part")[:1], "y": pa.array([part.column("y").to_numpy().astype(np.int8).tobytes()], pa.binary()), "x": pa.array(joined[0], pa.binary()), "said": pa.array(joined[1], pa.binary())})
+
+    return materialize(rows.select(of(parts).alias("part"), "doc_id", "y", "x", "said").groupBy("part").applyInArrow(pack, "part long, y binary, x binary, said binary"), "parts")
+
+
+def train(labelled: DataFrame, at_threshold: float, steps: int = STEPS) -> QualityModel:
+    """labelled: (doc_id, text, y), of any number; every row counts.  Tasks sum what their rows say; the driver gets sums."""
     m = len(FEATURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
+            x = features(part.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("y"), pa.array([r.tobytes() for r in features(part.column("text"))], pa.binary()),
-                 pa.array([r.tobytes() for r in lexical(part.column("text"))], pa.binary())], ["doc_id", "y", "x", "said"]
+                [part.column("doc_id"), part.column("y"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(list(x), pa.list_(pa.float64())),
+                 pa.array([r.tobytes() for r in lexical(part.column("text")).astype(np.float16)], pa.binary())], ["doc_id", "y", "x", "v", "said"]
             )
 
-    rows = sorted(sample.mapInArrow(run, "doc_id long, y int, x binary, said binary").collect(), key=lambda r: (r.doc_id, r.y, r.x))
-    y = np.array([r.y for r in rows])
-    x = np.stack([np.frombuffer(r.x) for r in rows]) if rows else np.zeros((0, m))
-    said = np.stack([np.frombuffer(r.said, np.float32) for r in rows]) if rows else np.zeros((0, 2 * BUCKETS), np.float32)
+    rows = materialize(labelled.mapInArrow(run, "doc_id long, y int, x binary, v array<double>, said binary"), "features")
+    counts = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    n, n_bad = sum(counts.values()), counts.get(0, 0)
     width = m * BINS + 2 * BUCKETS
-    if len(set(y.tolist())) < 2:
-        share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
+    if len(counts) < 2:
+        discard(rows)
+        share = float(np.clip(counts.get(1, 0) / max(n, 1), 1e-6, 1 - 1e-6))
         level = np.log(at_threshold / (1 - at_threshold)) - np.log(share / (1 - share))
         return QualityModel(np.zeros(m), np.ones(m), np.zeros((m, BINS - 1)), np.zeros(width), level, at_threshold)
-    cuts = np.quantile(x, np.arange(1, BINS) / BINS, axis=0).T
-    cuts[:, -1] = np.quantile(x, 0.97, axis=0)
-    model = QualityModel(x.mean(0), x.std(0) + 1e-9, cuts, np.zeros(width), 0.0, at_threshold)
-    design = model.design(x, said)
-    draw = np.random.Generator(np.random.PCG64(5))
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    n = min(max_pairs, 10 * max(len(good), len(bad)))
+    quantiles = [*(k / BINS for k in range(1, BINS - 1)), 0.97]
+    each = [f(F.col("v")[k]) for k in range(m) for f in (F.avg, F.stddev_pop, lambda c: F.percentile_approx(c, quantiles, RANKS))]
+    told = list(rows.agg(*[c.alias(f"c{k}") for k, c in enumerate(each)]).first())
+    model = QualityModel(np.array(told[::3]), np.array(told[1::3]) + 1e-9, np.array(told[2::3]), np.zeros(width), 0.0, at_threshold)
+    packed = _packed(rows, n, min(counts.values()))
+    parts = packed.rdd
     # Buckets hold many words each, so their weights are held back more than those of the statistics.
-    model.weights = bradley_terry(design, draw.choice(good, n), draw.choice(bad, n), np.r_[np.full(m * BINS, 1e-3), np.full(2 * BUCKETS, 1e-2)])
-    model.threshold = float(np.quantile(design @ model.weights, len(bad) / len(y)))
+    ridge = np.r_[np.full(m * BINS, 1e-3), np.full(2 * BUCKETS, 1e-2)]
+
+    def value(w: np.ndarray) -> tuple[float, np.ndarray]:
+        def told(at: int, some) -> Iterator[tuple]:
+            pairs, loss, slope = 0, 0.0, np.zeros(width)
+            for part in some:
+                y, x = np.frombuffer(part.y, np.int8), np.frombuffer(part.x).reshape(-1, m)
+                better, worse = pairs_of(y)
+                f, g = preferences(model.design(x, np.frombuffer(part.said, np.float16).reshape(len(y), -1).astype(np.float32)), better, worse, w)
+                pairs, loss, slope = pairs + len(better), loss + f, slope + g
+            yield at, pairs, loss, slope
+
+        sums = sorted(parts.mapPartitionsWithIndex(told).collect(), key=lambda t: t[0])  # a gradient for each task
+        pairs = sum(t[1] for t in sums)
+        return sum(t[2] for t in sums) / pairs + float(np.sum(ridge * w * w)) / 2, sum(t[3] for t in sums) / pairs + ridge * w
+
+    model.weights = likeliest(value, width, steps)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            x, said = (np.stack([np.frombuffer(r, t) for r in part.column(c).to_pylist()]) for c, t in (("x", np.float64), ("said", np.float16)))
+            yield pa.RecordBatch.from_arrays([pa.array(model.raw(x, said.astype(np.float32)))], ["s"])
+
+    ends = rows.select("x", "said").mapInArrow(scores, "s double").agg(F.percentile_approx("s", [n_bad / n, min(1.0, (n_bad + 1) / n)], RANKS)).first()[0]
+    model.threshold = ends[0] + (1 - n_bad / n) * (ends[1] - ends[0])
+    discard(packed)
+    discard(rows)
     return model
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id", text_col: str = "text",
-                  threshold: float = 0.3, max_labelled: int = MAX_LABELLED) -> DataFrame:
+                  threshold: float = 0.3) -> DataFrame:
     """doc_id, score, predicted of every row: how likely a whole text is a good one.
 
-    Learns from at most about max_labelled rows of labels (doc_id, quality) for
-    which `learnable` holds, and at most MAX_PAIRS preferences among them; labels,
-    ids and other columns are no inputs of a score.  The score is `threshold` at the quantile that parts the sample's
-    good from its bad documents in number.  Null counts as empty; an empty text
+    Learns from all rows of labels (doc_id, quality) for which `learnable` holds; labels, ids and other
+    columns are no inputs of a score.  The score is `threshold` at the quantile that parts the labelled documents'
+    good from their bad ones in number.  Null counts as empty; an empty text
     has a score like any other.  Without labels of both classes the score is
     their share, or 0.  Rows keep their number and ids; equal texts get equal
     scores.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sample = labelled_sample(rows, labels, "quality", learnable, max_labelled)
-    shared = docs.sparkSession.sparkContext.broadcast(train(sample, threshold))
-    discard(sample)
+    shared = docs.sparkSession.sparkContext.broadcast(train(labelled_documents(rows, labels, "quality", learnable), threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):

@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from feedwright.llm.labelled import fold, labelled_sample
+from feedwright.llm.labelled import fold, labelled_documents, labelled_sample
 from feedwright.llm.quality import bradley_terry, lexical, score_quality
 from feedwright.llm.toxicity import Hits, LabelModel, different, logistic, score_toxicity, spanning_forest
 
@@ -168,3 +169,21 @@ def test_a_very_long_text_and_ties(spark, score):
     labels = spark.createDataFrame([(i, t, q) for i, _, t, q in rows], "doc_id long, toxic int, quality int")
     got = {r.doc_id: r.score for r in score(docs, labels, F.lit(True)).collect()}
     assert len(got) == 302 and got[1000] == got[1001]
+
+
+def test_quality_learns_from_every_labelled_document(spark, monkeypatch):
+    """More labelled documents than the old bound, in parts, and each of them is in a pair."""
+    from feedwright.llm import quality
+
+    monkeypatch.setattr(quality, "PART_ROWS", 2500)
+    rows = [(i, f"plain words number {i % 7}" if i % 2 else f"other words number {i % 7}", i % 2) for i in range(10_000)]
+    docs, labels = (spark.createDataFrame([(r[0], r[k]) for r in rows], t).repartition(3) for k, t in ((1, "doc_id long, text string"), (2, "doc_id long, y int")))
+    learnt = labelled_documents(docs, labels, "y", F.lit(True))
+    assert learnt.count() == 10_000
+    paired = []
+    for y in ([0] * 9 + [1], [1] * 50 + [0] * 3, [0, 1]):
+        better, worse = quality.pairs_of(np.array(y))
+        paired.append(set(better) | set(worse) == set(range(len(y))))
+    assert all(paired)
+    model = quality.train(learnt, 0.3)
+    assert model.weights.any() and [round(float(s), 3) >= 0.3 for s in model.score(quality.features(pa.array([rows[1][1], rows[2][1]])), quality.lexical(pa.array([rows[1][1], rows[2][1]])))] == [True, False]
