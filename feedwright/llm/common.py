@@ -11,16 +11,26 @@ from pyspark.sql import functions as F
 
 from feedwright.storage import discard, materialize, shared_dir
 
-__all__ = ["SLICE_BYTES", "discard", "materialize", "own_key", "shared_dir", "table", "text_slices"]
+__all__ = ["SLICE_BYTES", "SMALL_SLICE_BYTES", "bounded_batches", "discard", "materialize", "own_key", "shared_dir", "table", "text_slices"]
 
 #: Text bytes that a Python worker hashes at once; bounds its memory.
 SLICE_BYTES = 2_000_000
+#: The same where many numbers are made of each byte.
+SMALL_SLICE_BYTES = 500_000
+#: Bytes of an Arrow batch between Spark and a Python worker; either side holds some of them.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that cuts Arrow batches by bytes: 10000 long rows are many.  The setting stays, as results are lazy."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def own_key(doc_id: str, text: str) -> Column:
     """A hash of a row's id and text: rows that share an id are told apart by it."""
     return F.xxhash64(F.coalesce(doc_id, F.lit(-1).cast("long")), F.col(doc_id).isNull(), text)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import discard, materialize, text_slices
+from feedwright.llm.common import SMALL_SLICE_BYTES, bounded_batches, discard, materialize, text_slices
 from feedwright.llm.labelled import labelled_documents
 from feedwright.llm.wordhash import flat_utf8, mix, word_hashes, word_spans
 
@@ -210,7 +210,7 @@ def train(labelled: DataFrame, at_threshold: float, steps: int = STEPS) -> Quali
     m = len(FEATURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SMALL_SLICE_BYTES):
             x = features(part.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("y"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(list(x), pa.list_(pa.float64())),
@@ -274,11 +274,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "
     their share, or 0.  Rows keep their number and ids; equal texts get equal
     scores.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(train(labelled_documents(rows, labels, "quality", learnable), threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SMALL_SLICE_BYTES):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(shared.value.score(features(part.column("text")), lexical(part.column("text"))))], ["doc_id", "score"])
 
     return rows.mapInArrow(run, "doc_id long, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))

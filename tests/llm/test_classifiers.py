@@ -1,12 +1,14 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from feedwright.llm import common
 from feedwright.llm.labelled import fold, labelled_documents, labelled_sample
-from feedwright.llm.quality import bradley_terry, lexical, score_quality
+from feedwright.llm.quality import bradley_terry, features, lexical, score_quality
 from feedwright.llm.toxicity import Hits, LabelModel, different, logistic, score_toxicity, spanning_forest
 
 
@@ -187,3 +189,26 @@ def test_quality_learns_from_every_labelled_document(spark, monkeypatch):
     assert all(paired)
     model = quality.train(learnt, 0.3)
     assert model.weights.any() and [round(float(s), 3) >= 0.3 for s in model.score(quality.features(pa.array([rows[1][1], rows[2][1]])), quality.lexical(pa.array([rows[1][1], rows[2][1]])))] == [True, False]
+
+
+def test_long_rows_come_in_batches_of_bounded_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["b"])
+
+    docs = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 1000).alias("text"))
+    labels = spark.range(4).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    assert score_quality(docs.where("doc_id < 4"), labels, F.lit(True)).count() == 4
+    told = [r.b for r in docs.mapInArrow(sizes, "b long").collect()]  # 30 MB
+    assert max(told) < 1.1 * common.BATCH_BYTES and sum(told) > 30_000_000
+
+
+def test_features_of_many_texts_take_bounded_memory():
+    batch = pa.RecordBatch.from_arrays([pa.array(["some plain words. " * 100] * 2000)], ["text"])  # 3.6 MB
+    tracemalloc.start()
+    for part in common.text_slices(iter([batch]), "text", common.SMALL_SLICE_BYTES):
+        features(part.column(0))
+        lexical(part.column(0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
