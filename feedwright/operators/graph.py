@@ -9,6 +9,18 @@ from feedwright.operators.skew import dealt
 from feedwright.storage import discard, materialize
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """(a, b), a > b, of the same components as edges: each node keeps the edge to its least neighbour, and its other
+    lesser neighbours are tied to that one.  Nodes that share neighbours share those ties, so a group of
+    nodes with many edges each is left with little more than one each."""
+    down = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "down")
+    least = down.groupBy("a").agg(F.min("b").alias("least"))
+    ties = dealt(down, least, ["a"], "b").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    out = materialize(least.select("a", F.col("least").alias("b")).unionByName(ties).distinct(), "contracted")
+    discard(down)
+    return out
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each end of an edge is connected to.
 
@@ -18,8 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
     combined before the shuffle, and what waits for the label of a hub, or for the root of a label
     that many nodes have, is dealt into salted parts.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    both = materialize(both, "edges")
+    few = contracted(edges)
+    both = materialize(few.unionByName(few.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    discard(few)
     if both.isEmpty():
         return both.select(F.col("a").alias("node"), F.col("b").alias("label"))
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")), "labels")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedwright.operators import bronze, feeds, state, stories
-from feedwright.operators.graph import components
+from feedwright.operators.graph import components, contracted
 from feedwright.plans.jobs import incremental_run
 from feedwright.sources.registry import BY_ID, OUTLETS
 
@@ -172,6 +172,14 @@ def test_stories(spark):
     assert sorted(r.story_id for r in top.collect()) == list(range(7))
 
 
+def test_contracted_edges_don_t_repeat_a_group(spark):
+    edges = [(n, hub) for n in range(50, 250) for hub in range(n % 3, 40, 3)] + [(300, 301), (301, 301)]
+    few = contracted(spark.createDataFrame(edges, "a long, b long"))
+    assert few.count() < 250 + 40 and few.where("a <= b").isEmpty()
+    whole = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert whole == {n: n % 3 if n < 40 else next(b for a, b in edges if a == n) for n in [*range(40), *range(50, 250)]} | {300: 300, 301: 300}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, 50), (50, 70), (70, 70)] + [(200, x) for x in range(300, 360)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
