@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import text_slices
+from feedwright.llm.common import bounded_batches, text_slices
 
 #: The split of byte-level BPE pre-tokenisation (a fixed value of the format).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -300,7 +300,7 @@ def encode_column(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             ids = encoder.encode_batch([t or "" for t in part.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
 
@@ -314,7 +314,7 @@ def decode_column(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str
             texts = [None if i is None else encoder.decode(i) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
+    rows = bounded_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
     return rows.mapInArrow(run, "doc_id long, text string")
 
 
@@ -340,5 +340,5 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

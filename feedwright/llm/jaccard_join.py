@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import discard, materialize, own_key, text_slices
+from feedwright.llm.common import SMALL_SLICE_BYTES, bounded_batches, discard, materialize, own_key, text_slices
 from feedwright.llm.wordhash import flat_utf8, mix, phrase_hashes, phrase_mask, word_hashes, word_spans
 from feedwright.llm.bloom import probed_in
 from feedwright.operators.graph import components
@@ -199,11 +199,11 @@ def jaccard_join(
     exact = Fraction(str(threshold))
     first, last = deepest(threshold, trees, FIRST_CHANCE), deepest(threshold, trees, LAST_CHANCE)
     multiply, flip = _functions(trees * first)
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = bounded_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumn("own", own_key("doc_id", "text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SMALL_SLICE_BYTES):
             sets = shingle_sets(part.column("text"), words)
             hashes = [set_hash(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -320,7 +320,7 @@ def _verify_round(docs: DataFrame, reps: DataFrame, words: int, trees: int, step
         for batch in batches:
             ids = mix(batch.column("own").to_numpy().view(np.uint64)) & np.uint64(n_bits - 1)
             hit = (shared.value[(ids >> np.uint64(3)).astype(np.int64)] >> (ids & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            for part in text_slices(iter([batch.filter(pa.array(hit))]), "text"):
+            for part in text_slices(iter([batch.filter(pa.array(hit))]), "text", SMALL_SLICE_BYTES):
                 sets = shingle_sets(part.column("text"), words)
                 hashes = [set_hash(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import discard, text_slices
+from feedwright.llm.common import bounded_batches, discard, text_slices
 from feedwright.llm.labelled import labelled_sample
 from feedwright.llm.wordhash import flat_utf8, mix, phrase_hashes, word_hashes, word_spans
 
@@ -351,7 +351,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learnable, id_col: str =
     Without labels of both classes the score is their share, or 0.  Rows keep
     their number and ids; equal texts get equal scores.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sample = labelled_sample(rows, labels, "toxic", learnable, max_labelled)
     shared = docs.sparkSession.sparkContext.broadcast(train(sample))
     discard(sample)
@@ -366,7 +366,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learnable, id_col: str =
 def documents_without_toxic(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "doc_id", text_col: str = "text",
                             threshold: float = 0.7, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """The rows of docs whose text score_toxicity() scores below the threshold, unchanged and not shuffled."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sample = labelled_sample(rows, labels, "toxic", learnable, max_labelled)
     shared = docs.sparkSession.sparkContext.broadcast(train(sample))
     discard(sample)
