@@ -8,11 +8,13 @@ down to k below with the substrings that can match there, shifted by what the
 edits before and after a segment allow.  Keys that meet nothing are turned away
 by Bloom filters, so what travels beside them are the index keys themselves,
 without texts.  Lines that share a key are verified by a banded bit-parallel
-edit distance, after common ends are taken off.  A bucket with many lines isn't
-enumerated: lines near its hub are linked to it, and the others are split again
-by what the shared segment leaves over, until few lines share a bucket.  Two
-lines that agree with the hub in one segment meet in that segment's bucket, so
-in the buckets of later segments they are passed over.
+edit distance, after common ends are taken off; counts of characters and a
+thresholded distance turn most pairs away before.  In a bucket with many lines those near its hub are
+linked to it, and only the others are compared with all.  A crowded one isn't
+enumerated: what its hub leaves is split again by what the shared segment
+leaves over, until the buckets are small enough.  Two lines that agree with
+the hub in one segment meet in that segment's bucket, so in the buckets of
+later segments they are passed over.
 
 Everything here is DataFrame functions.
 """
@@ -33,6 +35,10 @@ from feedwright.operators.skew import dealt
 ONE_EDIT = ((20, 1),)
 #: Lines of a bucket that are compared pair by pair.
 FEW_LINES = 8
+#: Lines of a bucket that are compared after those near its hub are linked to it; a larger one is split again.
+LISTED_LINES = 1024
+#: Characters whose counts turn pairs of such a bucket away.
+COUNTED = "etaonishrdlugwc."
 
 
 def _within_edits_sql(a: str, b: str, k: int) -> str:
@@ -66,8 +72,9 @@ def within_edits(a: str, b: str, k: int) -> Column:
 def near(a: str, b: str, k: str, most: int) -> Column:
     """True if the strings in a and b are at most k edits apart, k a column of 1 to `most`.
 
-    What both share at an end doesn't change their distance and is taken off first, in
-    pieces of halving size; the banded distance looks at what is left of them."""
+    Nearly all pairs are turned away by Spark's own distance, which costs much less.  What both
+    share at an end doesn't change their distance and is taken off first, in pieces of halving
+    size; the banded distance looks at what is left of them."""
     state = "named_struct('a', {}, 'b', {})".format
     pieces = "array(" + ", ".join(str(1 << e) for e in range(20, -1, -1)) + ")"
     front = f"CASE WHEN length(u.a) >= j AND length(u.b) >= j AND substring(u.a, 1, j) = substring(u.b, 1, j) THEN {state('substring(u.a, j + 1)', 'substring(u.b, j + 1)')} ELSE u END"
@@ -75,7 +82,7 @@ def near(a: str, b: str, k: str, most: int) -> Column:
             f"{state('substring(u.a, 1, length(u.a) - j)', 'substring(u.b, 1, length(u.b) - j)')} ELSE u END")
     cut = f"aggregate({pieces}, aggregate({pieces}, {state(a, b)}, (u, j) -> {front}), (u, j) -> {back})"
     cases = " ".join(f"WHEN {k} = {n} THEN {_within_edits_sql('x.a', 'x.b', n)}" for n in range(1, most + 1))
-    return F.expr(f"get(transform(array({cut}), x -> CASE {cases} ELSE x.a = x.b END), 0)")
+    return F.expr(f"levenshtein({a}, {b}, {k}) >= 0 AND get(transform(array({cut}), x -> CASE {cases} ELSE x.a = x.b END), 0)")
 
 
 def _edits(n: str, edits) -> str:
@@ -91,18 +98,16 @@ def keyed(lines: DataFrame, edits, moved: bool) -> DataFrame:
     are allowed; characters at + 1 to at + size are the segment.  Segment i of that length may have
     moved by s: by at most i edits before it, and so that at most k - i come after it."""
     most, shortest = max(k for _, k in edits), min(least for least, k in edits if k)
-    rows = lines.withColumn("m", F.length("line")).where(F.col("m") >= shortest)
-    rows = rows.withColumn("d", F.explode(F.expr(f"sequence(0, {most})")) if moved else F.lit(0))
-    rows = rows.withColumn("n", F.expr("m - d")).withColumn("k", F.expr(_edits("n", edits))).where("k > 0 AND d <= k")
-    rows = rows.withColumn("i", F.explode(F.expr("sequence(0, k)")))
+    ways = [(k, d, i, s) for k in {k for _, k in edits if k} for d in (range(k + 1) if moved else [0]) for i in range(k + 1)
+            for s in (range(max(-i, d - k + i), min(i, d + k - i) + 1) if moved else [0]) if not moved or d or s]
+    # Four bytes a character, so that a segment is found without a look at what stands before it.
+    rows = lines.withColumn("m", F.length("line")).where(F.col("m") >= shortest).withColumn("chars", F.encode("line", "UTF-32"))
+    rows = rows.withColumn("way", F.explode(F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip("kdis", way, strict=True)]) for way in ways])))
+    rows = rows.select(*lines.columns, "m", "chars", "way.*").withColumn("n", F.expr("m - d")).where("k = " + _edits("n", edits))
     rows = rows.withColumn("p", F.expr("cast(n * i div (k + 1) AS int)")).withColumn("size", F.expr("cast(n * (i + 1) div (k + 1) AS int) - p"))
-    if moved:
-        rows = rows.withColumn("low", F.expr("greatest(-i, d - k + i, -p)")).withColumn("high", F.expr("least(i, d + k - i, m - p - size)")).where("low <= high")
-        rows = rows.withColumn("s", F.explode(F.expr("sequence(low, high)"))).where("d > 0 OR s <> 0")
-    else:
-        rows = rows.withColumn("s", F.lit(0))
-    rows = rows.withColumn("at", F.expr("p + s")).withColumn("key", F.expr("xxhash64(n, i, substring(line, at + 1, size))"))
-    return rows.drop("m", "n", "i", "p", "s", "low", "high")
+    rows = rows.withColumn("at", F.expr("p + s")).where("at >= 0 AND at + size <= m")
+    rows = rows.withColumn("key", F.expr("xxhash64(n, i, substring(chars, 4 * at + 1, 4 * size))"))
+    return rows.select(*lines.columns, "d", "k", "size", "at", "key")
 
 
 def _rest_segments() -> Column:
@@ -132,6 +137,24 @@ def _dealt(rows: DataFrame, answer: DataFrame, keys: list[str], by: str = "id")
     return dealt(rows, answer, keys, by)
 
 
+def line_id(line: str = "line") -> Column:
+    return F.unhex(F.md5(line))
+
+
+def _pairs(rows: DataFrame, most: int, counted: str = "") -> DataFrame:
+    """(a, b): rows of one key that are near, each index entry with all others; tied ones are connected already.
+
+    A changed character changes two of the counts of the characters `counted` by one, one more or less changes one."""
+    rows = rows.withColumn("n", F.length("line")).withColumns({f"n{i}": F.expr(f"octet_length(line) - octet_length(replace(line, '{c}', ''))") for i, c in enumerate(counted)})
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("line", "tied", "mask", "n", *(f"n{i}" for i in range(len(counted))))]
+    a = rows.where("own").select("key", "k", F.col("id").alias("a"), *side("a"))
+    b = rows.select("key", F.col("id").alias("b"), F.col("own").alias("own_b"), *side("b"))
+    pairs = a.join(b, "key").where("a <> b AND (NOT own_b OR a < b) AND NOT (tied_a AND tied_b) AND (mask_a & mask_b) = 0")
+    if counted:
+        pairs = pairs.where(" + ".join(f"abs(n{i}_a - n{i}_b)" for i in range(len(counted))) + " + abs(n_a - n_b) <= 2 * k")
+    return pairs.where(near("line_a", "line_b", "k", most)).select("a", "b")
+
+
 def _alignments(k: int, n: int, d: int) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
     """(places in a string of n characters, places in one of n + d): the ways to match characters that
     leave at most k edits."""
@@ -163,14 +186,15 @@ def _tiny_keys(most: int) -> Column:
 
 def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOTS, n_lines: int | None = None) -> DataFrame:
     """(a, b): links between the ids of different lines, at least enough that connected lines stay
-    connected.  lines: (id, line), repeated or not; edits: (least length of the shorter line, edits);
+    connected.  lines: (line), repeated or not; ids are line_id(); edits: (least length of the shorter line, edits);
     n_lines: about how many there are, if that is known."""
     most = max(k for _, k in edits)
     slots = bloom.slots_for((most + 1) * (lines.count() if n_lines is None else n_lines), max_slots)
-    index = keyed(lines.select("line"), edits, False).select("key", F.xxhash64("line").alias("h"))
+    lines = lines.select("line")
+    index = keyed(lines, edits, False).select("key", F.xxhash64("line").alias("h"))
     seen = index.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b"))
     table = materialize(bloom.built(seen, slots, every="true", shared="a <> b"), "segmentfilter")
-    entry = ["id", "key", "d", "k", "at", "size"]
+    entry = [line_id().alias("id"), F.xxhash64("line").alias("h"), "key", "d", "k", "at", "size"]  # of the few lines that may share a key
     probes = bloom.probed(keyed(lines, edits, True), table, slots, which="every").where("may").select(entry).dropDuplicates(["key", "id", "d", "at"])
     probes = materialize(probes, "probes")
     asked = bloom.either(table.select("slot", F.col("shared1").alias("every1"), F.col("shared2").alias("every2")), bloom.built(probes, slots, every="true"))
@@ -183,9 +207,8 @@ def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOT
     if level.isEmpty():
         return level.select(F.col("id").alias("a"), F.col("id").alias("b"))
     # Only now are texts needed: those of lines that share a key with another.
-    ids = level.select("id").distinct()
-    found = bloom.where_in(lines.withColumn("_h", F.xxhash64("id")), ids.select(F.xxhash64("id").alias("key")), "_h", max_slots)
-    texts = materialize(found.select("id", "line").dropDuplicates(["id"]), "texts")
+    found = bloom.where_in(lines.withColumn("_h", F.xxhash64("line")), level.select(F.col("h").alias("key")).distinct(), "_h", max_slots)
+    texts = materialize(found.select(line_id().alias("id"), "line").dropDuplicates(["id"]), "texts")
     level = level.join(texts, "id").select("id", "line", "key", "d", "k", "own", _without("line"), F.lit(False).alias("tied"), F.lit(0).cast("long").alias("mask"))
     level = materialize(level, "bucket")
     links: list[DataFrame] = []
@@ -198,10 +221,7 @@ def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOT
         sized = _dealt(level, sizes, ["key"])
         few, tiny = F.expr(f"c <= {FEW_LINES}"), F.expr(f"c > {FEW_LINES} AND over <= 0")
         small, many = sized.where(few), sized.where(~few & ~tiny)
-        a = small.where("own").select("key", "k", F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("tied").alias("tied_a"), F.col("mask").alias("mask_a"))
-        b = small.select("key", F.col("id").alias("b"), F.col("own").alias("own_b"), F.col("line").alias("line_b"), F.col("tied").alias("tied_b"), F.col("mask").alias("mask_b"))
-        pairs = a.join(b, "key").where("a <> b AND (NOT own_b OR a < b) AND NOT (tied_a AND tied_b) AND (mask_a & mask_b) = 0")
-        pairs = pairs.select("a", "b", "line_a", "line_b", "k").dropDuplicates(["a", "b", "k"]).where(near("line_a", "line_b", "k", most)).select("a", "b")
+        pairs = _pairs(small, most)
         if not crowded:
             links.append(materialize(pairs.distinct(), "near"))
             discard(level)
@@ -215,13 +235,19 @@ def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOT
         longer = _dealt(spelt.where("NOT own"), firsts, ["key", "spelt"]).where("id <> b.id").select(F.col("id").alias("a"), F.col("b.id").alias("b"), F.col("line").alias("line_a"), F.col("b.line").alias("line_b"), "k")
         longer = longer.dropDuplicates(["a", "b", "k"]).where(near("line_a", "line_b", "k", most)).select("a", "b")
         hubs = many.where("own").groupBy("key").agg(F.min(F.struct(F.expr("NOT tied").alias("loose"), "id", "line", "rest")).alias("hub"))
-        met = _dealt(many, hubs, ["key"]).select("key", "id", "line", "d", "k", "own", "rest", "tied", "mask", F.col("hub.rest").alias("hub_rest"), F.col("hub.id").alias("hub"), F.col("hub.line").alias("hub_line"), F.col("hub.loose").alias("loose"))
+        met = _dealt(many, hubs, ["key"]).select("key", "id", "line", "d", "k", "own", "rest", "tied", "mask", F.col("hub.rest").alias("hub_rest"), F.col("hub.id").alias("hub"), F.col("hub.line").alias("hub_line"), F.col("hub.loose").alias("loose"), "c")
         met = met.withColumn("by_hub", (F.col("id") == F.col("hub")) | near("hub_line", "line", "k", most))
-        met = materialize(met.select("key", "id", "line", "d", "k", "own", "rest", "hub_rest", "mask", "hub", "by_hub", F.expr("by_hub OR (tied AND NOT loose)").alias("tied")), "hubs")
+        met = materialize(met.select("key", "id", "line", "d", "k", "own", "rest", "hub_rest", "mask", "hub", "by_hub", F.expr("by_hub OR (tied AND NOT loose)").alias("tied"), "c"), "hubs")
         spokes = met.where("by_hub AND id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-        links.append(materialize(pairs.unionByName(stars).unionByName(longer).unionByName(spokes).distinct(), "near"))
-        open_keys = met.groupBy("key").agg(F.min("tied").alias("done")).where("NOT done").select("key")
-        below = _dealt(met, open_keys, ["key"]).select("id", "line", "tied", "rest", "d", "k", _rest_segments().alias("e"))
+        listed = _pairs(met.where(f"c <= {LISTED_LINES}"), most, COUNTED)
+        links.append(materialize(pairs.unionByName(stars).unionByName(longer).unionByName(spokes).unionByName(listed).distinct(), "near"))
+        met_again = met.where(f"c > {LISTED_LINES}")
+        if met_again.isEmpty():
+            discard(level)
+            discard(met)
+            break
+        open_keys = met_again.groupBy("key").agg(F.min("tied").alias("done")).where("NOT done").select("key")
+        below = _dealt(met_again, open_keys, ["key"]).select("id", "line", "tied", "rest", "d", "k", _rest_segments().alias("e"))
         below = below.select("id", "line", "rest", "d", "k", "e.*", "tied").select("id", "line", "key", "d", "k", "own", _without("rest"), "tied", "mask").dropDuplicates(["key", "id", "d", "own", "rest"])
         below = materialize(below, "bucket")
         discard(level)
@@ -253,12 +279,10 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
                      *([F.struct("*").alias("row")] if carry else []))
     docs = docs.withColumn("own", own_key("doc_id", "text"))
     split = docs.where("text IS NOT NULL").select("doc_id", "own", F.split("text", "\n", -1).alias("lines"))
-    placed = split.select("doc_id", "own", F.posexplode("lines").alias("pos", "line")).where(F.trim("line", F.lit(" \t\r\x0b\x0c")) != "")
-    ident = F.unhex(F.md5("line")).alias("id")
-    places = materialize(placed.select("doc_id", "own", "pos", ident), "places")
+    placed = split.select("doc_id", "own", F.posexplode("lines").alias("pos", "line")).where(F.ltrim("line", F.lit(" \t\r\x0b\x0c")) != "")
+    places = materialize(placed.select("doc_id", "own", "pos", line_id().alias("id")), "places")
 
-    lines = placed.select(ident, "line")
-    labels = components(near_lines(lines, edits, n_lines=places.count()))
+    labels = components(near_lines(placed.select("line"), edits, n_lines=places.count()))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "own", "pos")
     equal = places.groupBy("id").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     tagged = equal.join(labels.withColumnRenamed("node", "id"), "id", "left").where("n > 1 OR label IS NOT NULL")

@@ -101,6 +101,24 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, few, edits)
     assert components_of(nodes, links) == components_of(nodes, true)
 
 
+@pytest.mark.parametrize("listed", [6, 1024])
+def test_crowded_lines_are_split_or_listed(spark, monkeypatch, listed):
+    """Many lines share all segments but one, and few are near: they are listed at once, or their buckets are split again."""
+    monkeypatch.setattr(ld, "FEW_LINES", 2)
+    monkeypatch.setattr(ld, "LISTED_LINES", listed)
+    r = random.Random(listed)
+    fixed = "".join(r.choice("mnopé🙂 ") for _ in range(60))
+    lines = sorted({fixed[:30] + "".join(r.choice("abet") for _ in range(r.randint(4, 7))) + fixed[30:] for _ in range(40)} | {edited(r, fixed, 2) for _ in range(4)})
+    rounds, made = [], ld.materialize
+    monkeypatch.setattr(ld, "materialize", lambda df, tag: (rounds.append(tag), made(df, tag))[1])
+    df = spark.createDataFrame([(x,) for x in lines], "line string").select(ld.line_id().alias("id"), "line")
+    name = {bytes(x.id): x.line for x in df.collect()}
+    links = [(name[bytes(x.a)], name[bytes(x.b)]) for x in near_lines(df, ((20, 2),)).collect()]
+    assert all(within(a, b, 2) for a, b in links)
+    assert components_of(lines, links) == components_of(lines, [(a, b) for a in lines for b in lines if a < b and within(a, b, 2)])
+    assert rounds.count("hubs") == 1 if listed == 1024 else rounds.count("hubs") > 1
+
+
 @pytest.mark.parametrize("k", [1, 2])
 def test_crowded_lines_that_differ_in_few_places(spark, monkeypatch, k):
     """One bucket holds hundreds of lines; what is left of them is down to k characters."""
