@@ -23,10 +23,17 @@ def _clean(labels: DataFrame, label: str, learnable: Column) -> DataFrame:
     )
 
 
+def maybe_labelled(docs: DataFrame, labels: DataFrame, label: str, learnable: Column) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) of all labelled documents and a few others, and the labels (doc_id, y), an id once, under the rules of
+    labelled_sample(); to be joined by what is made of the texts, so that no text travels."""
+    clean = _clean(labels, label, learnable)
+    may = where_in(docs.where("doc_id IS NOT NULL").withColumn("_h", F.xxhash64("doc_id")), clean.select(F.xxhash64("doc_id").alias("key")), "_h")
+    return may.select("doc_id", "text"), clean
+
+
 def labelled_documents(docs: DataFrame, labels: DataFrame, label: str, learnable: Column) -> DataFrame:
     """(doc_id, text, y) of all labelled documents, under the rules of labelled_sample(); only texts whose ids may be labelled travel."""
-    clean = _clean(labels, label, learnable)
-    may = where_in(docs.withColumn("_h", F.xxhash64("doc_id")), clean.select(F.xxhash64("doc_id").alias("key")), "_h")
+    may, clean = maybe_labelled(docs, labels, label, learnable)
     return may.join(clean, "doc_id").select("doc_id", "text", "y")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedwright.llm.common import SMALL_SLICE_BYTES, bounded_batches, discard, materialize, text_slices
-from feedwright.llm.labelled import labelled_documents
+from feedwright.llm.labelled import maybe_labelled
 from feedwright.llm.wordhash import flat_utf8, mix, word_hashes, word_spans
 
 #: Pairs that a labelled document of the larger class is in.
@@ -190,39 +190,76 @@ def pairs_of(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (good[one], bad[turn % len(bad)]) if len(good) >= len(bad) else (good[turn % len(good)], bad[one])
 
 
-def _packed(rows: DataFrame, n: int, rarer: int) -> DataFrame:
-    """(part, y, x, said): the feature rows in parts by a hash of the id, a row each; every part has both classes."""
-    parts = max(1, min(n // PART_ROWS, rarer // PART_LEAST))
-    of = lambda p: F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(p))
-    while parts > 1 and not rows.groupBy(of(parts).alias("part")).agg(F.count_distinct("y").alias("c")).where("c < 2").isEmpty():
-        parts //= 2
-
-    def pack(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("x", "ascending")])
-        joined = [[b"".join(part.column(c).to_pylist())] for c in ("x", "said")]
-        return pa.table({"part": part.column("part")[:1], "y": pa.array([part.column("y").to_numpy().astype(np.int8).tobytes()], pa.binary()), "x": pa.array(joined[0], pa.binary()), "said": pa.array(joined[1], pa.binary())})
-
-    return materialize(rows.select(of(parts).alias("part"), "doc_id", "y", "x", "said").groupBy("part").applyInArrow(pack, "part long, y binary, x binary, said binary"), "parts")
+def _merged(at: int, y: list[bytes], x: list[bytes], said: list[bytes]) -> pa.Table:
+    return pa.table({"part": pa.array([at], pa.int64()), "y": pa.array([b"".join(y)], pa.binary()), "x": pa.array([b"".join(x)], pa.binary()), "said": pa.array([b"".join(said)], pa.binary())})
+
+
+def _packed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(part, y, x, said): the features of the labelled of the rows (doc_id, x, said) in parts by a hash of the id, a row each;
+    labels: (doc_id, y), an id once.  Features meet labels in their part, so they travel once and texts don't.  If
+    both classes are there at all, every part has both."""
+    told = {r.y: r["count"] for r in labels.groupBy("y").count().collect()}
+    parts = 1
+    while 2 * parts <= min(2 * sum(told.values()) // PART_ROWS, min(told.get(0, 0), told.get(1, 0)) // PART_LEAST):
+        parts *= 2
+    part = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(parts)).alias("part")
+    kind = "part long, y binary, x binary, said binary"
+
+    def pack(rows: pa.Table, labels: pa.Table) -> pa.Table:
+        of = rows.column("doc_id").to_numpy()
+        ids, order = np.unique(labels.column("doc_id").to_numpy(), return_index=True)
+        known = np.isin(of, ids)
+        if not known.any():
+            return pa.table({"part": pa.array([], pa.int64()), **{c: pa.array([], pa.binary()) for c in ("y", "x", "said")}})
+        y = labels.column("y").to_numpy().astype(np.int8)[order][np.searchsorted(ids, of[known])]
+        rows = rows.filter(pa.array(known)).append_column("y", pa.array(y)).sort_by([("doc_id", "ascending"), ("x", "ascending"), ("said", "ascending")])
+        return _merged(rows.column("part")[0].as_py(), [rows.column("y").to_numpy().tobytes()], rows.column("x").to_pylist(), rows.column("said").to_pylist())
+
+    packed = rows.select(part, "doc_id", "x", "said").groupBy("part").cogroup(labels.select(part, "doc_id", "y").groupBy("part"))
+    packed = materialize(packed.applyInArrow(pack, kind), "parts")
+    # Labels may have no document, so a part may lack a class: then parts are joined in twos.
+    classes = lambda p: packed.select(F.pmod("part", F.lit(p)).alias("part"), F.expr("instr(hex(y), '00') > 0").alias("bad"), F.expr("instr(hex(y), '01') > 0").alias("good"))
+    fewer = parts
+    while fewer > 1 and not classes(fewer).groupBy("part").agg(F.max("bad").alias("bad"), F.max("good").alias("good")).where("NOT (bad AND good)").isEmpty():
+        fewer //= 2
+    if fewer == parts:
+        return packed
+
+    def merge(some: pa.Table) -> pa.Table:
+        some = some.sort_by("of")
+        return _merged(some.column("part")[0].as_py(), *(some.column(c).to_pylist() for c in ("y", "x", "said")))
+
+    joined = packed.select(F.pmod("part", F.lit(fewer)).alias("part"), F.col("part").alias("of"), "y", "x", "said").groupBy("part").applyInArrow(merge, kind)
+    joined = materialize(joined, "parts")
+    discard(packed)
+    return joined
 
 
-def train(labelled: DataFrame, at_threshold: float, steps: int = STEPS) -> QualityModel:
-    """labelled: (doc_id, text, y), of any number; every row counts.  Tasks sum what their rows say; the driver gets sums."""
+def train(docs: DataFrame, at_threshold: float, steps: int = STEPS, labels: DataFrame | None = None) -> QualityModel:
+    """docs: (doc_id, text, y), or (doc_id, text), labelled or not, with labels (doc_id, y), an id once; of any number, every
+    labelled row counts.  Tasks sum what their rows say; the driver gets sums."""
     m = len(FEATURES)
+    labels = docs.select("doc_id", "y").distinct() if labels is None else labels
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text", SMALL_SLICE_BYTES):
-            x = features(part.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("y"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(list(x), pa.list_(pa.float64())),
-                 pa.array([r.tobytes() for r in lexical(part.column("text")).astype(np.float16)], pa.binary())], ["doc_id", "y", "x", "v", "said"]
+                [part.column("doc_id"), pa.array([r.tobytes() for r in features(part.column("text"))], pa.binary()),
+                 pa.array([r.tobytes() for r in lexical(part.column("text")).astype(np.float16)], pa.binary())], ["doc_id", "x", "said"]
             )
 
-    rows = materialize(labelled.mapInArrow(run, "doc_id long, y int, x binary, v array<double>, said binary"), "features")
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for y, x in zip(batch.column("y").to_pylist(), batch.column("x").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(y, np.int8).astype(np.int32)), pa.array(list(np.frombuffer(x).reshape(-1, m)), pa.list_(pa.float64()))], ["y", "v"])
+
+    packed = _packed(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, x binary, said binary"), labels)
+    rows = packed.select("y", "x").mapInArrow(unpacked, "y int, v array<double>")
     counts = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     n, n_bad = sum(counts.values()), counts.get(0, 0)
     width = m * BINS + 2 * BUCKETS
     if len(counts) < 2:
-        discard(rows)
+        discard(packed)
         share = float(np.clip(counts.get(1, 0) / max(n, 1), 1e-6, 1 - 1e-6))
         level = np.log(at_threshold / (1 - at_threshold)) - np.log(share / (1 - share))
         return QualityModel(np.zeros(m), np.ones(m), np.zeros((m, BINS - 1)), np.zeros(width), level, at_threshold)
@@ -230,7 +267,6 @@ def train(labelled: DataFrame, at_threshold: float, steps: int = STEPS) -> Quali
     each = [f(F.col("v")[k]) for k in range(m) for f in (F.avg, F.stddev_pop, lambda c: F.percentile_approx(c, quantiles, RANKS))]
     told = list(rows.agg(*[c.alias(f"c{k}") for k, c in enumerate(each)]).first())
     model = QualityModel(np.array(told[::3]), np.array(told[1::3]) + 1e-9, np.array(told[2::3]), np.zeros(width), 0.0, at_threshold)
-    packed = _packed(rows, n, min(counts.values()))
     parts = packed.rdd
     # Buckets hold many words each, so their weights are held back more than those of the statistics.
     ridge = np.r_[np.full(m * BINS, 1e-3), np.full(2 * BUCKETS, 1e-2)]
@@ -252,14 +288,14 @@ def train(labelled: DataFrame, at_threshold: float, steps: int = STEPS) -> Quali
     model.weights = likeliest(value, width, steps)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            x, said = (np.stack([np.frombuffer(r, t) for r in part.column(c).to_pylist()]) for c, t in (("x", np.float64), ("said", np.float16)))
-            yield pa.RecordBatch.from_arrays([pa.array(model.raw(x, said.astype(np.float32)))], ["s"])
+        for batch in batches:
+            for x, said in zip(batch.column("x").to_pylist(), batch.column("said").to_pylist(), strict=True):
+                x = np.frombuffer(x).reshape(-1, m)
+                yield pa.RecordBatch.from_arrays([pa.array(model.raw(x, np.frombuffer(said, np.float16).reshape(len(x), -1).astype(np.float32)))], ["s"])
 
-    ends = rows.select("x", "said").mapInArrow(scores, "s double").agg(F.percentile_approx("s", [n_bad / n, min(1.0, (n_bad + 1) / n)], RANKS)).first()[0]
+    ends = packed.select("x", "said").mapInArrow(scores, "s double").agg(F.percentile_approx("s", [n_bad / n, min(1.0, (n_bad + 1) / n)], RANKS)).first()[0]
     model.threshold = ends[0] + (1 - n_bad / n) * (ends[1] - ends[0])
     discard(packed)
-    discard(rows)
     return model
 
 
@@ -275,7 +311,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, learnable, id_col: str = "
     scores.
     """
     rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(train(labelled_documents(rows, labels, "quality", learnable), threshold))
+    may, clean = maybe_labelled(rows, labels, "quality", learnable)
+    shared = docs.sparkSession.sparkContext.broadcast(train(may, threshold, labels=clean))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text", SMALL_SLICE_BYTES):

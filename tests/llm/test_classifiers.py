@@ -191,6 +191,27 @@ def test_quality_learns_from_every_labelled_document(spark, monkeypatch):
     assert model.weights.any() and [round(float(s), 3) >= 0.3 for s in model.score(quality.features(pa.array([rows[1][1], rows[2][1]])), quality.lexical(pa.array([rows[1][1], rows[2][1]])))] == [True, False]
 
 
+def test_quality_joins_labels_by_features_and_shuffles_no_text(spark, monkeypatch):
+    """Labels meet features in their part; labels without a document leave no part without a class."""
+    from feedwright.llm import quality
+
+    plans, made = [], quality.materialize
+    monkeypatch.setattr(quality, "PART_ROWS", 8)
+    monkeypatch.setattr(quality, "PART_LEAST", 1)
+    monkeypatch.setattr(quality, "materialize", lambda df, tag: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), made(df, tag))[1])
+    packed, pack = [], quality._packed
+    monkeypatch.setattr(quality, "_packed", lambda *a: packed.append(pack(*a)) or packed[0])
+    monkeypatch.setattr(quality, "discard", lambda df: None)
+    docs = spark.createDataFrame([(i, f"{'plain' if i % 2 else 'other'} words number {i % 7}") for i in range(60)] + [(7, "a second text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 1) for i in range(1000, 1100)] + [(5, 0)], "doc_id long, quality int")
+    scores = {r.doc_id: r.predicted for r in score_quality(docs, labels, F.lit(True)).where("doc_id >= 40").collect()}
+    assert scores == {i: i % 2 for i in range(40, 60)}
+    ys = [np.frombuffer(r.y, np.int8) for r in packed[0].collect()]
+    assert sum(len(y) for y in ys) == 40 and sum(int(y.sum()) for y in ys) == 20  # 5 is labelled both ways, 7 has two texts
+    assert all(0 < y.sum() < len(y) for y in ys)
+    assert max(p.count("Join ") for p in plans) == 1 and any("FlatMapCoGroups" in p for p in plans)  # the one is the filter's
+
+
 def test_long_rows_come_in_batches_of_bounded_bytes(spark):
     def sizes(batches):
         for batch in batches:
