@@ -133,8 +133,8 @@ def _without(line: str) -> Column:
     return F.expr(f"concat(substring({line}, 1, at), substring({line}, at + size + 1))").alias("rest")
 
 
-def _dealt(rows: DataFrame, answer: DataFrame, keys: list[str], by: str = "id") -> DataFrame:
-    return dealt(rows, answer, keys, by)
+def _dealt(rows: DataFrame, answer: DataFrame, keys: list[str]) -> DataFrame:
+    return dealt(rows, answer, keys, "id")
 
 
 def line_id(line: str = "line") -> Column:
@@ -201,7 +201,8 @@ def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOT
     met = bloom.probed(keyed(lines, edits, False), materialize(asked, "askedfilter"), slots, which="every").where("may").select(entry).dropDuplicates(["key", "id", "d", "at"])
     level = materialize(probes.withColumn("own", F.lit(False)).unionByName(met.withColumn("own", F.lit(True))), "entries")
     shared = level.groupBy("key").agg(F.count("*").alias("c"), F.bool_or("own").alias("any_own")).where("c > 1 AND any_own").select("key")
-    level = materialize(_dealt(level, shared, ["key"]), "shared")
+    # Joins to written tables of one row a key: adaptive execution splits them where a key has many rows.
+    level = materialize(level.join(materialize(shared, "keys"), "key"), "shared")
     discard(probes)
     discard(table)
     if level.isEmpty():
@@ -216,15 +217,17 @@ def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOT
         sizes = level.groupBy("key").agg(
             F.count("*").alias("c"), F.bool_or("own").alias("any_own"), F.min("tied").alias("all_tied"), F.bit_and("mask").alias("met"), F.max(F.length("rest") - F.col("d") - F.col("k")).alias("over")
         )
-        sizes = sizes.where("c > 1 AND any_own AND NOT all_tied AND met = 0").drop("any_own", "all_tied", "met")
+        sizes = materialize(sizes.where("c > 1 AND any_own AND NOT all_tied AND met = 0").drop("any_own", "all_tied", "met"), "sizes")
         crowded = not sizes.where(f"c > {FEW_LINES}").isEmpty()
-        sized = _dealt(level, sizes, ["key"])
+        sized = materialize(level.join(sizes, "key"), "sized")
+        discard(level)
+        discard(sizes)
         few, tiny = F.expr(f"c <= {FEW_LINES}"), F.expr(f"c > {FEW_LINES} AND over <= 0")
         small, many = sized.where(few), sized.where(~few & ~tiny)
         pairs = _pairs(small, most)
         if not crowded:
             links.append(materialize(pairs.distinct(), "near"))
-            discard(level)
+            discard(sized)
             break
         # So little is left that all index entries are near each other; a probe needs one of them.
         left = sized.where(tiny)
@@ -234,23 +237,23 @@ def near_lines(lines: DataFrame, edits=ONE_EDIT, max_slots: int = bloom.MAX_SLOT
         firsts = spelt.where("own").groupBy("key", "spelt").agg(F.min(F.struct("id", "line")).alias("b"))
         longer = _dealt(spelt.where("NOT own"), firsts, ["key", "spelt"]).where("id <> b.id").select(F.col("id").alias("a"), F.col("b.id").alias("b"), F.col("line").alias("line_a"), F.col("b.line").alias("line_b"), "k")
         longer = longer.dropDuplicates(["a", "b", "k"]).where(near("line_a", "line_b", "k", most)).select("a", "b")
-        hubs = many.where("own").groupBy("key").agg(F.min(F.struct(F.expr("NOT tied").alias("loose"), "id", "line", "rest")).alias("hub"))
-        met = _dealt(many, hubs, ["key"]).select("key", "id", "line", "d", "k", "own", "rest", "tied", "mask", F.col("hub.rest").alias("hub_rest"), F.col("hub.id").alias("hub"), F.col("hub.line").alias("hub_line"), F.col("hub.loose").alias("loose"), "c")
+        hubs = materialize(many.where("own").groupBy("key").agg(F.min(F.struct(F.expr("NOT tied").alias("loose"), "id", "line", "rest")).alias("hub")), "hub")
+        met = many.join(hubs, "key").select("key", "id", "line", "d", "k", "own", "rest", "tied", "mask", F.col("hub.rest").alias("hub_rest"), F.col("hub.id").alias("hub"), F.col("hub.line").alias("hub_line"), F.col("hub.loose").alias("loose"), "c")
         met = met.withColumn("by_hub", (F.col("id") == F.col("hub")) | near("hub_line", "line", "k", most))
         met = materialize(met.select("key", "id", "line", "d", "k", "own", "rest", "hub_rest", "mask", "hub", "by_hub", F.expr("by_hub OR (tied AND NOT loose)").alias("tied"), "c"), "hubs")
         spokes = met.where("by_hub AND id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
         listed = _pairs(met.where(f"c <= {LISTED_LINES}"), most, COUNTED)
         links.append(materialize(pairs.unionByName(stars).unionByName(longer).unionByName(spokes).unionByName(listed).distinct(), "near"))
+        discard(sized)
+        discard(hubs)
         met_again = met.where(f"c > {LISTED_LINES}")
         if met_again.isEmpty():
-            discard(level)
             discard(met)
             break
         open_keys = met_again.groupBy("key").agg(F.min("tied").alias("done")).where("NOT done").select("key")
         below = _dealt(met_again, open_keys, ["key"]).select("id", "line", "tied", "rest", "d", "k", _rest_segments().alias("e"))
         below = below.select("id", "line", "rest", "d", "k", "e.*", "tied").select("id", "line", "key", "d", "k", "own", _without("rest"), "tied", "mask").dropDuplicates(["key", "id", "d", "own", "rest"])
         below = materialize(below, "bucket")
-        discard(level)
         discard(met)
         level = below
         if level.isEmpty():
@@ -288,10 +291,10 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     tagged = equal.join(labels.withColumnRenamed("node", "id"), "id", "left").where("n > 1 OR label IS NOT NULL")
     tagged = materialize(tagged.withColumn("class", F.coalesce("label", "id")).select("id", "class", "n", "first"), "classes")
     classes = tagged.groupBy("class").agg(F.sum("n").alias("of"), F.min("first").alias("stays")).where("of > 1")
-    answer = materialize(_dealt(tagged.select("id", "class"), classes, ["class"]).select("id", "stays"), "answer")
+    answer = materialize(tagged.select("id", "class").join(materialize(classes, "stays"), "class").select("id", "stays"), "answer")
     # Lines that occur once, which are most, don't travel.
     may = bloom.where_in(places.withColumn("_h", F.xxhash64("id")), answer.select(F.xxhash64("id").alias("key")), "_h").drop("_h")
-    hits = _dealt(may, answer, ["id"], by="own").where(~(place.eqNullSafe(F.col("stays"))))
+    hits = may.join(answer, "id").where(~(place.eqNullSafe(F.col("stays"))))
     gone = materialize(hits.groupBy("doc_id", "own").agg(F.collect_set("pos").alias("gone")), "gone")
 
     may = bloom.probed_in(docs, gone.select(F.col("own").alias("key")), "own")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.operators.skew import dealt
 from feedwright.storage import discard, materialize
 
 
@@ -14,10 +13,11 @@ def contracted(edges: DataFrame) -> DataFrame:
     lesser neighbours are tied to that one.  Nodes that share neighbours share those ties, so a group of
     nodes with many edges each is left with little more than one each."""
     down = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "down")
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
-    ties = dealt(down, least, ["a"], "b").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    least = materialize(down.groupBy("a").agg(F.min("b").alias("least")), "least")
+    ties = down.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     out = materialize(least.select("a", F.col("least").alias("b")).unionByName(ties).distinct(), "contracted")
     discard(down)
+    discard(least)
     return out
 
 
@@ -27,8 +27,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges: (a, b), nodes of any one type that has an order, in any direction, repeated or not.
     Labels and edges stay distributed; each round is written to the shared folder, and the one
     before is deleted.  The rounds grow with the logarithm of the longest path.  A hub's rows are
-    combined before the shuffle, and what waits for the label of a hub, or for the root of a label
-    that many nodes have, is dealt into salted parts.
+    combined before the shuffle.  What waits for the label of a hub, or for the root of a label that
+    many nodes have, is joined to a written table, one row a node: adaptive execution splits such a
+    join where a hub's rows are many, and no row is repeated for that.
     """
     few = contracted(edges)
     both = materialize(few.unionByName(few.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
@@ -38,13 +39,12 @@ def components(edges: DataFrame) -> DataFrame:
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")), "labels")
     while True:
         of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("of_b"))
-        near = dealt(both, of_b, ["b"], "a").groupBy(F.col("a").alias("node")).agg(F.min("of_b").alias("near"))
+        near = both.join(of_b, "b").groupBy(F.col("a").alias("node")).agg(F.min("of_b").alias("near"))
         lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         lower = materialize(lower, "lower")
-        # Every label is a node, so each has a root; its nodes get it in parts.
-        asked = lower.select("label").distinct()
-        roots = asked.join(lower.select(F.col("node").alias("label"), F.col("label").alias("root")), "label")
-        after = dealt(lower, roots, ["label"], "node").select("node", F.col("root").alias("label"), "old")
+        # Every label is a node, so each has a root.
+        roots = lower.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        after = lower.join(roots, "label").select("node", F.col("root").alias("label"), "old")
         after = materialize(after, "labels")
         discard(lower)
         discard(labels)

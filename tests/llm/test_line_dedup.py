@@ -224,6 +224,16 @@ def test_a_very_long_text(spark):
     assert got == {0: (4000, 0), 1: (4, 3)}
 
 
+def test_keys_of_a_few_lines_are_not_repeated(spark, monkeypatch):
+    plans = []
+    written = ld.materialize
+    monkeypatch.setattr(ld, "materialize", lambda df, tag: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), written(df, tag))[1])
+    rows = [(i, f"line {i // 2} of the text, number {i // 2 * 7919:09d}, end{'s' * (i % 2)}") for i in range(60)]
+    got = {x.doc_id: x.n_removed for x in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 2 for i in range(60)}
+    assert plans and not [p for p in plans if "_salt" in p]
+
+
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

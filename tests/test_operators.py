@@ -180,6 +180,18 @@ def test_contracted_edges_don_t_repeat_a_group(spark):
     assert whole == {n: n % 3 if n < 40 else next(b for a, b in edges if a == n) for n in [*range(40), *range(50, 250)]} | {300: 300, 301: 300}
 
 
+def test_components_repeat_no_row_for_a_hub(spark, monkeypatch):
+    from feedwright.operators import graph
+
+    plans = []
+    written = graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, tag: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), written(df, tag))[1])
+    edges = [(0, b) for b in range(1, 400)] + [(b, b + 1) for b in range(1000, 1040)]
+    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {b: 0 for b in range(400)} | {b: 1000 for b in range(1000, 1041)}
+    assert len(plans) > 4 and not [p for p in plans if "Generate" in p]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, 50), (50, 70), (70, 70)] + [(200, x) for x in range(300, 360)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
