@@ -52,16 +52,17 @@ class Mixture:
 
 
 def _try(totals: DataFrame, exponents: list[float], budget: float | None) -> list[tuple[float, float]]:
-    """(entropy, most repeats) of the mixture at each exponent, in one pass over the totals."""
-    sums = totals.agg(*[F.sum(F.pow("share", F.lit(a))).alias(f"z{i}") for i, a in enumerate(exponents)]).first()
-    weight = [F.pow("share", F.lit(a)) / F.lit(sums[i]) for i, a in enumerate(exponents)]
-    seen = totals.agg(
-        *[F.sum(-w * F.log(w)).alias(f"e{i}") for i, w in enumerate(weight)],
-        *[F.max(w / F.col("tokens")).alias(f"m{i}") for i, w in enumerate(weight)],
-        *[F.max(F.col("tokens") / w).alias(f"b{i}") for i, w in enumerate(weight)],
-    ).first()
-    n = len(exponents)
-    return [(seen[i], seen[n + i] * (budget if budget is not None else seen[2 * n + i])) for i in range(n)]
+    """(entropy, most repeats) of the mixture at each exponent, in one pass over the totals.
+
+    Exponents are data, not columns of their own: each call runs the same small plan and the same code."""
+    raised = totals.select("share", "tokens", F.posexplode(F.array(*map(F.lit, exponents))).alias("i", "exponent"))
+    raised = raised.withColumn("power", F.pow("share", F.col("exponent")))
+    met = raised.join(F.broadcast(raised.groupBy("i").agg(F.sum("power").alias("z"))), "i")
+    w = F.col("weight")
+    seen = met.withColumn("weight", F.col("power") / F.col("z")).groupBy("i").agg(
+        F.sum(-w * F.log(w)).alias("e"), F.max(w / F.col("tokens")).alias("m"), F.max(F.col("tokens") / w).alias("b")
+    )
+    return [(r.e, r.m * (budget if budget is not None else r.b)) for r in sorted(seen.collect(), key=lambda r: r.i)]
 
 
 def mixture(rows: DataFrame, budget: float | None = None, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None) -> Mixture:

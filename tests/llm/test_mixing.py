@@ -67,6 +67,15 @@ def test_exponent_equals_plain_bisection(spark, kind):
     assert abs(got.exponent - want) < 1e-8
 
 
+def test_a_pass_of_the_bisection_is_one_small_plan(spark):
+    told = spark._jsparkSession.sharedState().statusStore()
+    seen = lambda: (spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(), told.executionsCount())[1]
+    df = spark.createDataFrame([("a", 5), ("b", 900), ("c", 40)], "source string, tokens long")
+    before = seen()
+    assert 0 < mixture(df).exponent < 1
+    assert seen() - before <= 8 + 6
+
+
 def test_blocks_hold_the_sources_by_weight(spark):
     rows = [(i, "w " * 10, "a" if i % 4 else "b") for i in range(4000)]
     used = mix_sources(frame(spark, rows), budget=40000.0, max_repeats=1.0, block_tokens=4000).collect()
