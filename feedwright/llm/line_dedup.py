@@ -283,7 +283,9 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     docs = docs.withColumn("own", own_key("doc_id", "text"))
     split = docs.where("text IS NOT NULL").select("doc_id", "own", F.split("text", "\n", -1).alias("lines"))
     placed = split.select("doc_id", "own", F.posexplode("lines").alias("pos", "line")).where(F.ltrim("line", F.lit(" \t\r\x0b\x0c")) != "")
-    places = materialize(placed.select("doc_id", "own", "pos", line_id().alias("id")), "places")
+    # Lines are read several times; they are split from the texts once.
+    placed = materialize(placed.select("doc_id", "own", "pos", line_id().alias("id"), "line"), "places")
+    places = placed.drop("line")
 
     labels = components(near_lines(placed.select("line"), edits, n_lines=places.count()))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "own", "pos")

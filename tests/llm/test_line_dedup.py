@@ -234,6 +234,16 @@ def test_keys_of_a_few_lines_are_not_repeated(spark, monkeypatch):
     assert plans and not [p for p in plans if "_salt" in p]
 
 
+def test_texts_are_split_into_lines_once(spark, tmp_path, monkeypatch):
+    plans = []
+    written = ld.materialize
+    monkeypatch.setattr(ld, "materialize", lambda df, tag: (plans.append((tag, df._jdf.queryExecution().optimizedPlan().toString())), written(df, tag))[1])
+    rows = [(i, f"line {i} alone here\nthe same line in all of them") for i in range(20)]
+    got = {x.doc_id: x.n_removed for x in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(i > 0) for i in range(20)}
+    assert [tag for tag, p in plans if "split(" in p] == ["places"]
+
+
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
